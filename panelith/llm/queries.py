@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, mixing, resharding, secrets, tokens
+from . import chat, decontaminate, exact_dedup, jaccard, mixing, resharding, secrets, tokens
 from .common import shared_dir, table
 
 NEW_SHARDS = 24
@@ -41,6 +41,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), 4, 85)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.radix_groups(table(spark, sf_dir, "documents"))
 
@@ -57,7 +61,7 @@ def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_chat, op3_secrets, op4_decontaminate, op5_mixing, op7_exact_dedup, op8_repair_tokens, op10_resharding)}
+    return {f.__name__: f for f in (op2_chat, op3_secrets, op4_decontaminate, op5_mixing, op6_jaccard, op7_exact_dedup, op8_repair_tokens, op10_resharding)}
 
 
 def oracle_sql() -> dict[str, str]:

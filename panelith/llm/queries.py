@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, jaccard, mixing, resharding, secrets, tokens, toxicity
+from . import chat, decontaminate, exact_dedup, jaccard, maxent, mixing, resharding, secrets, tokens, toxicity
 from .common import shared_dir, table
 
 NEW_SHARDS = 24
@@ -60,13 +60,17 @@ def op8_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.document_digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = resharding.reshard(table(spark, sf_dir, "documents"), NEW_SHARDS)
     return layout.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_chat, op3_secrets, op4_decontaminate, op5_mixing, op6_jaccard, op7_exact_dedup, op8_repair_tokens, op10_resharding)}
+    return {f.__name__: f for f in (op1_toxicity, op2_chat, op3_secrets, op4_decontaminate, op5_mixing, op6_jaccard, op7_exact_dedup, op8_repair_tokens, op9_maxent_lm, op10_resharding)}
 
 
 def oracle_sql() -> dict[str, str]:

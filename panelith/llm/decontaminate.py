@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import durable, small
+
 # The masks, as offsets of the tokens that count.
 MASKS = ((0, 1, 3, 4, 6), (0, 1, 2, 5, 6), (0, 2, 3, 6, 7))
 MIN_WORDS, LEAST, FRACTION, SUBSTITUTION, BLOCK_ITEMS = 8, 10, 0.7, -2, 4096
@@ -86,4 +88,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple = MASKS, bl
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found, columns as they were."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    bad = durable(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
+    return docs.join(small(bad, 500_000), "doc_id", "left_anti").select(docs.columns)

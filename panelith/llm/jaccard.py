@@ -292,5 +292,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, columns as they were; of rows that repeat a doc_id one stays."""
-    stay = jaccard_components(docs, k, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    ids = jaccard_components(docs, k, percent).groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count("*").alias("times"))
+    ids = durable(ids.filter(~F.col("first") | (F.col("times") > 1)), "jaccard-ids")
+    stay = docs.join(small(ids.filter("not first").select("doc_id"), 500_000), "doc_id", "left_anti")
+    again = ids.filter("first and times > 1").select("doc_id")
+    if not again.isEmpty():
+        once = small(again, 500_000)
+        stay = stay.join(once, "doc_id", "left_anti").unionByName(stay.join(once, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return stay.select(docs.columns)

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, durable
+from .common import SPACES, durable, small
 
 BLOCK_DOCS, REPEATS = 1024, 3
 
@@ -111,11 +111,13 @@ def draw(docs: DataFrame, shards: int = 16, seed: int = 7) -> tuple[DataFrame, D
 def mixed(docs: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as drawn, with mix_shard and mix_order (rank key inside the shard)."""
     plan, _ = draw(docs, shards, seed)
-    times = plan.groupBy("doc_id").agg(F.flatten(F.collect_list("shards")).alias("mix_shards"), F.count("*").alias("mix_rows"))
-    own = Window.partitionBy("doc_id").orderBy(F.lit(1))
+    times = durable(plan.groupBy("doc_id").agg(F.flatten(F.collect_list("shards")).alias("mix_shards"), F.count("*").alias("mix_rows")), "mix-times")
+    if times.filter("mix_rows > 1").isEmpty():
+        rows = docs.withColumn("mix_row", F.lit(0))
+    else:  # rows that share a doc_id divide its draws
+        rows = docs.withColumn("mix_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(1))) - 1)
     return (
-        docs.withColumn("mix_row", F.row_number().over(own) - 1)
-        .join(times, "doc_id")
+        rows.join(small(times.filter("size(mix_shards) > 0"), 500_000), "doc_id")
         .withColumn("mix_shard", F.explode(F.expr("filter(mix_shards, (s, i) -> pmod(i, mix_rows) = mix_row)")))
         .withColumn("mix_order", F.xxhash64("doc_id", "mix_row", "mix_shard", F.lit(seed)))
         .drop("mix_row", "mix_rows", "mix_shards")

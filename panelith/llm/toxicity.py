@@ -365,6 +365,16 @@ def score(docs: DataFrame, labels: DataFrame, most_toxic: int = TOXIC_ROWS, most
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic (score under 0.5), columns as they were."""
-    toxic = score(docs, labels).filter("score >= 0.5").select("doc_id").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that are not predicted toxic (score under 0.5), columns as they were; no row leaves its task."""
+    ship(docs.sparkSession)
+    model = language_model(docs)
+    weights, beta = fit(docs, labels, model)
+    at = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(model)
+        for batch in batches:
+            s = weights.signals(restorer.column(batch.column(at).fill_null("")))
+            yield batch.filter(pa.array(beta[0] + s @ beta[1:] < 0))
+
+    return docs.mapInArrow(work, docs.schema)

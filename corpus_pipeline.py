@@ -1,20 +1,58 @@
-"""A corpus pipeline over the training-data operators: five stages, each written as Parquet and read again."""
+"""A corpus pipeline over the training-data operators: five stages, each written as Parquet and read again.
+
+Near-duplicate groups are those of five-word shingles at a similarity of 0.8 or more.  Up to the last stage all return
+the columns of ``documents``; mixing repeats rows as often as the mix takes them; the last returns what the token files
+hold of each row.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelith.llm.common import durable, table
+from panelith.llm import decontaminate, jaccard, mixing, tokens, toxicity
+from panelith.llm.common import durable, shared_dir, table
+from panelith.llm.queries import tokenizer_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.clean(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.one_of_each(docs, 5, 80)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs).select(docs.columns)
+
+
+def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    tokens.write_tokens(docs, path, tokenizer_path("word_bpe_49k.json"))
+    return tokens.document_digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near-copies", drop_near_copies),
+    ("benchmark", drop_benchmark),
+    ("mixing", mix_sources),
+    ("token-ids", write_ids),
+]
 
+#: The classifier of the first stage is trained, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

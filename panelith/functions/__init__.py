@@ -1 +1 @@
-
+"""Formulas and factor builders: plain column expressions."""

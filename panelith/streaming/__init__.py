@@ -1 +1 @@
-
+"""Incremental loading of landed files with Structured Streaming."""

@@ -8,8 +8,8 @@ only the remaining bytes of documents that still share a group are written betwe
 A group that holds a third of all rows is counted with map-side partial sums; documents find their group by a join
 with the group table, which is broadcast while it is small and shuffled (AQE splits its hot keys) beyond.
 
-Defined cases: a null text equals the empty text; of rows that agree in doc_id and text exactly one is kept; an
-empty table gives an empty result; further columns of the input are ignored.
+Defined cases: a null text equals the empty text; of rows that agree in doc_id and text exactly one is kept; a
+null doc_id is below all others; an empty table gives an empty result; further columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def radix_groups(docs: DataFrame, text: Column | None = None, first: int = FIRST
         done.append(
             joined.filter(F.col("next").isNotNull() & ended)
             .select("doc_id", "keep_id", "group_size", "next", "text_sha256")
-            .withColumn("kept", (F.col("doc_id") == F.col("keep_id")) & (F.row_number().over(again) == 1))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.row_number().over(again) == 1))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
         )
         more = joined.filter(F.col("next").isNotNull() & ~ended).select("doc_id", F.col("next").alias("grp"), F.expr(f"substring(rest, {width + 1})").alias("rest"), "text_sha256")

@@ -117,8 +117,8 @@ def mixed(docs: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
     else:  # rows that share a doc_id divide its draws
         rows = docs.withColumn("mix_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.lit(1))) - 1)
     return (
-        rows.join(small(times.filter("size(mix_shards) > 0"), 500_000), "doc_id")
+        rows.join(small(times.filter("size(mix_shards) > 0").withColumnRenamed("doc_id", "mix_doc"), 500_000), F.col("doc_id").eqNullSafe(F.col("mix_doc")))
         .withColumn("mix_shard", F.explode(F.expr("filter(mix_shards, (s, i) -> pmod(i, mix_rows) = mix_row)")))
         .withColumn("mix_order", F.xxhash64("doc_id", "mix_row", "mix_shard", F.lit(seed)))
-        .drop("mix_row", "mix_rows", "mix_shards")
+        .drop("mix_doc", "mix_row", "mix_rows", "mix_shards")
     )

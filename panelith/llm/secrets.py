@@ -28,7 +28,7 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "markov")
 
-MIN_TOKEN, THRESHOLD, ALPHA = 20, 0.5, 0.5
+MIN_TOKEN, THRESHOLD, ALPHA = 20, 0.0, 0.5
 #: A longest run of token characters, or of lower-case hex digits; only runs long enough can matter, and a shorter one holds no match.
 TOKEN, LONG_HEX, LONG_ACCESS = f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}", "[0-9a-f]{32,}", "AKIA[A-Z0-9]{12,}"
 CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"

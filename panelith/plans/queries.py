@@ -327,9 +327,9 @@ def _(spark, sf):
     return quality.duplicate_keys(d.unionByName(d.filter("cast(ts_code as int) % 10 = 0")), "daily")
 
 
-@query("c04_date_coverage", f"{P},{O.CALENDAR}", "SELECT 'date_coverage:daily' AS check_name, CASE WHEN k > 0 THEN 'FAIL' ELSE 'PASS' END AS status, k AS n_bad, concat_ws(' ', lo, hi, CAST(n AS VARCHAR), coalesce(dates, '')) AS detail FROM (SELECT min(trade_date) AS lo, max(trade_date) AS hi, count(DISTINCT trade_date) AS n FROM panel WHERE month_no % 5 <> 0), (SELECT count(*) AS k, array_to_string(list(cal_date ORDER BY cal_date)[1:20], ',') AS dates FROM cal WHERE is_open = '1' AND cal_date NOT IN (SELECT trade_date FROM panel WHERE month_no % 5 <> 0))")
+@query("c04_date_coverage", f"{P},{O.CALENDAR},{O.WEIGHTS}", "SELECT 'date_coverage:index_weight' AS check_name, CASE WHEN k > 0 THEN 'FAIL' ELSE 'PASS' END AS status, k AS n_bad, concat_ws(' ', lo, hi, CAST(n AS VARCHAR), coalesce(dates, '')) AS detail FROM (SELECT min(trade_date) AS lo, max(trade_date) AS hi, count(DISTINCT trade_date) AS n FROM weights), (SELECT count(*) AS k, array_to_string(list(cal_date ORDER BY cal_date)[1:20], ',') AS dates FROM cal WHERE is_open = '1' AND cal_date NOT IN (SELECT trade_date FROM weights))")
 def _(spark, sf):
-    return quality.date_coverage(frames.panel(spark, sf).filter("month_no % 5 <> 0"), quality.expected_dates(adapters.calendar(spark)), "daily")
+    return quality.date_coverage(adapters.index_weights(frames.panel(spark, sf)), quality.expected_dates(adapters.calendar(spark)), "index_weight")
 
 
 @query("c05_missing_rates", BASIC, "SELECT 'daily_basic' AS table_name, field, count(*) AS n_rows, avg(miss) AS missing_rate, CASE WHEN avg(miss) > 0.05 THEN 'WARN' ELSE 'PASS' END AS status FROM (SELECT 'turnover_rate' AS field, CASE WHEN turnover_rate IS NULL THEN 1.0 ELSE 0.0 END AS miss FROM basic UNION ALL SELECT 'total_mv', CASE WHEN total_mv IS NULL THEN 1.0 ELSE 0.0 END FROM basic) GROUP BY field UNION ALL SELECT 'daily', field, count(*), avg(miss), CASE WHEN avg(miss) > 0.05 THEN 'WARN' ELSE 'PASS' END FROM (SELECT 'open' AS field, CASE WHEN open IS NULL THEN 1.0 ELSE 0.0 END AS miss FROM daily UNION ALL SELECT 'close', CASE WHEN close IS NULL THEN 1.0 ELSE 0.0 END FROM daily UNION ALL SELECT 'pct_chg', CASE WHEN pct_chg IS NULL THEN 1.0 ELSE 0.0 END FROM daily UNION ALL SELECT 'amount', CASE WHEN amount IS NULL THEN 1.0 ELSE 0.0 END FROM daily) GROUP BY field", "missing_rate")

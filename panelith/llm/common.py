@@ -118,6 +118,17 @@ def pieces(data: np.ndarray, offsets: np.ndarray, size: int = PIECE) -> Iterator
         at = end
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], at: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts (column ``at``) come to about ``limit`` bytes, so that a task's memory is bounded."""
+    for batch in batches:
+        _, offsets = utf8(batch.column(at))
+        a = 0
+        while a < batch.num_rows:
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
+            yield batch.slice(a, b - a)
+            a = b
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and past-the-end byte of each word; no word crosses a document's border."""
     solid = ~_IS_SPACE[data]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import _LOWER, durable, hash_spans, pieces, ship, utf8
+from .common import _LOWER, by_bytes, durable, hash_spans, pieces, ship, utf8
 from .jaccard import shingle_sets
 
 # What a sign may stand for.
@@ -286,7 +286,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int =
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, 2):
             sets = shingle_sets(batch.column(2), 4)
             least = np.fromiter((int(s[0].view(np.int64)) if len(s) else 0 for s in sets), np.int64, len(sets))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(least)], names=["doc_id", "toxic", "text", "least"])
@@ -299,7 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int =
 
     def toxic_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
-        for batch in batches:
+        for batch in by_bytes(batches, 2):
             doc, features = word_features(restored(batch, restorer))
             pairs = np.unique(np.stack([np.repeat(doc.astype(np.uint64), 4), features.ravel()], 1), axis=0)
             keys, n = np.unique(pairs[pairs[:, 1] != 0, 1], return_counts=True)
@@ -314,7 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int =
     def clean_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
         total = np.zeros(len(index.keys), np.int64)
-        for batch in batches:
+        for batch in by_bytes(batches, 2):
             doc, features = word_features(restored(batch, restorer))
             r, at = index.find(features)
             total += np.bincount(np.unique(np.stack([doc[r], at], 1), axis=0)[:, 1], minlength=len(total)) if len(r) else 0
@@ -333,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int =
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
-        for batch in batches:
+        for batch in by_bytes(batches, 2):
             s = weights.signals(restored(batch, restorer))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(s[:, 0]), pa.array(s[:, 1])], names=["toxic", "a", "b"])
 
@@ -356,7 +356,7 @@ def score(docs: DataFrame, labels: DataFrame, most_toxic: int = TOXIC_ROWS, most
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             s = weights.signals(restorer.column(batch.column(1).fill_null("")))
             z = beta[0] + s @ beta[1:]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=["doc_id", "score"])
@@ -373,7 +373,7 @@ def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
-        for batch in batches:
+        for batch in by_bytes(batches, at):
             s = weights.signals(restorer.column(batch.column(at).fill_null("")))
             yield batch.filter(pa.array(beta[0] + s @ beta[1:] < 0))
 

@@ -4,13 +4,18 @@ Equal sets are one set from the start.  The rest follows their size:
 
 * Light sets (fewer than x shingles) enumerate the fixed-size subsets that a partner of each possible size must share;
   two sets link if and only if they meet in such a subset, so nothing is verified and groups are joined as stars.
-* Heavy sets, and light ones near the border, are found by inverted lists of their rarest shingles (the prefix that a
-  linked pair must share), kept apart by size class.  Lists are not expanded into pairs: list neighbours form families
-  (connected components of sets and lists), and each family is joined in tasks of bounded blocks, where the lists of
-  all its shingles are scanned for exact intersection sizes.  Only a spanning forest of the links leaves a task.
+* Heavy sets, and light ones near the border, are brought together by parts: linked sets differ in at most H shingles, so
+  of H + 1 + SPARE parts (shingles dealt by hash) some part that is not empty is the same in both.  H follows from the
+  size class.  Large sets use fewer and larger parts, of which so many are given out that a linked pair shares none of
+  them with a chance under e^-CERTAIN, less than that of a hash collision.  Sets that share a part form families (connected components of sets and parts; parts are joined as stars,
+  never as pairs).  Each family is joined in tasks of bounded blocks: the inverted lists of all its shingles are scanned
+  for exact intersection sizes, and only a spanning forest of the links leaves a task.
 
-The border x has the least total cost over the sizes found in the table.  Shingles that many documents share are put
-last in the prefix order.  That list is bounded and only a matter of speed: any order that all documents share is exact.
+  Shingles that very many documents share (a bounded list) stay out of the parts, so that a common passage does not tie
+  unlike documents together.  What both sets lose alike adds no difference, so this costs no link; where it empties
+  parts, the empty ones count as parts too.
+
+The border x has the least total cost over the sizes found in the table.
 
 A family larger than a block is cut into blocks that meet pairwise in separate tasks, so memory stays bounded.
 
@@ -33,7 +38,8 @@ from pyspark.sql import functions as F
 from .common import durable, mix64, ship, small, word_hashes
 from .graph import components
 
-POPULAR, POPULAR_LOCAL, LIST_COST, BLOCK_SETS, BLOCK_SHINGLES = 1 << 18, 4, 4, 1024, 1 << 20
+SPARE, CERTAIN, LIST_COST, BLOCK_SETS, BLOCK_SHINGLES = 3, 36, 4, 1024, 1 << 20
+POPULAR, POPULAR_LOCAL = 1 << 17, 16
 _SLOT = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -80,27 +86,81 @@ def subset_count(n: int, percent: int) -> int:
     return sum(comb(n, c) for m in partners(n, percent) if (c := least_common(n, m, percent)) <= min(n, m) and not (n == m == c))
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+def size_bounds(percent: int) -> np.ndarray:
+    """Least sizes of the size classes; linked sets lie in one class or in neighbouring ones."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(max(out[-1] * 100 // percent, out[-1] * 11 // 10) + 1)
+    return np.asarray(out, np.int64)
+
+
+def most_differing(bounds: np.ndarray, percent: int) -> np.ndarray:
+    """H for each join of classes c - 1 and c: the most shingles in which linked sets of these sizes differ."""
+    return 2 * (bounds[1:] - 1) * (100 - percent) // (100 + percent)
+
+
+def part_plan(most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(parts, parts given out) for each H.
+
+    A part stays untouched by H differing shingles with chance e^-x if there are H / x parts; the larger x, the more
+    shingles a part holds and the fewer unlike sets share it.  The largest x is taken for which enough parts can be
+    given out; where none is, all of H + 1 + SPARE parts are, and the pigeonhole principle makes sure.
+    """
+    parts, given = most + 1 + SPARE, most + 1 + SPARE
+    for x in (1.0, 1.25, 1.5, 2.0, 2.5, 3.0):
+        need = int(np.ceil(CERTAIN / -np.log1p(-np.exp(-x))))
+        fits = np.ceil(most / x) >= need
+        parts, given = np.where(fits, np.ceil(most / x).astype(np.int64), parts), np.where(fits, need, given)
+    return parts, given
+
+
+def part_count(n: int, percent: int) -> int:
+    """How many parts a set of size n gives out."""
+    bounds = size_bounds(percent)
+    k = int(np.searchsorted(bounds, n, "right")) - 1
+    return int(part_plan(most_differing(bounds, percent))[1][k : k + 2].sum())
 
 
 def border(sizes: dict[int, int], percent: int) -> int:
-    """The x of least cost: sets below it enumerate subsets, sets from it on scan lists."""
-    best, costs = 1, {1: sum(c * 2 * prefix_length(n, percent) * LIST_COST for n, c in sizes.items())}
+    """The x of least cost: sets below it enumerate subsets, sets from it on share parts and scan lists."""
+    best, costs = 1, {1: sum(c * part_count(n, percent) * LIST_COST for n, c in sizes.items())}
     for x in range(2, 25):
         gone = x - 1
-        costs[x] = costs[x - 1] + sizes.get(gone, 0) * (subset_count(gone, percent) - 2 * prefix_length(gone, percent) * LIST_COST)
+        costs[x] = costs[x - 1] + sizes.get(gone, 0) * (subset_count(gone, percent) - part_count(gone, percent) * LIST_COST)
         if costs[x] <= costs[best]:
             best = x
     return best
 
 
-def size_bounds(percent: int) -> np.ndarray:
-    """Least sizes of the size classes; linked sets lie in one class or in neighbouring ones."""
-    out = [1]
-    while out[-1] < 1 << 40:
-        out.append(out[-1] * 100 // percent + 1)
-    return np.asarray(out, np.int64)
+def part_keys(sets: list[np.ndarray], percent: int, bounds: np.ndarray, popular: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, set number) of the parts of each set, for the joins with its own class and its two neighbours."""
+    all_parts, all_given = part_plan(most_differing(bounds, percent))
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    kind = np.searchsorted(bounds, n, "right") - 1
+    values, whose = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    if len(popular):
+        rare = popular[np.minimum(np.searchsorted(popular, values), len(popular) - 1)] != values
+        values, whose = values[rare], whose[rare]
+    values = mix64(values * np.uint64(0xC2B2AE3D27D4EB4F))
+    low, high = (values & np.uint64(0xFFFFFFFF)).astype(float), (values >> np.uint64(32)).astype(float)
+    keys, owners = [], []
+    for step in (0, 1):
+        parts, given = all_parts[kind + step], all_given[kind + step]
+        base = np.cumsum(given) - given
+        total = int(given.sum())
+        part = (values % parts[whose].astype(np.uint64)).astype(np.int64)
+        out = part < given[whose]
+        place = (base[whose] + part)[out]
+        count = np.bincount(place, minlength=total)
+        a, b = np.bincount(place, low[out], total).astype(np.uint64), np.bincount(place, high[out], total).astype(np.uint64)
+        owner = np.repeat(np.arange(len(sets)), given)
+        number = np.arange(total) - np.repeat(base, given)
+        empty = np.bincount(owner[count == 0], minlength=len(sets))
+        give = (count > 0) | (empty >= np.where(parts == given, 1 + SPARE, given // 8))[owner]  # so many empty parts that these alone may be the same
+        salt = ((np.repeat(kind + step, given).astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        keys.append(mix64(mix64(a + (b << np.uint64(32)) + count.astype(np.uint64)) ^ salt)[give])
+        owners.append(owner[give])
+    return np.concatenate(keys), np.concatenate(owners)
 
 
 def _subset_keys(s: np.ndarray, percent: int, below: int) -> tuple[list[int], list[int]]:
@@ -184,38 +244,33 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
         for batch in batches:
             sets = shingle_sets(batch.column(1), k)
             n = len(sets)
-            empty = pa.nulls(n, pa.int64())
-            yield _table(names, batch.column(0), np.fromiter(map(len, sets), np.int64, n), np.fromiter(map(set_id, sets), np.int64, n), empty, empty)
-            every = np.sort(np.concatenate([*sets, np.zeros(0, np.uint64)]))
-            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
-            times = np.diff(np.append(first, len(every)))
+            none = pa.nulls(n, pa.int64())
+            sids = np.fromiter(map(set_id, sets), np.int64, n)
+            yield _table(names, batch.column(0), np.fromiter(map(len, sets), np.int64, n), sids, none, none)
+            _, first = np.unique(sids, return_index=True)
+            every = np.sort(np.concatenate([*(sets[i] for i in first.tolist()), np.zeros(0, np.uint64)]))
+            start = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
+            times = np.diff(np.append(start, len(every)))
             often = times >= POPULAR_LOCAL
-            m = int(often.sum())
-            none = pa.nulls(m, pa.int64())
-            yield _table(names, none, none, none, every[first[often]].view(np.int64), times[often].astype(np.int64))
+            none = pa.nulls(int(often.sum()), pa.int64())
+            yield _table(names, none, none, none, every[start[often]].view(np.int64), times[often].astype(np.int64))
 
     found = durable(texts.mapInArrow(measure, "doc_id long, n long, sid long, shingle long, times long"), "jaccard-sets")
     sets = found.filter("n is not null").select("doc_id", "n", "sid")
-    popular = found.filter("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "shingle").limit(POPULAR).toPandas()
-    keys = popular["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    ranks = spark.sparkContext.broadcast((keys[order], popular["times"].to_numpy(np.int64)[order]))
+    popular = found.filter("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "shingle").limit(POPULAR).select("shingle").toPandas()
+    common = spark.sparkContext.broadcast(np.sort(popular["shingle"].to_numpy(np.int64).view(np.uint64)))
     distinct = sets.filter("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"))
     x = border({r.n: r["count"] for r in distinct.filter("n < 32").groupBy("n").count().collect()}, percent)
     bounds = size_bounds(percent)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        popular_keys, popular_times = ranks.value
+        names = ["key", "sid", "n", "m"]
         seen: set[int] = set()
         for batch in batches:
-            keys, owners, sizes, asked = [], [], [], []
-            heavy, heavy_sid, heavy_n = [], [], []
+            keys, owners, sizes, asked, heavy, heavy_sid = [], [], [], [], [], []
             for s in shingle_sets(batch.column(1), k):
-                n = len(s)
-                if not n:
-                    continue
-                sid = set_id(s)
-                if sid in seen:
+                n, sid = len(s), set_id(s)
+                if not n or sid in seen:  # copies of a set post once
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(sid)
@@ -226,25 +281,14 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
                     owners += [sid] * len(some)
                     sizes += [n] * len(some)
                 if 100 * n >= percent * x:
-                    p = prefix_length(n, percent)
-                    at = np.minimum(np.searchsorted(popular_keys, s), max(0, len(popular_keys) - 1))
-                    common = popular_keys[at] == s if len(popular_keys) else np.zeros(n, bool)
-                    prefix = s[~common][:p]
-                    if len(prefix) < p:
-                        rest = s[common]
-                        prefix = np.concatenate([prefix, rest[np.lexsort((rest, popular_times[at[common]]))][: p - len(prefix)]])
-                    heavy.append(prefix)
+                    heavy.append(s)
                     heavy_sid.append(sid)
-                    heavy_n.append(n)
             if heavy:
-                count = np.fromiter(map(len, heavy), np.int64, len(heavy))
-                grams, n = np.concatenate(heavy), np.repeat(np.asarray(heavy_n, np.int64), count)
-                kind = (np.searchsorted(bounds, n, "right") - 1).astype(np.uint64)
-                for step in (0, 1):
-                    key = mix64(grams + (kind + np.uint64(step + 1)) * np.uint64(0x9E3779B97F4A7C15))
-                    yield _table(["key", "sid", "n", "m"], key.view(np.int64), np.repeat(np.asarray(heavy_sid, np.int64), count), n.astype(np.int32), np.zeros(len(n), np.int32))
+                key, owner = part_keys(heavy, percent, bounds, common.value)
+                none = np.zeros(len(key), np.int32)
+                yield _table(names, key.view(np.int64), np.asarray(heavy_sid, np.int64)[owner], none, none)
             if keys:
-                yield _table(["key", "sid", "n", "m"], mix64(np.asarray(keys, np.uint64)).view(np.int64), np.asarray(owners, np.int64), np.asarray(sizes, np.int32), np.asarray(asked, np.int32))
+                yield _table(names, mix64(np.asarray(keys, np.uint64)).view(np.int64), np.asarray(owners, np.int64), np.asarray(sizes, np.int32), np.asarray(asked, np.int32))
 
     rows = texts.mapInArrow(post, "key long, sid long, n int, m int")
     group = Window.partitionBy("key")

@@ -5,8 +5,9 @@ before, the two words before, and the skips two and three words back; rare histo
 most frequent words have classes of their own, the others share classes by a hash of their last bytes.  Inside a class
 words have add-one frequencies, with one more place for unknown words, so the whole is a proper distribution.
 
-Words are numbered once: texts become chunks of about two million tokens, each with its own dictionary.  Dictionaries,
-not tokens, are shuffled to sum the counts over all training documents, and the sums return to each chunk.  Training
+Words are numbered once: texts become chunks of up to CHUNK_BYTES, each with its own dictionary.  Dictionaries,
+not tokens, are shuffled to sum the counts over all training documents, and the sums return to each chunk.  Chunks and
+sums lie in buckets, so they meet without a shuffle.  Training
 runs in ROUNDS; in a round each task updates its copy of the weights over its share of the minibatches (AdaGrad) and
 the copies are averaged by tokens in slices.  Each training token takes part in one update.  Scoring is numpy by minibatch.
 
@@ -17,6 +18,7 @@ Words are 64-bit hashes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _LOWER, durable, hash_spans, mix64, pieces, ship, utf8, word_bounds
+from .common import _LOWER, durable, hash_spans, mix64, pieces, shared_dir, ship, utf8, word_bounds
 
 CLASSES, TOP = 64, 15  # class 0: end; 1 to TOP: the most frequent words; the rest by shape
 SHAPES = CLASSES - TOP - 1
 FEATURES = (4096, 8192, 4096, 2048)
 ROWS = sum(FEATURES)
-CHUNK_TOKENS, BATCH, ROUNDS, RATE, OFTEN, SLICES, FOLDS, FOLD = 2_000_000, 16_384, 2, 0.25, 100, 16, 7, 2
+CHUNK_BYTES, BATCH, ROUNDS, RATE, OFTEN, SLICES, FOLDS, FOLD = 20 << 20, 16_384, 2, 0.25, 100, 16, 7, 2
 END = 1  # the end token's "hash"
 
 _CHUNK = "chunk long, doc_ids binary, held binary, lens binary, ids binary, words binary, shapes binary, counts binary"
@@ -77,7 +79,7 @@ def chunks(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        limit = CHUNK_TOKENS * 6
+        limit = CHUNK_BYTES
         for batch in batches:
             column = batch.column(2)
             _, offsets = utf8(column)
@@ -88,7 +90,17 @@ def chunks(docs: DataFrame) -> DataFrame:
                 a, seq = b, seq + 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held"), "text")
-    return durable(rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), F.coalesce("held", F.lit(False)).alias("held"), "text").mapInArrow(work, _CHUNK), "lm-chunks")
+    rows = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), F.coalesce("held", F.lit(False)).alias("held"), "text")
+    return _bucketed(rows.mapInArrow(work, _CHUNK), "lm_chunks")
+
+
+def _bucketed(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared folder in buckets by chunk, so that tables joined by chunk are not shuffled."""
+    spark = df.sparkSession
+    name = f"{name}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", f"{shared_dir(spark)}/{name}").bucketBy(buckets, "chunk").saveAsTable(name)
+    return spark.table(name)
 
 
 class Model:
@@ -159,7 +171,7 @@ def update(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, f: np.nda
 
 
 def _read(batch: pa.RecordBatch) -> Iterator[dict]:
-    kinds = {"doc_ids": "<i8", "held": np.uint8, "lens": "<i4", "ids": "<i4", "words": np.uint64, "shapes": np.uint8, "totals": "<i8"}
+    kinds = {"doc_ids": "<i8", "held": np.uint8, "lens": "<i4", "ids": "<i4", "words": np.uint64, "shapes": np.uint8, "totals": "<i8", "ones": np.uint8}
     for k in range(batch.num_rows):
         yield {c: np.frombuffer(batch.column(c)[k].as_buffer(), t) for c, t in kinds.items() if c in batch.schema.names}
 
@@ -174,6 +186,39 @@ def _minibatches(row: dict, model: Model, train: bool) -> tuple[np.ndarray, np.n
     return f, y, inside
 
 
+def _model(rows: DataFrame) -> Model:
+    """Sizes, classes and most frequent words of the vocabulary; each word counts where its entry stands for it."""
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_words, n_tokens, best = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64), []
+        for batch in batches:
+            for row in _read(batch):
+                own = (row["ones"] > 0) & (row["totals"] > 0)
+                if own[:1].any():
+                    best.append((END, -1, int(row["totals"][0])))
+                own[:1] = False
+                word, shape, total = row["words"][own], row["shapes"][own].astype(np.int64), row["totals"][own]
+                n_words += np.bincount(shape, minlength=SHAPES)
+                n_tokens += np.bincount(shape, total, SHAPES).astype(np.int64)
+                for k in np.lexsort((word, -total))[:TOP]:
+                    best.append((int(word[k : k + 1].view(np.int64)[0]), int(shape[k]), int(total[k])))
+        kinds = [("shape", 0, k, int(n_words[k]), int(n_tokens[k])) for k in range(SHAPES) if n_words[k]] + [("end" if s < 0 else "word", w, s, 1, t) for w, s, t in best]
+        if kinds:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*kinds, strict=True), (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["kind", "word", "shape", "words", "tokens"])
+
+    found = durable(rows.select("words", "shapes", "totals", "ones").mapInArrow(sizes, "kind string, word long, shape int, words long, tokens long"), "lm-sizes")
+    shape_words, shape_tokens = np.zeros(SHAPES), np.zeros(SHAPES)
+    for r in found.filter("kind = 'shape'").groupBy("shape").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect():  # SHAPES rows
+        shape_words[r["shape"]], shape_tokens[r["shape"]] = r.words, r.tokens
+    ends = found.filter("kind = 'end'").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first().n
+    top = [(r.word, r.tokens, r["shape"]) for r in found.filter("kind = 'word'").orderBy(F.desc("tokens"), "word").limit(TOP).collect()]
+    n, v = int(shape_tokens.sum()) + ends, int(shape_words.sum()) + (ends > 0)
+    for _, total, shape in top:
+        shape_words[shape] -= 1
+        shape_tokens[shape] -= total
+    return Model(n, v, ends, [(w & (1 << 64) - 1, c) for w, c, _ in top], shape_words, shape_tokens)
+
+
 def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray:
     """Weights after ``rounds`` of updates in the tasks and averaging in slices."""
     spark = rows.sparkSession
@@ -228,39 +273,32 @@ def score(docs: DataFrame) -> DataFrame:
 
     entries = made.select("chunk", "words", "shapes", "counts").mapInArrow(dictionary, "chunk long, place int, word long, shape int, c int")
     same = Window.partitionBy("word")
-    entries = durable(entries.withColumn("total", F.sum("c").over(same)).withColumn("one", F.row_number().over(same.orderBy("chunk")) == 1).select("chunk", "place", "word", "shape", "total", "one"), "lm-counts")
-    vocabulary = entries.filter("one and total > 0")
-    sums = vocabulary.agg(F.sum("total").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == END, F.col("total"))).alias("ends")).first()
-    top = [(r.word, r.total, r["shape"]) for r in vocabulary.filter(F.col("word") != END).orderBy(F.desc("total"), "word").limit(TOP).collect()]
-    shape_words, shape_tokens = np.zeros(SHAPES), np.zeros(SHAPES)
-    for r in vocabulary.filter(F.col("word") != END).groupBy("shape").agg(F.count("*").alias("words"), F.sum("total").alias("tokens")).collect():  # SHAPES rows
-        shape_words[r["shape"]], shape_tokens[r["shape"]] = r.words, r.tokens
-    for _, total, shape in top:
-        shape_words[shape] -= 1
-        shape_tokens[shape] -= total
-    model = Model(sums.n or 0, sums.v or 0, sums.ends or 0, [(w & (1 << 64) - 1, c) for w, c, _ in top], shape_words, shape_tokens)
+    entries = entries.withColumn("total", F.sum("c").over(same)).withColumn("one", (F.row_number().over(same.orderBy("chunk")) == 1).cast("int"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Totals of each chunk in order of place; rows come sorted by chunk and place."""
+        """Totals of each chunk in order of place, and which entries stand for their word; rows come sorted by chunk and place."""
         chunk, parts = None, []
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([np.concatenate(parts).astype("<i8").tobytes()], pa.binary())], names=["chunk", "totals"])
+            total, one = (np.concatenate(x) for x in zip(*parts, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([total.astype("<i8").tobytes()], pa.binary()), pa.array([one.astype(np.uint8).tobytes()], pa.binary())], names=["chunk", "totals", "ones"])
 
         for batch in batches:
-            c, t = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            c, t, o = (batch.column(k).to_numpy() for k in range(3))
             cuts = [0, *(np.flatnonzero(c[1:] != c[:-1]) + 1).tolist(), len(c)] if len(c) else []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 if c[a] != chunk and parts:
                     yield out()
                     parts = []
                 chunk = int(c[a])
-                parts.append(t[a:b])
+                parts.append((t[a:b], o[a:b]))
         if parts:
             yield out()
 
-    totals = entries.select("chunk", "place", "total").repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", "total").mapInArrow(gather, "chunk long, totals binary")
-    rows = durable(made.drop("counts").join(totals, "chunk"), "lm-rows")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    totals = entries.select("chunk", "place", "total", "one").repartition(buckets, "chunk").sortWithinPartitions("chunk", "place").select("chunk", "total", "one").mapInArrow(gather, "chunk long, totals binary, ones binary")
+    rows = made.drop("counts").join(_bucketed(totals, "lm_totals").hint("shuffle_hash"), "chunk")
+    model = _model(rows)
     weights = spark.sparkContext.broadcast(learn(rows, model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

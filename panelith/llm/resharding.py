@@ -5,21 +5,27 @@ A block heavier than a fiftieth of a new shard (a group of copies may hold a thi
 doc_id.  The flow network has one node for each old and new shard; a byte that stays costs nothing, one that moves
 costs 1.  The flow is solved on the driver, whose tables have at most old * blocks + 50 * new rows whatever the input.
 Blocks then follow the flow, largest first, and rows get gapless slots: block offsets plus a rank inside the block.
+``reshard`` gives this layout, ``rewrite`` carries it out.  Rows take their places as whole rows, in one shuffle, and
+are never joined by doc_id, so repeated and null doc_ids are rows like any other.
 
 Defined cases: null text counts 0 bytes (plus the row overhead); an empty table gives an empty result; repeated rows
-each get a slot of their own; further columns are ignored.
+each get a slot of their own; a row without an old shard is new and always moves; ``reshard`` ignores further columns,
+``rewrite`` keeps them.  A shard may exceed its capacity by less than a block.  ``docs`` is read twice and must give the
+same rows each time.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict, deque
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from .common import durable
 
-OVERHEAD, HEAVY = 8, 50
+OVERHEAD, HEAVY, PARTS = 8, 50, 512
+PLACE = ("shard", "slot", "old_shard")
 
 
 def min_cost_flow(supply: list[int], capacity: list[int]) -> dict[tuple[int, int], int]:
@@ -65,13 +71,12 @@ def min_cost_flow(supply: list[int], capacity: list[int]) -> dict[tuple[int, int
     return {(i, j): room[old + j, i] for i in range(old) for j in range(new) if room[old + j, i]}
 
 
-def place_blocks(blocks: list[tuple], shards: int, old: int) -> list[tuple]:
+def place_blocks(blocks: list[tuple], capacity: list[int], old: int) -> list[tuple]:
     """(block key, shard) for (key, old shard, bytes): blocks follow the flow, the largest first, into what is left of it."""
     supply = [0] * old
     for _, i, size in blocks:
         supply[i] += size
-    total = sum(supply)
-    capacity = [total * (j + 1) // shards - total * j // shards for j in range(shards)]
+    shards = len(capacity)
     left: dict[int, dict[int, int]] = defaultdict(dict)
     for (i, j), amount in min_cost_flow(supply, capacity).items():
         left[i][j] = amount
@@ -88,41 +93,97 @@ def place_blocks(blocks: list[tuple], shards: int, old: int) -> list[tuple]:
     return out
 
 
-def reshard(docs: DataFrame, shards: int, old_shards: int = 16, blocks: int = 256) -> DataFrame:
-    """doc_id, size, text_crc32, old_shard, shard, slot, moved for each row: the new layout of ``docs``."""
-    spark = docs.sparkSession
-    text = F.coalesce("text", F.lit("")).cast("binary")
-    rows = docs.select("doc_id", text.alias("b")).select("doc_id", (F.octet_length("b") + OVERHEAD).cast("long").alias("size"), F.crc32("b").alias("text_crc32"), F.xxhash64("b").alias("h"))
-    rows = durable(
-        rows.select("doc_id", "size", "text_crc32", F.pmod("text_crc32", F.lit(old_shards)).cast("int").alias("old_shard"), F.pmod("h", F.lit(blocks)).cast("int").alias("block")), "reshard-rows"
+def _rows(docs: DataFrame, old_shards: int, blocks: int, old_shard: Column | str | None) -> DataFrame:
+    """Each row of ``docs`` (whole, in ``row``) with its size, hashes, old shard (``home``: -1 for none) and block."""
+    b = F.coalesce("text", F.lit("")).cast("binary")
+    old = F.pmod(F.crc32(b), F.lit(old_shards)) if old_shard is None else F.col(old_shard) if isinstance(old_shard, str) else old_shard
+    return docs.select(
+        "doc_id",
+        (F.octet_length(b) + OVERHEAD).cast("long").alias("size"),
+        F.crc32(b).alias("text_crc32"),
+        old.cast("int").alias("old_shard"),
+        F.coalesce(old.cast("int"), F.lit(-1)).alias("home"),
+        F.pmod(F.xxhash64(b), F.lit(blocks)).cast("int").alias("block"),
+        F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
     )
-    sums = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    limit = max(1, sum(r.size for r in sums) // (shards * HEAVY))
-    cuts = [(r.old_shard, r.block, min(-(-r.size // limit), r.n)) for r in sums if r.size > limit and r.n > 1]
-    if cuts:
-        many = spark.createDataFrame(cuts, "old_shard int, block int, cuts long")
-        rows = rows.join(F.broadcast(many), ["old_shard", "block"], "left").withColumn("cut", F.pmod(F.xxhash64("doc_id"), F.coalesce("cuts", F.lit(1))).cast("int")).drop("cuts")
-    else:
-        rows = rows.withColumn("cut", F.lit(0))
-    key = ["old_shard", "block", "cut"]
-    table = rows.groupBy(*key).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    counts = {tuple(r[k] for k in key): r.n for r in table}
-    placed = place_blocks([(tuple(r[k] for k in key), r.old_shard, r.size) for r in table], shards, old_shards)
-    filled, lines = [0] * shards, []
+
+
+def _cut(rows: DataFrame, cuts: list[tuple]) -> DataFrame:
+    if not cuts:
+        return rows.withColumn("cut", F.lit(0))
+    many = rows.sparkSession.createDataFrame(cuts, "home int, block int, cuts long")
+    return rows.join(F.broadcast(many), ["home", "block"], "left").withColumn("cut", F.pmod(F.xxhash64("doc_id"), F.coalesce("cuts", F.lit(1))).cast("int")).drop("cuts")
+
+
+KEY = ["home", "block", "cut"]
+
+
+def _plan(rows: DataFrame, shards: int, capacities: list[int] | None) -> tuple[list[tuple], list[tuple]]:
+    """Cuts of heavy blocks, and for each block (home, block, cut, shard, part, first slot); a part is a run of a shard's slots."""
+    sums = rows.groupBy("home", "block").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    total = sum(r.size for r in sums)
+    if capacities is None:
+        capacities = [total * (j + 1) // shards - total * j // shards for j in range(shards)]
+    if len(capacities) != shards or sum(capacities) < total:
+        raise ValueError(f"{shards} capacities of {total} bytes at least are needed, not {capacities}")
+    if min((r.home for r in sums), default=0) < -1:
+        raise ValueError("old shards are numbered from 0")
+    limit = max(1, total // (shards * HEAVY))
+    cuts = [(r.home, r.block, min(-(-r.size // limit), r.n)) for r in sums if r.size > limit and r.n > 1]
+    table = _cut(rows, cuts).groupBy(*KEY).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    of = {tuple(r[k] for k in KEY): r for r in table}
+    new = max([shards, *(r.home + 1 for r in sums)])  # stands for no old shard, and is no new one
+    placed = place_blocks([(k, k[0] if k[0] >= 0 else new, r.size) for k, r in of.items()], capacities, new + 1)
+    filled, written, lines = [0] * shards, [0] * shards, []
     for k, j in sorted(placed):
-        lines.append((*k, j, filled[j]))
-        filled[j] += counts[k]
-    plan = spark.createDataFrame(lines, "old_shard int, block int, cut int, shard int, base long")
-    rank = Window.partitionBy(*key).orderBy("doc_id", "text_crc32", "size")
-    return (
-        rows.join(F.broadcast(plan), key)
-        .withColumn("slot", F.col("base") + F.row_number().over(rank) - 1)
-        .select("doc_id", "size", "text_crc32", "old_shard", "shard", "slot", (F.col("shard") != F.col("old_shard")).alias("moved"))
-    )
+        lines.append((*k, j, written[j] * PARTS // max(1, total), filled[j]))
+        filled[j] += of[k].n
+        written[j] += of[k].size
+    return cuts, lines
+
+
+def _placed(rows: DataFrame, cuts: list[tuple], lines: list[tuple], order: list) -> DataFrame:
+    """``rows`` with shard and slot; the rows of a part are shuffled to one task, where they lie by slot."""
+    plan = rows.sparkSession.createDataFrame(lines, "home int, block int, cut int, shard int, part int, base long")
+    rank = Window.partitionBy("shard", "part", *KEY).orderBy(*order)
+    rows = _cut(rows, cuts).join(F.broadcast(plan), KEY).repartition("shard", "part")
+    return rows.withColumn("slot", F.col("base") + F.row_number().over(rank) - 1)
+
 
+def reshard(docs: DataFrame, shards: int, old_shards: int = 16, blocks: int = 256, old_shard: Column | str | None = None, capacities: list[int] | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, old_shard, shard, slot, moved for each row: the new layout of ``docs``.
 
-def rewrite(docs: DataFrame, layout: DataFrame, path: str) -> None:
-    """Writes the files of every shard that gains or loses rows, one folder for each shard, rows by slot."""
-    touched = layout.filter("moved").select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
-    rows = docs.join(layout.join(F.broadcast(touched), "shard", "left_semi").select("doc_id", "shard", "slot"), "doc_id")
-    rows.repartition("shard", F.expr("slot div 100000")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
+    ``old_shard`` says where a row lies now (default: a hash of its text over ``old_shards``); ``capacities`` are the
+    bytes of each new shard (default: equal ones).
+    """
+    rows = durable(_rows(docs, old_shards, blocks, old_shard).drop("row"), "reshard-rows")
+    cuts, lines = _plan(rows, shards, capacities)
+    return _placed(rows, cuts, lines, ["doc_id", "text_crc32", "size"]).select("doc_id", "size", "text_crc32", "old_shard", "shard", "slot", (~F.col("shard").eqNullSafe(F.col("old_shard"))).alias("moved"))
+
+
+def rewrite(docs: DataFrame, path: str, shards: int, old_shards: int = 16, blocks: int = 256, old_shard: Column | str | None = None, capacities: list[int] | None = None, every: bool = False) -> list[int]:
+    """Writes the files of every shard that gains or loses rows under ``path``, and returns these shards.
+
+    A shard has a folder, whose files hold runs of slots in order, with all columns of ``docs`` but those of an earlier
+    place (PLACE), and slot and old_shard.  ``path`` must not exist: nothing is overwritten, and the files of other
+    shards stay valid where they are (``read_store`` puts both together).  ``every``: writes other shards too, for
+    ``docs`` that do not lie in shard files yet.
+    """
+    rows = _rows(docs, old_shards, blocks, old_shard)
+    cuts, lines = _plan(durable(rows.drop("row"), "reshard-rows"), shards, capacities)
+    touched = sorted({s for home, _, _, shard, *_ in lines if home != shard for s in (home, shard) if s >= 0})
+    if not every:
+        lines = [x for x in lines if x[3] in touched]
+    placed = _placed(rows, cuts, lines, ["doc_id", "text_crc32", "size", F.xxhash64("row")])
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in PLACE]
+    placed.select(*kept, "slot", "old_shard", "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    return touched
+
+
+def read_store(spark: SparkSession, schema: StructType, path: str, before: str | None = None, touched: list[int] | None = None) -> DataFrame:
+    """The store that ``rewrite`` wrote of documents of this schema; with the untouched shards of the store ``before``."""
+    schema = StructType([f for f in schema.fields if f.name not in PLACE]).add("slot", LongType()).add("old_shard", IntegerType()).add("shard", IntegerType())
+    found = spark.read.schema(schema).parquet(path)
+    if before is None:
+        return found
+    return found.unionByName(spark.read.schema(schema).parquet(before).filter(~F.col("shard").isin(touched or [])))

@@ -67,6 +67,54 @@ def test_reshard_even_under_a_hot_group(spark):
     assert again == {r.doc_id: (r.shard, r.slot) for r in resharding.reshard(docs.repartition(7), 8).collect()}
 
 
+def test_rewrite_keeps_every_row_and_untouched_shards(spark, odd_docs, no_docs, tmp_path):
+    docs = odd_docs.unionByName(odd_docs.filter("doc_id is null or doc_id = 1"))
+    rows = lambda df: Counter(tuple(r) for r in df.select(odd_docs.columns).collect())
+    one, two = f"file://{tmp_path}/one", f"file://{tmp_path}/two"
+    resharding.rewrite(docs, one, 3, 2, 4, every=True)
+    store = resharding.read_store(spark, docs.schema, one)
+    assert rows(store) == rows(docs)
+    got = Counter((r.doc_id, r.text_crc32, r.shard, r.slot) for r in resharding.reshard(docs, 3, 2, 4).collect())
+    assert got == Counter((r.doc_id, zlib.crc32((r.text or "").encode()), r.shard, r.slot) for r in store.collect())
+    size = Counter()
+    for r in store.collect():
+        size[r.shard] += len((r.text or "").encode()) + 8
+    small, _, big = sorted(range(3), key=lambda s: size[s])  # the middle one keeps all it has; the largest moves to a new shard
+    room = [0 if s == big else size[s] for s in range(3)] + [size[big]]
+    touched = resharding.rewrite(store, two, 4, old_shard="shard", capacities=room)
+    assert set(touched) >= {big, 3} and len(touched) < 4
+    assert {int(p.name[6:]) for p in (tmp_path / "two").glob("shard=*")} <= set(touched) - {big}
+    again = resharding.read_store(spark, docs.schema, two, one, touched)
+    assert rows(again) == rows(docs)
+    for s in range(4):
+        assert sorted(r.slot for r in again.filter(f"shard = {s}").collect()) == list(range(again.filter(f"shard = {s}").count()))
+    with pytest.raises(Exception, match="(?i)exist"):
+        resharding.rewrite(store, two, 4, old_shard="shard", capacities=room)
+    assert resharding.rewrite(no_docs, f"file://{tmp_path}/none", 3) == [] and resharding.read_store(spark, no_docs.schema, f"file://{tmp_path}/none").count() == 0
+
+
+def test_rows_without_an_old_shard_and_given_capacities(spark):
+    docs = spark.createDataFrame([(i, f"text {i:04}", None if i < 100 else i % 2) for i in range(1000)], "doc_id long, text string, at int")
+    got = resharding.reshard(docs, 3, old_shard="at", capacities=[9000, 9000, 2000]).collect()
+    size = Counter()
+    for r in got:
+        size[r.shard] += r.size
+        assert r.moved == (r.old_shard is None or r.old_shard != r.shard)
+    assert len(got) == 1000 and size[2] <= 2200 and max(size.values()) <= 9200
+    with pytest.raises(ValueError, match="capacities"):
+        resharding.reshard(docs, 3, old_shard="at", capacities=[10, 10, 10])
+
+
+def test_op10_reads_the_rewritten_files(spark, monkeypatch):
+    written = []
+    saved = resharding.rewrite
+    monkeypatch.setattr(resharding, "rewrite", lambda docs, path, *a, **b: written.append(path) or saved(docs, path, *a, **b))
+    got = queries.op10_resharding(spark, "/root/testdata/sf0.001")
+    assert written and got.inputFiles() and all(written[0].removeprefix("file:").lstrip("/") in f for f in got.inputFiles())
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got.collect()) == sorted((d, len(t.encode()) + 8, zlib.crc32(t.encode())) for d, t in texts(docs))
+
+
 def water_fill(size, weight, cap):
     total, open_, target = sum(size.values()), set(size), {}
     while True:

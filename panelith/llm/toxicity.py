@@ -1,9 +1,11 @@
 """Toxicity: noisy-channel restoring of disguised words, then a score of the restored text.
 
 Channel: a writer may put a digit or sign for a letter (leetspeak), part letters by spaces or signs, and repeat letters.
-A suspicious word (or run of single letters) becomes a lattice of what it may stand for, each way with a channel cost,
+A word (or run of single letters and signs) becomes a lattice of what it may stand for, each way with a channel cost,
 and Viterbi decoding finds the best reading under a character trigram model, whose counts cover the plain words of all
-documents.  Words whose lattice has one way only are left alone, which is what decoding would give.
+documents.  Every word is decoded whose lattice has more than one way: one that holds a sign of LEET, a separator, or a
+letter twice in a row.  A word or run without any letter is a number or punctuation and stays as it is.  A '!' at an edge
+may be an i or punctuation: the word is decoded with it and without it, and the reading of least cost counts.
 
 Score: features of a restored word are the word and its first 4, 5 and 6 bytes (hashed).  Weights are the log odds of a
 feature in toxic against clean documents, from one part of the training sample; the two highest weights among a
@@ -38,9 +40,13 @@ LEAST_DOCS, LEAST_WEIGHT, FEATURES = 5, 2.0, 1 << 16
 
 _SIGNS = re.escape("".join(LEET))
 _LETTER = r"[^\W\d_]"
-_ODD = re.compile(rf"({_LETTER})\1\1|{_LETTER}[{_SIGNS}]|[{_SIGNS}]{_LETTER}|{_LETTER}[.\-_*'~/]{_LETTER}")
-_SPACED = re.compile(rf"(?<![^\W_]){_LETTER}(?: {_LETTER}){{2,}}(?![^\W_])")
+_WAYS = re.compile(rf"({_LETTER})\1|[{_SIGNS}{re.escape(SEPARATORS)}]")
+_HAS_LETTER = re.compile(_LETTER)
+_ONE = rf"(?:{_LETTER}|[{_SIGNS}])"
+_SPACED = re.compile(rf"(?<![^\W_]){_ONE}(?: +{_ONE}){{2,}}(?![^\W_])")
 _EDGE = "\"'()[]{}<>.,;:!?#%&*=-_~/\\^`"
+_EDGE_ONLY = "".join(c for c in _EDGE if c not in LEET)
+FRONT_SIGN = 2.5  # cost of a sign in front of a word that stands for nothing; behind a word it is punctuation, free
 
 # --- character model ------------------------------------------------------------------------------
 
@@ -112,8 +118,8 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def decode(word: str, model: np.ndarray) -> str:
-    """The reading of least cost: channel cost plus the character model's; states are the last two symbols."""
+def reading(word: str, model: list[float]) -> tuple[float, str]:
+    """(cost, text) of the reading of least cost: channel plus character model (flat); states are the last two symbols."""
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for ways in lattice(word.lower()):
         after: dict[tuple[int, int], tuple[float, str]] = {}
@@ -122,24 +128,51 @@ def decode(word: str, model: np.ndarray) -> str:
                 x, y, total = a, b, cost + channel
                 for c in emitted:
                     s = _symbol(c)
-                    total += model[x, y, s]
+                    total += model[(x * SYMBOLS + y) * SYMBOLS + s]
                     x, y = y, s
                 if total < after.get((x, y), (np.inf,))[0]:
                     after[x, y] = (total, text + emitted)
         states = after
-    return min((cost + model[a, b, 0], text) for (a, b), (cost, text) in states.items())[1]
+    return min((cost + model[(a * SYMBOLS + b) * SYMBOLS], text) for (a, b), (cost, text) in states.items())
+
+
+def decode(word: str, model: np.ndarray) -> str:
+    return reading(word, model.ravel().tolist())[1]
 
 
 class Restorer:
     """Restores texts; keeps the readings of recent words."""
 
     def __init__(self, model: np.ndarray) -> None:
-        self.model, self.known = model, {}
+        self.model, self.known, self.readings = model.ravel().tolist(), {}, {}
+
+    def reading(self, core: str) -> tuple[float, str]:
+        found = self.readings.get(core)
+        if found is None:
+            found = reading(core, self.model)
+            if len(self.readings) > 200_000:
+                self.readings.clear()
+            if len(core) <= 64:
+                self.readings[core] = found
+        return found
+
+    def decoded(self, word: str) -> str:
+        """The word as read, or itself where there is one way to read it."""
+        core = word.strip(_EDGE_ONLY + " ")
+        bare = core.strip(_EDGE + " ")
+        if not _HAS_LETTER.search(bare):
+            return word
+        if bare == core:
+            return self.reading(core)[1] if _WAYS.search(core.lower()) else word
+        front, behind = core[: core.index(bare)], core[core.index(bare) + len(bare) :]
+        forms = [(FRONT_SIGN * (a != front), a + bare + b) for a in {"", front} for b in {"", behind}]
+        best = min((cost + self.reading(form)[0], form) for cost, form in forms)[1]
+        return self.reading(best)[1] if _WAYS.search(best.lower()) else word
 
     def word(self, word: str) -> str:
         found = self.known.get(word)
         if found is None:
-            found = decode(word, self.model)
+            found = self.decoded(word)
             if len(self.known) > 200_000:
                 self.known.clear()
             if len(word) <= 64:
@@ -147,16 +180,11 @@ class Restorer:
         return found
 
     def text(self, text: str) -> str:
-        text = _SPACED.sub(lambda m: self.word(m[0]), text)
-        words = text.split(" ")
-        changed = False
-        for k, w in enumerate(words):
-            if _ODD.search(w):
-                core = w.strip(_EDGE)
-                if _ODD.search(core):
-                    words[k] = " ".join(self.word(c) if _ODD.search(c) else c for c in core.split("\n"))
-                    changed = True
-        return " ".join(words) if changed else text
+        spread = _SPACED.sub(lambda m: self.word(m[0]), text)
+        words = spread.split()
+        get, word = self.known.get, self.word
+        read = [get(w) or word(w) for w in words]
+        return " ".join(read) if read != words else spread
 
     def column(self, column: pa.Array) -> pa.Array:
         """All texts restored; only those that hold something suspicious are touched."""
@@ -181,11 +209,10 @@ def suspicious(column: pa.Array) -> np.ndarray:
     out = np.zeros(len(offsets) - 1, bool)
     for a in range(0, len(data), 1 << 20):
         d = _LOWER[data[a : a + (1 << 20) + 3]]
-        letter, sign, space = _IS_LETTER[d], _IS_SIGN[d], d == 32
-        hit = np.zeros(len(d), bool)
-        hit[:-1] |= letter[:-1] & sign[1:] | sign[:-1] & letter[1:]
-        hit[:-2] |= letter[:-2] & (d[:-2] == d[1:-1]) & (d[1:-1] == d[2:])
-        hit[:-3] |= space[:-3] & letter[1:-2] & space[2:-1] & letter[3:]
+        letter, space = _IS_LETTER[d], d == 32
+        hit = _IS_SIGN[d] | (d > 127)
+        hit[:-1] |= letter[:-1] & (d[:-1] == d[1:])
+        hit[:-2] |= space[:-2] & letter[1:-1] & space[2:]
         at = np.flatnonzero(hit) + a
         out[np.clip(np.searchsorted(offsets, at, "right") - 1, 0, len(out) - 1)] = True
     return out

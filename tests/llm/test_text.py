@@ -226,6 +226,18 @@ def test_viterbi_decoding(spark):
     assert r.text("you i d i o t") == "you idiot" and r.text("plain words, nothing else!") == "plain words, nothing else!"
 
 
+@pytest.mark.parametrize("word", ["idiiot", "iddiot", "!diot", "!d!ot", "(!diot)", "idiot!)", "i d 1 o t", "1 d i o t", "i  d  i  o  t", "! d 1 o t", "i d i o t !", "i.-d_1..o*t"])
+def test_every_disguise_of_the_lattice_is_decoded(spark, word):
+    text = "the idiot moron loser trash stupid worthless clown and some other plain words of the text " * 20
+    r = toxicity.Restorer(toxicity.language_model(spark.createDataFrame([(text,)], "text string")))
+    for before in ("", "plain words ", "of the "):
+        assert re.findall("[a-z]+", r.text(before + word)) == [*before.split(), "idiot"]
+        assert toxicity.suspicious(pa.array([before + word])).all()
+    assert r.text("morron m 0 r 0 n") == "moron moron"
+    for plain in ("in 1984 or 3.14, 1 2 3", "loser! the text!", "the other words"):
+        assert r.text(plain) == plain
+
+
 # --- language model ---
 
 

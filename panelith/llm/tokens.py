@@ -6,8 +6,9 @@ and ``seq`` name a block.  A block holds its documents' ids and lengths (little-
 ``codes``, the compressed sequence.  ``ends`` has, for each document, where its codes end: no rule spans two documents,
 so a document, or a run of ids within it, is decoded alone (``decode_range``).
 
-Re-Pair: each round counts all adjacent pairs among the block's most frequent symbols, makes rules of the most frequent
-pairs and replaces them from left to right; rounds go on until one saves under 1 %.
+Re-Pair: each round counts all adjacent pairs of the block exactly, makes rules of the most frequent ones (RULES at most,
+those left over wait for the next round) and replaces them from left to right; rounds go on until no pair occurs LEAST
+times.  Pairs with a symbol that occurs less often than that cannot, and are passed over.
 
 Encoding: the tokenizer drops white space and its pieces never cross it, so a text's ids are those of its words in turn.
 Of each run of rows (STEP_BYTES) the distinct words, told apart by 64-bit hashes, are encoded once, JOINED at a time,
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import _LOWER, hash_spans, pieces, ship, small, utf8, word_bounds
 
 END_ID, BLOCK_IDS, STEP_BYTES, JOINED = 2, 1 << 20, 12 << 20, 512
-FIRST_RULE, ALPHABET, RULES, LEAST, ROUNDS = 1 << 17, 512, 1024, 24, 12
+FIRST_RULE, RULES, LEAST, PAIR_BITS = 1 << 17, 1024, 24, 19
 
 BLOCK_SCHEMA = "part int, seq int, first_doc_id long, n_ids long, doc_ids binary, lens binary, left binary, right binary, sizes binary, levels binary, codes binary, ends binary"
 _ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("first_doc_id", pa.int64()), ("n_ids", pa.int64())] + [(c, pa.binary()) for c in ("doc_ids", "lens", "left", "right", "sizes", "levels", "codes", "ends")])
@@ -40,53 +41,66 @@ _ARROW = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("first_doc_id",
 # --- grammar --------------------------------------------------------------------------------------
 
 
+def frequent_pairs(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values that occur LEAST times, how often each does, and for each place the number of its value (-1: none of them).
+
+    Exact: values are counted in 2^PAIR_BITS buckets; those that share a bucket are told apart by sorting.
+    """
+    bucket = (pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_BITS)).astype(np.int32)
+    count = np.bincount(bucket, minlength=1 << PAIR_BITS)
+    value = np.zeros(1 << PAIR_BITS, np.int64)
+    value[bucket] = pair
+    often = count >= LEAST
+    shared = np.zeros(1 << PAIR_BITS, bool)
+    shared[bucket[value[bucket] != pair]] = True
+    alone = np.flatnonzero(often & ~shared)
+    mixed = np.flatnonzero((often & shared)[bucket])
+    values, inverse, counts = np.unique(pair[mixed], return_inverse=True, return_counts=True)
+    more = np.flatnonzero(counts >= LEAST)
+    number = np.full(1 << PAIR_BITS, -1, np.int32)
+    number[alone] = np.arange(len(alone), dtype=np.int32)
+    number = number[bucket]
+    of_more = np.full(len(values), -1, np.int32)
+    of_more[more] = np.arange(len(more), dtype=np.int32) + len(alone)
+    number[mixed] = of_more[inverse]
+    return np.concatenate([value[alone], values[more]]), np.concatenate([count[alone], counts[more]]), number
+
+
 def repair(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(codes, left, right, levels) of a sequence of ids below FIRST_RULE; END_ID never enters a rule."""
     seq = ids.astype(np.int32)
     left, right, levels = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], []
     top = FIRST_RULE
-    for _ in range(ROUNDS):
-        count = np.bincount(seq)
-        count[END_ID : END_ID + 1] = 0
-        often = np.flatnonzero(count >= LEAST)
-        if len(often) > ALPHABET:
-            often = often[np.argpartition(-count[often], ALPHABET)[:ALPHABET]]
-        often.sort()
-        n = len(often)
-        if not n or len(seq) < 2:
-            break
-        rank = np.full(len(count), n, np.int32)
-        rank[often] = np.arange(n, dtype=np.int32)
-        r = rank[seq]
-        pair = r[:-1] * np.int32(n + 1) + r[1:]
-        found = np.bincount(pair, minlength=(n + 1) * (n + 1))[: (n + 1) * (n + 1)].reshape(n + 1, n + 1)
-        found[n], found[:, n] = 0, 0
-        found = found.ravel()
-        best = np.flatnonzero(found >= LEAST)
+    while len(seq) > 1:
+        often = np.bincount(seq) >= LEAST
+        often[END_ID : END_ID + 1] = False
+        ok = often[seq]
+        both = np.flatnonzero(ok[:-1] & ok[1:])
+        pairs, found, number = frequent_pairs(seq[both].astype(np.int64) << 32 | seq[both + 1])
+        best = np.arange(len(pairs))
         if len(best) > RULES:
-            best = best[np.argpartition(-found[best], RULES)[:RULES]]
+            best = np.argpartition(-found, RULES)[:RULES]
         if not len(best):
             break
-        best.sort()
-        rule = np.full(len(found), -1, np.int32)
+        rule = np.full(len(pairs) + 1, -1, np.int32)
         rule[best] = np.arange(len(best), dtype=np.int32)
-        made = rule[pair]
-        at = np.flatnonzero(made >= 0)
+        made = rule[number]
+        some = np.flatnonzero(made >= 0)
+        at, made = both[some], made[some]
         fresh = np.ones(len(at), bool)
         fresh[1:] = np.diff(at) > 1
         begin = np.maximum.accumulate(np.where(fresh, at, 0))
-        at = at[(at - begin) & 1 == 0]
-        left.append(often[best // (n + 1)].astype(np.int32))
-        right.append(often[best % (n + 1)].astype(np.int32))
+        take = (at - begin) & 1 == 0
+        at = at[take]
+        left.append((pairs[best] >> 32).astype(np.int32))
+        right.append((pairs[best] & 0xFFFFFFFF).astype(np.int32))
         levels.append(top)
         before = len(seq)
-        seq[at] = top + made[at]
+        seq[at] = top + made[take]
         stay = np.ones(before, bool)
         stay[at + 1] = False
         seq = seq[stay]
         top += len(best)
-        if len(at) < 0.01 * before:
-            break
     return seq, np.concatenate(left), np.concatenate(right), np.asarray(levels, np.int32)
 
 

@@ -172,6 +172,29 @@ def test_repair_round_trip_and_ranges():
         assert tokens.expand(c, a, b, lv).tolist() == few and len(tokens.expansion_sizes(a, b, lv)) == 0
 
 
+def test_repair_leaves_no_frequent_pair_without_a_rule():
+    rng = np.random.default_rng(3)
+    common = np.repeat(np.arange(3, 703), 200)
+    rng.shuffle(common)
+    rare = np.concatenate([np.concatenate([np.arange(5000, 5040), [2]]) for _ in range(100)])  # outside the 512 most frequent
+    ids = np.concatenate([common, rare, np.full(3000, 9)]).astype(np.int32)
+    codes, left, right, levels = tokens.repair(ids)
+    assert (tokens.expand(codes, left, right, levels) == ids).all()
+    assert (codes[np.flatnonzero(codes == 2)[1:] - 1] >= tokens.FIRST_RULE).all() and np.diff(np.flatnonzero(codes == 2)).max() == 2
+    pairs = Counter(p for p in zip(codes[:-1].tolist(), codes[1:].tolist(), strict=True) if 2 not in p)
+    assert all(n < tokens.LEAST for (a, b), n in pairs.items() if a != b)
+
+
+def test_frequent_pairs_are_exact(monkeypatch):
+    pair = np.random.default_rng(5).zipf(1.3, 20_000).clip(max=1 << 40).astype(np.int64)
+    want = {p: n for p, n in Counter(pair.tolist()).items() if n >= tokens.LEAST}
+    for bits in (1, 5, 19):
+        monkeypatch.setattr(tokens, "PAIR_BITS", bits)
+        values, found, number = tokens.frequent_pairs(pair)
+        assert dict(zip(values.tolist(), found.tolist(), strict=True)) == want and len(values) == len(want)
+        assert all((n < 0 and p not in want) or values[n] == p for p, n in zip(pair.tolist(), number.tolist(), strict=True))
+
+
 def test_token_files(spark, odd_docs, no_docs, tmp_path):
     from tokenizers import Tokenizer
 

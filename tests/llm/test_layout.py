@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelith.llm import exact_dedup, mixing, queries, resharding, tokens
@@ -190,9 +191,23 @@ def test_frequent_pairs_are_exact(monkeypatch):
     want = {p: n for p, n in Counter(pair.tolist()).items() if n >= tokens.LEAST}
     for bits in (1, 5, 19):
         monkeypatch.setattr(tokens, "PAIR_BITS", bits)
-        values, found, number = tokens.frequent_pairs(pair)
+        values, found, place, number = tokens.frequent_pairs(pair)
         assert dict(zip(values.tolist(), found.tolist(), strict=True)) == want and len(values) == len(want)
-        assert all((n < 0 and p not in want) or values[n] == p for p, n in zip(pair.tolist(), number.tolist(), strict=True))
+        of = dict(zip(place.tolist(), number.tolist(), strict=True))
+        assert all((of.get(k, -1) < 0 and p not in want) or values[of[k]] == p for k, p in enumerate(pair.tolist()))
+
+
+def test_encoding_by_words_equals_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    model, rng = Tokenizer.from_file(path), np.random.default_rng(2)
+    parts = ["Don't", "it's...", "'s", "x'", "ab,c.", "İstanbul", "e\u0301t", "ﬁne", "12a", "汉字", "end?!", "&&&", "a\u00a0b", "\u2028", "\n", " ", "", "<", "|>", "ǅ", "we'LL.", "=\u0338", "a=\u0338", "x\x00y"]
+    rows = [" ".join(rng.choice(parts, rng.integers(0, 12)).tolist()) for _ in range(400)] + [None, ""]
+    for some in (rows, [*rows, "a<|endoftext|>. <|STARTOFTEXT|>", "<|startoftext|>,"]):
+        ids, lens = tokens.encode_column(pa.array(some), path)
+        want = [e.ids for e in model.encode_batch([r or "" for r in some], add_special_tokens=False)]
+        assert lens.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
 def test_token_files(spark, odd_docs, no_docs, tmp_path):
@@ -202,7 +217,7 @@ def test_token_files(spark, odd_docs, no_docs, tmp_path):
     model = Tokenizer.from_file(path)
     tokens.write_tokens(odd_docs, f"file://{tmp_path}/t", path, block_ids=2000)
     got = tokens.document_digests(spark, f"file://{tmp_path}/t").orderBy("start").collect()
-    want = sorted(((-(1 << 63) if d is None else d), t) for d, t in texts(odd_docs))
+    want = sorted(texts(odd_docs), key=lambda x: (x[0] is not None, x[0], x[1]))
     at = 0
     for r, (d, t) in zip(got, want, strict=True):
         ids = np.array(model.encode(t, add_special_tokens=False).ids + [2], "<u4")
@@ -212,5 +227,10 @@ def test_token_files(spark, odd_docs, no_docs, tmp_path):
     whole, k = block.ids(), int(np.argmax(block.lens))
     a = int(block.lens[:k].sum())
     assert (block.decode_range(k, 100, 900) == whole[a + 100 : a + 900]).all() and (block.decode_range(k, 0, int(block.lens[k])) == whole[a : a + block.lens[k]]).all()
+    other = queries.tokenizer_path("byte_bpe_50k.json")  # keeps white space and case: whole texts are encoded
+    tokens.write_tokens(odd_docs, f"file://{tmp_path}/o", other)
+    model = Tokenizer.from_file(other)
+    for r, (d, t) in zip(tokens.document_digests(spark, f"file://{tmp_path}/o").orderBy("start").collect(), want, strict=True):
+        assert (r.doc_id, r.ids_crc32) == (d, zlib.crc32(np.array([*model.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()))
     tokens.write_tokens(no_docs, f"file://{tmp_path}/e", path)
     assert tokens.document_digests(spark, f"file://{tmp_path}/e").count() == 0

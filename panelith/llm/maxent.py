@@ -1,24 +1,29 @@
 """Language-model scoring by a hashed maximum-entropy model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class).  The class softmax has hashed features of the history: the word
-before, the two words before, and the skips two and three words back; rare history words stand for their class.  The
-most frequent words have classes of their own, the others share classes by a hash of their last bytes.  Inside a class
-words have add-one frequencies, with one more place for unknown words, so the whole is a proper distribution.
-
-Words are numbered once: texts become chunks of up to CHUNK_BYTES, each with its own dictionary.  Dictionaries,
-not tokens, are shuffled to sum the counts over all training documents, and the sums return to each chunk.  Chunks and
-sums lie in buckets, so they meet without a shuffle.  Training
-runs in ROUNDS; in a round each task updates its copy of the weights over its share of the minibatches (AdaGrad) and
-the copies are averaged by tokens in slices.  Each training token takes part in one update.  Scoring is numpy by minibatch.
-
-Defined cases: null text is empty; an empty text is one end token; without training documents all words are unknown;
-repeated rows count and are scored each for itself; an empty table gives an empty result; further columns are ignored.
-Words are 64-bit hashes.
+Words lie at the leaves of a tree of classes in which each node has FAN children; a word's first two classes follow
+from its last bytes, the further ones from its hash.  P(word | history) is the product of a softmax at each node on the
+word's path, times the word's add-one share of its leaf, where unknown words have one more place; so the whole is a
+proper distribution.  Each softmax has hashed features of the history (the word before, the two words before, the
+skips two and three words back) joined with the node, so n-gram evidence reaches down to the leaf.  Rare history words
+stand for their last bytes.  The tree gets deeper with the vocabulary (LEAF_WORDS words to a leaf) and the tables
+longer with the training tokens (TOKENS_A_ROW); DEPTH and MOST_ROWS bound what a task must hold.
+
+Words are numbered once: texts become chunks of up to CHUNK_BYTES, each with its own dictionary.  Dictionaries, not
+tokens, are shuffled to sum the counts over all training documents, and the sums return to their chunk once.  Training
+runs in ROUNDS; in a round each task updates its copy of the weights over its share of the minibatches (AdaGrad), and
+the rows that changed are averaged in slices, each by how often the copies used it.  Each training token takes part in
+one update.  Scoring is numpy by minibatch.
+
+Counts, and with them all columns but ``score``, do not depend on how rows lie in tasks; ``score`` does, as copies are
+trained apart: the same rows in other partitions give slightly other weights.
+
+Defined cases: null text is empty; an empty text is one end token; a null doc_id stays null and is trained on; without
+training documents all words are unknown; repeated rows count and are scored each for itself; an empty table gives an
+empty result; further columns are ignored.  Words are 64-bit hashes.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,16 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _LOWER, durable, hash_spans, mix64, pieces, shared_dir, ship, utf8, word_bounds
+from .common import _LOWER, by_bytes, durable, hash_spans, mix64, pieces, ship, utf8, word_bounds
 
-CLASSES, TOP = 64, 15  # class 0: end; 1 to TOP: the most frequent words; the rest by shape
-SHAPES = CLASSES - TOP - 1
-FEATURES = (4096, 8192, 4096, 2048)
-ROWS = sum(FEATURES)
-CHUNK_BYTES, BATCH, ROUNDS, RATE, OFTEN, SLICES, FOLDS, FOLD = 20 << 20, 16_384, 2, 0.25, 100, 16, 7, 2
+FAN, DEPTH, LEAF_WORDS = 16, 4, 2048
+SHAPES = (FAN - 1) * FAN  # first two classes; a first class of 0 is the end token's own
+TOKENS_A_ROW, LEAST_ROWS, MOST_ROWS = 1024, 12, 17  # the last two are powers of two
+CHUNK_BYTES, BATCH, ROUNDS, RATE, OFTEN, SLICES, FOLDS, FOLD = 4 << 20, 32_768, 2, 0.2, 200, 16, 7, 2
 END = 1  # the end token's "hash"
 
-_CHUNK = "chunk long, doc_ids binary, held binary, lens binary, ids binary, words binary, shapes binary, counts binary"
+_CHUNK = "chunk long, doc_ids binary, nulls binary, held binary, lens binary, ids binary, words binary, shapes binary, counts binary"
 
 
 def held_out() -> Column:
@@ -57,7 +61,7 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(shapes), np.searchsorted(np.concatenate(firsts), offsets).astype(np.int64)
 
 
-def _chunk(number: int, doc_ids: np.ndarray, held: np.ndarray, column: pa.Array) -> pa.RecordBatch:
+def _chunk(number: int, doc_ids: pa.Array, held: np.ndarray, column: pa.Array) -> pa.RecordBatch:
     h, shape, at = tokens(column)
     n = len(doc_ids)
     lens = np.diff(at) + 1
@@ -69,7 +73,7 @@ def _chunk(number: int, doc_ids: np.ndarray, held: np.ndarray, column: pa.Array)
     ids[inside] = inverse + 1
     train = np.repeat(~held, lens)
     counts = np.bincount(ids[train], minlength=len(words) + 1)
-    row = {"doc_ids": doc_ids.astype("<i8"), "held": held.astype(np.uint8), "lens": lens.astype("<i4"), "ids": ids.astype("<i4"), "words": np.concatenate([np.array([END], np.uint64), words]), "shapes": np.concatenate([np.zeros(1, np.uint8), shape[first]]), "counts": counts.astype("<i4")}
+    row = {"doc_ids": doc_ids.fill_null(0).to_numpy().astype("<i8"), "nulls": doc_ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8), "held": held.astype(np.uint8), "lens": lens.astype("<i4"), "ids": ids.astype("<i4"), "words": np.concatenate([np.array([END], np.uint64), words]), "shapes": np.concatenate([np.zeros(1, np.uint8), shape[first]]), "counts": counts.astype("<i4")}
     return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([v.tobytes()], pa.binary()) for v in row.values())], names=["chunk", *row])
 
 
@@ -79,182 +83,216 @@ def chunks(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        limit = CHUNK_BYTES
-        for batch in batches:
-            column = batch.column(2)
-            _, offsets = utf8(column)
-            a = 0
-            while a < batch.num_rows:
-                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, "right")) - 1)
-                yield _chunk((part << 32) + seq, batch.column(0)[a:b].to_numpy(zero_copy_only=False), batch.column(1)[a:b].to_numpy(zero_copy_only=False).astype(bool), column[a:b])
-                a, seq = b, seq + 1
+        held: list[pa.RecordBatch] = []
+        size = 0
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held"), "text")
-    rows = rows.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), F.coalesce("held", F.lit(False)).alias("held"), "text")
-    return _bucketed(rows.mapInArrow(work, _CHUNK), "lm_chunks")
+        def chunk() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held.clear()
+            return _chunk((part << 32) + seq, rows.column(0), rows.column(1).to_numpy(zero_copy_only=False).astype(bool), rows.column(2))
 
+        for batch in by_bytes(batches, 2, CHUNK_BYTES):
+            n = int(utf8(batch.column(2))[1][-1])
+            if held and size + n > CHUNK_BYTES:
+                yield chunk()
+                seq, size = seq + 1, 0
+            held.append(batch)
+            size += n
+        if held:
+            yield chunk()
 
-def _bucketed(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder in buckets by chunk, so that tables joined by chunk are not shuffled."""
-    spark = df.sparkSession
-    name = f"{name}_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.option("path", f"{shared_dir(spark)}/{name}").bucketBy(buckets, "chunk").saveAsTable(name)
-    return spark.table(name)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(), F.lit(False)).alias("held"), "text")
+    return durable(rows.mapInArrow(work, _CHUNK), "lm-chunks")
 
 
-class Model:
-    """What tasks need besides the weights: totals, class sizes and classes of the most frequent words."""
+def leaves(words: np.ndarray, shapes: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """The leaf of each word of a chunk's dictionary, whose first entry is the end token (leaf 0)."""
+    deep = (mix64(words * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)).view(np.int64) % FAN ** (DEPTH - 2)
+    out = (shapes.astype(np.int64) + FAN) * FAN ** (DEPTH - 2) + deep
+    out[0] = 0
+    return out // FAN ** (DEPTH - depth)
 
-    def __init__(self, train_tokens: int, vocabulary: int, ends: int, top: list[tuple[int, int]], shape_words: np.ndarray, shape_tokens: np.ndarray) -> None:
-        self.n, self.v = train_tokens, vocabulary
-        self.top_words = np.asarray([w for w, _ in top], np.uint64)
-        self.class_tokens = np.concatenate([[ends], [c for _, c in top], np.zeros(TOP - len(top)), shape_tokens]).astype(float)
-        self.class_words = np.concatenate([np.ones(TOP + 1), shape_words]).astype(float)
-        self.bias = np.log((self.class_tokens + 1) / (self.class_tokens.sum() + CLASSES)).astype(np.float32)
+
+class Model:
+    """What tasks need besides the weights: totals, and words and tokens of each leaf."""
+
+    def __init__(self, leaf_words: np.ndarray, leaf_tokens: np.ndarray) -> None:
+        self.n, self.v = int(leaf_tokens.sum()), int(leaf_words.sum())
+        self.depth = next((d for d in range(1, DEPTH) if FAN**d * LEAF_WORDS >= self.v), DEPTH)
+        merge = lambda x, d: x.reshape(FAN**d, -1).sum(1).astype(float)
+        self.words, self.tokens = merge(leaf_words, self.depth), merge(leaf_tokens, self.depth)
+        self.bits = int(np.clip(np.log2(max(1, self.n / TOKENS_A_ROW)), LEAST_ROWS, MOST_ROWS))
+        self.bias = []
+        for d in range(1, self.depth + 1):
+            t = merge(leaf_tokens, d).reshape(-1, FAN)
+            self.bias.append(np.log((t + 1) / (t.sum(1, keepdims=True) + FAN)).astype(np.float32))
+
+    @property
+    def shape(self) -> tuple[int, int, int]:
+        return self.depth, 1 << self.bits, FAN
 
     def dictionary(self, words: np.ndarray, shapes: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Class, history code and log10 P(word | class) of each word of a chunk."""
-        kind = shapes.astype(np.int64) + TOP + 1
-        kind[0] = 0
-        for k, w in enumerate(self.top_words.tolist(), 1):
-            at = np.searchsorted(words[1:], np.uint64(w)) + 1
-            if at < len(words) and words[at] == w:
-                kind[at] = k
-        code = np.where(totals >= OFTEN, words, kind.astype(np.uint64) + np.uint64(2))
-        inside = np.log10((totals + 1) / (self.class_tokens[kind] + self.class_words[kind] + 1))
-        inside[kind <= TOP] = 0.0
-        return kind, code, inside
-
-
-def features(codes: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """Weight rows of the hashed history features of each token; histories do not cross documents."""
-    n = len(codes)
-    place = np.arange(n) - np.repeat(np.cumsum(lens) - lens, lens)
-    back = []
+        """Leaf, history code and log10 P(word | leaf) of each word of a chunk."""
+        leaf = leaves(words, shapes, self.depth)
+        code = np.where(totals >= OFTEN, words, shapes.astype(np.uint64) + np.uint64(2))
+        code[0] = END
+        inside = np.log10((totals + 1) / (self.tokens[leaf] + self.words[leaf] + 1))
+        inside[0] = 0.0
+        return leaf, code, inside
+
+
+def histories(codes: np.ndarray, place: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Hashes of the history features of tokens a to b; ``place`` is a token's number in its document, which no history crosses."""
+    back, own = [], place[a:b]
     for k in (1, 2, 3):
-        c = np.zeros(n, np.uint64)
-        c[k:] = codes[:-k] if n > k else codes[:0]
-        c[place < k] = k
+        c = np.zeros(b - a, np.uint64)
+        first = max(0, k - a)
+        c[first:] = codes[a + first - k : b - k] if b > k else codes[:0]
+        c[own < k] = k
         back.append(mix64(c * np.uint64(0x9E3779B97F4A7C15)))
     one, two, three = back
-    hashed = (one, mix64(one * np.uint64(3) + two), mix64(two + np.uint64(17)), mix64(three + np.uint64(23)))
-    out, base = np.empty((n, 4), np.int32), 0
-    for k, (h, size) in enumerate(zip(hashed, FEATURES, strict=True)):
-        out[:, k] = (h % np.uint64(size)).astype(np.int32) + base
-        base += size
-    return out
+    return np.stack([one, mix64(one * np.uint64(3) + two), mix64(two + np.uint64(17)), mix64(three + np.uint64(23))])
 
 
-def _logits(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    z = weights[f[:, 0]]
-    for k in (1, 2, 3):
-        z += weights[f[:, k]]
-    z += bias
+def _rows(history: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
+    """Weight rows (feature, token) of the histories at a node."""
+    h = history + node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return (h * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(64 - bits)).view(np.int64)
+
+
+def _log_softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
+    z = weights[rows[0]]
+    for k in range(1, len(rows)):
+        z += weights[rows[k]]
+    z += bias[node]
     z -= z.max(1, keepdims=True)
+    z -= np.log(np.exp(z).sum(1, keepdims=True))
     return z
 
 
-def update(weights: np.ndarray, squares: np.ndarray, bias: np.ndarray, f: np.ndarray, y: np.ndarray, rate: float = RATE) -> None:
-    """One AdaGrad step on a minibatch; only the rows of its features change."""
-    p = np.exp(_logits(weights, bias, f))
-    p /= p.sum(1, keepdims=True)
-    p[np.arange(len(y)), y] -= 1
-    flat = f.T.ravel()
-    order = np.argsort(flat, kind="stable")
-    rows = flat[order]
-    first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    g = np.add.reduceat(p[order % len(y)], first, axis=0)
-    rows = rows[first]
-    squares[rows] += g * g
-    weights[rows] -= rate * g / np.sqrt(squares[rows] + 1)
+def _levels(history: np.ndarray, leaf: np.ndarray, model: Model) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(level, tokens that pass it, their weight rows, node and child) down the tree; the end token has one level."""
+    some = np.arange(len(leaf))
+    for d in range(model.depth):
+        if d == 1:
+            some = np.flatnonzero(leaf >= FAN ** (model.depth - 1))
+        own = leaf[some] // FAN ** (model.depth - 1 - d)
+        node = own // FAN
+        yield d, some, _rows(history[:, some] if d else history, node, model.bits), node, own % FAN
+
+
+def update(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, model: Model, history: np.ndarray, leaf: np.ndarray, rate: float = RATE) -> None:
+    """One AdaGrad step on a minibatch at every level; only the rows of its features change."""
+    for d, _, rows, node, y in _levels(history, leaf, model):
+        if not len(y):
+            continue
+        p = np.exp(_log_softmax(weights[d], model.bias[d], rows, node))
+        p[np.arange(len(y)), y] -= 1
+        flat = rows.ravel()
+        times = np.bincount(flat, minlength=weights.shape[1])
+        touched = np.flatnonzero(times)
+        of = np.empty(weights.shape[1], np.int64)
+        of[touched] = np.arange(len(touched))
+        flat = of[flat]
+        g = np.empty((FAN, len(touched)), np.float32)
+        for own, total in zip(np.tile(p.T.astype(np.float64), len(rows)), g, strict=True):
+            total[:] = np.bincount(flat, own, len(touched))
+        g = np.ascontiguousarray(g.T)
+        used[d, touched] += times[touched]
+        s = squares[d, touched] + g * g
+        squares[d, touched] = s
+        weights[d, touched] -= rate * g / np.sqrt(s + 1)
+
+
+def log_shares(weights: np.ndarray, model: Model, history: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """log10 P(leaf | history) of each token."""
+    out = np.zeros(len(leaf))
+    for d, some, rows, node, y in _levels(history, leaf, model):
+        out[some] += _log_softmax(weights[d], model.bias[d], rows, node)[np.arange(len(y)), y]
+    return out / np.log(10)
 
 
 def _read(batch: pa.RecordBatch) -> Iterator[dict]:
-    kinds = {"doc_ids": "<i8", "held": np.uint8, "lens": "<i4", "ids": "<i4", "words": np.uint64, "shapes": np.uint8, "totals": "<i8", "ones": np.uint8}
+    kinds = {"doc_ids": "<i8", "nulls": np.uint8, "held": np.uint8, "lens": "<i4", "ids": "<i4", "words": np.uint64, "shapes": np.uint8, "totals": "<i8", "ones": np.uint8}
     for k in range(batch.num_rows):
         yield {c: np.frombuffer(batch.column(c)[k].as_buffer(), t) for c, t in kinds.items() if c in batch.schema.names}
 
 
-def _minibatches(row: dict, model: Model, train: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    kind, code, inside = model.dictionary(row["words"], row["shapes"], row["totals"])
-    f = features(code[row["ids"]], row["lens"].astype(np.int64))
-    y = kind[row["ids"]]
+def _tokens_of(row: dict, model: Model, train: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Leaf, history code and place of a chunk's tokens (train: those of training documents), and log10 P(word | leaf) of its words."""
+    leaf, code, inside = model.dictionary(row["words"], row["shapes"], row["totals"])
+    ids, lens = row["ids"], row["lens"].astype(np.int64)
     if train:
-        keep = np.repeat(row["held"] == 0, row["lens"])
-        return f[keep], y[keep], inside
-    return f, y, inside
+        keep = row["held"] == 0
+        ids, lens = ids[np.repeat(keep, lens)], lens[keep]
+    place = np.arange(len(ids), dtype=np.int32) - np.repeat((np.cumsum(lens) - lens).astype(np.int32), lens)
+    return leaf.astype(np.int32)[ids], code[ids], place, inside
 
 
 def _model(rows: DataFrame) -> Model:
-    """Sizes, classes and most frequent words of the vocabulary; each word counts where its entry stands for it."""
+    """Words and tokens of the leaves of the deepest tree; each word counts where its entry stands for it."""
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n_words, n_tokens, best = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64), []
+        n_words, n_tokens = np.zeros(FAN**DEPTH, np.int64), np.zeros(FAN**DEPTH, np.int64)
         for batch in batches:
             for row in _read(batch):
                 own = (row["ones"] > 0) & (row["totals"] > 0)
-                if own[:1].any():
-                    best.append((END, -1, int(row["totals"][0])))
-                own[:1] = False
-                word, shape, total = row["words"][own], row["shapes"][own].astype(np.int64), row["totals"][own]
-                n_words += np.bincount(shape, minlength=SHAPES)
-                n_tokens += np.bincount(shape, total, SHAPES).astype(np.int64)
-                for k in np.lexsort((word, -total))[:TOP]:
-                    best.append((int(word[k : k + 1].view(np.int64)[0]), int(shape[k]), int(total[k])))
-        kinds = [("shape", 0, k, int(n_words[k]), int(n_tokens[k])) for k in range(SHAPES) if n_words[k]] + [("end" if s < 0 else "word", w, s, 1, t) for w, s, t in best]
-        if kinds:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*kinds, strict=True), (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["kind", "word", "shape", "words", "tokens"])
-
-    found = durable(rows.select("words", "shapes", "totals", "ones").mapInArrow(sizes, "kind string, word long, shape int, words long, tokens long"), "lm-sizes")
-    shape_words, shape_tokens = np.zeros(SHAPES), np.zeros(SHAPES)
-    for r in found.filter("kind = 'shape'").groupBy("shape").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).collect():  # SHAPES rows
-        shape_words[r["shape"]], shape_tokens[r["shape"]] = r.words, r.tokens
-    ends = found.filter("kind = 'end'").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first().n
-    top = [(r.word, r.tokens, r["shape"]) for r in found.filter("kind = 'word'").orderBy(F.desc("tokens"), "word").limit(TOP).collect()]
-    n, v = int(shape_tokens.sum()) + ends, int(shape_words.sum()) + (ends > 0)
-    for _, total, shape in top:
-        shape_words[shape] -= 1
-        shape_tokens[shape] -= total
-    return Model(n, v, ends, [(w & (1 << 64) - 1, c) for w, c, _ in top], shape_words, shape_tokens)
+                leaf = leaves(row["words"], row["shapes"])[own]
+                n_words += np.bincount(leaf, minlength=len(n_words))
+                n_tokens += np.bincount(leaf, row["totals"][own], len(n_words)).astype(np.int64)
+        some = np.flatnonzero(n_words)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n_words[some]), pa.array(n_tokens[some])], names=["leaf", "words", "tokens"])
+
+    found = rows.select("words", "shapes", "totals", "ones").mapInArrow(sizes, "leaf int, words long, tokens long").groupBy("leaf").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).toPandas()  # at most FAN ** DEPTH rows
+    words, tokens_ = np.zeros(FAN**DEPTH, np.int64), np.zeros(FAN**DEPTH, np.int64)
+    words[found["leaf"]], tokens_[found["leaf"]] = found["words"], found["tokens"]
+    return Model(words, tokens_)
 
 
 def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights after ``rounds`` of updates in the tasks and averaging in slices."""
+    """Weights (level, row, child) after ``rounds`` of updates in the tasks and averaging in slices."""
     spark = rows.sparkSession
-    weights = np.zeros((ROWS, CLASSES), np.float32)
-    cut = np.linspace(0, ROWS, SLICES + 1).astype(int)
+    weights = np.zeros(model.shape, np.float32)
+    every = model.depth << model.bits
+    cut = np.linspace(0, every, SLICES + 1).astype(int)
+    schema = "slice int, at binary, used binary, change binary"
+    names = ["slice", "at", "used", "change"]
     for r in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
 
         def work(batches: Iterator[pa.RecordBatch], r=r, shared=shared) -> Iterator[pa.RecordBatch]:
-            own, squares, seen = shared.value.copy(), np.zeros((ROWS, CLASSES), np.float32), 0
+            own, squares, used = shared.value.copy(), np.zeros(model.shape, np.float32), np.zeros(model.shape[:2], np.int64)
             for batch in batches:
                 for row in _read(batch):
-                    f, y, _ = _minibatches(row, model, True)
-                    for k, a in enumerate(range(0, len(y), BATCH)):
+                    leaf, code, place, _ = _tokens_of(row, model, True)
+                    for k, a in enumerate(range(0, len(leaf), BATCH)):
                         if k % rounds == r:
-                            update(own, squares, model.bias, f[a : a + BATCH], y[a : a + BATCH])
-                            seen += min(BATCH, len(y) - a)
-            if seen:
-                change = (own - shared.value) * np.float32(seen)
-                yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([seen] * SLICES, pa.int64()), pa.array([change[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], names=["slice", "seen", "change"])
+                            b = min(a + BATCH, len(leaf))
+                            update(own, squares, used, model, histories(code, place, a, b), leaf[a:b])
+            change, used = (own - shared.value).reshape(every, FAN), used.ravel()
+            for k in range(SLICES):
+                at = np.flatnonzero(used[cut[k] : cut[k + 1]]) + cut[k]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype("<i4"), used[at].astype("<f4"), change[at].astype("<f2")))], names=names)
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, list] = {}
+            sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for batch in batches:
-                for k, n, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                    got = sums.setdefault(k, [0, np.zeros(len(c) // 4, np.float64)])
-                    got[0] += n
-                    got[1] += np.frombuffer(c, np.float32)
-            if sums:
-                yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v[0] for v in sums.values()], pa.int64()), pa.array([v[1].astype(np.float32).tobytes() for v in sums.values()], pa.binary())], names=["slice", "seen", "change"])
-
-        schema = "slice int, seen long, change binary"
+                for k, at, used, change in zip(*(batch.column(i) for i in range(4)), strict=True):
+                    k = k.as_py()
+                    total, moved = sums.setdefault(k, (np.zeros(cut[k + 1] - cut[k]), np.zeros((cut[k + 1] - cut[k], FAN), np.float32)))
+                    at, used = np.frombuffer(at.as_buffer(), "<i4") - cut[k], np.frombuffer(used.as_buffer(), "<f4")
+                    total[at] += used
+                    moved[at] += np.frombuffer(change.as_buffer(), "<f2").reshape(-1, FAN) * used[:, None]
+            for k, (total, moved) in sums.items():
+                at = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in ((at + cut[k]).astype("<i4"), total[at].astype("<f4"), (moved[at] / total[at, None]).astype("<f4")))], names=names)
+
         changes = rows.select("held", "lens", "ids", "words", "shapes", "totals").mapInArrow(work, schema).repartition(SLICES, "slice").mapInArrow(add, schema).toPandas()  # SLICES rows
         weights = weights.copy()
         for s in changes.itertuples():
-            weights[cut[s.slice] : cut[s.slice + 1]] += (np.frombuffer(s.change, np.float32) / s.seen).reshape(-1, CLASSES)
+            weights.reshape(every, FAN)[np.frombuffer(s.at, "<i4")] += np.frombuffer(s.change, "<f4").reshape(-1, FAN)
         shared.unpersist()
     return weights
 
@@ -295,29 +333,27 @@ def score(docs: DataFrame) -> DataFrame:
         if parts:
             yield out()
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    totals = entries.select("chunk", "place", "total", "one").repartition(buckets, "chunk").sortWithinPartitions("chunk", "place").select("chunk", "total", "one").mapInArrow(gather, "chunk long, totals binary, ones binary")
-    rows = made.drop("counts").join(_bucketed(totals, "lm_totals").hint("shuffle_hash"), "chunk")
+    totals = entries.select("chunk", "place", "total", "one").repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", "total", "one").mapInArrow(gather, "chunk long, totals binary, ones binary")
+    rows = durable(made.drop("counts").join(totals.hint("shuffle_hash"), "chunk").drop("chunk"), "lm-rows")
     model = _model(rows)
     weights = spark.sparkContext.broadcast(learn(rows, model))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _read(batch):
-                f, y, inside = _minibatches(row, model, False)
+                leaf, code, place, inside = _tokens_of(row, model, False)
                 logs = inside[row["ids"]]
-                for a in range(0, len(y), BATCH):
-                    z = _logits(weights.value, model.bias, f[a : a + BATCH])
-                    own = z[np.arange(len(z)), y[a : a + BATCH]]
-                    logs[a : a + BATCH] += (own - np.log(np.exp(z).sum(1))) / np.log(10)
+                for a in range(0, len(leaf), BATCH):
+                    b = min(a + BATCH, len(leaf))
+                    logs[a:b] += log_shares(weights.value, model, histories(code, place, a, b), leaf[a:b])
                 count = row["totals"]
                 base = np.log10((count + 1) / (model.n + model.v + 1))
                 start = np.cumsum(row["lens"], dtype=np.int64) - row["lens"]
                 n = len(start)
                 sums_of = lambda x, start=start: np.add.reduceat(x, start)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"]), pa.array(row["held"] > 0), pa.array(row["lens"].astype(np.int64)), pa.array(sums_of((count > 0).astype(np.int64)[row["ids"]])), pa.array(np.full(n, model.n, np.int64)), pa.array(sums_of(base[row["ids"]])), pa.array(sums_of(logs))],
+                    [pa.array(row["doc_ids"], mask=row["nulls"] > 0), pa.array(row["held"] > 0), pa.array(row["lens"].astype(np.int64)), pa.array(sums_of((count > 0).astype(np.int64)[row["ids"]])), pa.array(np.full(n, model.n, np.int64)), pa.array(sums_of(base[row["ids"]])), pa.array(sums_of(logs))],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return rows.select("doc_ids", "held", "lens", "ids", "words", "shapes", "totals").mapInArrow(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return rows.select("doc_ids", "nulls", "held", "lens", "ids", "words", "shapes", "totals").mapInArrow(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -261,7 +261,7 @@ def test_maxent(spark, odd_docs, no_docs, words):
     assert got.count() == len(everything)
     by = {r.doc_id: r for r in got.collect()}
     for d, t in everything:
-        w, r = toks(t), by[-(1 << 63) if d is None else d]
+        w, r = toks(t), by[d]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(count[x] > 0 for x in w), n)
         assert r.base_score == pytest.approx(sum(math.log10((count[x] + 1) / (n + v + 1)) for x in w), rel=1e-9)
         assert r.score < 0
@@ -270,24 +270,76 @@ def test_maxent(spark, odd_docs, no_docs, words):
     assert maxent.score(no_docs).count() == 0
 
 
-def test_class_softmax_is_a_distribution():
-    rng = np.random.default_rng(0)
-    words = np.sort(rng.integers(10, 2**63, 50, dtype=np.uint64))
+def _tree_model(rng, n_words, leaf_words):
+    words = np.sort(rng.integers(10, 2**63, n_words, dtype=np.uint64))
     words = np.concatenate([np.array([maxent.END], np.uint64), words])
-    shapes = np.concatenate([[0], rng.integers(0, maxent.SHAPES, 50)]).astype(np.uint8)
-    totals = np.concatenate([[40], rng.integers(1, 200, 50)]).astype(np.int64)
-    top = sorted(range(1, 51), key=lambda i: -totals[i])[: maxent.TOP]
-    rest = [i for i in range(1, 51) if i not in top]
-    sw, st = np.zeros(maxent.SHAPES), np.zeros(maxent.SHAPES)
-    for i in rest:
-        sw[shapes[i]] += 1
-        st[shapes[i]] += totals[i]
-    m = maxent.Model(int(totals.sum()), 51, 40, [(int(words[i]), int(totals[i])) for i in top], sw, st)
-    kind, _, inside = m.dictionary(words, shapes, totals)
-    for c in set(kind.tolist()):
-        known = (10 ** inside[kind == c]).sum()
-        unknown = 0 if c <= maxent.TOP else 1 / (m.class_tokens[c] + m.class_words[c] + 1)
+    shapes = np.concatenate([[0], rng.integers(0, maxent.SHAPES, n_words)]).astype(np.uint8)
+    totals = np.concatenate([[40], rng.integers(0, 400, n_words)]).astype(np.int64)
+    leaf, known = maxent.leaves(words, shapes), totals > 0
+    size = maxent.FAN**maxent.DEPTH
+    maxent_saved, maxent.LEAF_WORDS = maxent.LEAF_WORDS, leaf_words
+    model = maxent.Model(np.bincount(leaf[known], minlength=size), np.bincount(leaf, totals, size).astype(np.int64))
+    maxent.LEAF_WORDS = maxent_saved
+    return words, shapes, totals, model
+
+
+@pytest.mark.parametrize(("leaf_words", "depth"), [(1000, 1), (2, 2), (0.1, 3)])
+def test_class_softmax_is_a_distribution(leaf_words, depth):
+    rng = np.random.default_rng(0)
+    words, shapes, totals, m = _tree_model(rng, 200, leaf_words)
+    assert m.depth == depth and (m.n, m.v) == (totals.sum(), (totals > 0).sum())
+    leaf, _, inside = m.dictionary(words, shapes, totals)
+    for c in set(leaf.tolist()):
+        known = (10 ** inside[(leaf == c) & (totals > 0)]).sum()
+        unknown = 0 if c == 0 else 1 / (m.tokens[c] + m.words[c] + 1)
         assert known + unknown == pytest.approx(1)
+    every = np.arange(maxent.FAN**depth)
+    every = every[(every == 0) | (every >= maxent.FAN ** (depth - 1))]  # under the first class 0 there is only the end token
+    weights = rng.normal(size=m.shape).astype(np.float32)
+    for h in rng.integers(0, 2**63, (5, 4), dtype=np.uint64):
+        assert (10 ** maxent.log_shares(weights, m, np.repeat(h[:, None], len(every), 1), every)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_update_and_score_match_a_plain_version():
+    rng = np.random.default_rng(1)
+    words, shapes, totals, m = _tree_model(rng, 60, 0.1)
+    leaf, code, _ = m.dictionary(words, shapes, totals)
+    docs = [rng.integers(1, 61, n).tolist() + [0] for n in (0, 1, 5, 30)]
+    ids = np.array([i for d in docs for i in d])
+    place = np.array([k for d in docs for k in range(len(d))])
+    whole = maxent.histories(code[ids], place, 0, len(ids))
+    for a, b in ((0, 3), (2, 20), (17, len(ids))):  # features of a slice do not depend on where it is cut
+        assert (maxent.histories(code[ids], place, a, b) == whole[:, a:b]).all()
+    starts = set(np.flatnonzero(place == 0).tolist())
+    for i in range(len(ids)):  # the features see just the three words before, inside the document
+        same = [j for j in range(len(ids)) if all((place[i] >= k) == (place[j] >= k) and (place[i] < k or code[ids[i - k]] == code[ids[j - k]]) for k in (1, 2, 3))]
+        assert i in starts or all((whole[:, i] == whole[:, j]).all() for j in same)
+    weights, squares, used = np.zeros(m.shape, np.float32), np.zeros(m.shape, np.float32), np.zeros(m.shape[:2], np.int64)
+    plain = np.zeros(m.shape)
+    plain_squares = np.zeros(m.shape)
+
+    def paths(i):
+        for d in range(m.depth if leaf[ids[i]] else 1):
+            own = int(leaf[ids[i]]) // maxent.FAN ** (m.depth - 1 - d)
+            node, y = divmod(own, maxent.FAN)
+            rows = [int(maxent._rows(whole[k : k + 1, i : i + 1], np.array([node]), m.bits)[0, 0]) for k in range(4)]
+            z = sum(plain[d][r] for r in rows) + m.bias[d][node]
+            p = np.exp(z - z.max())
+            yield d, rows, p / p.sum(), y
+
+    for _ in range(3):
+        maxent.update(weights, squares, used, m, whole, leaf[ids])
+        g = np.zeros(m.shape)
+        for i in range(len(ids)):
+            for d, rows, p, y in paths(i):
+                for r in rows:
+                    g[d, r] += p
+                    g[d, r, y] -= 1
+        plain_squares += g * g
+        plain -= maxent.RATE * g / np.sqrt(plain_squares + 1)
+    assert np.abs(plain - weights).max() < 1e-3 and used.sum() == 3 * sum(4 for i in range(len(ids)) for _ in paths(i))
+    want = [sum(math.log10(p[y]) for *_, p, y in paths(i)) for i in range(len(ids))]
+    assert maxent.log_shares(weights, m, whole, leaf[ids]) == pytest.approx(want, abs=1e-3)
 
 
 # --- shared parts ---

@@ -9,7 +9,8 @@ stand for their last bytes.  The tree gets deeper with the vocabulary (LEAF_WORD
 longer with the training tokens (TOKENS_A_ROW); DEPTH and MOST_ROWS bound what a task must hold.
 
 Words are numbered once: texts become chunks of up to CHUNK_BYTES, each with its own dictionary.  Dictionaries, not
-tokens, are shuffled to sum the counts over all training documents, and the sums return to their chunk once.  Training
+tokens, are shuffled to sum the counts over all training documents, and the sums return to each chunk.  Chunks and sums
+lie in buckets, so they meet without a shuffle; chunk numbers are dealt so that buckets fill evenly.  Training
 runs in ROUNDS; in a round each task updates its copy of the weights over its share of the minibatches (AdaGrad), and
 the rows that changed are averaged in slices, each by how often the copies used it.  Each training token takes part in
 one update.  Scoring is numpy by minibatch.
@@ -24,23 +25,26 @@ empty result; further columns are ignored.  Words are 64-bit hashes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import _LOWER, by_bytes, durable, hash_spans, mix64, pieces, ship, utf8, word_bounds
+from .common import _LOWER, by_bytes, durable, hash_spans, mix64, pieces, shared_dir, ship, utf8, word_bounds
 
 FAN, DEPTH, LEAF_WORDS = 16, 4, 2048
 SHAPES = (FAN - 1) * FAN  # first two classes; a first class of 0 is the end token's own
 TOKENS_A_ROW, LEAST_ROWS, MOST_ROWS = 1024, 12, 17  # the last two are powers of two
-CHUNK_BYTES, BATCH, ROUNDS, RATE, OFTEN, SLICES, FOLDS, FOLD = 4 << 20, 32_768, 2, 0.2, 200, 16, 7, 2
+CHUNK_BYTES, BATCH, ROUNDS, RATE, OFTEN, SLICES, FOLDS, FOLD = 16 << 20, 32_768, 2, 0.2, 200, 16, 7, 2
 END = 1  # the end token's "hash"
+FIRST_FREE = 1 << 40  # chunk numbers from here on are dealt by hash
 
 _CHUNK = "chunk long, doc_ids binary, nulls binary, held binary, lens binary, ids binary, words binary, shapes binary, counts binary"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def held_out() -> Column:
@@ -77,32 +81,53 @@ def _chunk(number: int, doc_ids: pa.Array, held: np.ndarray, column: pa.Array) -
     return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([v.tobytes()], pa.binary()) for v in row.values())], names=["chunk", *row])
 
 
-def chunks(docs: DataFrame) -> DataFrame:
+def chunks(docs: DataFrame, name: str) -> DataFrame:
     """Documents as chunks of word numbers, with each chunk's dictionary and training counts."""
     ship(docs.sparkSession)
+    even = _even_numbers(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq = TaskContext.get().partitionId(), 0
+        place, step = TaskContext.get().partitionId(), TaskContext.get().numPartitions()
         held: list[pa.RecordBatch] = []
         size = 0
 
         def chunk() -> pa.RecordBatch:
             rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held.clear()
-            return _chunk((part << 32) + seq, rows.column(0), rows.column(1).to_numpy(zero_copy_only=False).astype(bool), rows.column(2))
+            return _chunk(even[place] if place < len(even) else FIRST_FREE + place, rows.column(0), rows.column(1).to_numpy(zero_copy_only=False).astype(bool), rows.column(2))
 
         for batch in by_bytes(batches, 2, CHUNK_BYTES):
             n = int(utf8(batch.column(2))[1][-1])
             if held and size + n > CHUNK_BYTES:
                 yield chunk()
-                seq, size = seq + 1, 0
+                place, size = place + step, 0
             held.append(batch)
             size += n
         if held:
             yield chunk()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out(), F.lit(False)).alias("held"), "text")
-    return durable(rows.mapInArrow(work, _CHUNK), "lm-chunks")
+    return _bucketed(rows.mapInArrow(work, _CHUNK), name)
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _even_numbers(spark: SparkSession, rounds: int = 8) -> list[int]:
+    """About ``rounds`` numbers for each bucket, those of all buckets in turn; further chunks are many, and evenly dealt by hash."""
+    n = _buckets(spark)
+    of: list[list[int]] = [[] for _ in range(n)]
+    for r in spark.range(n * rounds * 2).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("b")).collect():
+        of[r.b].append(r.id)
+    return [own[k] for k in range(min(map(len, of))) for own in of]
+
+
+def _bucketed(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared folder as a table in buckets by chunk, so that tables joined by chunk are not shuffled."""
+    spark = df.sparkSession
+    df.write.option("path", f"{shared_dir(spark)}/{name}").bucketBy(_buckets(spark), "chunk").saveAsTable(name)
+    return spark.table(name)
 
 
 def leaves(words: np.ndarray, shapes: np.ndarray, depth: int = DEPTH) -> np.ndarray:
@@ -300,7 +325,8 @@ def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray:
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs``."""
     spark = docs.sparkSession
-    made = chunks(docs)
+    own = [f"lm_{kind}_{uuid.uuid4().hex}" for kind in ("chunks", "totals")]
+    made = chunks(docs, own[0])
 
     def dictionary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,8 +359,9 @@ def score(docs: DataFrame) -> DataFrame:
         if parts:
             yield out()
 
-    totals = entries.select("chunk", "place", "total", "one").repartition("chunk").sortWithinPartitions("chunk", "place").select("chunk", "total", "one").mapInArrow(gather, "chunk long, totals binary, ones binary")
-    rows = durable(made.drop("counts").join(totals.hint("shuffle_hash"), "chunk").drop("chunk"), "lm-rows")
+    totals = entries.select("chunk", "place", "total", "one").repartition(_buckets(spark), "chunk").sortWithinPartitions("chunk", "place").select("chunk", "total", "one").mapInArrow(gather, "chunk long, totals binary, ones binary")
+    sums = _bucketed(totals, own[1])
+    rows = made.drop("counts").join(sums.hint("shuffle_hash"), "chunk")
     model = _model(rows)
     weights = spark.sparkContext.broadcast(learn(rows, model))
 
@@ -356,4 +383,7 @@ def score(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    return rows.select("doc_ids", "nulls", "held", "lens", "ids", "words", "shapes", "totals").mapInArrow(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scored = durable(rows.select("doc_ids", "nulls", "held", "lens", "ids", "words", "shapes", "totals").mapInArrow(work, SCORED), "lm-scores")
+    for name in own:
+        spark.sql(f"DROP TABLE {name}")
+    return scored

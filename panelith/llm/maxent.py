@@ -84,23 +84,24 @@ def _chunk(number: int, doc_ids: pa.Array, held: np.ndarray, column: pa.Array) -
 def chunks(docs: DataFrame, name: str) -> DataFrame:
     """Documents as chunks of word numbers, with each chunk's dictionary and training counts."""
     ship(docs.sparkSession)
-    even = _even_numbers(docs.sparkSession)
+    even, buckets = _even_numbers(docs.sparkSession), _buckets(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, step = TaskContext.get().partitionId(), TaskContext.get().numPartitions()
+        part, seq, step = TaskContext.get().partitionId(), 0, buckets * 9 // 2
         held: list[pa.RecordBatch] = []
         size = 0
 
         def chunk() -> pa.RecordBatch:
             rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held.clear()
-            return _chunk(even[place] if place < len(even) else FIRST_FREE + place, rows.column(0), rows.column(1).to_numpy(zero_copy_only=False).astype(bool), rows.column(2))
+            known = part < step and part + seq * step < len(even)
+            return _chunk(even[part + seq * step] if known else FIRST_FREE + (part << 20) + seq, rows.column(0), rows.column(1).to_numpy(zero_copy_only=False).astype(bool), rows.column(2))
 
         for batch in by_bytes(batches, 2, CHUNK_BYTES):
             n = int(utf8(batch.column(2))[1][-1])
             if held and size + n > CHUNK_BYTES:
                 yield chunk()
-                place, size = place + step, 0
+                seq, size = seq + 1, 0
             held.append(batch)
             size += n
         if held:
@@ -114,7 +115,7 @@ def _buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _even_numbers(spark: SparkSession, rounds: int = 8) -> list[int]:
+def _even_numbers(spark: SparkSession, rounds: int = 16) -> list[int]:
     """About ``rounds`` numbers for each bucket, those of all buckets in turn; further chunks are many, and evenly dealt by hash."""
     n = _buckets(spark)
     of: list[list[int]] = [[] for _ in range(n)]

@@ -6,7 +6,7 @@ word's path, times the word's add-one share of its leaf, where unknown words hav
 proper distribution.  Each softmax has hashed features of the history (the word before, the two words before, the
 skips two and three words back) joined with the node, so n-gram evidence reaches down to the leaf.  Rare history words
 stand for their last bytes.  The tree gets deeper with the vocabulary (LEAF_WORDS words to a leaf) and the tables
-longer with the training tokens (TOKENS_A_ROW); DEPTH and MOST_ROWS bound what a task must hold.
+longer with the root of the training tokens (each task sends its copy); DEPTH and MOST_ROWS bound what a task must hold.
 
 Words are numbered once: texts become chunks of up to CHUNK_BYTES, each with its own dictionary.  Dictionaries, not
 tokens, are shuffled to sum the counts over all training documents, and the sums return to each chunk.  Chunks and sums
@@ -38,8 +38,8 @@ from .common import _LOWER, by_bytes, durable, hash_spans, mix64, pieces, shared
 
 FAN, DEPTH, LEAF_WORDS = 16, 4, 2048
 SHAPES = (FAN - 1) * FAN  # first two classes; a first class of 0 is the end token's own
-TOKENS_A_ROW, LEAST_ROWS, MOST_ROWS = 1024, 12, 17  # the last two are powers of two
-CHUNK_BYTES, BATCH, ROUNDS, RATE, OFTEN, SLICES, FOLDS, FOLD = 16 << 20, 32_768, 2, 0.2, 200, 16, 7, 2
+ROWS_A_ROOT, LEAST_ROWS, MOST_ROWS = 4, 4096, 1 << 18
+CHUNK_BYTES, BATCH, ROUNDS, RATE, OFTEN, FOLDS, FOLD = 16 << 20, 32_768, 2, 0.2, 200, 7, 2
 END = 1  # the end token's "hash"
 FIRST_FREE = 1 << 40  # chunk numbers from here on are dealt by hash
 
@@ -147,7 +147,7 @@ class Model:
         self.depth = next((d for d in range(1, DEPTH) if FAN**d * LEAF_WORDS >= self.v), DEPTH)
         merge = lambda x, d: x.reshape(FAN**d, -1).sum(1).astype(float)
         self.words, self.tokens = merge(leaf_words, self.depth), merge(leaf_tokens, self.depth)
-        self.bits = int(np.clip(np.log2(max(1, self.n / TOKENS_A_ROW)), LEAST_ROWS, MOST_ROWS))
+        self.rows = int(np.clip(ROWS_A_ROOT * self.n**0.5, LEAST_ROWS, MOST_ROWS))
         self.bias = []
         for d in range(1, self.depth + 1):
             t = merge(leaf_tokens, d).reshape(-1, FAN)
@@ -155,7 +155,7 @@ class Model:
 
     @property
     def shape(self) -> tuple[int, int, int]:
-        return self.depth, 1 << self.bits, FAN
+        return self.depth, self.rows, FAN
 
     def dictionary(self, words: np.ndarray, shapes: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Leaf, history code and log10 P(word | leaf) of each word of a chunk."""
@@ -180,11 +180,11 @@ def histories(codes: np.ndarray, place: np.ndarray, a: int, b: int) -> np.ndarra
     return np.stack([one, mix64(one * np.uint64(3) + two), mix64(two + np.uint64(17)), mix64(three + np.uint64(23))])
 
 
-def _rows(history: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
+def _rows(history: np.ndarray, node: np.ndarray, rows: int) -> np.ndarray:
     """Weight rows (feature, token) of the histories at a node."""
     h = history + node.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(29)
-    return (h * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(64 - bits)).view(np.int64)
+    return ((h * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(32)) * np.uint64(rows) >> np.uint64(32)).view(np.int64)
 
 
 def _log_softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -205,7 +205,7 @@ def _levels(history: np.ndarray, leaf: np.ndarray, model: Model) -> Iterator[tup
             some = np.flatnonzero(leaf >= FAN ** (model.depth - 1))
         own = leaf[some] // FAN ** (model.depth - 1 - d)
         node = own // FAN
-        yield d, some, _rows(history[:, some] if d else history, node, model.bits), node, own % FAN
+        yield d, some, _rows(history[:, some] if d else history, node, model.rows), node, own % FAN
 
 
 def update(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, model: Model, history: np.ndarray, leaf: np.ndarray, rate: float = RATE) -> None:
@@ -280,8 +280,8 @@ def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray:
     """Weights (level, row, child) after ``rounds`` of updates in the tasks and averaging in slices."""
     spark = rows.sparkSession
     weights = np.zeros(model.shape, np.float32)
-    every = model.depth << model.bits
-    cut = np.linspace(0, every, SLICES + 1).astype(int)
+    every, slices = model.depth * model.rows, _buckets(spark)
+    cut = np.linspace(0, every, slices + 1).astype(int)
     schema = "slice int, at binary, used binary, change binary"
     names = ["slice", "at", "used", "change"]
     for r in range(rounds):
@@ -297,7 +297,7 @@ def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray:
                             b = min(a + BATCH, len(leaf))
                             update(own, squares, used, model, histories(code, place, a, b), leaf[a:b])
             change, used = (own - shared.value).reshape(every, FAN), used.ravel()
-            for k in range(SLICES):
+            for k in range(slices):
                 at = np.flatnonzero(used[cut[k] : cut[k + 1]]) + cut[k]
                 if len(at):
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype("<i4"), used[at].astype("<f4"), change[at].astype("<f2")))], names=names)
@@ -315,7 +315,7 @@ def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray:
                 at = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in ((at + cut[k]).astype("<i4"), total[at].astype("<f4"), (moved[at] / total[at, None]).astype("<f4")))], names=names)
 
-        changes = rows.select("held", "lens", "ids", "words", "shapes", "totals").mapInArrow(work, schema).repartition(SLICES, "slice").mapInArrow(add, schema).toPandas()  # SLICES rows
+        changes = rows.select("held", "lens", "ids", "words", "shapes", "totals").mapInArrow(work, schema).repartition(slices, "slice").mapInArrow(add, schema).toPandas()  # the weights in slices
         weights = weights.copy()
         for s in changes.itertuples():
             weights.reshape(every, FAN)[np.frombuffer(s.at, "<i4")] += np.frombuffer(s.change, "<f4").reshape(-1, FAN)

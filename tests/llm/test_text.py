@@ -322,7 +322,7 @@ def test_update_and_score_match_a_plain_version():
         for d in range(m.depth if leaf[ids[i]] else 1):
             own = int(leaf[ids[i]]) // maxent.FAN ** (m.depth - 1 - d)
             node, y = divmod(own, maxent.FAN)
-            rows = [int(maxent._rows(whole[k : k + 1, i : i + 1], np.array([node]), m.bits)[0, 0]) for k in range(4)]
+            rows = [int(maxent._rows(whole[k : k + 1, i : i + 1], np.array([node]), m.rows)[0, 0]) for k in range(4)]
             z = sum(plain[d][r] for r in rows) + m.bias[d][node]
             p = np.exp(z - z.max())
             yield d, rows, p / p.sum(), y

@@ -7,22 +7,37 @@ from pyspark.sql import functions as F
 
 from .common import durable
 
+HOT, HOT_KEYS = 1024, 400_000
+
+
+def _with_least(edges: DataFrame, least: DataFrame, hot: int) -> DataFrame:
+    """``edges`` with ``m``, the least neighbour of ``a``, from ``least`` (a, m, n: how many edges).
+
+    Nodes of more than ``hot`` edges (star centres) are so few that they are broadcast, and their edges stay where they
+    are; only the edges of other nodes are shuffled, so no task gets more than ``hot`` rows of one key.
+    """
+    centres = least.filter(F.col("n") > hot).select(F.col("a").alias("c"), "m")
+    both = edges.join(F.broadcast(centres), F.col("a") == F.col("c"), "left")
+    others = both.filter("c is null").select("a", "b").join(least.filter(F.col("n") <= hot).select("a", "m"), "a")
+    return both.filter("c is not null").select("a", "b", "m").unionByName(others.select("a", "b", "m"))
+
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node it reaches) for every node of the edges (a, b), given as longs.
 
-    Both steps are a grouped minimum and a join, whose hot keys Spark splits; rows never grow beyond twice the edges.
+    Both steps are a grouped minimum and a join; rows never grow beyond twice the edges.
     """
     edges = durable(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m")), F.struct(F.col("b").alias("a"), F.col("m")))).alias("e")).select("e.a", F.col("e.m").alias("b")).filter("a <> b").distinct()
-        edges = durable(small, "edges")
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if seen == now:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         seen = now
+        hot = max(HOT, 2 * now.n // HOT_KEYS)  # 2 n ends of edges, so at most HOT_KEYS nodes have more
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = _with_least(both, least, hot).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        every = _with_least(large, least, hot).select(F.explode(F.array(F.struct(F.col("a"), F.col("m")), F.struct(F.col("b").alias("a"), F.col("m")))).alias("e"))
+        edges = durable(every.select("e.a", F.col("e.m").alias("b")).filter("a <> b").distinct(), "edges")

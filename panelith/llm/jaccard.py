@@ -11,17 +11,19 @@ Equal sets are one set from the start.  The rest follows their size:
   never as pairs).  Each family is joined in tasks of bounded blocks: the inverted lists of all its shingles are scanned
   for exact intersection sizes, and only a spanning forest of the links leaves a task.
 
-  Shingles that very many documents share (a bounded list) stay out of the parts, so that a common passage does not tie
-  unlike documents together.  What both sets lose alike adds no difference, so this costs no link; where it empties
-  parts, the empty ones count as parts too.
+  Shingles that very many documents share (a bounded list) stay out of the parts that hold others too, so that a common
+  passage does not tie unlike documents together.  The list steers cost alone: ``part_keys`` says why no link hangs on
+  what is in it; the chance to miss a pair stays under e^-31.
 
 The border x has the least total cost over the sizes found in the table.
 
 A family larger than a block is cut into blocks that meet pairwise in separate tasks, so memory stays bounded.
 
 Defined cases: null or empty text has the empty set, links with nothing and is its own component; fewer words than a
-shingle count as one shingle; equal texts and repeated rows fall together; an empty table gives an empty result;
-further columns are ignored.  Shingles are 64-bit hashes.
+shingle count as one shingle; equal texts and repeated rows fall together; rows with a null doc_id link like others and
+take the smallest id of their group (null where it has none); ``one_of_each`` keeps a group's row of smallest doc_id,
+nulls last, then by a hash of the text; an empty table gives an empty result; further columns are ignored.  Shingles are
+64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,13 +34,13 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, mix64, ship, small, word_hashes
+from .common import by_bytes, durable, mix64, ship, small, word_hashes
 from .graph import components
 
-SPARE, CERTAIN, LIST_COST, BLOCK_SETS, BLOCK_SHINGLES = 3, 36, 4, 1024, 1 << 20
+SPARE, CERTAIN, EMPTY, LIST_COST, BLOCK_SETS, BLOCK_SHINGLES = 3, 36, 1 / 8, 4, 1024, 1 << 20
 POPULAR, POPULAR_LOCAL = 1 << 17, 16
 _SLOT = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -133,14 +135,23 @@ def border(sizes: dict[int, int], percent: int) -> int:
 
 
 def part_keys(sets: list[np.ndarray], percent: int, bounds: np.ndarray, popular: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, set number) of the parts of each set, for the joins with its own class and its two neighbours."""
-    all_parts, all_given = part_plan(most_differing(bounds, percent))
+    """(key, set number) of the parts of each set, for the joins with its own class and its two neighbours.
+
+    A part's key is a hash of its shingles without the popular ones, or of all of them where only those are in it.
+    Parts of the latter kind are given out unless the others are enough: linked sets of which each gives all parts have
+    more than SPARE parts alike, so a set with at most SPARE such parts can do without them; and of a set with R other
+    shingles at least R - H are in both, which leave an untouched part without any with chance EMPTY at most if there are
+    log(1 / EMPTY) to a part.  Either rule can be left to one side alone: what holds for one set holds for the pair.
+    """
+    most = most_differing(bounds, percent)
+    all_parts, all_given = part_plan(most)
     n = np.fromiter(map(len, sets), np.int64, len(sets))
     kind = np.searchsorted(bounds, n, "right") - 1
     values, whose = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+    rare = np.ones(len(values), bool)
     if len(popular):
         rare = popular[np.minimum(np.searchsorted(popular, values), len(popular) - 1)] != values
-        values, whose = values[rare], whose[rare]
+    n_rare = np.bincount(whose[rare], minlength=len(sets))
     values = mix64(values * np.uint64(0xC2B2AE3D27D4EB4F))
     low, high = (values & np.uint64(0xFFFFFFFF)).astype(float), (values >> np.uint64(32)).astype(float)
     keys, owners = [], []
@@ -150,15 +161,20 @@ def part_keys(sets: list[np.ndarray], percent: int, bounds: np.ndarray, popular:
         total = int(given.sum())
         part = (values % parts[whose].astype(np.uint64)).astype(np.int64)
         out = part < given[whose]
-        place = (base[whose] + part)[out]
-        count = np.bincount(place, minlength=total)
-        a, b = np.bincount(place, low[out], total).astype(np.uint64), np.bincount(place, high[out], total).astype(np.uint64)
+        content = []
+        for some in (out & rare, out):
+            place = (base[whose[some]] + part[some]) if some.any() else np.zeros(0, np.int64)
+            count = np.bincount(place, minlength=total)
+            a, b = (np.bincount(place, x[some], total).astype(np.uint64) for x in (low, high))
+            content.append((count, a + (b << np.uint64(32)) + count.astype(np.uint64)))
+        (count, content_rare), (_, content_all) = content
         owner = np.repeat(np.arange(len(sets)), given)
         number = np.arange(total) - np.repeat(base, given)
         empty = np.bincount(owner[count == 0], minlength=len(sets))
-        give = (count > 0) | (empty >= np.where(parts == given, 1 + SPARE, given // 8))[owner]  # so many empty parts that these alone may be the same
+        enough = np.where(parts == given, empty <= SPARE, n_rare - most[kind + step] >= -np.log(EMPTY) * parts)
+        give = (count > 0) | ~enough[owner]
         salt = ((np.repeat(kind + step, given).astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        keys.append(mix64(mix64(a + (b << np.uint64(32)) + count.astype(np.uint64)) ^ salt)[give])
+        keys.append(mix64(mix64(np.where(count > 0, content_rare, content_all)) ^ salt)[give])
         owners.append(owner[give])
     return np.concatenate(keys), np.concatenate(owners)
 
@@ -233,46 +249,46 @@ def forest_of_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int
     return out
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``docs``; sets link at ``percent`` % of their union or more."""
+def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, h (a hash of the text), n, root (a set of its component, null for the empty set) for each row of ``docs``."""
     spark = docs.sparkSession
     ship(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "sid", "shingle", "times"]
-        for batch in batches:
-            sets = shingle_sets(batch.column(1), k)
+        names = ["doc_id", "h", "n", "sid", "shingle", "times"]
+        for batch in by_bytes(batches, 2):
+            sets = shingle_sets(batch.column(2), k)
             n = len(sets)
             none = pa.nulls(n, pa.int64())
             sids = np.fromiter(map(set_id, sets), np.int64, n)
-            yield _table(names, batch.column(0), np.fromiter(map(len, sets), np.int64, n), sids, none, none)
+            yield _table(names, batch.column(0), batch.column(1), np.fromiter(map(len, sets), np.int64, n), sids, none, none)
             _, first = np.unique(sids, return_index=True)
             every = np.sort(np.concatenate([*(sets[i] for i in first.tolist()), np.zeros(0, np.uint64)]))
             start = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
             times = np.diff(np.append(start, len(every)))
             often = times >= POPULAR_LOCAL
             none = pa.nulls(int(often.sum()), pa.int64())
-            yield _table(names, none, none, none, every[start[often]].view(np.int64), times[often].astype(np.int64))
+            yield _table(names, none, none, none, none, every[start[often]].view(np.int64), times[often].astype(np.int64))
 
-    found = durable(texts.mapInArrow(measure, "doc_id long, n long, sid long, shingle long, times long"), "jaccard-sets")
-    sets = found.filter("n is not null").select("doc_id", "n", "sid")
+    found = durable(texts.mapInArrow(measure, "doc_id long, h long, n long, sid long, shingle long, times long"), "jaccard-sets")
+    sets = found.filter("n is not null").select("doc_id", "h", "n", "sid")
     popular = found.filter("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "shingle").limit(POPULAR).select("shingle").toPandas()
     common = spark.sparkContext.broadcast(np.sort(popular["shingle"].to_numpy(np.int64).view(np.uint64)))
-    distinct = sets.filter("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("doc_id"))
+    distinct = sets.filter("n > 0").groupBy("sid", "n").agg(F.min(_first()).alias("row"))
     x = border({r.n: r["count"] for r in distinct.filter("n < 32").groupBy("n").count().collect()}, percent)
     bounds = size_bounds(percent)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "sid", "n", "m"]
         seen: set[int] = set()
-        for batch in batches:
+        for batch in by_bytes(batches, 2):
             keys, owners, sizes, asked, heavy, heavy_sid = [], [], [], [], [], []
-            for s in shingle_sets(batch.column(1), k):
+            for s in shingle_sets(batch.column(2), k):
                 n, sid = len(s), set_id(s)
                 if not n or sid in seen:  # copies of a set post once
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 200_000:
                     seen.add(sid)
                 if n < x:
                     some, partner = _subset_keys(s, percent, x)
@@ -297,12 +313,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     near = durable(near.distinct(), "jaccard-near")
     families = durable(components(near.filter("not light").select("a", "b")), "jaccard-families")
 
-    members = distinct.join(families.withColumnRenamed("node", "sid"), "sid").select("doc_id", "sid", "n", F.col("root").alias("family"))
+    members = distinct.join(families.withColumnRenamed("node", "sid"), "sid").select(F.col("row.doc_id").alias("d"), F.col("row.h").alias("e"), "sid", "n", F.col("root").alias("family"))
     members = durable(members, "jaccard-members")
     totals = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     members = members.join(totals.select("family", blocks.alias("blocks")), "family").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    full = texts.join(small(members.withColumnRenamed("doc_id", "d"), 400_000), F.col("doc_id") == F.col("d"))
+    full = texts.join(small(members, 400_000), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("e")))
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     full = full.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "sid", "text").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "sid")
 
@@ -313,10 +329,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
             made = forest_of_links(held, percent)
             return _table(["a", "b"], np.asarray([ids[a] for a, _ in made], np.int64), np.asarray([ids[b] for _, b in made], np.int64))
 
-        for batch in batches:
+        for batch in by_bytes(batches, 4):
             fam, i, j, sid = (batch.column(c).to_pylist() for c in range(4))
             for now, own, s in zip(zip(fam, i, j, strict=True), sid, shingle_sets(batch.column(4), k), strict=True):
-                if set_id(s) != own or (now == key and ids and ids[-1] == own):  # another row of a repeated doc_id
+                if set_id(s) != own or (now == key and ids and ids[-1] == own):  # a repeated row
                     continue
                 if now != key:
                     if len(held) > 1:
@@ -329,18 +345,32 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
 
     links = full.mapInArrow(verify, "a long, b long").unionByName(near.filter("light").select("a", "b"))
     roots = components(links).withColumnRenamed("node", "sid")
-    linked = sets.join(roots, "sid", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("root"))
+    return sets.join(roots, "sid", "left").select("doc_id", "h", "n", F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("root"))
+
+
+def _first() -> Column:
+    """Orders a group's rows: the first one by this stands for the group."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+
+
+def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id for each row of ``docs``; sets link at ``percent`` % of their union or more."""
+    linked = _linked(docs, k, percent)
     least = linked.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return linked.join(least, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, columns as they were; of rows that repeat a doc_id one stays."""
-    ids = jaccard_components(docs, k, percent).groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count("*").alias("times"))
-    ids = durable(ids.filter(~F.col("first") | (F.col("times") > 1)), "jaccard-ids")
-    stay = docs.join(small(ids.filter("not first").select("doc_id"), 500_000), "doc_id", "left_anti")
-    again = ids.filter("first and times > 1").select("doc_id")
+    """One row of ``docs`` for each component, columns as they were."""
+    linked = _linked(docs, k, percent).filter("root is not null")
+    best = linked.groupBy("root").agg(F.min(_first()).alias("best"))
+    rows = linked.join(best, "root").groupBy("doc_id", "h").agg(F.max(_first() == F.col("best")).alias("first"), F.count("*").alias("times"))
+    rows = durable(rows.filter(~F.col("first") | (F.col("times") > 1)).select(F.col("doc_id").alias("jaccard_doc"), F.col("h").alias("jaccard_h"), "first"), "jaccard-rows")
+    same = F.col("doc_id").eqNullSafe(F.col("jaccard_doc")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("jaccard_h"))
+    stay = docs.join(small(rows.filter("not first"), 500_000), same, "left_anti")
+    again = rows.filter("first")
     if not again.isEmpty():
         once = small(again, 500_000)
-        stay = stay.join(once, "doc_id", "left_anti").unionByName(stay.join(once, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return stay.select(docs.columns)
+        twice = stay.join(once, same, "left_semi").dropDuplicates(["doc_id", "text"])
+        stay = stay.join(once, same, "left_anti").unionByName(twice)
+    return stay.select([f"`{c}`" for c in docs.columns])

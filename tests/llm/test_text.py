@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from panelith.llm import chat, common, decontaminate, jaccard, maxent, queries, secrets, toxicity
+from panelith.llm import chat, common, decontaminate, graph, jaccard, maxent, queries, secrets, toxicity
 
 CHAT = "conv_id long, turn int, role string, text string"
 
@@ -187,6 +187,67 @@ def test_linked_sizes_are_in_neighbouring_classes(percent):
                 assert n + m - 2 * common_ <= most[max(k, j)]
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_a_part_whatever_is_popular(percent):
+    rng = np.random.default_rng(percent)
+    bounds = jaccard.size_bounds(percent)
+    plan = jaccard.part_plan(jaccard.most_differing(bounds, percent))
+    sizes = [20, 90, 300, 700, 1100, 1700, 2600, 4000, 7000, 13_808, 20_000]
+    assert (plan[0] != plan[1])[np.searchsorted(bounds, sizes[-1], "right")] and not (plan[0] != plan[1])[np.searchsorted(bounds, 20, "right")]
+    for n in sizes:
+        pool = np.unique(rng.integers(1, 2**63, 3 * n, dtype=np.uint64))
+        rng.shuffle(pool)
+        shared = pool[:n]
+        for m in (n, 100 * n // percent):  # both of one size, or one an extension of the other
+            common_ = jaccard.least_common(n, m, percent)
+            one = np.sort(np.concatenate([shared[:common_], pool[n : n + (n - common_)]]))
+            two = np.sort(np.concatenate([shared[:common_], pool[2 * n : 2 * n + (m - common_)]]))
+            assert 100 * common_ >= percent * (n + m - common_)
+            for share in (0, 0.5, 0.9, 0.99, 1.0):
+                for popular in (shared[: int(share * common_)], np.concatenate([shared[: int(share * common_)], pool[n : n + (n - common_)]])):
+                    key, owner = jaccard.part_keys([one, two], percent, bounds, np.sort(popular))
+                    assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist()), (n, m, share)
+
+
+def test_popular_shingles_cost_no_link(spark):
+    rng = random.Random(8)
+    prose = lambda n: [f"{rng.randrange(10**9):x}" for _ in range(n)]
+    base = prose(1300)
+    rows = [(1, " ".join(base))]
+    for i in range(20):  # near copies make the base's shingles popular
+        b = list(base)
+        b[50 * i] = f"other{i}"
+        rows.append((i + 2, " ".join(b)))
+    rows.append((999, " ".join(base + prose(225))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df).collect()}
+    assert set(got.values()) == {1} and len(got) == 22
+
+
+def test_components_with_a_hot_centre(spark, monkeypatch):
+    monkeypatch.setattr(graph, "HOT", 3)
+    rng = random.Random(1)
+    edges = [(500, i) for i in range(60)] + [(i, i + 1) for i in range(100, 140)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(300, 300)]
+    up = {}
+    root = lambda a: a if up.setdefault(a, a) == a else root(up[a])
+    for a, b in edges:
+        if a != b:
+            a, b = root(a), root(b)
+            up[max(a, b)] = min(a, b)
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {a: root(a) for a in up}
+
+
+def test_null_ids_link_and_one_row_stays(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = [(None, text), (None, text + " end"), (None, text + " end"), (7, " ".join(f"v{i}" for i in range(60))), (None, " ".join(f"v{i}" for i in range(61)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df).collect() if r.n_shingles < 100)
+    assert got == [(57, 7), (58, 7)]
+    kept = jaccard.one_of_each(df).collect()
+    assert len(kept) == 2 and {r.doc_id for r in kept} == {None, 7}
+
+
 # --- toxicity ---
 
 

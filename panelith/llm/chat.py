@@ -7,8 +7,11 @@ tokens that touch a span form one run.  Masked characters are those of masked to
 Control strings (the template's and those of other chat formats) inside a role or text get a backslash after their
 first character; strings that already look so get one more, so the step can be undone and no text can forge a turn.
 
-Conversations are sorted within their partition and streamed: one longer than SEGMENT characters is rendered in
-segments cut between turns, so no task holds an unbounded conversation.
+Conversations are sorted within their partition and streamed.  The rows of one longer than SEGMENT characters are cut
+between turns, so no task holds more of it than a segment and a turn, but its ids are those of the whole: the text is
+handed to the tokenizer up to the letters of a turn's last ``<|end``, where the pre-tokenizer always cuts (no piece goes
+on from letters to signs), and the ``|>`` left over comes first in the next segment.  A tokenizer of any other kind
+encodes each conversation in one row, whatever its length.
 
 Defined cases: null text or role counts as empty; turns with equal numbers follow role, then text; a null turn comes
 first; a null conv_id is a conversation of its own; no assistant turn leaves an empty mask; an empty table gives an
@@ -91,14 +94,22 @@ def masked_texts(formatted: str, spans: list[tuple[int, int]], start: np.ndarray
 
 
 _MODELS: dict = {}
+LEFT_OVER = len("|>")
 
 
 def _model(path: str):
+    """(tokenizer, whether its pieces never go on from letters to signs), once for each Python worker."""
     if path not in _MODELS:
+        import json
+
         from tokenizers import Tokenizer
 
-        _MODELS[path] = Tokenizer.from_file(path)
-        _MODELS[path].encode_special_tokens = True
+        model = Tokenizer.from_file(path)
+        model.encode_special_tokens = True
+        with open(path) as f:
+            own = json.load(f)
+        pre = own.get("pre_tokenizer") or {}
+        _MODELS[path] = model, own.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") is True and pre.get("add_prefix_space") is False
     return _MODELS[path]
 
 
@@ -118,12 +129,13 @@ def format_conversations(turns: DataFrame, tokenizer_path: str, segment: int = S
     ship(turns.sparkSession)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = _model(tokenizer_path)
+        model, cuts = _model(tokenizer_path)
 
-        def made(conv, number, held):
+        def made(conv, number, held, more=False):
             text, spans = render(held)
-            e = model.encode(text, add_special_tokens=False)
-            offsets = np.asarray(e.offsets, np.int64).reshape(-1, 2)
+            before = "|>" if number else ""
+            e = model.encode(before + (text[:-LEFT_OVER] if more else text), add_special_tokens=False)
+            offsets = np.asarray(e.offsets, np.int64).reshape(-1, 2) - len(before)
             loss = align(spans, offsets[:, 0], offsets[:, 1])
             return {"conv_id": conv, "segment": number, "formatted": text, "spans": [x for s in spans for x in s], "token_ids": e.ids, "token_start": offsets[:, 0].tolist(), "token_end": offsets[:, 1].tolist(), "loss": loss.tolist()}
 
@@ -134,8 +146,8 @@ def format_conversations(turns: DataFrame, tokenizer_path: str, segment: int = S
                 number, held, chars = 0, [], 0
             conv, any_rows = key, True
             for role, text in zip(rows["role"], rows["text"], strict=True):
-                if chars > segment:
-                    out.append(made(conv, number, held))
+                if cuts and chars > segment:
+                    out.append(made(conv, number, held, more=True))
                     number, held, chars = number + 1, [], 0
                 held.append((role, text))
                 chars += len(text)

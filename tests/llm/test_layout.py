@@ -68,6 +68,44 @@ def test_reshard_even_under_a_hot_group(spark):
     assert again == {r.doc_id: (r.shard, r.slot) for r in resharding.reshard(docs.repartition(7), 8).collect()}
 
 
+def test_equal_texts_stay_together_and_few_bytes_move(spark):
+    rows = [(i, f"text {i % 700} " * (1 + i % 700 % 9) if i % 3 else "a third of all rows") for i in range(4000)] + [(5000 + i, "nearly a shard " * 10) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = resharding.reshard(docs, 8, 6).collect()
+    text, total = dict(rows), sum(r.size for r in got)
+    shards, weight, size = {}, Counter(), Counter()
+    for r in got:
+        shards.setdefault(text[r.doc_id], set()).add(r.shard)
+        weight[text[r.doc_id]] += r.size
+        size[r.shard] += r.size
+    assert weight["nearly a shard " * 10] > total / 8 / 50
+    for t, s in shards.items():
+        assert len(s) == 1 or weight[t] > total / 8
+    assert len(shards["a third of all rows"]) > 1 or weight["a third of all rows"] <= total / 8
+    assert max(abs(v - total / 8) for v in size.values()) < 0.02 * total / 8
+    supply = [sum(r.size for r in got if r.old_shard == i) for i in range(6)]
+    flow = resharding.min_cost_flow(supply, [total * (j + 1) // 8 - total * j // 8 for j in range(8)])
+    least = sum(v for (i, j), v in flow.items() if i != j)
+    assert sum(r.size for r in got if r.moved) <= 1.03 * least
+
+
+def test_place_blocks_against_brute_force():
+    from itertools import product
+
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        blocks = [(k, int(rng.integers(0, 2)), int(rng.integers(1, 6))) for k in range(7)]
+        room = -(-sum(b[2] for b in blocks) // 2) + 1
+        placed = dict(resharding.place_blocks(blocks, [room, room], 2))
+        load = Counter()
+        for k, _, size in blocks:
+            load[placed[k]] += size
+        assert max(load.values()) <= room + 5
+        moved = sum(size for k, i, size in blocks if placed[k] != i)
+        ways = [sum(size for j, (_, i, size) in zip(w, blocks, strict=True) if j != i) for w in product((0, 1), repeat=7) if max(sum(b[2] for j, b in zip(w, blocks, strict=True) if j == s) for s in (0, 1)) <= room]
+        assert not ways or moved <= min(ways) + 5  # a block at most
+
+
 def test_rewrite_keeps_every_row_and_untouched_shards(spark, odd_docs, no_docs, tmp_path):
     docs = odd_docs.unionByName(odd_docs.filter("doc_id is null or doc_id = 1"))
     rows = lambda df: Counter(tuple(r) for r in df.select(odd_docs.columns).collect())

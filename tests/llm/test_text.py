@@ -42,6 +42,35 @@ def test_chat(spark):
     assert chat.chat(df.limit(0), path).count() == 0
 
 
+def test_segments_hold_the_ids_of_the_whole_conversation(spark):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(11)
+    words = ["it's", "  two", "\n", "x", "|>", "<|end|>", "汉字", "é", "1984", "...", "don't ", "\t", "<|turn|>", "assistant"]
+    rows = [(c, i, rng.choice(["user", "assistant", "|", "'s", "汉"]), "".join(rng.choice(words) for _ in range(rng.randint(0, 30)))) for c in range(3) for i in range(120)]
+    df = spark.createDataFrame(rows, CHAT)
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    got = chat.format_conversations(df, path, segment=500).orderBy("conv_id", "segment").collect()
+    assert len(got) > 30
+    for c in range(3):
+        parts = [r for r in got if r.conv_id == c]
+        text = "".join(r.formatted for r in parts)
+        whole = model.encode(text, add_special_tokens=False)
+        assert [i for r in parts for i in r.token_ids] == whole.ids
+        base, offsets, loss = 0, [], []
+        for r in parts:
+            offsets += [(a + base, b + base) for a, b in zip(r.token_start, r.token_end, strict=True)]
+            loss += r.loss
+            base += len(r.formatted)
+        assert offsets == whole.offsets
+        _, spans = chat.render([(role, t) for k, _, role, t in sorted(rows) if k == c])
+        assert loss == [any(a < b and a < y and x < b for a, b in spans) for x, y in offsets]
+    other = chat.format_conversations(df, queries.tokenizer_path("word_bpe_49k.json"), segment=500)
+    assert other.count() == 3
+
+
 def test_align_matches_a_plain_scan():
     rng = random.Random(1)
     for _ in range(200):

@@ -6,14 +6,16 @@ tokens; tokens that are no anchor end there, inside the scan.  Around an anchor
 document and looked up; a hit fixes how item and document lie against each other, and the whole item is compared
 there word by word: matches count +1, substitutions -2, and the best stretch scores.
 
-A pair is reported when the best stretch reaches LEAST, or when FRACTION of the item's words match in place.
+A pair is reported when the best stretch reaches LEAST, or when FRACTION of the item's words match in place.  An item
+of fewer words than a mask spans is one seed without gaps and is found where all of its words match.
 
-Benchmark seeds are broadcast in blocks of at most BLOCK_ITEMS items (counted first), so the corpus is never shuffled
-for the search; only hits are, and they are pre-aggregated by pair.
+Benchmark seeds and texts are broadcast in blocks of about BLOCK_BYTES of text (summed first), so the corpus is never
+shuffled for the search; only hits are, and they are pre-aggregated by pair.  Seeds carry a text's hash; its words are
+broadcast once and looked up after a hit.
 
-Defined cases: null or empty text holds nothing; items of fewer than MIN_WORDS words are no evidence and are left out;
-repeated documents or items give a pair each id; empty tables give an empty result; further columns are ignored.
-Tokens are runs of letters and digits, lower-cased.
+Defined cases: null or empty text holds nothing; items of fewer than ``min_words`` words (default 0: all are searched)
+are left out; repeated documents or items give a pair each id; empty tables give an empty result; further columns are
+ignored.  Tokens are runs of letters and digits, lower-cased; a Chinese or Japanese character is a token of its own.
 """
 
 from __future__ import annotations
@@ -25,43 +27,62 @@ from .common import durable, small
 
 # The masks, as offsets of the tokens that count.
 MASKS = ((0, 1, 3, 4, 6), (0, 1, 2, 5, 6), (0, 2, 3, 6, 7))
-MIN_WORDS, LEAST, FRACTION, SUBSTITUTION, BLOCK_ITEMS = 8, 10, 0.7, -2, 4096
+LEAST, FRACTION, SUBSTITUTION, BLOCK_BYTES = 10, 0.7, -2, 4 << 20
+_ALONE = "[\\u3040-\\u30ff\\u3400-\\u4dbf\\u4e00-\\u9fff]"
 
 
 def tokens(text: str = "text") -> Column:
-    return F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^\\p{L}\\p{N}]+")
+    t = F.coalesce(F.col(text), F.lit(""))
+    t = F.when(t.rlike(_ALONE), F.regexp_replace(t, _ALONE, " $0 ")).otherwise(t)
+    return F.split(F.lower(t), "[^\\p{L}\\p{N}]+")
 
 
 def _seed_hash(words: str, at: Column, mask: tuple[int, ...]) -> Column:
     return F.xxhash64(*[F.get(F.col(words), at + k) for k in mask])
 
 
-def seeds(benchmark: DataFrame, masks: tuple = MASKS) -> DataFrame:
-    """item_id, words, place, mask, hash, anchor, off: each seed of each item with its longest token and that token's offset."""
-    items = benchmark.select("item_id", F.filter(tokens(), lambda w: w != "").alias("words")).filter(F.size("words") >= MIN_WORDS)
+def _items(benchmark: DataFrame, min_words: int) -> DataFrame:
+    """item_id, key (a hash of the words), words of each item."""
+    items = benchmark.select("item_id", F.filter(tokens(), lambda w: w != "").alias("words")).filter(F.size("words") >= max(1, min_words))
+    return items.select("item_id", F.xxhash64(F.array_join("words", " ")).alias("key"), "words")
+
+
+def seeds(texts: DataFrame, masks: dict[int, tuple[int, ...]], spaced: int) -> DataFrame:
+    """key, place, mask, hash, anchor, off: each seed of each text with its longest token and that token's offset.
+
+    The first ``spaced`` masks are for texts that are long enough; the others, by number of words, for short ones.
+    """
+    span = max(masks[m][-1] for m in range(spaced)) + 1
     per = []
-    for m, mask in enumerate(masks):
+    for m, mask in masks.items():
         last = F.size("words") - mask[-1] - 1
-        one = items.select("item_id", "words", F.explode(F.sequence(F.lit(0), last)).alias("place"))
+        own = texts.filter(F.size("words") >= span) if m < spaced else texts.filter(F.size("words") == len(mask))
+        one = own.select("key", "words", F.explode(F.sequence(F.lit(0), last)).alias("place"))
         longest = F.array_max(F.array(*[F.struct(F.length(F.get("words", F.col("place") + k)).alias("n"), F.get("words", F.col("place") + k).alias("w"), F.lit(k).alias("off")) for k in mask]))
-        per.append(one.select("item_id", "words", "place", F.lit(m).alias("mask"), _seed_hash("words", F.col("place"), mask).alias("hash"), longest["w"].alias("anchor"), longest["off"].alias("off")))
+        per.append(one.select("key", "place", F.lit(m).alias("mask"), _seed_hash("words", F.col("place"), mask).alias("hash"), longest["w"].alias("anchor"), longest["off"].alias("off")))
     out = per[0]
     for p in per[1:]:
         out = out.unionByName(p)
     return out
 
 
-def _search(docs: DataFrame, found: DataFrame, masks: tuple) -> DataFrame:
+def _search(docs: DataFrame, items: DataFrame, spaced: tuple) -> DataFrame:
+    span = max(mask[-1] for mask in spaced) + 1
+    short = [r.n for r in items.select(F.size("words").alias("n")).filter(F.col("n") < span).distinct().collect()]  # fewer than ``span`` rows
+    masks = dict(enumerate(spaced)) | {len(spaced) + n: tuple(range(n)) for n in sorted(short)}
+    texts = items.groupBy("key").agg(F.first("words").alias("words"))
+    found = seeds(texts, masks, len(spaced))
     anchors = found.groupBy("anchor").agg(F.collect_set(F.struct("mask", "off")).alias("ways"))
-    hits = found.groupBy("hash", "mask").agg(F.collect_list(F.struct("item_id", "place", "words")).alias("items"))
+    hits = found.groupBy("hash", "mask").agg(F.collect_list(F.struct("key", "place")).alias("items"))
     rows = docs.select("doc_id", tokens().alias("t")).select("doc_id", "t", F.posexplode("t").alias("pos", "token"))
     rows = rows.join(F.broadcast(anchors), F.col("token") == F.col("anchor")).select("doc_id", "t", "pos", F.explode("ways").alias("w"))
     rows = rows.select("doc_id", "t", F.col("w.mask").alias("m"), (F.col("pos") - F.col("w.off")).alias("begin")).filter("begin >= 0")
-    key = F.lit(None).cast("long")
-    for m, mask in enumerate(masks):
-        key = F.when(F.col("m") == m, _seed_hash("t", F.col("begin"), mask)).otherwise(key)
-    rows = rows.withColumn("h", key).join(F.broadcast(hits), (F.col("h") == F.col("hash")) & (F.col("m") == F.col("mask")))
-    rows = rows.select("doc_id", "t", "begin", F.explode("items").alias("i")).select("doc_id", "t", F.col("i.item_id").alias("item_id"), F.col("i.words").alias("words"), (F.col("begin") - F.col("i.place")).alias("shift"))
+    hashed = F.lit(None).cast("long")
+    for m, mask in masks.items():
+        hashed = F.when(F.col("m") == m, _seed_hash("t", F.col("begin"), mask)).otherwise(hashed)
+    rows = rows.withColumn("h", hashed).join(F.broadcast(hits), (F.col("h") == F.col("hash")) & (F.col("m") == F.col("mask")))
+    rows = rows.select("doc_id", "t", "begin", F.explode("items").alias("i")).select("doc_id", "t", F.col("i.key").alias("key"), (F.col("begin") - F.col("i.place")).alias("shift"))
+    rows = rows.join(F.broadcast(texts), "key")
     zero = F.struct(F.lit(0).alias("k"), F.lit(0).alias("run"), F.lit(0).alias("best"), F.lit(0).alias("same"))
 
     def step(s: Column, w: Column) -> Column:
@@ -70,18 +91,19 @@ def _search(docs: DataFrame, found: DataFrame, masks: tuple) -> DataFrame:
         run = F.greatest(F.lit(0), s["run"] + F.when(same, 1).otherwise(SUBSTITUTION))
         return F.struct((s["k"] + 1).alias("k"), run.alias("run"), F.greatest(s["best"], run).alias("best"), (s["same"] + same.cast("int")).alias("same"))
 
-    rows = rows.withColumn("v", F.aggregate("words", zero, step)).select("doc_id", "item_id", F.size("words").alias("item_words"), F.col("v.best").alias("best"), F.col("v.same").alias("same"))
-    rows = rows.filter((F.col("best") >= LEAST) | (F.col("same") >= FRACTION * F.col("item_words")))
-    return rows.groupBy("doc_id", "item_id").agg(F.max("item_words").alias("item_words"), F.max("same").alias("matched_words"), F.max("best").alias("best_stretch"))
+    rows = rows.withColumn("v", F.aggregate("words", zero, step)).select("doc_id", "key", F.size("words").alias("item_words"), F.col("v.best").alias("best"), F.col("v.same").alias("same"))
+    enough = F.when(F.col("item_words") < span, F.col("same") == F.col("item_words")).otherwise((F.col("best") >= LEAST) | (F.col("same") >= FRACTION * F.col("item_words")))
+    rows = rows.filter(enough).groupBy("doc_id", "key").agg(F.max("item_words").alias("item_words"), F.max("same").alias("matched_words"), F.max("best").alias("best_stretch"))
+    return rows.join(F.broadcast(items.select("key", "item_id").distinct()), "key").select("doc_id", "item_id", "item_words", "matched_words", "best_stretch")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple = MASKS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple = MASKS, min_words: int = 0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, item_words, matched_words, best_stretch of each pair of a document and an item found in it."""
-    blocks = max(1, -(-benchmark.count() // block_items))
-    out = None
+    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
+    blocks = max(1, -(-size // block_bytes))
+    items, out = _items(benchmark, min_words), None
     for b in range(blocks):
-        some = benchmark if blocks == 1 else benchmark.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        part = _search(docs, seeds(some, masks), masks)
+        part = _search(docs, items if blocks == 1 else items.filter(F.pmod("key", F.lit(blocks)) == b), masks)
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -42,8 +42,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan, _ = mixing.draw(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.write(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), f"{shared_dir(spark)}/mix-{uuid.uuid4().hex}")
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ feature in toxic against clean documents, from one part of the training sample;
 document's distinct words enter a logistic model that is fitted on the other part.
 
 The classifier is fitted on at most ``most_toxic`` + ``most_clean`` labelled training rows, taken by the order of a hash
-of doc_id; near copies among them (equal least 4-word shingle) count once.  Everything else covers all documents.
+of doc_id; of near copies among them (equal least 4-word shingle) the one of least doc_id counts.  It has weights for
+the ``most_features`` features that occur in most of the toxic ones.  Everything else covers all documents.
 
 Defined cases: null text is empty, an empty text has the score of a text without any signal; without labelled rows of
 both classes every score is 0; repeated rows are scored alike; an empty table gives an empty result; columns other than
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import _LOWER, by_bytes, durable, hash_spans, pieces, ship, utf8
@@ -120,9 +121,9 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
 
 def reading(word: str, model: list[float]) -> tuple[float, str]:
     """(cost, text) of the reading of least cost: channel plus character model (flat); states are the last two symbols."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}  # a text is a chain: (all before, last piece)
     for ways in lattice(word.lower()):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (cost, text) in states.items():
             for emitted, channel in ways:
                 x, y, total = a, b, cost + channel
@@ -131,9 +132,15 @@ def reading(word: str, model: list[float]) -> tuple[float, str]:
                     total += model[(x * SYMBOLS + y) * SYMBOLS + s]
                     x, y = y, s
                 if total < after.get((x, y), (np.inf,))[0]:
-                    after[x, y] = (total, text + emitted)
+                    after[x, y] = (total, (text, emitted))
         states = after
-    return min((cost + model[(a * SYMBOLS + b) * SYMBOLS], text) for (a, b), (cost, text) in states.items())
+    ends = {state: cost + model[(state[0] * SYMBOLS + state[1]) * SYMBOLS] for state, (cost, _) in states.items()}
+    best = min(ends, key=lambda state: (ends[state], state))
+    pieces_, chain = [], states[best][1]
+    while chain is not None:
+        chain, piece = chain
+        pieces_.append(piece)
+    return ends[best], "".join(reversed(pieces_))
 
 
 def decode(word: str, model: np.ndarray) -> str:
@@ -302,7 +309,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return beta
 
 
-def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int = TOXIC_ROWS, most_clean: int = CLEAN_ROWS) -> tuple[Weights, np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int = TOXIC_ROWS, most_clean: int = CLEAN_ROWS, most_features: int = FEATURES) -> tuple[Weights, np.ndarray]:
     """Feature weights and the logistic model on top of them."""
     spark = docs.sparkSession
     ship(spark)
@@ -318,7 +325,8 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int =
             least = np.fromiter((int(s[0].view(np.int64)) if len(s) else 0 for s in sets), np.int64, len(sets))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(least)], names=["doc_id", "toxic", "text", "least"])
 
-    rows = rows.mapInArrow(mark, "doc_id long, toxic int, text string, least long").dropDuplicates(["least"])
+    one = Window.partitionBy("least").orderBy("doc_id", "toxic", "text")
+    rows = rows.mapInArrow(mark, "doc_id long, toxic int, text string, least long").withColumn("rank", F.row_number().over(one)).filter("rank = 1")
     rows = durable(rows.select("doc_id", "toxic", "text", (F.pmod(F.xxhash64("least"), F.lit(FOLDS)) < 3).alias("check")), "toxic-sample")
 
     def restored(batch: pa.RecordBatch, restorer: Restorer) -> pa.Array:
@@ -334,7 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int =
 
     learn = rows.filter("not check")
     positive = learn.filter("toxic = 1").mapInArrow(toxic_features, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCS)
-    positive = positive.orderBy(F.desc("n"), "key").limit(FEATURES).toPandas()
+    positive = positive.orderBy(F.desc("n"), "key").limit(most_features).toPandas()
     keys = positive["key"].to_numpy(np.int64).view(np.uint64)
     index = Weights(keys, positive["n"].to_numpy(float))
 
@@ -375,11 +383,11 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray, most_toxic: int =
     return weights, beta
 
 
-def score(docs: DataFrame, labels: DataFrame, most_toxic: int = TOXIC_ROWS, most_clean: int = CLEAN_ROWS) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, most_toxic: int = TOXIC_ROWS, most_clean: int = CLEAN_ROWS, most_features: int = FEATURES) -> DataFrame:
     """doc_id, score of each row of ``docs``."""
     ship(docs.sparkSession)
     model = language_model(docs)
-    weights, beta = fit(docs, labels, model, most_toxic, most_clean)
+    weights, beta = fit(docs, labels, model, most_toxic, most_clean, most_features)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from panelith.llm import exact_dedup, mixing, queries, resharding, tokens
 
@@ -194,6 +195,31 @@ def test_mixing_odd(spark, odd_docs, no_docs):
     assert mixing.draw(no_docs)[0].count() == 0 and mixing.mixed(no_docs).count() == 0
 
 
+def test_mix_files_hold_what_the_tree_gave(spark, tmp_path, odd_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 64)
+    rows = [(i if i % 50 else None, f"{i} " + "w " * (i % 30), "abc"[i % 3] if i % 7 else None) for i in range(6000)]
+    docs = spark.createDataFrame([*rows, *rows[:5], *rows[:5]], "doc_id long, text string, source string")
+    path = f"file://{tmp_path}/mix"
+    got = mixing.write(docs, path).collect()
+    plan, units = mixing.draw(docs)
+    assert len(got) == docs.count() and all(r.taken == r.size * len(r.shards) <= 3 * r.size for r in got)
+    assert sum(r.taken for r in got) == sum(r.taken for r in plan.collect())
+    files = spark.read.parquet(path)
+    size = Counter()
+    for r in files.collect():
+        size[r.mix_shard] += len(r.text.split())
+    assert len(size) == 16 and sum(size.values()) == sum(r.taken for r in got)
+    have = Counter((r.name, r.shard) for r in units.collect())
+    names = sorted({n for n, _ in have})
+    tree = mixing.split_tree([sum(v for (n, _), v in have.items() if n == name) for name in names], 16, 7)
+    assert all(have[name, k] == tree[k][j] for k in range(16) for j, name in enumerate(names))
+    for f in (tmp_path / "mix").glob("*/*.parquet"):
+        order = [r.mix_order for r in spark.read.parquet(f"file://{f}").collect()]
+        assert order == sorted(order)
+    mixed = mixing.mixed(odd_docs.withColumn("mix_row", F.lit(1)).withColumn("mix_shard", F.lit(99)))
+    assert set(mixed.columns) == {*odd_docs.columns, "mix_row", "mix_shard", "mix_order"} and mixed.filter("mix_shard = 99").isEmpty()
+
+
 def test_split_tree_is_exact():
     out = np.array(mixing.split_tree([100, 7, 0], 5, 1))
     assert out.sum(0).tolist() == [100, 7, 0] and max(out.sum(1)) - min(out.sum(1)) <= 1

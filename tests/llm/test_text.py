@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -134,12 +135,56 @@ def test_decontaminate(spark, odd_docs, no_docs, words):
     bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items] + [(90, None), (91, ""), (92, "too short"), (None, "x " * 9)], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
     assert got == want
-    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, block_items=7).collect()} == want
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, block_bytes=900).collect()} == want
     kept = decontaminate.clean(odd_docs, bench)
     assert kept.count() == odd_docs.count() and kept.columns == odd_docs.columns
     assert decontaminate.contaminated(no_docs, bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def brute_contaminated(docs, items):
+    """All shifts of all items against all documents, word by word."""
+    split = lambda t: [w for w in re.split(r"[\W_]+", re.sub("([\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff])", r" \1 ", t or "").lower()) if w]
+    out = set()
+    for d, text in docs:
+        t = split(text)
+        for i, item in items:
+            w = split(item)
+            for shift in range(-len(w) + 1, len(t)):
+                run = best = same = 0
+                for k in range(max(0, -shift), min(len(w), len(t) - shift)):
+                    hit = w[k] == t[shift + k]
+                    run, same = max(0, run + (1 if hit else -2)), same + hit
+                    best = max(best, run)
+                if same == len(w) if len(w) < 8 else best >= 10 or same >= 0.7 * len(w):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_decontaminate_against_brute_force(spark, words):
+    rng = random.Random(31)
+    prose = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [(i, prose(rng.randint(9, 30))) for i in range(20)] + [(100, ["short", "item", "whole"]), (101, ["alone"]), (102, prose(7)), (103, list("汉字测试文本很长一点"))]
+    docs = []
+    for i in range(120):
+        body, (_, item) = prose(60), rng.choice(items)
+        some = list(item)
+        for _ in range(rng.choice([0, 0, 1, 2, 3, 5])):
+            some[rng.randrange(len(some))] = rng.choice(words)
+        a = rng.choice([0, 0, 0, len(some) // 3])
+        at = rng.randint(0, 60)
+        body[at:at] = some[a:]
+        docs.append((i, (" " if item[0] != "汉" else "").join(body) if item[0] == "汉" and i % 2 else " ".join(body)))
+    text = [(i, ("" if w[0] == "汉" else " ").join(w)) for i, w in items]
+    want = brute_contaminated(docs, text)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(text, "item_id long, text string")).collect()}
+    assert got <= want and len(got) >= 0.97 * len(want) and {i for _, i in want} >= {100, 101, 103}
+    exact = {(d, i) for d, i in want if dict(text)[i] in dict(docs)[d]}
+    assert exact <= got
+    longer = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(text, "item_id long, text string"), min_words=8)
+    assert {(r.doc_id, r.item_id) for r in longer.collect()} == {(d, i) for d, i in got if i not in (100, 101, 102)}
+
+
 # --- Jaccard ---
 
 
@@ -328,6 +373,46 @@ def test_every_disguise_of_the_lattice_is_decoded(spark, word):
         assert r.text(plain) == plain
 
 
+def test_viterbi_against_all_paths(spark):
+    from itertools import product
+
+    text = "the idiot moron loser trash stupid worthless clown and some other plain words of the text " * 20
+    model = toxicity.language_model(spark.createDataFrame([(text,)], "text string"))
+    flat = model.ravel().tolist()
+    rng = random.Random(7)
+
+    def cost(ways):
+        total, s = sum(c for _, c in ways), [0, 0, *(toxicity._symbol(c) for t, _ in ways for c in t), 0]
+        return total + sum(model[a, b, c] for a, b, c in zip(s, s[1:], s[2:], strict=False))
+
+    for _ in range(150):
+        word = "".join(rng.choice("aaabcdeilorst10!@$|. -") for _ in range(rng.randint(1, 9)))
+        paths = list(product(*toxicity.lattice(word)))
+        found, read = toxicity.reading(word, flat)
+        assert found == pytest.approx(min(map(cost, paths)), abs=1e-9)
+        assert any("".join(t for t, _ in w) == read and cost(w) == pytest.approx(found, abs=1e-9) for w in paths)
+    began = time.process_time()
+    toxicity.reading("ab1" * 20_000, flat)
+    once = time.process_time() - began
+    toxicity.reading("ab1" * 80_000, flat)
+    assert time.process_time() - began < 12 * once + 1  # in proportion to the length
+
+
+def test_signals_against_brute_force():
+    rng = random.Random(3)
+    vocab = [f"{a}{b}" for a in ("rotten", "vile", "nice", "plain", "odd") for b in ("", "ly", "ness", "est", "x")]
+    rows = [" ".join(rng.choice(vocab) for _ in range(rng.randint(0, 12))) for _ in range(80)] + [None, "", "?!"]
+    key = lambda w: int(toxicity.word_features(pa.array([w]))[1][0, 0])
+    near = lambda w: [int(f) for f in toxicity.word_features(pa.array([w]))[1][0] if f]
+    weighed = {f: rng.uniform(2, 9) for w in ("rottenness", "vile", "oddest") for f in near(w)}
+    made = toxicity.Weights(np.array(list(weighed), np.uint64), np.array(list(weighed.values())))
+    got = made.signals(pa.array(rows, pa.string()))
+    for r, (a, b) in zip(rows, got.tolist(), strict=True):
+        best = {key(w): max((weighed[f] for f in near(w) if f in weighed), default=None) for w in (r or "").split() if re.search(r"\w", w)}
+        top = sorted((v for v in best.values() if v is not None), reverse=True) + [0, 0]
+        assert (a, b) == (top[0], top[1])
+
+
 # --- language model ---
 
 
@@ -468,3 +553,32 @@ def test_pipeline_stages(spark, odd_docs):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf)
         assert empty.count() == 0
+
+
+def test_pipeline_against_brute_force(spark):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    sf = "/root/testdata/sf0.001"
+    docs = common.table(spark, sf, "documents")
+    rows = lambda df: [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    stage = dict(corpus_pipeline.STAGES)
+    kept = common.durable(stage["toxicity"](spark, docs, sf), "test")
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, common.table(spark, sf, "labels")).collect()}
+    assert {d for d, _ in rows(kept)} == {d for d, p in scores.items() if p < 0.5} and 0 < kept.count() <= docs.count()
+    once = common.durable(stage["near-copies"](spark, kept, sf), "test")
+    of = brute_components(rows(kept), 5, 80)
+    assert sorted(d for d, _ in rows(once)) == sorted({c for _, c in of.values()})
+    fresh = common.durable(stage["benchmark"](spark, once, sf), "test")
+    items = [(r.item_id, r.text) for r in common.table(spark, sf, "benchmark").collect()]
+    assert {d for d, _ in rows(once)} - {d for d, _ in rows(fresh)} == {d for d, _ in brute_contaminated(rows(once), items)}
+    mix = common.durable(stage["mixing"](spark, fresh, sf), "test")
+    text = dict(rows(fresh))
+    times = Counter(rows(mix))
+    assert all(text[d] == t and n <= 3 for (d, t), n in times.items())
+    ids = stage["token-ids"](spark, mix, sf).orderBy("start").collect()
+    model, at = Tokenizer.from_file(queries.tokenizer_path("word_bpe_49k.json")), 0
+    for r, (d, t) in zip(ids, sorted(rows(mix)), strict=True):
+        own = np.array([*model.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d, at, len(own), zlib.crc32(own.tobytes()))
+        at += len(own)

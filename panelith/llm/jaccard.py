@@ -17,7 +17,8 @@ Equal sets are one set from the start.  The rest follows their size:
 
 The border x has the least total cost over the sizes found in the table.
 
-A family larger than a block is cut into blocks that meet pairwise in separate tasks, so memory stays bounded.
+A family larger than a block is cut by size class, and a class into blocks that meet pairwise, and those of the next
+class, in separate tasks, so memory stays bounded; the work grows with the square of a class of one family in blocks.
 
 Defined cases: null or empty text has the empty set, links with nothing and is its own component; fewer words than a
 shingle count as one shingle; equal texts and repeated rows fall together; rows with a null doc_id link like others and
@@ -41,7 +42,7 @@ from .common import by_bytes, durable, mix64, ship, small, word_hashes
 from .graph import components
 
 SPARE, CERTAIN, EMPTY, LIST_COST, BLOCK_SETS, BLOCK_SHINGLES = 3, 36, 1 / 8, 4, 1024, 1 << 20
-POPULAR, POPULAR_LOCAL = 1 << 17, 16
+POPULAR, POPULAR_LOCAL = 1 << 17, 3
 _SLOT = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -249,7 +250,7 @@ def forest_of_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int
     return out
 
 
-def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, h (a hash of the text), n, root (a set of its component, null for the empty set) for each row of ``docs``."""
     spark = docs.sparkSession
     ship(spark)
@@ -258,7 +259,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "h", "n", "sid", "shingle", "times"]
         for batch in by_bytes(batches, 2):
-            sets = shingle_sets(batch.column(2), k)
+            sets = shingle_sets(batch.column(2), words)
             n = len(sets)
             none = pa.nulls(n, pa.int64())
             sids = np.fromiter(map(set_id, sets), np.int64, n)
@@ -284,7 +285,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
         seen: set[int] = set()
         for batch in by_bytes(batches, 2):
             keys, owners, sizes, asked, heavy, heavy_sid = [], [], [], [], [], []
-            for s in shingle_sets(batch.column(2), k):
+            for s in shingle_sets(batch.column(2), words):
                 n, sid = len(s), set_id(s)
                 if not n or sid in seen:  # copies of a set post once
                     continue
@@ -315,12 +316,34 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     members = distinct.join(families.withColumnRenamed("node", "sid"), "sid").select(F.col("row.doc_id").alias("d"), F.col("row.h").alias("e"), "sid", "n", F.col("root").alias("family"))
     members = durable(members, "jaccard-members")
+    # A family that fits a block is one task.  A larger one is parted by size class, as links do not go beyond the next one, and classes into blocks.
     totals = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    members = members.join(totals.select("family", blocks.alias("blocks")), "family").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    large = (F.col("sets") > BLOCK_SETS) | (F.col("shingles") > BLOCK_SHINGLES)
+    kind = F.size(F.filter(F.array(*[F.lit(int(v)) for v in bounds]), lambda v: v <= F.col("n")))
+    members = members.join(totals.select("family", large.alias("large")), "family").withColumn("kind", F.when(F.col("large"), kind).otherwise(0)).drop("large")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    rising = Window.partitionBy("family").orderBy("kind")
+    kinds = members.groupBy("family", "kind").agg(blocks)
+    for name, at in (("below", F.lag), ("above", F.lead)):
+        kinds = kinds.withColumn(name, F.when(F.abs(at("kind").over(rising) - F.col("kind")) == 1, at("blocks").over(rising)).otherwise(0))
+    members = members.join(kinds, ["family", "kind"]).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     full = texts.join(small(members, 400_000), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("e")))
-    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    full = full.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "sid", "text").repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "sid")
+
+    def upto(n: str):
+        return F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def task(c, i, c2, j):
+        return F.struct(c.alias("c"), i.alias("i"), c2.alias("c2"), j.alias("j"))
+
+    k, own = F.col("kind"), F.col("block")
+    tasks = F.concat(
+        F.transform(upto("blocks"), lambda j: task(k, F.least(own, j), k, F.greatest(own, j))),
+        F.transform(upto("above"), lambda j: task(k, own, k + 1, j)),
+        F.transform(upto("below"), lambda j: task(k - 1, j, k, own)),
+    )
+    where = ["family", "c", "i", "c2", "j"]
+    full = full.select("family", "sid", "text", F.explode(tasks).alias("t")).select("family", "t.*", "sid", "text")
+    full = full.repartition(*where).sortWithinPartitions(*where, "sid")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, held = None, [], []
@@ -329,9 +352,9 @@ def _linked(docs: DataFrame, k: int, percent: int) -> DataFrame:
             made = forest_of_links(held, percent)
             return _table(["a", "b"], np.asarray([ids[a] for a, _ in made], np.int64), np.asarray([ids[b] for _, b in made], np.int64))
 
-        for batch in by_bytes(batches, 4):
-            fam, i, j, sid = (batch.column(c).to_pylist() for c in range(4))
-            for now, own, s in zip(zip(fam, i, j, strict=True), sid, shingle_sets(batch.column(4), k), strict=True):
+        for batch in by_bytes(batches, 6):
+            *place, sid = (batch.column(c).to_pylist() for c in range(6))
+            for now, own, s in zip(zip(*place, strict=True), sid, shingle_sets(batch.column(6), words), strict=True):
                 if set_id(s) != own or (now == key and ids and ids[-1] == own):  # a repeated row
                     continue
                 if now != key:

@@ -32,9 +32,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _LOWER, by_bytes, hash_spans, pieces, ship, small, utf8, word_bounds
+from .common import _LOWER, by_bytes, hash_spans, pieces, release, ship, small, utf8, word_bounds
 
-END_ID, BLOCK_IDS, STEP_BYTES, JOINED = 2, 1 << 20, 8 << 20, 512
+END_ID, BLOCK_IDS, STEP_BYTES, JOINED = 2, 1 << 20, 4 << 20, 512
 FIRST_RULE, RULES, LEAST, PAIR_BITS = 1 << 17, 1024, 24, 19
 
 BLOCK_SCHEMA = "part int, seq int, first_doc_id long, null_ids int, n_ids long, doc_ids binary, lens binary, left binary, right binary, sizes binary, levels binary, codes binary, ends binary"
@@ -196,8 +196,8 @@ def tokenizer(path: str):
 def _encode_joined(model, ends: np.ndarray, chunks: list[str], one: bool) -> tuple[np.ndarray, np.ndarray]:
     """(ids, ids of each chunk) of chunks that are encoded joined by spaces.  one: each is a single piece for the tokenizer."""
     ids, lens = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-    for k in range(0, len(chunks), JOINED * 64):
-        groups = [chunks[j : j + JOINED] for j in range(k, min(len(chunks), k + JOINED * 64), JOINED)]
+    for k in range(0, len(chunks), JOINED * 16):
+        groups = [chunks[j : j + JOINED] for j in range(k, min(len(chunks), k + JOINED * 16), JOINED)]
         texts = [" ".join(g) for g in groups]
         for some, text, e in zip(groups, texts, (model.encode_batch_fast if one else model.encode_batch)(texts, add_special_tokens=False), strict=True):
             own = np.asarray(e.ids, np.int32)
@@ -331,6 +331,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
             del ids
         if held:
             yield block()
+        release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(encode, BLOCK_SCHEMA).write.parquet(path)

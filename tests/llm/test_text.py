@@ -242,6 +242,14 @@ def test_jaccard_blocks_and_odd(spark, odd_docs, no_docs, words, monkeypatch):
         rows.append((i, " ".join(b)))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_components(rows, 4, 85)
+    rows = []
+    for size in range(30, 60):  # a family that spans several size classes, each of several blocks
+        for i in range(4):
+            b = base[:size]
+            b[rng.randrange(size)] = f"other{size}x{i}"
+            rows.append((1000 + size * 4 + i, " ".join(b)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows, 4, 85)
     kept = jaccard.one_of_each(odd_docs)
     assert kept.columns == odd_docs.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 3, 4, 5, 7, 8, 9, None])

@@ -16,19 +16,20 @@ STRONGER, NOT_WORSE = 0.5, 0.3
 
 def _unit(seed: int, salt: int) -> Column:
     """A number in (0, 1) that depends on run, date and code alone."""
-    h = F.xxhash64(F.lit(seed), F.lit(salt), "run_id", "trade_date", "ts_code")
-    return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / float(1 << 53)
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(str(salt)), *[F.col(c).cast("string") for c in ("run_id", "trade_date", "ts_code")]).cast("binary"))
+    return (F.conv(F.substring(h, 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(1 << 52)
 
 
-def noise_factors(df: DataFrame, factor: str, repeats: int = 10, seed: int = 20260607, names: Sequence[str] = NOISE) -> DataFrame:
+def noise_factors(df: DataFrame, factor: str, repeats: int = 10, seed: int = 20260607, names: Sequence[str] = NOISE, keys: Sequence[str] = ()) -> DataFrame:
     """Rows of ``df`` for each noise run: baseline_name, run_id and a noise value in ``factor``.
 
     Normal and uniform noise stands where the factor has a value; the shuffle moves all of a date's values (NULLs too)
-    by joining its rows ranked by code with its rows ranked by hash.
+    by joining its rows ranked by code with its rows ranked by hash.  ``keys``: factors that are shuffled each for itself.
     """
     runs = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
     out = None
-    for k, name in enumerate(names):
+    for name in names:
+        k = NOISE.index(name)
         one = df.withColumn("baseline_name", F.lit(name)).withColumn("run_id", runs)
         if name == "random_normal":
             value = F.sqrt(-2 * F.ln(_unit(seed, k))) * F.cos(2 * F.pi() * _unit(seed, k + 100))
@@ -36,10 +37,10 @@ def noise_factors(df: DataFrame, factor: str, repeats: int = 10, seed: int = 202
         elif name == "random_uniform":
             one = one.withColumn(factor, F.when(F.col(factor).isNotNull(), 2 * _unit(seed, k) - 1))
         elif name == "random_by_date_shuffle":
-            w = Window.partitionBy("run_id", "trade_date")
+            w = Window.partitionBy(*keys, "run_id", "trade_date")
             left = one.withColumn("_i", F.row_number().over(w.orderBy("ts_code")))
-            right = one.select("run_id", "trade_date", F.row_number().over(w.orderBy(_unit(seed, k), "ts_code")).alias("_i"), F.col(factor).alias("_v"))
-            one = left.join(right, ["run_id", "trade_date", "_i"]).withColumn(factor, F.col("_v")).select(*one.columns)
+            right = one.select(*keys, "run_id", "trade_date", F.row_number().over(w.orderBy(_unit(seed, k), "ts_code")).alias("_i"), F.col(factor).alias("_v"))
+            one = left.join(right, [*keys, "run_id", "trade_date", "_i"]).withColumn(factor, F.col("_v")).select(*one.columns)
         else:
             raise ValueError(f"unknown noise: {name}")
         out = one if out is None else out.unionByName(one)

@@ -204,7 +204,7 @@ def top_backtest(df: DataFrame, label: str, top: int = 5, step: int = 5, keys: K
     lag over each name's own rebalances, without sets or a self-join.
     """
     src = df.filter((F.col("quantile") == top) & F.col(label).isNotNull())
-    src = src.withColumn("_d", F.dense_rank().over(Window.partitionBy(*keys).orderBy(DATE)) - 1) if keys else _dated(src)
+    src = _dated(src, keys)
     src = src.filter(F.col("_d") % step == 0).withColumn("_r", (F.col("_d") / step).cast("long"))
     kept = F.lag("_r").over(Window.partitionBy(*keys, "ts_code").orderBy("_r")) == F.col("_r") - 1
     gross = F.avg(label) if weight is None else ratio(F.sum(F.col(label) * F.col(weight)), F.sum(weight))
@@ -215,10 +215,10 @@ def top_backtest(df: DataFrame, label: str, top: int = 5, step: int = 5, keys: K
     return g.withColumn("drawdown", ratio(F.col("net_equity"), F.max("net_equity").over(w)) - 1).drop("_r")
 
 
-def _dated(df: DataFrame) -> DataFrame:
-    """``df`` with the index of its date: dates are numbered apart and joined back, so rows never meet in one task."""
-    dates = df.select(DATE).distinct()
-    return df.join(F.broadcast(dates.withColumn("_d", F.row_number().over(Window.orderBy(DATE)) - 1)), DATE)
+def _dated(df: DataFrame, keys: Keys = ()) -> DataFrame:
+    """``df`` with the index of its date (for each of ``keys``): dates are numbered apart and joined back, so rows never meet in one task."""
+    dates = df.select(*keys, DATE).distinct().withColumn("_d", F.row_number().over(Window.partitionBy(*keys).orderBy(DATE)) - 1)
+    return df.join(dates if keys else F.broadcast(dates), [*keys, DATE])
 
 
 def top_summary(backtest: DataFrame, keys: Keys = ()) -> DataFrame:
@@ -241,7 +241,7 @@ def geometric_summary(backtest: DataFrame, step: int = 5, keys: Keys = ()) -> Da
 def turnover(df: DataFrame, keys: Keys = ()) -> DataFrame:
     """By date and bucket: 1 minus the share of its names that were in it on the date before."""
     d = df.filter(F.col("quantile").isNotNull())
-    d = d.withColumn("_d", F.dense_rank().over(Window.partitionBy(*keys).orderBy(DATE)) - 1) if keys else _dated(d)
+    d = _dated(d, keys)
     w = Window.partitionBy(*keys, "ts_code").orderBy("_d")
     kept = (F.lag("quantile").over(w) == F.col("quantile")) & (F.lag("_d").over(w) == F.col("_d") - 1)
     return d.withColumn("_k", F.coalesce(kept, F.lit(False)).cast("long")).groupBy(*keys, DATE, "_d", "quantile").agg((1 - F.sum("_k") / F.count("*")).alias("turnover")).filter("_d > 0").drop("_d")
@@ -253,10 +253,10 @@ def turnover_summary(by_date: DataFrame, keys: Keys = ()) -> DataFrame:
 
 def autocorrelation(df: DataFrame, factor: str, max_lag: int = 5, keys: Keys = (), least: int = 10) -> DataFrame:
     """By date and lag: rank correlation of the factor with itself lag dates before, over codes on both dates."""
-    d = df.select(*keys, DATE, "ts_code", factor)
-    d = d.withColumn("_d", F.dense_rank().over(Window.partitionBy(*keys).orderBy(DATE)) - 1) if keys else _dated(d)
-    ahead = d.select(*keys, "ts_code", F.col(factor).alias("_p"), F.explode(F.sequence(F.lit(1), F.lit(max_lag))).alias("lag"), "_d").withColumn("_d", F.col("_d") + F.col("lag"))
-    both = d.join(ahead, [*keys, "ts_code", "_d"])
+    d = _dated(df.select(*keys, DATE, "ts_code", factor), keys)
+    w = Window.partitionBy(*keys, "ts_code").orderBy("_d")  # one sort by code serves all lags
+    before = F.array(*[F.struct(F.lit(k).alias("lag"), F.max(factor).over(w.rangeBetween(-k, -k)).alias("_p")) for k in range(1, max_lag + 1)])
+    both = d.withColumn("_l", before).select(*keys, DATE, "ts_code", factor, F.explode("_l").alias("_l")).select(*keys, DATE, "ts_code", factor, "_l.*")
     by = [*keys, "lag", DATE]
     ok = both.filter(F.col(factor).isNotNull() & F.col("_p").isNotNull())
     ok = ok.withColumn("_a", average_rank(F.col(factor), by, factor)).withColumn("_b", average_rank(F.col("_p"), by, "_p"))

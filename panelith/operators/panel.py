@@ -38,10 +38,11 @@ def interval_join(panel: DataFrame, history: DataFrame, columns: Sequence[str],
     holds = (F.col("trade_date") >= F.col("in_date")) & (F.coalesce(F.col("out_date"), F.lit("")).isin("") | (F.col("trade_date") < F.col("out_date")))
     if not narrow:
         return panel.join(h, (F.col("ts_code") == F.col("h_code")) & holds, "left")
-    last = F.year(F.current_date()) + 1
-    end = F.when(F.coalesce(F.col("out_date"), F.lit("")) == "", last).otherwise(F.substring("out_date", 1, 4).cast("int"))
-    begin = F.substring("in_date", 1, 4).cast("int")
-    h = h.withColumn("h_year", F.explode(F.sequence(begin, F.greatest(begin, end))))
+    span = panel.select(F.substring("trade_date", 1, 4).cast("int").alias("y")).agg(F.min("y").alias("first"), F.max("y").alias("last")).first()
+    first, last = F.lit(span["first"] or 0), F.lit(span["last"] or 0)  # intervals matter inside the panel's years only
+    year = lambda c: F.expr(f"try_cast(substring({c}, 1, 4) AS int)")
+    begin, end = F.greatest(first, F.coalesce(year("in_date"), first)), F.least(last, F.coalesce(year("out_date"), last))
+    h = h.withColumn("h_year", F.explode(F.when(begin <= end, F.sequence(begin, end)).otherwise(F.array().cast("array<int>"))))
     return panel.join(h, (F.col("ts_code") == F.col("h_code")) & (F.substring("trade_date", 1, 4).cast("int") == F.col("h_year")) & holds, "left").drop("h_year")
 
 

@@ -35,8 +35,8 @@ panel AS (SELECT '3' || lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS ts_code, str
     FROM pb)"""
 
 CALENDAR = """
-cal AS (SELECT strftime(day, '%Y%m%d') AS cal_date, CASE WHEN month_no % 29 = 0 THEN '0' ELSE '1' END AS is_open, month_no, day
-    FROM (SELECT CAST(DATE '1995-01-01' + to_months(CAST(i AS INTEGER)) AS DATE) AS day, i AS month_no FROM range(83) t(i)))"""
+cal AS (SELECT strftime(day, '%Y%m%d') AS cal_date, CASE WHEN month_no % 29 = 0 THEN '0' ELSE '1' END AS is_open, month_no, day, row_count
+    FROM (SELECT day, (year(day) - 1995) * 12 + month(day) - 1 AS month_no, row_count FROM (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS day, count(*) AS row_count FROM lineitem GROUP BY 1)))"""
 
 DAILY = """
 daily AS (SELECT ts_code, trade_date, open, CASE WHEN key * month_no % 101 = 1 THEN low ELSE high END AS high, CASE WHEN key * month_no % 101 = 1 THEN high ELSE low END AS low, close, pre_close, pct_chg, vol, amount FROM panel)"""
@@ -54,7 +54,7 @@ weights AS (SELECT 'TOP' AS index_code, ts_code, ts_code AS con_code, trade_date
     (SELECT *, row_number() OVER (PARTITION BY day ORDER BY amount DESC, ts_code) AS r, count(*) OVER (PARTITION BY day) AS n FROM panel WHERE month_no % 3 = 0) WHERE r <= 0.3 * n)"""
 
 LOG = """
-log AS (SELECT endpoint, cal_date AS trade_date, CASE WHEN month_no % 17 = 0 THEN 'failed' ELSE 'success' END AS status
+log AS (SELECT endpoint, cal_date AS trade_date, CASE WHEN month_no % 17 = 0 THEN 'failed' ELSE 'success' END AS status, row_count
     FROM cal, (SELECT unnest(['daily', 'adj_factor', 'daily_basic', 'suspend_d', 'stk_limit']) AS endpoint))"""
 
 _OK = "(NOT is_suspended AND total_mv > 0 AND amount >= 1000.0 AND listed_trade_days >= 84 AND listed_trade_days > 28 AND is_main_board AND NOT is_st)"

@@ -109,26 +109,43 @@ def _(spark, sf):
 
 @query("a12_ledger_latest", f"{O.CALENDAR},{O.LOG}", "SELECT endpoint, trade_date, CASE WHEN status = 'failed' THEN 'retried' ELSE status END AS status FROM log")
 def _(spark, sf):
-    log = adapters.ingest_log(spark).withColumn("finished_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    log = adapters.ingest_log(spark, sf).withColumn("finished_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     again = log.filter("status = 'failed'").withColumn("status", F.lit("retried")).withColumn("finished_at", F.lit("2024-01-02 00:00:00").cast("timestamp"))
     return store.latest(log.unionByName(again), ["endpoint", "trade_date"], "finished_at").select("endpoint", "trade_date", "status")
 
 
 @query("a14_load_plan", f"{O.CALENDAR},{O.LOG}", "SELECT c.cal_date AS trade_date, l.endpoint FROM cal c JOIN log l ON l.trade_date = c.cal_date WHERE is_open = '1' AND status <> 'success'")
 def _(spark, sf):
-    dates = quality.expected_dates(adapters.calendar(spark))
-    return store.load_plan(dates, quality.ENDPOINTS, adapters.ingest_log(spark).filter("status = 'success'"))
+    dates = quality.expected_dates(adapters.calendar(spark, sf))
+    return store.load_plan(dates, quality.ENDPOINTS, adapters.ingest_log(spark, sf).filter("status = 'success'"))
+
+
+@query("a13_loaded_partitions", f"{P},{O.CALENDAR},{O.LOG}", "SELECT trade_date FROM log WHERE endpoint = 'daily' AND status = 'success' AND trade_date IN (SELECT trade_date FROM panel WHERE month_no % 5 <> 0)")
+def _(spark, sf):
+    s = store.Store(spark, store.scratch(spark))
+    s.write_partitions("daily", frames.panel(spark, sf).filter("month_no % 5 <> 0").select("trade_date", "ts_code", "close"), ["trade_date"])
+    s.record(adapters.ingest_log(spark, sf).withColumn("finished_at", F.lit("2024-01-01 00:00:00").cast("timestamp")))
+    return s.loaded("daily")
+
+
+@query("a14_history_load", P, "SELECT 'daily' AS endpoint, count(*) FILTER (month_no >= 20 AND month_no % 5 <> 0) AS rows, count(DISTINCT trade_date) FILTER (month_no < 20 AND month_no % 5 <> 0) AS skipped, count(DISTINCT trade_date) FILTER (month_no % 5 = 0) AS failed FROM panel UNION ALL SELECT 'daily_basic', count(*), 0, 0 FROM panel")
+def _(spark, sf):
+    s = store.Store(spark, store.scratch(spark))
+    p = frames.panel(spark, sf).select("trade_date", "ts_code", "close", "month_no")
+    dates, landed = p.select("trade_date"), p.filter("month_no % 5 <> 0").drop("month_no")
+    s.load_history({"daily": landed}, p.filter("month_no < 20 AND month_no % 5 <> 0").select("trade_date"))
+    return s.load_history({"daily": landed, "daily_basic": p.drop("month_no")}, dates)
 
 
 @query("a15_index_load_plan", f"{P},{O.CALENDAR},{O.WEIGHTS}", "SELECT cal_date AS trade_date, 'TOP' AS endpoint FROM cal WHERE is_open = '1' AND cal_date NOT IN (SELECT trade_date FROM weights)")
 def _(spark, sf):
     done = adapters.index_weights(frames.panel(spark, sf)).select("trade_date", F.col("index_code").alias("endpoint"))
-    return store.load_plan(quality.expected_dates(adapters.calendar(spark)), ["TOP"], done)
+    return store.load_plan(quality.expected_dates(adapters.calendar(spark, sf)), ["TOP"], done)
 
 
 @query("a16_last_open_dates", O.CALENDAR, "SELECT cal_date AS trade_date FROM cal WHERE is_open = '1' ORDER BY 1 DESC LIMIT 12")
 def _(spark, sf):
-    return store.last_open_dates(adapters.calendar(spark), 12)
+    return store.last_open_dates(adapters.calendar(spark, sf), 12)
 
 
 @query(
@@ -150,7 +167,7 @@ def _(spark, sf):
 
 @query("a19_chunk_summary", f"{O.CALENDAR},{O.LOG}", "SELECT substr(trade_date, 1, 6) AS month, count(DISTINCT trade_date) AS n_dates, count(*) FILTER (status = 'success') AS n_success, count(*) FILTER (status = 'failed') AS n_failed FROM log GROUP BY 1")
 def _(spark, sf):
-    return store.chunk_summary(adapters.ingest_log(spark))
+    return store.chunk_summary(adapters.ingest_log(spark, sf))
 
 
 def _values(spark, sf):
@@ -167,6 +184,30 @@ def _(spark, sf):
     return s.read("factor_values").filter(F.col("factor_id").isin("pb", "dv_ratio") & F.col("trade_date").between("19960101", "20011231")).select("trade_date", "ts_code", "factor_id", "factor_value")
 
 
+@query(
+    "a22_result_store",
+    QD + f",{O.IC}",
+    "SELECT 'evaluation_metrics' AS result, 'second' AS run_id, 'rank_ic_mean' AS key, avg(rank_ic) AS value FROM ric UNION ALL SELECT 'evaluation_metrics', 'first', 'rank_ic_mean', avg(rank_ic) FROM ric UNION ALL SELECT 'evaluation_metrics', 'second', 'n_dates', CAST(count(*) AS DOUBLE) FROM ric UNION ALL SELECT 'evaluation_metrics', 'first', 'n_dates', -1.0"
+    " UNION ALL SELECT 'evaluation_quantiles', 'first', CAST(quantile AS VARCHAR), avg(avg_return) FROM qd GROUP BY quantile"
+    " UNION ALL SELECT 'evaluation_period_metrics', 'first', CAST(year(trade_date) AS VARCHAR) || ':rank_ic_mean', avg(rank_ic) FROM ric GROUP BY year(trade_date)"
+    " UNION ALL SELECT 'evaluation_runs', 'first', 'rows', CAST(count(*) AS DOUBLE) FROM u UNION ALL SELECT 'evaluation_runs', 'second', 'rows', CAST(count(*) AS DOUBLE) FROM u",
+    "value",
+)
+def _(spark, sf):
+    s = store.Store(spark, store.scratch(spark))
+    u = frames.usable(spark, sf)
+    ic, tag = evaluate.rank_ic(u, FACTOR, LABEL), [F.lit("m5").alias("factor_id"), F.lit("first").alias("run_id")]
+    metrics = ic.agg(F.avg("rank_ic").alias("rank_ic_mean"), F.count("*").cast("double").alias("n_dates")).select(*tag, "*").unpivot(["factor_id", "run_id"], ["rank_ic_mean", "n_dates"], "metric", "value")
+    buckets = _qd(spark, sf).groupBy("quantile").agg(F.avg("avg_return").alias("value")).select(*tag, "quantile", "value")
+    years = ic.groupBy(F.year("trade_date").cast("string").alias("period")).agg(F.avg("rank_ic").alias("value")).select(*tag, "period", F.lit("rank_ic_mean").alias("metric"), "value")
+    runs = u.agg(F.count("*").cast("double").alias("value")).select(*tag, "value")
+    s.write_evaluation({"evaluation_runs": runs, "evaluation_metrics": metrics, "evaluation_quantiles": buckets, "evaluation_period_metrics": years})
+    s.write_evaluation({"evaluation_runs": runs.withColumn("run_id", F.lit("second")), "evaluation_metrics": metrics.withColumn("run_id", F.lit("second"))})
+    s.write_evaluation({"evaluation_metrics": metrics.filter("metric = 'n_dates'").withColumn("value", F.lit(-1.0))})  # a run written again
+    keys = {"evaluation_runs": F.lit("rows"), "evaluation_metrics": F.col("metric"), "evaluation_quantiles": F.col("quantile").cast("string"), "evaluation_period_metrics": F.concat_ws(":", "period", "metric")}
+    return reduce(DataFrame.unionByName, [s.read(t).select(F.lit(t).alias("result"), "run_id", k.alias("key"), "value") for t, k in keys.items()])
+
+
 @query("a23_factor_library", P, "SELECT ts_code AS factor_id, trade_date AS evaluated_at, close FROM panel QUALIFY row_number() OVER (PARTITION BY ts_code ORDER BY trade_date DESC) = 1", "close")
 def _(spark, sf):
     return store.library(frames.panel(spark, sf).select(F.col("ts_code").alias("factor_id"), F.col("trade_date").alias("evaluated_at"), "close"))
@@ -313,12 +354,12 @@ def _(spark, sf):
 
 @query("c01_expected_dates", O.CALENDAR, "SELECT cal_date AS trade_date FROM cal WHERE is_open = '1' AND cal_date BETWEEN '19960101' AND '20001231'")
 def _(spark, sf):
-    return quality.expected_dates(adapters.calendar(spark), "19960101", "20001231")
+    return quality.expected_dates(adapters.calendar(spark, sf), "19960101", "20001231")
 
 
 @query("c02_ingest_status", f"{O.CALENDAR},{O.LOG}", "SELECT endpoint, count(DISTINCT trade_date) FILTER (status = 'success') AS success_dates, count(*) FILTER (status = 'failed') AS failed_count, count(*) FILTER (status = 'failed' AND trade_date IN (SELECT cal_date FROM cal WHERE is_open = '1')) AS missing_count, 'WARN' AS status FROM log GROUP BY endpoint")
 def _(spark, sf):
-    return quality.ingest_status(adapters.ingest_log(spark), quality.expected_dates(adapters.calendar(spark)))
+    return quality.ingest_status(adapters.ingest_log(spark, sf), quality.expected_dates(adapters.calendar(spark, sf)))
 
 
 @query("c03_duplicate_keys", P, "SELECT 'duplicate_keys:daily' AS check_name, 'FAIL' AS status, count(*) AS n_bad, '' AS detail FROM panel WHERE key % 10 = 0")
@@ -329,7 +370,7 @@ def _(spark, sf):
 
 @query("c04_date_coverage", f"{P},{O.CALENDAR},{O.WEIGHTS}", "SELECT 'date_coverage:index_weight' AS check_name, CASE WHEN k > 0 THEN 'FAIL' ELSE 'PASS' END AS status, k AS n_bad, concat_ws(' ', lo, hi, CAST(n AS VARCHAR), coalesce(dates, '')) AS detail FROM (SELECT min(trade_date) AS lo, max(trade_date) AS hi, count(DISTINCT trade_date) AS n FROM weights), (SELECT count(*) AS k, array_to_string(list(cal_date ORDER BY cal_date)[1:20], ',') AS dates FROM cal WHERE is_open = '1' AND cal_date NOT IN (SELECT trade_date FROM weights))")
 def _(spark, sf):
-    return quality.date_coverage(adapters.index_weights(frames.panel(spark, sf)), quality.expected_dates(adapters.calendar(spark)), "index_weight")
+    return quality.date_coverage(adapters.index_weights(frames.panel(spark, sf)), quality.expected_dates(adapters.calendar(spark, sf)), "index_weight")
 
 
 @query("c05_missing_rates", BASIC, "SELECT 'daily_basic' AS table_name, field, count(*) AS n_rows, avg(miss) AS missing_rate, CASE WHEN avg(miss) > 0.05 THEN 'WARN' ELSE 'PASS' END AS status FROM (SELECT 'turnover_rate' AS field, CASE WHEN turnover_rate IS NULL THEN 1.0 ELSE 0.0 END AS miss FROM basic UNION ALL SELECT 'total_mv', CASE WHEN total_mv IS NULL THEN 1.0 ELSE 0.0 END FROM basic) GROUP BY field UNION ALL SELECT 'daily', field, count(*), avg(miss), CASE WHEN avg(miss) > 0.05 THEN 'WARN' ELSE 'PASS' END FROM (SELECT 'open' AS field, CASE WHEN open IS NULL THEN 1.0 ELSE 0.0 END AS miss FROM daily UNION ALL SELECT 'close', CASE WHEN close IS NULL THEN 1.0 ELSE 0.0 END FROM daily UNION ALL SELECT 'pct_chg', CASE WHEN pct_chg IS NULL THEN 1.0 ELSE 0.0 END FROM daily UNION ALL SELECT 'amount', CASE WHEN amount IS NULL THEN 1.0 ELSE 0.0 END FROM daily) GROUP BY field", "missing_rate")
@@ -481,11 +522,11 @@ r2 AS (SELECT *, abs(ret_1) / amount AS illiq FROM r)"""
 @query(
     "e07_technical_baselines",
     TECH,
-    f"SELECT trade_date, ts_code, adj_close / lag(adj_close, 1) OVER w - 1 AS reversal_1d, adj_close / lag(adj_close, 60) OVER w - 1 AS momentum_60d, {_roll('turnover_rate', 5)} AS turnover_5d, {_roll('turnover_rate', 20)} AS turnover_20d, {_roll('vol', 5)} / {_roll('vol', 20)} AS volume_ratio_5_20, {_roll('amount', 5)} / {_roll('amount', 20)} AS amount_ratio_5_20, {_roll('ampl', 20)} AS amplitude_20d, {_roll('illiq', 20)} * 1000 AS illiquidity_20d FROM r2 WINDOW w AS (PARTITION BY ts_code ORDER BY trade_date), v5 AS (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), v20 AS (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)",
-    "reversal_1d momentum_60d turnover_5d turnover_20d volume_ratio_5_20 amount_ratio_5_20 amplitude_20d illiquidity_20d",
+    f"SELECT trade_date, ts_code, adj_close / lag(adj_close, 1) OVER w - 1 AS reversal_1d, adj_close / lag(adj_close, 3) OVER w - 1 AS reversal_3d, adj_close / lag(adj_close, 5) OVER w - 1 AS reversal_5d, adj_close / lag(adj_close, 20) OVER w - 1 AS momentum_20d, CASE WHEN count(ret_1) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) >= 20 THEN stddev_samp(ret_1) OVER (w ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) END AS volatility_20d, adj_close / lag(adj_close, 60) OVER w - 1 AS momentum_60d, {_roll('turnover_rate', 5)} AS turnover_5d, {_roll('turnover_rate', 20)} AS turnover_20d, {_roll('vol', 5)} / {_roll('vol', 20)} AS volume_ratio_5_20, {_roll('amount', 5)} / {_roll('amount', 20)} AS amount_ratio_5_20, {_roll('ampl', 20)} AS amplitude_20d, {_roll('illiq', 20)} * 1000 AS illiquidity_20d FROM r2 WINDOW w AS (PARTITION BY ts_code ORDER BY trade_date), v5 AS (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), v20 AS (PARTITION BY ts_code ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)",
+    "reversal_1d reversal_3d reversal_5d momentum_20d volatility_20d momentum_60d turnover_5d turnover_20d volume_ratio_5_20 amount_ratio_5_20 amplitude_20d illiquidity_20d",
 )
 def _(spark, sf):
-    names = ["reversal_1d", "momentum_60d", "turnover_5d", "turnover_20d", "volume_ratio_5_20", "amount_ratio_5_20", "amplitude_20d", "illiquidity_20d"]
+    names = list(factors.TECHNICAL)
     wide = store.to_wide(factors.compute(_flagged(spark, sf), {k: factors.TECHNICAL[k][0]() for k in names}), names)
     return wide.withColumn("illiquidity_20d", F.col("illiquidity_20d") * 1000)
 
@@ -770,14 +811,33 @@ def _decay(spark, sf):
     return evaluate.ic_decay(frames.factor_rows(spark, sf).withColumnRenamed(LABEL, "forward_5d"), FACTOR, (1, 3, 5))
 
 
-@query("g28_ic_decay", HOR, "SELECT * FROM decay", "mean_ic std_ic ic_ir")
+HORIZONS = range(1, 21)
+ALL_HOR = LEGACY + f""",
+ha AS (SELECT trade_date, ts_code, round(mom, 6) AS f, {", ".join(f'{O.forward(h, False)} AS "{h}"' for h in HORIZONS)} FROM lu WINDOW w AS (PARTITION BY ts_code ORDER BY trade_date)),
+h1 AS (SELECT trade_date, f, CAST(horizon AS INTEGER) AS horizon, l FROM (UNPIVOT ha ON {", ".join(f'"{h}"' for h in HORIZONS)} INTO NAME horizon VALUE l) WHERE f IS NOT NULL),
+h2 AS (SELECT horizon, trade_date, {O.avg_rank('f', 'horizon, trade_date')} AS x, {O.avg_rank('l', 'horizon, trade_date')} AS z FROM h1),
+h3 AS (SELECT horizon, trade_date, {O.corr('x', 'z')} AS ic FROM h2 GROUP BY ALL HAVING count(*) >= 10),
+decay AS (SELECT horizon, avg(ic) AS mean_ic, stddev_pop(ic) AS std_ic, avg(ic) / nullif(stddev_pop(ic), 0) AS ic_ir FROM h3 GROUP BY horizon)"""
+
+
+def _all_horizons(spark, sf):
+    d = sample.forward_returns(sample.legacy_panel(frames.panel(spark, sf)), HORIZONS, tradable=None)
+    return d.withColumn(FACTOR, F.round(factors.momentum(5), 6))
+
+
+@query("d13_legacy_returns", ALL_HOR, "SELECT trade_date, ts_code, " + ", ".join(f'"{h}" AS forward_{h}d' for h in HORIZONS) + " FROM ha", " ".join(f"forward_{h}d" for h in HORIZONS))
+def _(spark, sf):
+    return _all_horizons(spark, sf).select("trade_date", "ts_code", *[f"forward_{h}d" for h in HORIZONS])
+
+
+@query("g28_ic_decay", ALL_HOR, "SELECT * FROM decay", "mean_ic std_ic ic_ir")
 def _(spark, sf):
-    return _decay(spark, sf)
+    return evaluate.ic_decay(_all_horizons(spark, sf), FACTOR, HORIZONS)
 
 
-@query("g29_ic_half_life", HOR, "SELECT min(horizon) FILTER (abs(mean_ic) < (SELECT abs(mean_ic) / 2 FROM decay WHERE horizon = 1)) AS half_life FROM decay")
+@query("g29_ic_half_life", ALL_HOR, "SELECT min(horizon) FILTER (abs(mean_ic) < (SELECT abs(mean_ic) / 2 FROM decay WHERE horizon = 1)) AS half_life FROM decay")
 def _(spark, sf):
-    return evaluate.half_life(_decay(spark, sf), "horizon", "mean_ic", True)
+    return evaluate.half_life(evaluate.ic_decay(_all_horizons(spark, sf), FACTOR, HORIZONS), "horizon", "mean_ic", True)
 
 
 REGR = EV + f""",
@@ -873,11 +933,16 @@ def _batch(spark, sf):
 
 
 def evaluate_batch(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The gate's metrics for each key: full sample, in and out of sample, from one long frame."""
+    """The gate's metrics for each key: full sample, in and out of sample, from one long frame.
+
+    The frame, and its usable rows with periods and buckets, are written once; all metrics are then aggregates of these.
+    """
+    rows = store.stored(rows)
     ok = evaluate.usable(rows, FACTOR, LABEL, keys=keys)[0]
     labelled = evaluate.split_periods(ok, keys=keys)
     full = labelled.withColumn("period", F.explode(F.array(F.lit("full"), F.col("period"))))
-    u = evaluate.quantiles(full, FACTOR, keys=[*keys, "period"])
+    u = store.stored(evaluate.quantiles(full, FACTOR, keys=[*keys, "period"]))
+    ok = u.filter("period = 'full'")
     by = [*keys, "period"]
     ic = evaluate.rank_ic(u, FACTOR, LABEL, by)
     qd = evaluate.quantile_daily(u, LABEL, by)
@@ -925,7 +990,17 @@ def _noise(spark, sf, repeats=3):
     return compare.noise_factors(rows, FACTOR, repeats)
 
 
-@query("i01_noise_factors")
+def _unit(salt: int) -> str:
+    return f"(CAST('0x' || substr(md5(concat_ws('|', '20260607', '{salt}', run_id, strftime(trade_date, '%Y-%m-%d'), ts_code)), 1, 13) AS BIGINT) + 0.5) / {1 << 52}.0"
+
+
+NOISE = BASE + f""",
+nf AS (SELECT trade_date, ts_code, f, CAST(unnest(range(3)) AS INTEGER) AS run_id FROM rows0 WHERE f IS NOT NULL),
+nn AS (SELECT 'random_normal' AS baseline_name, run_id, sqrt(-2 * ln({_unit(0)})) * cos(2 * pi() * ({_unit(100)})) AS f FROM nf
+    UNION ALL SELECT 'random_uniform', run_id, 2 * ({_unit(1)}) - 1 FROM nf UNION ALL SELECT 'random_by_date_shuffle', run_id, f FROM nf)"""
+
+
+@query("i01_noise_factors", NOISE, "SELECT baseline_name, run_id, count(f) AS n, min(f) AS lo, max(f) AS hi FROM nn GROUP BY ALL", "lo hi")
 def _(spark, sf):
     return _noise(spark, sf).groupBy("baseline_name", "run_id").agg(F.count(FACTOR).alias("n"), F.min(FACTOR).alias("lo"), F.max(FACTOR).alias("hi"))
 
@@ -949,10 +1024,40 @@ def _(spark, sf):
     return compare.compare(c, b, ["rank_ic_mean", "max_drawdown", "mean_turnover"])
 
 
+def _compared(spark, sf, repeats=3):
+    """(metrics of the registered factors, their comparison with noise runs of their own and the technical baselines), from one batch."""
+    s = frames.research_sample(spark, sf)
+    own = s.select("trade_date", "ts_code", "day", "total_mv", "sw_l1_name", F.col("forward_5d").alias(LABEL))
+    registered = factors.run_registry(s).withColumn("group", F.lit("candidate"))
+    signs = F.create_map(*[F.lit(x) for k, (_, d) in factors.TECHNICAL.items() for x in (k, factors.DIRECTIONS[d])])
+    technical = factors.compute(s, {k: f() for k, (f, _) in factors.TECHNICAL.items()}).withColumn("direction", signs[F.col("factor_id")]).withColumn("group", F.lit("simple_technical"))
+    long = registered.unionByName(technical).join(own, ["trade_date", "ts_code"])
+    p = preprocess.preprocess(long, "factor_value", ["group", "factor_id", "day"])
+    p = p.select("group", "factor_id", F.lit(0).alias("run_id"), F.col("day").alias("trade_date"), "ts_code", "total_mv", "sw_l1_name", F.col("factor_value").alias("factor_raw"), F.round(F.col("factor_processed") * F.col("direction"), 6).alias(FACTOR), LABEL)
+    p = store.stored(p)
+    noise = None
+    for k, name in enumerate(compare.NOISE):
+        one = compare.noise_factors(p.filter("group = 'candidate'").filter(F.col(FACTOR).isNotNull()).drop("run_id"), FACTOR, repeats, names=[name], keys=["factor_id"])
+        one = one.withColumn("group", F.lit("noise")).withColumn("run_id", F.col("run_id") + 100 * k).drop("baseline_name")
+        noise = one if noise is None else noise.unionByName(one)
+    m = store.stored(evaluate_batch(p.unionByName(noise), ["group", "factor_id", "run_id"]))
+    named = m.select("*", F.col("top_return").alias("top_quantile_return"), F.col("sharpe").alias("top_quantile_sharpe"), F.col("oos_rank_ic").alias("oos_rank_ic_mean"))
+    of = [x.factor_id for x in factors.REGISTRY]
+    simple = named.filter("group = 'simple_technical'").withColumn("factor_id", F.explode(F.array(*[F.lit(x) for x in of])))
+    candidate = named.filter("group = 'candidate'").drop("group", "run_id")
+    return candidate, compare.compare(candidate, named.filter("group = 'noise'").unionByName(simple), keys=["factor_id"])
+
+
+@query("i03_evaluated_comparison")
+def _(spark, sf):
+    return _compared(spark, sf)[1]
+
+
 @query("i04_gate")
 def _(spark, sf):
-    m = evaluate_batch(_batch(spark, sf), ["factor_id"]).withColumn("stronger_than_noise", F.col("rank_ic_mean") > 0).withColumn("not_worse_than_simple", F.lit(True))
-    return compare.gate(m).select("factor_id", "status", F.array_join("reasons", "; ").alias("reasons"))
+    candidate, compared = _compared(spark, sf)
+    m = candidate.join(compare.comparison_flags(compared, ["factor_id"]), "factor_id", "left")
+    return compare.gate(m).select("factor_id", "status", F.array_join("reasons", "; ").alias("reasons"), "stronger_than_noise", "not_worse_than_simple")
 
 
 # --- J: radar -------------------------------------------------------------------------------------
@@ -1033,13 +1138,13 @@ SOURCES = {"src1": 1.1, "src2": 1.2}
 
 def _news(spark, sf):
     d = adapters.table(spark, sf, "documents")
-    title = F.substring(F.split(F.coalesce("text", F.lit("")), "\n", 2)[0], 1, 60)
+    title = F.split(F.coalesce("text", F.lit("")), "\n", 2)[0]
     return d.select("doc_id", title.alias("title"), F.col("text").alias("content"), "source", F.array("lang").alias("tags"))
 
 
 _EDGE = "E' -:：,，。；;'"
 NEWS = f"""
-n0 AS (SELECT doc_id, substr(split_part(coalesce(text, ''), chr(10), 1), 1, 60) AS t, text, source, lang FROM documents),
+n0 AS (SELECT doc_id, split_part(coalesce(text, ''), chr(10), 1) AS t, text, source, lang FROM documents),
 n1 AS (SELECT doc_id, trim(regexp_replace(t, '\\s+', ' ', 'g'), {_EDGE}) AS title, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'), {_EDGE}) AS content, lower(source) AS source, lower(lang) AS tag FROM n0),
 clean AS (SELECT * FROM n1 WHERE title <> ''),
 ded AS (SELECT * FROM clean QUALIFY row_number() OVER (PARTITION BY lower(title), source ORDER BY doc_id) = 1),

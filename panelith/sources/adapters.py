@@ -89,9 +89,10 @@ def user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    """Months from 1995-01 to 2001-11; every 29th is closed."""
-    months = spark.range(83).select(F.add_months(F.lit("1995-01-01").cast("date"), F.col("id").cast("int")).alias("day"), F.col("id").alias("month_no"))
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months in which anything was shipped; every 29th from 1995-01 is closed."""
+    months = table(spark, sf_dir, "lineitem").select(F.trunc("l_shipdate", "MM").alias("day")).distinct()
+    months = months.withColumn("month_no", ((F.year("day") - 1995) * 12 + F.month("day") - 1).cast("long"))
     return months.select(F.date_format("day", "yyyyMMdd").alias("cal_date"), F.when(F.col("month_no") % 29 == 0, "0").otherwise("1").alias("is_open"), "month_no", "day")
 
 
@@ -127,7 +128,9 @@ def index_weights(panel: DataFrame, index_code: str = "TOP") -> DataFrame:
     return picked.select(F.lit(index_code).alias("index_code"), F.col("ts_code").alias("con_code"), "trade_date", "day", F.col("amount").alias("weight"))
 
 
-def ingest_log(spark: SparkSession) -> DataFrame:
-    """One row for each endpoint and month; every 17th month failed."""
-    ends = spark.createDataFrame([(e,) for e in ("daily", "adj_factor", "daily_basic", "suspend_d", "stk_limit")], "endpoint string")
-    return calendar(spark).crossJoin(F.broadcast(ends)).select("endpoint", F.col("cal_date").alias("trade_date"), F.when(F.col("month_no") % 17 == 0, "failed").otherwise("success").alias("status"), F.lit(None).cast("string").alias("error_message"))
+def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each endpoint and month, with the month's number of rows; every 17th month failed."""
+    ends = F.array(*[F.lit(e) for e in ("daily", "adj_factor", "daily_basic", "suspend_d", "stk_limit")])
+    months = table(spark, sf_dir, "lineitem").groupBy(F.trunc("l_shipdate", "MM").alias("day")).agg(F.count("*").alias("row_count"))
+    failed = ((F.year("day") - 1995) * 12 + F.month("day") - 1) % 17 == 0
+    return months.select(F.explode(ends).alias("endpoint"), F.date_format("day", "yyyyMMdd").alias("trade_date"), F.when(failed, "failed").otherwise("success").alias("status"), "row_count", F.lit(None).cast("string").alias("error_message"))

@@ -1,14 +1,16 @@
 """Partitioned Parquet stores: overwrite, upserts by key or partition, an append-only ledger, resumable loads.
 
-An upsert by partition rewrites only the partitions it touches.  Results that read the store they replace are written
-to a staging folder first and swapped in, so a lost job leaves the old data.
+An upsert rewrites only the partitions it touches.  Results that read the store they replace are written to a staging
+folder first.  A whole table is swapped by renaming: the old one steps aside, the new one takes its place, then the old
+one goes; where the driver is lost in between, the next access puts the old one back.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,14 +20,23 @@ from .schemas import LEDGER, conform
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or temporary where that is unset."""
+    """A new folder that driver and executors share: under spark.checkpoint.dir; where that is unset, a temporary one in local runs only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/store-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for frames that many results use."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Store:
     """Tables below one folder, each a folder of Parquet, perhaps partitioned."""
 
@@ -41,6 +52,9 @@ class Store:
 
     def exists(self, table: str) -> bool:
         fs, p = self._fs(self.path(table))
+        old = self._fs(f"{self.path(table)}.old")[1]
+        if not fs.exists(p) and fs.exists(old):  # a swap was cut short
+            fs.rename(old, p)
         return fs.exists(p)
 
     def read(self, table: str) -> DataFrame:
@@ -56,13 +70,17 @@ class Store:
             self.spark.conf.set(conf, before)
 
     def write(self, table: str, df: DataFrame, by: Sequence[str] = ()) -> None:
-        """Replaces the whole table: staged, then swapped in."""
+        """Replaces the whole table: staged, then swapped in by renaming; at no moment are both gone."""
         staged = f"{self.path(table)}.staged-{uuid.uuid4().hex}"
         (df.write.partitionBy(*by) if by else df.write).parquet(staged)
         fs, to = self._fs(self.path(table))
-        fs.delete(to, True)
+        old = self._fs(f"{self.path(table)}.old")[1]
+        if self.exists(table):
+            fs.delete(old, True)
+            fs.rename(to, old)
         fs.mkdirs(to.getParent())
         fs.rename(self._fs(staged)[1], to)
+        fs.delete(old, True)
 
     def write_partitions(self, table: str, df: DataFrame, by: Sequence[str]) -> None:
         """Overwrites the partitions that ``df`` has rows for; others stay."""
@@ -90,11 +108,25 @@ class Store:
         return self.read(table).filter(F.col(column).between(start, end)).count()
 
     def upsert(self, table: str, batch: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> None:
-        """Rows of the batch replace stored rows with their keys; an empty batch changes nothing."""
+        """Rows of the batch replace stored rows with their keys; an empty batch changes nothing.
+
+        With ``by`` (part of the keys) only the partitions of the batch are read and rewritten.
+        """
         if not self.exists(table):
             self.write(table, batch, by)
         elif not batch.isEmpty():
-            self.write(table, upserted(self.read(table), batch, keys), by)
+            stored = self.read(table)
+            if not by:
+                self.write(table, upserted(stored, batch, keys))
+                return
+            for c in by:
+                batch = batch.withColumn(c, F.col(c).cast("string"))
+            touched = stored.join(F.broadcast(batch.select(*by).distinct()), list(by), "left_semi")
+            staged = f"{self.path(table)}.staged-{uuid.uuid4().hex}"
+            upserted(touched, batch, keys).write.parquet(staged)
+            self.write_partitions(table, self.spark.read.parquet(staged), by)
+            fs, p = self._fs(staged)
+            fs.delete(p, True)
 
     # --- ledger ---
 
@@ -114,31 +146,47 @@ class Store:
         there = self.spark.createDataFrame([(n.split("=", 1)[1],) for n in names if n.startswith("trade_date=")], "trade_date string")
         return self.ledger().filter((F.col("endpoint") == endpoint) & (F.col("status") == "success")).select("trade_date").join(there, "trade_date", "left_semi")
 
-    def load_history(self, endpoints: dict[str, Callable[[str], DataFrame]], dates: DataFrame, force: bool = False) -> DataFrame:
-        """Loads each endpoint's open partitions; a partition that fails is recorded and the others go on.
+    def load_history(self, landed: dict[str, DataFrame], dates: DataFrame, force: bool = False) -> DataFrame:
+        """Loads each endpoint's open partitions from its landed rows (with trade_date), all dates of an endpoint in one job.
 
-        Returns endpoint, rows, skipped, failed.  ``endpoints`` gives the landed frame of a date.
+        A partition that has no landed rows is recorded as failed and stops no other; one whose ledger says success but
+        whose folder is gone is loaded again.  Returns endpoint, rows, skipped, failed.
         """
-        out = []
-        for name, fetch in endpoints.items():
-            due = sorted(r.trade_date for r in dates.select("trade_date").distinct().collect())  # one name for each partition
-            done = set() if force else {r.trade_date for r in self.loaded(name).collect()}
-            rows = failed = 0
-            for day in due:
-                if day in done:
-                    continue
-                error, n = None, 0
-                try:
-                    frame = fetch(day)
-                    self.upsert_partition(name, frame.drop("trade_date"), "trade_date", day)
-                    n = frame.count()
-                except Exception as e:  # one bad partition must not end the load
-                    error, failed = str(e)[:200], failed + 1
-                rows += n
-                line = self.spark.createDataFrame([(name, day, "failed" if error else "success", n, self.path(name), error)], "endpoint string, trade_date string, status string, row_count long, raw_path string, error_message string")
-                self.record(line.withColumn("started_at", F.current_timestamp()).withColumn("finished_at", F.current_timestamp()))
-            out.append((name, rows, len(done & set(due)), failed))
-        return self.spark.createDataFrame(out, "endpoint string, rows long, skipped long, failed long")
+        days = dates.select("trade_date").distinct()
+        due, total = None, None
+        for name, frame in landed.items():
+            done = self.loaded(name) if not force else days.limit(0)
+            own = days.join(done, "trade_date", "left_anti")
+            rows = frame.join(F.broadcast(own), "trade_date", "left_semi")
+            self.write_partitions(name, rows, ["trade_date"])
+            count = rows.groupBy("trade_date").agg(F.count("*").alias("row_count"))
+            lines = own.join(count, "trade_date", "left").select(F.lit(name).alias("endpoint"), "trade_date", F.col("row_count").isNull().alias("bad"), F.coalesce("row_count", F.lit(0)).alias("row_count"))
+            skipped = days.join(done, "trade_date", "left_semi").agg(F.count("*").alias("skipped")).select(F.lit(name).alias("endpoint"), "skipped")
+            due = lines if due is None else due.unionByName(lines)
+            total = skipped if total is None else total.unionByName(skipped)
+        staged = f"{self.root}/load-{uuid.uuid4().hex}"
+        sums = due.groupBy("endpoint").agg(F.sum("row_count").alias("rows"), F.count(F.when(F.col("bad"), 1)).alias("failed"))
+        total.join(sums, "endpoint", "left").select("endpoint", F.coalesce("rows", F.lit(0)).alias("rows"), "skipped", F.coalesce("failed", F.lit(0)).alias("failed")).write.parquet(staged)
+        path = F.concat(F.lit(f"{self.root}/"), "endpoint")
+        now = F.current_timestamp()
+        self.record(due.select("endpoint", "trade_date", F.when(F.col("bad"), "failed").otherwise("success").alias("status"), "row_count", path.alias("raw_path"), F.when(F.col("bad"), "no landed rows").alias("error_message"), now.alias("started_at"), now.alias("finished_at")))
+        return self.spark.read.parquet(staged)
+
+    # --- evaluation results ---
+
+    def write_evaluation(self, results: dict[str, DataFrame]) -> None:
+        """Upserts result frames by their keys (RESULTS); other runs and factors stay."""
+        for table, df in results.items():
+            self.upsert(table, df, RESULTS[table], ["factor_id"])
+
+
+#: The evaluation result tables and their keys.
+RESULTS = {
+    "evaluation_runs": ("factor_id", "run_id"),
+    "evaluation_metrics": ("factor_id", "run_id", "metric"),
+    "evaluation_quantiles": ("factor_id", "run_id", "quantile"),
+    "evaluation_period_metrics": ("factor_id", "run_id", "period", "metric"),
+}
 
 
 def upserted(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -180,6 +228,16 @@ def last_open_dates(calendar: DataFrame, n: int) -> DataFrame:
     return dates
 
 
+def years_back(end: str, years: int) -> tuple[str, str]:
+    """(start, end) of the range from the same day ``years`` years before; from 29 February where that day is missing, 365 * years days."""
+    last = datetime.strptime(end, "%Y%m%d")
+    try:
+        first = last.replace(year=last.year - years)
+    except ValueError:
+        first = last - timedelta(days=365 * years)
+    return first.strftime("%Y%m%d"), end
+
+
 def month_chunks(spark: SparkSession, start: str, end: str) -> DataFrame:
     """start and end (yyyyMMdd) of each calendar month's share of a range."""
     one = spark.range(1).select(F.to_date(F.lit(start), "yyyyMMdd").alias("a"), F.to_date(F.lit(end), "yyyyMMdd").alias("b"))

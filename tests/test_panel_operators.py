@@ -43,19 +43,37 @@ def test_history_load_resumes(spark, tmp_path):
     s = store.Store(spark, f"file://{tmp_path}")
     dates = frame(spark, [("20240506",), ("20240507",)], "trade_date string")
 
-    def fetch(day):
-        if day == "20240507" and not ok:
-            raise OSError("not landed")
-        return frame(spark, [("a", 1.0)], "ts_code string, open double")
-
-    ok = False
-    assert s.load_history({"daily": fetch}, dates).first()[1:] == (1, 0, 1)
-    ok = True
-    assert s.load_history({"daily": fetch}, dates).first()[1:] == (1, 1, 0)
-    assert s.load_history({"daily": fetch}, dates).first()[1:] == (0, 2, 0)
+    one = frame(spark, [("20240506", "a", 1.0)], "trade_date string, ts_code string, open double")
+    both = one.unionByName(one.withColumn("trade_date", F.lit("20240507")))
+    assert s.load_history({"daily": one}, dates).first()[1:] == (1, 0, 1)
+    assert s.load_history({"daily": both}, dates).first()[1:] == (1, 1, 0)
+    assert s.load_history({"daily": both}, dates).first()[1:] == (0, 2, 0)
     s.drop_partitions("daily", [{"trade_date": "20240506"}])
-    assert s.load_history({"daily": fetch}, dates).first()[1:] == (1, 1, 0)
-    assert s.load_history({"daily": fetch}, dates, force=True).first()[1:] == (2, 0, 0)
+    assert s.load_history({"daily": both}, dates).first()[1:] == (1, 1, 0)
+    assert s.load_history({"daily": both}, dates, force=True).first()[1:] == (2, 0, 0)
+    assert s.read("daily").count() == 2
+
+
+def test_swap_cut_short_is_put_right(spark, tmp_path):
+    s = store.Store(spark, f"file://{tmp_path}")
+    s.write("t", frame(spark, [(1,)], "x int"))
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    assert [r.x for r in s.read("t").collect()] == [1]
+    s.write("t", frame(spark, [(2,)], "x int"))
+    assert [r.x for r in s.read("t").collect()] == [2] and not (tmp_path / "t.old").exists()
+
+
+def test_upsert_touches_the_partitions_of_the_batch_alone(spark, tmp_path):
+    s = store.Store(spark, f"file://{tmp_path}")
+    s.upsert("v", frame(spark, [("a", 1, 1.0), ("a", 2, 1.0), ("b", 1, 1.0)], "f string, k int, v double"), ["f", "k"], ["f"])
+    before = {p.name for p in (tmp_path / "v" / "f=b").iterdir()}
+    s.upsert("v", frame(spark, [("a", 2, 5.0), ("c", 1, 7.0)], "f string, k int, v double"), ["f", "k"], ["f"])
+    assert {p.name for p in (tmp_path / "v" / "f=b").iterdir()} == before
+    assert sorted(tuple(r) for r in s.read("v").select("f", "k", "v").collect()) == [("a", 1, 1.0), ("a", 2, 5.0), ("b", 1, 1.0), ("c", 1, 7.0)]
+
+
+def test_years_back():
+    assert store.years_back("20240301", 3) == ("20210301", "20240301") and store.years_back("20240229", 1) == ("20230301", "20240229") and store.years_back("20240229", 4) == ("20200229", "20240229")
 
 
 def test_month_chunks(spark):

@@ -6,7 +6,7 @@ word's path, times the word's add-one share of its leaf, where unknown words hav
 proper distribution.  Each softmax has hashed features of the history (the word before, the two words before, the
 skips two and three words back) joined with the node, so n-gram evidence reaches down to the leaf.  Rare history words
 stand for their last bytes.  The tree gets deeper with the vocabulary (LEAF_WORDS words to a leaf) and the tables
-longer with the root of the training tokens (each task sends its copy); DEPTH and MOST_ROWS bound what a task must hold.
+longer with the cube root of the training tokens (each task sends its copy); DEPTH and MOST_ROWS bound what a task must hold.
 
 Words are numbered once: texts become chunks of up to CHUNK_BYTES, each with its own dictionary.  Dictionaries, not
 tokens, are shuffled to sum the counts over all training documents, and the sums return to each chunk.  Chunks and sums
@@ -38,7 +38,7 @@ from .common import _LOWER, by_bytes, durable, hash_spans, mix64, pieces, shared
 
 FAN, DEPTH, LEAF_WORDS = 16, 4, 2048
 SHAPES = (FAN - 1) * FAN  # first two classes; a first class of 0 is the end token's own
-ROWS_A_ROOT, LEAST_ROWS, MOST_ROWS = 4, 4096, 1 << 18
+ROWS_A_ROOT, LEAST_ROWS, MOST_ROWS = 72, 4096, 1 << 18
 CHUNK_BYTES, BATCH, ROUNDS, RATE, OFTEN, FOLDS, FOLD = 16 << 20, 32_768, 2, 0.2, 200, 7, 2
 END = 1  # the end token's "hash"
 FIRST_FREE = 1 << 40  # chunk numbers from here on are dealt by hash
@@ -147,7 +147,7 @@ class Model:
         self.depth = next((d for d in range(1, DEPTH) if FAN**d * LEAF_WORDS >= self.v), DEPTH)
         merge = lambda x, d: x.reshape(FAN**d, -1).sum(1).astype(float)
         self.words, self.tokens = merge(leaf_words, self.depth), merge(leaf_tokens, self.depth)
-        self.rows = int(np.clip(ROWS_A_ROOT * self.n**0.5, LEAST_ROWS, MOST_ROWS))
+        self.rows = int(np.clip(ROWS_A_ROOT * self.n ** (1 / 3), LEAST_ROWS, MOST_ROWS))
         self.bias = []
         for d in range(1, self.depth + 1):
             t = merge(leaf_tokens, d).reshape(-1, FAN)

@@ -90,4 +90,36 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op2_chat": r"""
+            WITH turns AS (
+                SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+            sized AS (
+                SELECT *, length('<|turn|><|text|><|end|>') + length(role) + length(text)
+                       + len(regexp_extract_all(role, control)) + len(regexp_extract_all(text, control)) AS chars
+                FROM turns, (SELECT '<\\*(?:\|(?:turn|text|end|im_start|im_end|endoftext)\|>|/?s>|</?SYS>>)|\[\\*/?INST\]' AS control))
+            SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
+                   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+                   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+                   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+                   sum(chars)::BIGINT AS formatted_chars
+            FROM sized GROUP BY conv_id""",
+        "op6_jaccard": r"""
+            WITH RECURSIVE words AS (
+                SELECT doc_id, [w FOR w IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF w <> ''] AS w
+                FROM documents),
+            sets AS (
+                SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                       ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+                FROM words),
+            shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+            pairs AS (
+                SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+                GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+            links AS MATERIALIZED (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+            reached AS (
+                SELECT doc_id AS a, doc_id AS b FROM sets
+                UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+            least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+            SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least ON doc_id = a""",
     }

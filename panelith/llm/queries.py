@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, jaccard, maxent, mixing, resharding, secrets, tokens, toxicity
+from . import chat, decontaminate, exact_dedup, importance, jaccard, maxent, mixing, periodic, preference, resharding, secrets, tokens, toxicity
 from .common import shared_dir, table
 
 NEW_SHARDS = 24
@@ -80,8 +80,22 @@ def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summary(table(spark, sf_dir, "documents"), periodic.made_periodic)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = preference.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", preference.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_chat, op3_secrets, op4_decontaminate, op5_mixing, op6_jaccard, op7_exact_dedup, op8_repair_tokens, op9_maxent_lm, op10_resharding)}
+    found = (op1_toxicity, op2_chat, op3_secrets, op4_decontaminate, op5_mixing, op6_jaccard, op7_exact_dedup, op8_repair_tokens, op9_maxent_lm, op10_resharding)
+    return {f.__name__: f for f in (*found, op11_periodic_runs, op12_importance_resampling, op13_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -90,6 +104,31 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op12_importance_resampling": r"""
+            WITH crcs AS (
+                SELECT [list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) FOR i IN range(256)] AS tab),
+            cut AS (
+                SELECT true AS ours, doc_id, text FROM documents UNION ALL SELECT false, NULL, text FROM benchmark),
+            split AS (
+                SELECT ours, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+                FROM cut),
+            each AS (SELECT ours, doc_id, unnest(words) AS word FROM split),
+            hashed AS (
+                SELECT word, xor(list_reduce(list_prepend(4294967295, [instr('0123456789ABCDEF', substr(hex(encode(word)), 2 * j + 1, 1)) * 16 + instr('0123456789ABCDEF', substr(hex(encode(word)), 2 * j + 2, 1)) - 17 FOR j IN range(strlen(word))]),
+                       lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+                FROM (SELECT DISTINCT word FROM each), crcs),
+            gains AS (
+                SELECT i AS bucket, floor(1000 * ln((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000.0::DOUBLE) / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000.0::DOUBLE))))::BIGINT AS gain
+                FROM (SELECT i, count(*) FILTER (ours) AS s, count(*) FILTER (NOT ours) AS t FROM range(10000) r(i) LEFT JOIN (each JOIN hashed USING (word)) ON bucket = i GROUP BY i)),
+            weighed AS (SELECT doc_id, sum(gain) AS weight FROM each JOIN hashed USING (word) JOIN gains USING (bucket) WHERE ours GROUP BY doc_id),
+            scored AS (
+                SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                       (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score
+                FROM split LEFT JOIN weighed USING (doc_id) WHERE ours),
+            ranked AS (
+                SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_features >= 20) OVER () * 10 // 100 AS drawn
+                FROM scored)
+            SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM ranked""",
         "op2_chat": r"""
             WITH turns AS (
                 SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

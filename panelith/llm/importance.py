@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from panelith.operators.order import numbered
 
-from .common import by_bytes, durable, ship
+from .common import by_bytes, durable, ship, utf8
 
 # Fixed value: a word, in the syntax of the tokenizers library and of SQL alike.
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -106,7 +106,7 @@ class Buckets:
         return n, total
 
 
-HISTOGRAM = "n_words long, n_features long, buckets array<int>, counts array<int>"
+HISTOGRAM = "n_words long, n_features long, buckets binary, counts binary"  # the binaries hold 32-bit integers
 
 
 def histograms(texts: DataFrame, longest: int = LONGEST, buckets: int = BUCKETS) -> DataFrame:
@@ -123,8 +123,8 @@ def histograms(texts: DataFrame, longest: int = LONGEST, buckets: int = BUCKETS)
                     batch.column(0),
                     pa.array([n for n, _ in rows], pa.int64()),
                     pa.array([sum(h.values()) for _, h in rows], pa.int64()),
-                    pa.array([list(h) for _, h in rows], pa.list_(pa.int32())),
-                    pa.array([list(h.values()) for _, h in rows], pa.list_(pa.int32())),
+                    pa.array([np.fromiter(h, np.int32, len(h)).tobytes() for _, h in rows], pa.binary()),
+                    pa.array([np.fromiter(h.values(), np.int32, len(h)).tobytes() for _, h in rows], pa.binary()),
                 ],
                 names=[key, "n_words", "n_features", "buckets", "counts"],
             )
@@ -132,14 +132,19 @@ def histograms(texts: DataFrame, longest: int = LONGEST, buckets: int = BUCKETS)
     return texts.mapInArrow(work, f"`{key}` {texts.dtypes[0][1]}, {HISTOGRAM}")
 
 
+def _integers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit integers of a binary column, and where each row's begin (one more entry than rows)."""
+    data, ends = utf8(column)
+    return np.frombuffer(data.tobytes(), np.int32), ends // 4
+
+
 def summed(found: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """Features in each bucket over all rows; each task sums its own first, ``buckets`` rows reach the driver."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            b = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            np.add.at(total, b, batch.column(1).flatten().to_numpy(zero_copy_only=False))
+            total += np.bincount(_integers(batch.column(0))[0], _integers(batch.column(1))[0], buckets).astype(np.int64)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
 
@@ -167,10 +172,8 @@ def scores(found: DataFrame, gain: np.ndarray, seed: int = SEED) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("buckets")
-            each = gain[lists.flatten().to_numpy(zero_copy_only=False)] * batch.column("counts").flatten().to_numpy(zero_copy_only=False)
-            total = np.concatenate([[0], np.cumsum(each, dtype=np.int64)])
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+            (bucket, ends), (times, _) = _integers(batch.column("buckets")), _integers(batch.column("counts"))
+            total = np.concatenate([[0], np.cumsum(gain[bucket] * times, dtype=np.int64)])
             weight = total[ends[1:]] - total[ends[:-1]]
             score = weight + np.fromiter((noise(d, seed) for d in batch.column("doc_id").to_pylist()), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), batch.column("n_features"), pa.array(weight), pa.array(score)], names=["doc_id", "n_words", "n_features", "weight", "score"])

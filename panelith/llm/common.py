@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -66,6 +66,12 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def passed_through(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``df`` with its batches passed through ``work``, which keeps the columns' places; their names may be any, dots and doubles included."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(work, plain.schema).toDF(*df.columns)
+
+
 # --- word hashing ---------------------------------------------------------------------------------
 
 _IS_SPACE = np.zeros(256, bool)

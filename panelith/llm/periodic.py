@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, by_bytes, mix64, ship
+from .common import WORD, by_bytes, mix64, passed_through, ship
 
 SEED, LEAST_WORDS, LEAST_PERIODS = 16, 24, 3
 RESULT = "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs_sha256 string, collapsed_sha256 string"
@@ -202,7 +202,7 @@ def without_runs(docs: DataFrame, source: Source | None = None) -> DataFrame:
             texts = [" ".join(collapsed(*r)) for r in _columns(batch.column(at).to_pylist(), batch.column(own).to_pylist(), source)]
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(work, docs.schema)
+    return passed_through(docs, work)
 
 
 def summary(docs: DataFrame, source: Source | None = None) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from panelith.operators.order import numbered
 
-from .common import _IS_SPACE, by_bytes, durable, mix64, ship, small, utf8, word_bounds, word_hashes
+from .common import _IS_SPACE, by_bytes, durable, mix64, passed_through, ship, small, utf8, word_bounds, word_hashes
 
 GOOD_ROWS, BAD_ROWS, RIVALS, RIDGE, HELD_OUT, RUN = 4000, 4000, 4, 1e-3, (3, 1), 4
 PRIOR = 5  # words that every text counts as having besides its own, so that shares of a short text say little
@@ -222,4 +222,4 @@ def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in by_bytes(batches, at):
             yield batch.filter(pa.array(ranker.margins(batch.column(at)) >= ranker.threshold))
 
-    return docs.mapInArrow(work, docs.schema)
+    return passed_through(docs, work)

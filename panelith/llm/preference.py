@@ -163,14 +163,15 @@ class Ranker:
 
 
 def _margins(rows: DataFrame, ranker: Ranker) -> DataFrame:
-    """The first column of ``rows`` and ``margin``, from its second column (text)."""
-    key = rows.columns[0]
+    """``rows`` with ``margin`` in place of their last column (text)."""
+    *keys, _ = rows.dtypes
+    names, at = [*[k for k, _ in keys], "margin"], len(keys)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 1):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ranker.margins(batch.column(1)))], names=[key, "margin"])
+        for batch in by_bytes(batches, at):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(ranker.margins(batch.column(at)))], names=names)
 
-    return rows.mapInArrow(work, f"{key} {rows.dtypes[0][1]}, margin double")
+    return rows.mapInArrow(work, ", ".join([*[f"{k} {t}" for k, t in keys], "margin double"]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most_good: int = GOOD_ROWS, most_bad: int = BAD_ROWS, rivals: int = RIVALS) -> Ranker:
@@ -200,8 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_good: int = GOOD_ROWS, most_bad
     standard = lambda x: np.clip((x - centre) / scale, -8, 8)
     ranker = Ranker(centre, scale, bradley_terry(standard(good)[a], standard(bad)[b]))
     whole = training.select(F.col("doc_id").alias("_id"), F.col("quality").cast("long").alias("quality"))
-    rows = docs.select("doc_id", "text").join(small(whole, 1_000_000), F.col("doc_id") == F.col("_id")).select("quality", "text")
-    ranked = numbered(_margins(rows, ranker), ["margin", "quality"])
+    rows = docs.select("doc_id", "text").join(small(whole, 1_000_000), F.col("doc_id") == F.col("_id")).select("quality", F.xxhash64("doc_id").alias("apart"), "text")
+    ranked = numbered(_margins(rows, ranker), ["margin", "quality", "apart"])  # copies have equal margins: their ids part them
     below, n = ranked.agg(F.count(F.when(F.col("quality") == 0, 1)), F.count("*")).first()
     ranker.threshold = float(ranked.filter(F.col("place").isin(below, min(below + 1, n))).agg(F.avg("margin")).first()[0])
     return ranker

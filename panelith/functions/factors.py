@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIRECTIONS = {"positive": 1, "negative": -1}
 
@@ -113,3 +117,60 @@ def run_plugin(df: DataFrame, factor: Callable[..., DataFrame | Column], name: s
     if name not in out.columns:
         raise ValueError(f"plug-in gave no column {name}")
     return out
+
+
+def checked_values(made, rows: int, name: str, where: str) -> pa.Array:
+    """A plug-in's values as doubles; another number of them, or anything but numbers, is an error.  NaN becomes NULL."""
+    values = made.combine_chunks() if isinstance(made, pa.ChunkedArray) else made if isinstance(made, pa.Array) else pa.array(made, from_pandas=True)
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks() if values.num_chunks else pa.array([], pa.float64())
+    if len(values) != rows:
+        raise ValueError(f"plug-in {name} gave {len(values)} values for {rows} rows {where}")
+    kind = values.type
+    if not (pa.types.is_integer(kind) or pa.types.is_floating(kind) or pa.types.is_null(kind) or pa.types.is_decimal(kind)):
+        raise ValueError(f"plug-in {name} gave {kind} values {where}, not numbers")
+    values = values.cast(pa.float64())
+    return pc.if_else(pc.fill_null(pc.is_nan(values), False), pa.scalar(None, pa.float64()), values)
+
+
+def _with_factor(df: DataFrame, name: str) -> T.StructType:
+    if name in df.columns:
+        raise ValueError(f"the frame has a column {name} already")
+    return T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
+
+
+def run_code_plugin(df: DataFrame, factor: Callable[..., pa.Array | np.ndarray], name: str, **kwargs) -> DataFrame:
+    """A user's factor over the history of a code: ``factor(table, **kwargs)`` gets the rows of one code as an Arrow table
+    in order of date and returns a value for each.  ``df`` comes back with column ``name``; a code's history is one task's.
+    """
+    schema = _with_factor(df, name)
+    at = df.columns.index("ts_code")
+
+    def work(table: pa.Table) -> pa.Table:
+        table = table.sort_by("trade_date")
+        values = checked_values(factor(table, **kwargs), table.num_rows, name, f"of code {table.column(at)[0].as_py()}")
+        return table.append_column(name, values)
+
+    return df.groupBy("ts_code").applyInArrow(work, schema)
+
+
+def run_row_plugin(df: DataFrame, factor: Callable[..., pa.Array | np.ndarray], name: str, **kwargs) -> DataFrame:
+    """A user's factor of single rows: ``factor(batch, **kwargs)`` gets an Arrow batch and returns a value for each row; nothing is shuffled."""
+    schema = _with_factor(df, name)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = checked_values(factor(batch, **kwargs), batch.num_rows, name, "of a batch")
+            yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
+
+    return df.mapInArrow(work, schema)
+
+
+def numpy_momentum(table: pa.Table, window: int, price: str = "adj_close") -> np.ndarray:
+    """Momentum in numpy, as a plug-in by code would write it."""
+    x = table.column(price).to_numpy().astype(float)
+    out = np.full(len(x), np.nan)
+    if len(x) > window:
+        base = np.where(x[:-window] == 0, np.nan, x[:-window])
+        out[window:] = x[window:] / base - 1
+    return out

@@ -1,5 +1,8 @@
 """Factor evaluation.  Every operator takes ``keys`` (for example factor_id, run_id, period), so any number of factors,
 noise runs and periods are evaluated in one job.  Work on rows is by date; what orders dates works on per-date results.
+
+Ranks and percentiles take dates of up to ``most`` rows in one task each; larger ones go over several tasks, with the
+same results.  ``spread`` says which; left out, the largest date is measured.
 """
 
 from __future__ import annotations
@@ -9,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import TRADING_DAYS, average_rank, bucket, compounded, correlation, kurtosis, ratio, skew, t_stat, upto
+from ..functions.stats import TRADING_DAYS, bucket, compounded, correlation, kurtosis, ratio, skew, t_stat, upto
+from .order import ONE_TASK, grouped, mean_ranks, percentiles, places, spread_out, with_facts
 
 DATE = "trade_date"
 Keys = Sequence[str]
@@ -24,25 +28,26 @@ def coverage(df: DataFrame, factor: str, label: str, keys: Keys = ()) -> DataFra
     return df.groupBy(*keys).agg(F.avg(ok.cast("double")).alias("coverage_pct"), F.count("*").alias("n_total_rows"), F.count(F.when(ok, 1)).alias("n_forward_return_samples"))
 
 
-def usable(df: DataFrame, factor: str, label: str, least: int = 30, keys: Keys = ()) -> tuple[DataFrame, DataFrame]:
+def usable(df: DataFrame, factor: str, label: str, least: int = 30, keys: Keys = (), most: int = ONE_TASK, spread: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """(valid rows on dates with enough of them, dates left out)."""
-    ok = df.filter(F.col(factor).isNotNull() & F.col(label).isNotNull()).withColumn("n_valid", F.count("*").over(Window.partitionBy(*keys, DATE)))
+    ok = df.filter(F.col(factor).isNotNull() & F.col(label).isNotNull())
+    ok = grouped(ok, [*keys, DATE], {"n_valid": F.count("*")}, spread_out(ok, [*keys, DATE], most, spread))
     return ok.filter(F.col("n_valid") >= least), ok.filter(F.col("n_valid") < least).select(*keys, DATE).distinct()
 
 
-def quantiles(df: DataFrame, factor: str, q: int = 5, keys: Keys = (), out: str = "quantile") -> DataFrame:
+def quantiles(df: DataFrame, factor: str, q: int = 5, keys: Keys = (), out: str = "quantile", most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """Bucket 1..q of each date by rank, ties in order of code; NULL where the date has fewer than q values."""
-    has = F.col(factor).isNotNull()
-    w = Window.partitionBy(*keys, DATE)
-    place = F.row_number().over(Window.partitionBy(*keys, DATE).orderBy(F.col(factor).asc_nulls_last(), "ts_code"))
-    return df.withColumn(out, F.when(has, bucket(place, F.count(factor).over(w), q)))
+    order = [F.col(factor).asc_nulls_last(), F.col("ts_code").asc()]
+    placed = places(df, [*keys, DATE], order, "_place", {"_count": F.count(factor)}, most, spread)
+    return placed.withColumn(out, F.when(F.col(factor).isNotNull(), bucket(F.col("_place"), F.col("_count"), q))).drop("_place", "_count")
 
 
-def rank_ic(df: DataFrame, factor: str, label: str, keys: Keys = (), least: int = 10) -> DataFrame:
+def rank_ic(df: DataFrame, factor: str, label: str, keys: Keys = (), least: int = 10, most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """Spearman correlation by date with mean ranks for ties."""
     by = [*keys, DATE]
-    ok = df.filter(F.col(factor).isNotNull() & F.col(label).isNotNull())
-    ranked = ok.withColumn("_f", average_rank(F.col(factor), by, factor)).withColumn("_l", average_rank(F.col(label), by, label))
+    ok = df.filter(F.col(factor).isNotNull() & F.col(label).isNotNull()).select(*by, F.col(factor).alias("_fx"), F.col(label).alias("_lx"))
+    spread = spread_out(ok, by, most, spread)
+    ranked = mean_ranks(mean_ranks(ok, "_fx", by, "_f", most, spread), "_lx", by, "_l", most, spread)
     return ranked.groupBy(*by).agg(correlation("_f", "_l").alias("rank_ic"), F.count("*").alias("n_stocks")).filter(F.col("n_stocks") >= least)
 
 
@@ -251,15 +256,17 @@ def turnover_summary(by_date: DataFrame, keys: Keys = ()) -> DataFrame:
     return by_date.groupBy(*keys).agg(F.avg("turnover").alias("mean_turnover"), F.stddev_pop("turnover").alias("turnover_std"))
 
 
-def autocorrelation(df: DataFrame, factor: str, max_lag: int = 5, keys: Keys = (), least: int = 10) -> DataFrame:
+def autocorrelation(df: DataFrame, factor: str, max_lag: int = 5, keys: Keys = (), least: int = 10, most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """By date and lag: rank correlation of the factor with itself lag dates before, over codes on both dates."""
+    spread = spread_out(df, [*keys, DATE], most, spread)
     d = _dated(df.select(*keys, DATE, "ts_code", factor), keys)
     w = Window.partitionBy(*keys, "ts_code").orderBy("_d")  # one sort by code serves all lags
     before = F.array(*[F.struct(F.lit(k).alias("lag"), F.max(factor).over(w.rangeBetween(-k, -k)).alias("_p")) for k in range(1, max_lag + 1)])
     both = d.withColumn("_l", before).select(*keys, DATE, "ts_code", factor, F.explode("_l").alias("_l")).select(*keys, DATE, "ts_code", factor, "_l.*")
     by = [*keys, "lag", DATE]
     ok = both.filter(F.col(factor).isNotNull() & F.col("_p").isNotNull())
-    ok = ok.withColumn("_a", average_rank(F.col(factor), by, factor)).withColumn("_b", average_rank(F.col("_p"), by, "_p"))
+    ok = ok.select(*by, F.col(factor).alias("_x"), "_p")
+    ok = mean_ranks(mean_ranks(ok, "_x", by, "_a", most, spread), "_p", by, "_b", most, spread)
     return ok.groupBy(*by).agg(correlation("_a", "_b").alias("autocorr"), F.count("*").alias("n_overlap")).filter(F.col("n_overlap") >= least)
 
 
@@ -275,12 +282,13 @@ def half_life(decay: DataFrame, index: str, x: str, strict: bool, keys: Keys = (
     return d.groupBy(*keys).agg(F.min(F.when(low & (F.col("_half") > 0), F.col(index))).alias("half_life"))
 
 
-def ic_decay(df: DataFrame, factor: str, horizons: Sequence[int], keys: Keys = ()) -> DataFrame:
+def ic_decay(df: DataFrame, factor: str, horizons: Sequence[int], keys: Keys = (), most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """By horizon: mean, population deviation and IR of the rank IC."""
+    spread = spread_out(df, [*keys, DATE], most, spread)
     names = {f"forward_{h}d": h for h in horizons}
     long = df.select(*keys, DATE, "ts_code", factor, *names).unpivot([*keys, DATE, "ts_code", factor], list(names), "_h", "_label")
     long = long.withColumn("horizon", F.regexp_extract("_h", r"(\d+)", 1).cast("int"))
-    ic = rank_ic(long, factor, "_label", [*keys, "horizon"])
+    ic = rank_ic(long, factor, "_label", [*keys, "horizon"], most=most, spread=spread)
     return ic.groupBy(*keys, "horizon").agg(F.avg("rank_ic").alias("mean_ic"), F.stddev_pop("rank_ic").alias("std_ic"), ratio(F.avg("rank_ic"), F.nullif(F.stddev_pop("rank_ic"), F.lit(0.0))).alias("ic_ir"))
 
 
@@ -290,17 +298,18 @@ def industry_exposure(df: DataFrame, factor: str, industry: str = "sw_l1_name",
     return g.withColumn("normalized_exposure", F.when(F.col("std_exposure") > 0, ratio(F.col("mean_exposure"), F.col("std_exposure"))).otherwise(0.0))
 
 
-def distribution(df: DataFrame, x: str, keys: Keys = ()) -> DataFrame:
+def distribution(df: DataFrame, x: str, keys: Keys = (), most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """Count, mean, population deviation, corrected moments, exact percentiles with linear interpolation."""
     ok = df.filter(F.col(x).isNotNull())
-    pct = [F.percentile(x, F.lit(p)).alias(n) for n, p in (("p01", 0.01), ("p50", 0.5), ("p99", 0.99))]
-    return ok.groupBy(*keys).agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), skew(x).alias("skew"), kurtosis(x).alias("kurtosis"), *pct)
+    moments = ok.groupBy(*keys).agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), skew(x).alias("skew"), kurtosis(x).alias("kurtosis"))
+    return with_facts(moments, percentiles(ok, x, {"p01": 0.01, "p50": 0.5, "p99": 0.99}, keys, most, spread), keys)
 
 
-def size_bucket_ic(df: DataFrame, factor: str, label: str, keys: Keys = (), mv: str = "total_mv") -> DataFrame:
+def size_bucket_ic(df: DataFrame, factor: str, label: str, keys: Keys = (), mv: str = "total_mv", most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """Rank IC by date within terciles of size; dates with fewer than nine sized rows are left out."""
-    ok = df.filter(F.col(mv) > 0).withColumn("_n", F.count("*").over(Window.partitionBy(*keys, DATE))).filter("_n >= 9")
-    return rank_ic(quantiles(ok, mv, 3, keys, "size_bucket"), factor, label, [*keys, "size_bucket"])
+    spread = spread_out(df, [*keys, DATE], most, spread)
+    ok = grouped(df.filter(F.col(mv) > 0), [*keys, DATE], {"_n": F.count("*")}, spread).filter("_n >= 9")
+    return rank_ic(quantiles(ok, mv, 3, keys, "size_bucket", most, spread), factor, label, [*keys, "size_bucket"], most=most, spread=spread)
 
 
 def split_periods(df: DataFrame, share: float = 0.75, keys: Keys = ()) -> DataFrame:

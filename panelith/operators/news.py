@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keywords import FEW, found
+
 #: Fixed value: characters stripped from both ends.
 EDGE = " -:：,，。；;"
 
@@ -34,23 +36,26 @@ def haystack() -> Column:
     return F.lower(F.concat_ws(" ", "title", "content", F.array_join("tags", " ")))
 
 
-def _hits(words: Sequence[str]) -> Column:
-    text = haystack()
-    return F.array_compact(F.array(*[F.when(F.instr(text, w) > 0, F.lit(w)) for w in words])) if words else F.array().cast("array<string>")
+def _named(places: str, words: Sequence[str]) -> Column:
+    """The words at ``places``."""
+    return F.transform(places, lambda i: F.get(F.lit(list(words)) if words else F.array().cast("array<string>"), i))
 
 
-def relevant(items: DataFrame, keywords: Sequence[str]) -> DataFrame:
+def relevant(items: DataFrame, keywords: Sequence[str], few: int = FEW) -> DataFrame:
     """Rows with a keyword in title, content or tags, and which; no keywords let all rows pass with none matched."""
     words = [k.strip().lower() for k in keywords if k.strip()]
-    out = items.withColumn("matched_keywords", _hits(words))
+    out = items.withColumn("_text", haystack()).withColumn("_at", found(F.col("_text"), words, few)).withColumn("matched_keywords", _named("_at", words)).drop("_text", "_at")
     return out.filter(F.size("matched_keywords") > 0) if words else out
 
 
-def categorize(items: DataFrame, rules: Mapping[str, Sequence[str]], source_weights: Mapping[str, float]) -> DataFrame:
-    """The first rule with a hit, else other; the source's weight, else 1."""
-    any_of = lambda words: F.size(_hits([w.lower() for w in words])) > 0
-    category = F.coalesce(*[F.when(any_of(words), name) for name, words in rules.items()], F.lit("other"))
-    return items.withColumn("category", category).withColumn("source_weight", _weight(F.col("source"), source_weights))
+def categorize(items: DataFrame, rules: Mapping[str, Sequence[str]], source_weights: Mapping[str, float], few: int = FEW) -> DataFrame:
+    """The first rule with a hit, else other; the source's weight, else 1.  The words of all rules are looked for together."""
+    words = [w.lower() for own in rules.values() for w in own]
+    owner = [name for name, own in rules.items() for _ in own]
+    first = F.array_min("_at")  # words stand in the order of their rules
+    category = F.coalesce(F.get(F.lit(owner), first), F.lit("other")) if words else F.lit("other")
+    out = items.withColumn("_text", haystack()).withColumn("_at", found(F.col("_text"), words, few)).withColumn("category", category).drop("_text", "_at")
+    return out.withColumn("source_weight", _weight(F.col("source"), source_weights))
 
 
 def _weight(x: Column, weights: Mapping[str, float]) -> Column:
@@ -70,7 +75,7 @@ def digest(raw: DataFrame, keywords: Sequence[str], order: str) -> DataFrame:
     """Counts raw, clean, deduplicated and relevant, in one pass over flagged rows."""
     c = clean(raw.withColumn("_raw", F.lit(1)))
     first = F.row_number().over(Window.partitionBy(F.lower("title"), "source").orderBy(order)) == 1
-    hit = F.size(_hits([k.lower() for k in keywords])) > 0
-    flagged = c.withColumn("_first", first).withColumn("_hit", hit if keywords else F.lit(True))
+    hit = F.size(found(F.col("_text"), [k.lower() for k in keywords])) > 0
+    flagged = c.withColumn("_first", first).withColumn("_text", haystack()).withColumn("_hit", hit if keywords else F.lit(True))
     counts = flagged.agg(F.count("*").alias("total_clean"), F.count(F.when(F.col("_first"), 1)).alias("total_deduped"), F.count(F.when(F.col("_first") & F.col("_hit"), 1)).alias("total_relevant"))
     return raw.agg(F.count("*").alias("total_raw")).withColumn("_k", F.lit(1)).join(counts.withColumn("_k", F.lit(1)), "_k").drop("_k")

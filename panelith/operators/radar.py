@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import ratio
+from .order import ONE_TASK, percentiles, places, spread_out, with_facts
 
 DATE = "trade_date"
 #: Fixed values: (bound, points) from above and from below for each score, and the states' bounds.
@@ -31,16 +32,18 @@ def active(panel: DataFrame) -> DataFrame:
     return panel.filter(~F.coalesce(F.col("is_suspended"), F.lit(False)))
 
 
-def breadth(panel: DataFrame) -> DataFrame:
+def breadth(panel: DataFrame, most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """By date: counts, returns, limits, amounts, ratio to the mean total of the last five dates (suspended rows count in it)."""
     live = ~F.coalesce(F.col("is_suspended"), F.lit(False))
     on = lambda c: F.when(live, c)
     n = lambda c: F.count(F.when(live & c, 1))
     up, down = F.col("pct_chg") > 0, F.col("pct_chg") < 0
+    spread = spread_out(panel, [DATE], most, spread)
+    median = [] if spread else [F.median(on(F.col("pct_chg"))).alias("median_return")]
     g = panel.groupBy(DATE).agg(
         F.count(on(F.lit(1))).alias("stock_count"),
         F.avg(on(F.col("pct_chg"))).alias("average_return"),
-        F.median(on(F.col("pct_chg"))).alias("median_return"),
+        *median,
         F.stddev_pop(on(F.col("pct_chg"))).alias("return_std"),
         n(up).alias("up_count"),
         n(down).alias("down_count"),
@@ -49,6 +52,8 @@ def breadth(panel: DataFrame) -> DataFrame:
         F.coalesce(F.sum(on(F.col("amount"))), F.lit(0.0)).alias("amount_total"),
         F.sum("amount").alias("_all"),
     )
+    if spread:
+        g = with_facts(g, percentiles(active(panel), "pct_chg", {"median_return": 0.5}, [DATE], most, True), [DATE])
     five = F.avg("_all").over(Window.orderBy(DATE).rowsBetween(-4, 0))  # one row for each date
     g = g.withColumn("breadth_ratio", F.col("up_count") / F.greatest(F.col("up_count") + F.col("down_count"), F.lit(1))).withColumn("amount_ratio_5d", ratio(F.col("amount_total"), five))
     return g.drop("_all").filter("stock_count > 0")
@@ -72,26 +77,32 @@ def temperature(by_date: DataFrame) -> DataFrame:
     return by_date.withColumn("score", score).withColumn("state", F.when(F.col("score") >= RISK_ON, "risk_on").when(F.col("score") <= RISK_OFF, "risk_off").otherwise("neutral"))
 
 
-def style_buckets(panel: DataFrame, styles: Sequence[tuple] = STYLES, share: float = 0.2) -> DataFrame:
+def style_buckets(panel: DataFrame, styles: Sequence[tuple] = STYLES, share: float = 0.2, most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """By date, style and bucket: mean, median return, names; top and bottom are max(int(n * share), 1) names, ties by code."""
     fields = {f: None for _, f, *_ in styles}
     rules = F.array(*[F.struct(F.lit(s).alias("style"), F.lit(f).alias("field"), F.lit(side).alias("side"), F.lit(t).alias("top"), F.lit(b).alias("bottom"), F.col(f).cast("double").alias("x")) for s, f, side, t, b in styles])
     if missing := [f for f in fields if f not in panel.columns]:
         raise ValueError(f"style fields not in the panel: {missing}")
     long = active(panel).select(DATE, "ts_code", "pct_chg", F.explode(rules).alias("r")).select(DATE, "ts_code", "pct_chg", "r.*").filter("x is not null and pct_chg is not null")
-    w = Window.partitionBy(DATE, "style")
+    spread = spread_out(panel, [DATE], most, spread)
     score = F.when(F.col("side") == "low", F.col("x")).otherwise(-F.col("x"))
-    long = long.withColumn("_n", F.count("*").over(w)).withColumn("_i", F.row_number().over(w.orderBy(score, "ts_code")))
+    long = places(long, [DATE, "style"], [score.asc(), F.col("ts_code").asc()], "_i", {"_n": F.count("*")}, most, spread)
     size = F.greatest(F.floor(F.col("_n") * share), F.lit(1))
     ends = F.array_compact(F.array(F.when(F.col("_i") <= size, F.col("top")), F.when(F.col("_i") > F.col("_n") - size, F.col("bottom"))))
-    b = long.withColumn("bucket_name", F.explode(ends))
-    g = b.groupBy(DATE, F.col("style").alias("factor_name"), "bucket_name").agg(F.avg("pct_chg").alias("mean_return"), F.median("pct_chg").alias("median_return"), F.count("*").alias("stock_count"))
+    b = long.select(DATE, F.col("style").alias("factor_name"), F.explode(ends).alias("bucket_name"), "pct_chg")
+    own = [DATE, "factor_name", "bucket_name"]
+    g = b.groupBy(*own).agg(F.avg("pct_chg").alias("mean_return"), F.count("*").alias("stock_count"))
+    g = with_facts(g, percentiles(b, "pct_chg", {"median_return": 0.5}, own, most, spread), own).select(*own, "mean_return", "median_return", "stock_count")
     return g.withColumn("place", F.row_number().over(Window.partitionBy(DATE).orderBy(F.desc("mean_return"), "factor_name", "bucket_name")))
 
 
-def industry_strength(panel: DataFrame, industry: str = "sw_l1_name") -> DataFrame:
+def industry_strength(panel: DataFrame, industry: str = "sw_l1_name", most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
     """By date and industry: returns, amount, names, share advancing, amount against its last five rows."""
-    g = active(panel).filter(F.col(industry).isNotNull()).groupBy(DATE, industry).agg(F.avg("pct_chg").alias("mean_return"), F.median("pct_chg").alias("median_return"), F.sum("amount").alias("total_amount"), F.count("ts_code").alias("stock_count"), F.avg(F.coalesce(F.col("pct_chg") > 0, F.lit(False)).cast("double")).alias("advancer_ratio"))
+    live, spread = active(panel).filter(F.col(industry).isNotNull()), spread_out(panel, [DATE], most, spread)
+    median = [] if spread else [F.median("pct_chg").alias("median_return")]
+    g = live.groupBy(DATE, industry).agg(F.avg("pct_chg").alias("mean_return"), *median, F.sum("amount").alias("total_amount"), F.count("ts_code").alias("stock_count"), F.avg(F.coalesce(F.col("pct_chg") > 0, F.lit(False)).cast("double")).alias("advancer_ratio"))
+    if spread:
+        g = with_facts(g, percentiles(live, "pct_chg", {"median_return": 0.5}, [DATE, industry], most, True), [DATE, industry])
     return g.join(industry_amount_ratio(panel, industry), [DATE, industry], "left")
 
 

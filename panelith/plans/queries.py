@@ -137,6 +137,29 @@ def _(spark, sf):
     return s.load_history({"daily": landed, "daily_basic": p.drop("month_no")}, dates)
 
 
+@query(
+    "a14_file_load",
+    P,
+    "SELECT trade_date, CASE WHEN month_no % 11 IN (5, 6, 7) THEN 'failed' ELSE 'success' END AS status, CASE WHEN month_no % 11 IN (5, 6, 7) THEN 0 ELSE count(*) END AS row_count,"
+    " CASE month_no % 11 WHEN 5 THEN count(*) || ' rows do not parse' WHEN 6 THEN '1 rows of another date: 19000101' WHEN 7 THEN 'no landed file, or an empty one' END AS reason FROM panel GROUP BY trade_date, month_no",
+)
+def _(spark, sf):
+    root = store.scratch(spark)
+    names = schemas.TABLES["daily"].fieldNames()
+    p = schemas.conform(frames.panel(spark, sf).select("month_no", *adapters.daily(frames.panel(spark, sf)).columns), schemas.TABLES["daily"])
+    least = F.min("ts_code").over(Window.partitionBy("trade_date")) == F.col("ts_code")
+    bad, other = F.col("month_no") % 11 == 5, (F.col("month_no") % 11 == 6) & least
+    rows = p.filter("month_no % 11 <> 7").withColumn("day", F.col("trade_date"))
+    rows = rows.withColumn("open", F.when(bad, "n/a").otherwise(F.col("open").cast("string"))).withColumn("trade_date", F.when(other, "19000101").otherwise(F.col("trade_date")))
+    rows.select("day", *names).repartition("day").write.partitionBy("day").option("header", "true").csv(f"{root}/landing/daily")
+    s = store.Store(spark, f"{root}/store")
+    s.load_files(f"{root}/landing", ["daily"], p.select("trade_date"))
+    s.load_files(f"{root}/landing", ["daily"], p.select("trade_date"))  # only what failed is tried again
+    stored = s.read("daily").groupBy("trade_date").agg(F.count("*").alias("n"))
+    lines = s.ledger().join(stored, "trade_date", "left").select("trade_date", "status", F.coalesce("n", F.lit(0)).alias("row_count"), "error_message")
+    return lines.select("trade_date", "status", "row_count", F.regexp_replace("error_message", ", one is: [\\s\\S]*", "").alias("reason"))
+
+
 @query("a15_index_load_plan", f"{P},{O.CALENDAR},{O.WEIGHTS}", "SELECT cal_date AS trade_date, 'TOP' AS endpoint FROM cal WHERE is_open = '1' AND cal_date NOT IN (SELECT trade_date FROM weights)")
 def _(spark, sf):
     done = adapters.index_weights(frames.panel(spark, sf)).select("trade_date", F.col("index_code").alias("endpoint"))
@@ -236,12 +259,12 @@ def _(spark, sf):
 
 @query("a28_scan_date", P, "SELECT ts_code, close, pct_chg FROM panel WHERE trade_date = '19970301'", "close pct_chg")
 def _(spark, sf):
-    return panel.in_range(frames.panel(spark, sf), "19970301", "19970301").select("ts_code", "close", "pct_chg")
+    return frames.panel_store(spark, sf).read("19970301", "19970301").select("ts_code", "close", "pct_chg")
 
 
 @query("a29_scan_window", P, "SELECT trade_date, ts_code, close FROM panel WHERE trade_date IN (SELECT DISTINCT trade_date FROM panel WHERE trade_date <= '19970315' ORDER BY 1 DESC LIMIT 6)", "close")
 def _(spark, sf):
-    return store.scan_window(frames.panel(spark, sf), "19970315", 6).select("trade_date", "ts_code", "close")
+    return frames.panel_store(spark, sf).last_dates("19970315", 6).select("trade_date", "ts_code", "close")
 
 
 # --- B: panel -------------------------------------------------------------------------------------
@@ -343,10 +366,24 @@ def _(spark, sf):
     return s.read("daily_panel").groupBy("trade_date").agg(F.count("*").alias("n"))
 
 
-@query("b10_schema_drift", P, "SELECT count(*) AS n, true AS changed FROM panel")
+@query(
+    "b10_schema_drift",
+    P,
+    "SELECT 'same columns' AS build, count(*) FILTER (trade_date BETWEEN '19970101' AND '19970601') AS n_range, false AS whole, count(*) AS n_rows, sum(close) + count(*) FILTER (trade_date BETWEEN '19970101' AND '19970601') AS close, 4 AS n_columns FROM panel"
+    " UNION ALL SELECT 'fewer columns', count(*) FILTER (trade_date BETWEEN '19970101' AND '19970601'), true, count(*), sum(close) + 2 * count(*), 3 FROM panel",
+    "close",
+)
 def _(spark, sf):
-    p = frames.panel(spark, sf)
-    return p.agg(F.count("*").alias("n"), F.lit(panel.schema_changed(p, p.drop("pb").columns) and not panel.schema_changed(p, p.columns)).alias("changed"))
+    s = store.Store(spark, store.scratch(spark))
+    p = frames.panel(spark, sf).select("trade_date", "ts_code", "close", "pb")
+    s.write("daily_panel", p, ["trade_date"])
+    out = []
+    for build, columns, more in (("same columns", p.columns, 1), ("fewer columns", ["trade_date", "ts_code", "close"], 2)):
+        made = lambda start, end: panel.in_range(p, start, end).withColumn("close", F.col("close") + more).select(columns)  # noqa: B023, E731
+        n, whole = s.rebuild_range("daily_panel", made, "19970101", "19970601")
+        now = s.read("daily_panel").agg(F.count("*").alias("n_rows"), F.sum("close").alias("close"), F.lit(len(s.columns("daily_panel"))).alias("n_columns"))
+        out.append(store.stored(now.select(F.lit(build).alias("build"), F.lit(n).cast("long").alias("n_range"), F.lit(whole).alias("whole"), "n_rows", "close", "n_columns")))
+    return reduce(DataFrame.unionByName, out)
 
 
 # --- C: quality -----------------------------------------------------------------------------------
@@ -357,15 +394,25 @@ def _(spark, sf):
     return quality.expected_dates(adapters.calendar(spark, sf), "19960101", "20001231")
 
 
-@query("c02_ingest_status", f"{O.CALENDAR},{O.LOG}", "SELECT endpoint, count(DISTINCT trade_date) FILTER (status = 'success') AS success_dates, count(*) FILTER (status = 'failed') AS failed_count, count(*) FILTER (status = 'failed' AND trade_date IN (SELECT cal_date FROM cal WHERE is_open = '1')) AS missing_count, 'WARN' AS status FROM log GROUP BY endpoint")
+@query("c02_ingest_status", f"{O.CALENDAR},{O.LOG}", "SELECT endpoint, count(DISTINCT trade_date) FILTER (status = 'success') AS success_dates, count(*) FILTER (status = 'failed') AS failed_count, count(*) FILTER (status = 'failed' AND trade_date IN (SELECT cal_date FROM cal WHERE is_open = '1')) AS missing_count, CASE WHEN count(*) FILTER (status = 'failed') > 0 THEN 'WARN' ELSE 'PASS' END AS status FROM log GROUP BY endpoint")
 def _(spark, sf):
     return quality.ingest_status(adapters.ingest_log(spark, sf), quality.expected_dates(adapters.calendar(spark, sf)))
 
 
-@query("c03_duplicate_keys", P, "SELECT 'duplicate_keys:daily' AS check_name, 'FAIL' AS status, count(*) AS n_bad, '' AS detail FROM panel WHERE key % 10 = 0")
+_TWICE = f"""{BASIC}, dd AS (SELECT * FROM daily UNION ALL SELECT * FROM daily WHERE CAST(ts_code AS INT) % 10 = 0),
+dt AS (SELECT 'daily' AS t, trade_date, ts_code FROM dd UNION ALL SELECT 'daily_basic', trade_date, ts_code FROM basic UNION ALL SELECT 'daily_panel', trade_date, ts_code FROM panel),
+tw AS (SELECT t, count(*) FILTER (k > 1) AS n_bad FROM (SELECT t, count(*) AS k FROM dt GROUP BY t, trade_date, ts_code) GROUP BY t)"""
+
+
+def _twice(d):
+    return d.unionByName(d.filter("cast(ts_code as int) % 10 = 0"))
+
+
+@query("c03_duplicate_keys", _TWICE, "SELECT 'duplicate_keys:' || t AS check_name, CASE WHEN n_bad > 0 THEN 'FAIL' ELSE 'PASS' END AS status, n_bad, '' AS detail FROM tw")
 def _(spark, sf):
-    d = adapters.daily(frames.panel(spark, sf))
-    return quality.duplicate_keys(d.unionByName(d.filter("cast(ts_code as int) % 10 = 0")), "daily")
+    p = frames.panel(spark, sf)
+    tables = {"daily": _twice(adapters.daily(p)), "daily_basic": adapters.daily_basic(p), "daily_panel": p}
+    return reduce(DataFrame.unionByName, [quality.duplicate_keys(t, name) for name, t in tables.items()])
 
 
 @query("c04_date_coverage", f"{P},{O.CALENDAR},{O.WEIGHTS}", "SELECT 'date_coverage:index_weight' AS check_name, CASE WHEN k > 0 THEN 'FAIL' ELSE 'PASS' END AS status, k AS n_bad, concat_ws(' ', lo, hi, CAST(n AS VARCHAR), coalesce(dates, '')) AS detail FROM (SELECT min(trade_date) AS lo, max(trade_date) AS hi, count(DISTINCT trade_date) AS n FROM weights), (SELECT count(*) AS k, array_to_string(list(cal_date ORDER BY cal_date)[1:20], ',') AS dates FROM cal WHERE is_open = '1' AND cal_date NOT IN (SELECT trade_date FROM weights))")
@@ -373,10 +420,16 @@ def _(spark, sf):
     return quality.date_coverage(adapters.index_weights(frames.panel(spark, sf)), quality.expected_dates(adapters.calendar(spark, sf)), "index_weight")
 
 
-@query("c05_missing_rates", BASIC, "SELECT 'daily_basic' AS table_name, field, count(*) AS n_rows, avg(miss) AS missing_rate, CASE WHEN avg(miss) > 0.05 THEN 'WARN' ELSE 'PASS' END AS status FROM (SELECT 'turnover_rate' AS field, CASE WHEN turnover_rate IS NULL THEN 1.0 ELSE 0.0 END AS miss FROM basic UNION ALL SELECT 'total_mv', CASE WHEN total_mv IS NULL THEN 1.0 ELSE 0.0 END FROM basic) GROUP BY field UNION ALL SELECT 'daily', field, count(*), avg(miss), CASE WHEN avg(miss) > 0.05 THEN 'WARN' ELSE 'PASS' END FROM (SELECT 'open' AS field, CASE WHEN open IS NULL THEN 1.0 ELSE 0.0 END AS miss FROM daily UNION ALL SELECT 'close', CASE WHEN close IS NULL THEN 1.0 ELSE 0.0 END FROM daily UNION ALL SELECT 'pct_chg', CASE WHEN pct_chg IS NULL THEN 1.0 ELSE 0.0 END FROM daily UNION ALL SELECT 'amount', CASE WHEN amount IS NULL THEN 1.0 ELSE 0.0 END FROM daily) GROUP BY field", "missing_rate")
+_FIELDS = {"daily": ("open", "high", "low", "close", "amount"), "daily_basic": ("turnover_rate", "total_mv"), "daily_panel": ("open", "high", "low", "close", "amount", "adj_factor", "turnover_rate", "total_mv")}
+_FROM = {"daily": "dd", "daily_basic": "basic", "daily_panel": "panel"}
+_MISS = "mr AS (" + " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{f}' AS field, count(*) AS n_rows, avg(CASE WHEN {f} IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate FROM {_FROM[t]}" for t, own in _FIELDS.items() for f in own) + ")"
+
+
+@query("c05_missing_rates", f"{_TWICE}, {_MISS}", "SELECT *, CASE WHEN missing_rate > 0.05 THEN 'WARN' ELSE 'PASS' END AS status FROM mr", "missing_rate")
 def _(spark, sf):
     p = frames.panel(spark, sf)
-    return quality.missing_rates({"daily": adapters.daily(p), "daily_basic": adapters.daily_basic(p)})
+    tables = {"daily": _twice(adapters.daily(p)), "daily_basic": adapters.daily_basic(p), "daily_panel": p}
+    return quality.missing_rates(tables, {t: [f for f in quality.REPORT_FIELDS if f in df.columns] for t, df in tables.items()})
 
 
 @query("c06_ohlc_sanity", f"{P},{O.DAILY}", "SELECT 'ohlc_sanity:daily' AS check_name, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS status, count(*) AS n_bad, '' AS detail FROM daily WHERE open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR high < low OR open < low OR open > high OR close < low OR close > high")
@@ -396,11 +449,44 @@ def _(spark, sf):
     return quality.industry_match(p, "19950101")
 
 
-@query("c09_quality_summary", BASIC, "SELECT status, count(*) AS n_checks FROM (SELECT 'PASS' AS status UNION ALL SELECT CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END FROM daily WHERE high < low OR open < low OR open > high OR close < low OR close > high UNION ALL SELECT 'WARN' UNION ALL SELECT 'PASS' UNION ALL SELECT 'PASS') GROUP BY status")
-def _(spark, sf):
+#: The seven checks in SQL, every status computed; the panel lacks an industry where key % 9 = 0, dates are expected from 1996 on.
+_SEVEN = f"""{_TWICE}, {_MISS}, {O.CALENDAR}, {O.LOG},
+ex AS (SELECT cal_date AS trade_date FROM cal WHERE is_open = '1' AND cal_date >= '19960101'),
+ends AS (SELECT endpoint, count(*) FILTER (status = 'failed') AS failed, (SELECT count(*) FROM ex WHERE trade_date NOT IN (SELECT trade_date FROM log l WHERE l.endpoint = g.endpoint AND l.status = 'success')) AS gaps FROM log g GROUP BY endpoint),
+lack AS (SELECT t, (SELECT count(*) FROM ex WHERE trade_date NOT IN (SELECT trade_date FROM dt WHERE dt.t = x.t AND month(strptime(trade_date, '%Y%m%d')) <> (CASE WHEN x.t = 'daily_basic' THEN 3 ELSE 0 END))) AS n FROM (SELECT DISTINCT t FROM dt) x),
+bs AS (SELECT * FROM basic WHERE month(strptime(trade_date, '%Y%m%d')) <> 3),
+mr2 AS (SELECT 'daily_basic' AS table_name, f AS field, avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate FROM (SELECT 'turnover_rate' AS f, turnover_rate AS v FROM bs UNION ALL SELECT 'total_mv', total_mv FROM bs) GROUP BY f
+    UNION ALL SELECT table_name, field, missing_rate FROM mr WHERE table_name <> 'daily_basic'),
+only_d AS (SELECT count(*) AS n FROM dd ANTI JOIN bs USING (trade_date, ts_code)), only_b AS (SELECT count(*) AS n FROM bs ANTI JOIN dd USING (trade_date, ts_code)),
+checks AS (
+    SELECT 1 AS place, 'ingest_status' AS check_name, CASE WHEN count(*) > 0 THEN 'WARN' ELSE 'PASS' END AS status, count(*) AS n_bad, coalesce(string_agg(endpoint, ',' ORDER BY endpoint), '') AS detail FROM ends WHERE failed > 0 OR gaps > 0
+    UNION ALL SELECT 2, 'duplicate_keys', CASE WHEN sum(n_bad) > 0 THEN 'FAIL' ELSE 'PASS' END, sum(n_bad)::BIGINT, string_agg(t || '=' || n_bad, ',' ORDER BY t) FROM tw
+    UNION ALL SELECT 3, 'date_coverage', CASE WHEN sum(n) > 0 THEN 'FAIL' ELSE 'PASS' END, sum(n)::BIGINT, string_agg(t || '=' || n, ',' ORDER BY t) FROM lack
+    UNION ALL SELECT 4, 'missing_rates', CASE WHEN count(*) > 0 THEN 'WARN' ELSE 'PASS' END, count(*), coalesce(string_agg(table_name || '.' || field, ',' ORDER BY table_name, field), '') FROM mr2 WHERE missing_rate > 0.05
+    UNION ALL SELECT 5, 'ohlc_sanity', CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END, count(*), 'daily_panel' FROM panel WHERE open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR high < low OR open < low OR open > high OR close < low OR close > high
+    UNION ALL SELECT 6, 'basic_coverage', CASE WHEN d.n + b.n > 0 THEN 'WARN' ELSE 'PASS' END, d.n + b.n, 'daily=' || d.n || ',daily_basic=' || b.n FROM only_d d, only_b b
+    UNION ALL SELECT 7, 'industry_match', CASE WHEN avg(CASE WHEN key % 9 <> 0 THEN 1.0 ELSE 0.0 END) < 0.95 THEN 'WARN' ELSE 'PASS' END, count(*) FILTER (key % 9 = 0), count(*) FILTER (key % 9 <> 0) || '/' || count(*) FROM panel)"""
+
+
+def _report(spark, sf):
     p = frames.panel(spark, sf)
-    d = adapters.daily(p)
-    return quality.summary([quality.duplicate_keys(d, "daily"), quality.ohlc_sanity(d), quality.two_way_coverage(d, adapters.daily_basic(p)), quality.industry_match(p)])
+    tables = {
+        "daily": _twice(adapters.daily(p)),
+        "daily_basic": adapters.daily_basic(p).filter("substring(trade_date, 5, 2) <> '03'"),
+        "daily_panel": p.withColumn("sw_l1_name", F.when(F.col("key") % 9 != 0, F.col("sw_l1_name"))),
+    }
+    expected = quality.expected_dates(adapters.calendar(spark, sf), "19960101", "99991231")
+    return quality.report(tables, adapters.ingest_log(spark, sf), expected, _master(p))
+
+
+@query("c09_quality_report", _SEVEN, "SELECT * FROM checks")
+def _(spark, sf):
+    return _report(spark, sf)
+
+
+@query("c09_quality_summary", _SEVEN, "SELECT status, count(*) AS n_checks FROM checks GROUP BY status")
+def _(spark, sf):
+    return _report(spark, sf).groupBy("status").agg(F.count("*").alias("n_checks"))
 
 
 # --- D: sample ------------------------------------------------------------------------------------
@@ -511,6 +597,25 @@ def _(spark, sf):
     return made.select("trade_date", "ts_code", "mine")
 
 
+@query("e06_plugin_by_code", FL, f"SELECT trade_date, ts_code, adj_close / lag(adj_close, 5) OVER w - 1 AS mine FROM flagged {_W}", "mine")
+def _(spark, sf):
+    rows = _flagged(spark, sf).select("trade_date", "ts_code", "adj_close")
+    return factors.run_code_plugin(rows, factors.numpy_momentum, "mine", window=5).select("trade_date", "ts_code", "mine")
+
+
+@query("e06_plugin_by_row", FL, "SELECT trade_date, ts_code, (high - low) / nullif(pre_close, 0) AS mine FROM flagged", "mine")
+def _(spark, sf):
+    rows = _flagged(spark, sf).select("trade_date", "ts_code", "high", "low", "pre_close")
+
+    def amplitude(batch):
+        import pyarrow.compute as pc
+
+        base = pc.if_else(pc.equal(batch["pre_close"], 0.0), None, batch["pre_close"])
+        return pc.divide(pc.subtract(batch["high"], batch["low"]), base)
+
+    return factors.run_row_plugin(rows, amplitude, "mine").select("trade_date", "ts_code", "mine")
+
+
 def _roll(x: str, n: int) -> str:
     return f"CASE WHEN count({x}) OVER v{n} >= {n} THEN avg({x}) OVER v{n} END"
 
@@ -550,7 +655,7 @@ def _(spark, sf):
 @query("f03_winsorize_mad", CHAIN, "SELECT trade_date, ts_code, factor_winsorized FROM f3b", "factor_winsorized")
 def _(spark, sf):
     s = frames.research_sample(spark, sf).withColumn("m5", factors.momentum(5))
-    return preprocess.winsorize_mad(s, "m5", "factor_winsorized").select("trade_date", "ts_code", "factor_winsorized")
+    return preprocess.winsorize_mad(s, "m5", "factor_winsorized", most=frames.FEW).select("trade_date", "ts_code", "factor_winsorized")
 
 
 @query("f04_zscore", CHAIN, "SELECT trade_date, ts_code, factor_zscore FROM f4", "factor_zscore")
@@ -581,7 +686,7 @@ def _(spark, sf):
 
 @query("f11_winsorize_percentile", P, "SELECT trade_date, ts_code, least(greatest(pb, quantile_cont(pb, 0.01) OVER w), quantile_cont(pb, 0.99) OVER w) AS pb_w FROM panel WINDOW w AS (PARTITION BY trade_date)", "pb_w")
 def _(spark, sf):
-    return preprocess.winsorize_percentile(frames.panel(spark, sf), "pb", "pb_w").select("trade_date", "ts_code", "pb_w")
+    return preprocess.winsorize_percentile(frames.panel(spark, sf), "pb", "pb_w", most=frames.FEW).select("trade_date", "ts_code", "pb_w")
 
 
 # --- G: evaluation --------------------------------------------------------------------------------
@@ -610,12 +715,13 @@ def _(spark, sf):
 
 @query("g04_quantiles", EV, "SELECT trade_date, ts_code, quantile FROM u")
 def _(spark, sf):
-    return frames.usable(spark, sf).select("trade_date", "ts_code", "quantile")
+    rows, _ = evaluate.usable(frames.factor_rows(spark, sf), FACTOR, LABEL, most=frames.FEW)
+    return evaluate.quantiles(rows, FACTOR, most=frames.FEW).select("trade_date", "ts_code", "quantile")
 
 
 @query("g05_rank_ic", IC, "SELECT * FROM ric", "rank_ic")
 def _(spark, sf):
-    return _ic(spark, sf)
+    return evaluate.rank_ic(frames.usable(spark, sf), FACTOR, LABEL, most=frames.FEW)
 
 
 @query("g06_pearson_ic", EV, f"SELECT trade_date, {O.corr('f', 'y')} AS ic, count(*) AS n_stocks FROM u GROUP BY trade_date HAVING count(*) >= 10", "ic")
@@ -742,7 +848,7 @@ ac AS (SELECT CAST(lag AS INTEGER) AS lag, trade_date, {O.corr('x', 'z')} AS aut
 
 @query("g19_autocorrelation_decay", AUTO, "SELECT lag, avg(autocorr) AS mean_autocorr FROM ac GROUP BY lag", "mean_autocorr")
 def _(spark, sf):
-    return evaluate.autocorrelation_decay(evaluate.autocorrelation(frames.usable(spark, sf), FACTOR))
+    return evaluate.autocorrelation_decay(evaluate.autocorrelation(frames.usable(spark, sf), FACTOR, most=frames.FEW))
 
 
 @query("g20_autocorrelation_lag1", AUTO, "SELECT * FROM ac WHERE lag = 1", "autocorr")
@@ -757,7 +863,7 @@ def _(spark, sf):
 
 @query("g22_distribution", EV, "SELECT count(factor_raw) AS count, avg(factor_raw) AS mean, stddev_pop(factor_raw) AS std, skewness(factor_raw) AS skew, kurtosis(factor_raw) AS kurtosis, quantile_cont(factor_raw, 0.01) AS p01, quantile_cont(factor_raw, 0.5) AS p50, quantile_cont(factor_raw, 0.99) AS p99 FROM rows0", "mean std skew kurtosis p01 p50 p99")
 def _(spark, sf):
-    return evaluate.distribution(frames.factor_rows(spark, sf), "factor_raw")
+    return evaluate.distribution(frames.factor_rows(spark, sf), "factor_raw", most=frames.FEW)
 
 
 SIZE = EV + f""",
@@ -768,7 +874,7 @@ s2 AS (SELECT size_bucket, trade_date, {O.avg_rank('f', 'size_bucket, trade_date
 
 @query("g23_size_bucket_ic", SIZE, f"SELECT size_bucket, trade_date, {O.corr('x', 'z')} AS rank_ic, count(*) AS n_stocks FROM s2 GROUP BY ALL HAVING count(*) >= 10", "rank_ic")
 def _(spark, sf):
-    return evaluate.size_bucket_ic(frames.usable(spark, sf), FACTOR, LABEL)
+    return evaluate.size_bucket_ic(frames.usable(spark, sf), FACTOR, LABEL, most=frames.FEW)
 
 
 YEARS = f"{QD},{O.IC}, yr AS (SELECT CAST(year(r.trade_date) AS INTEGER) AS year, count(*) AS n_days, avg(rank_ic) AS rank_ic_mean, avg(CASE WHEN rank_ic > 0 THEN 1.0 ELSE 0.0 END) AS rank_ic_win_rate, avg(q5) AS top_return_mean, product(coalesce(1 + q5, 1)) - 1 AS top_return_cum FROM ric r LEFT JOIN qw USING (trade_date) GROUP BY 1)"
@@ -1072,7 +1178,7 @@ BR_COLS = "average_return median_return return_std amount_total breadth_ratio am
 
 @query("j01_breadth", BREADTH, "SELECT * FROM br WHERE stock_count > 0", BR_COLS)
 def _(spark, sf):
-    return radar.breadth(frames.panel(spark, sf))
+    return radar.breadth(frames.panel(spark, sf), most=frames.FEW)
 
 
 def _bands(x: str, bands) -> str:
@@ -1099,7 +1205,7 @@ sb AS (SELECT *, top AS bucket_name FROM sz WHERE i <= z UNION ALL SELECT *, bot
 
 @query("j03_style_buckets", STYLE, "SELECT trade_date, factor_name, bucket_name, avg(pct_chg) AS mean_return, median(pct_chg) AS median_return, count(*) AS stock_count FROM sb GROUP BY ALL", "mean_return median_return")
 def _(spark, sf):
-    return radar.style_buckets(frames.panel(spark, sf)).drop("place")
+    return radar.style_buckets(frames.panel(spark, sf), most=frames.FEW).drop("place")
 
 
 INDUSTRY = P + """,

@@ -2,21 +2,24 @@
 
 An upsert rewrites only the partitions it touches.  Results that read the store they replace are written to a staging
 folder first.  A whole table is swapped by renaming: the old one steps aside, the new one takes its place, then the old
-one goes; where the driver is lost in between, the next access puts the old one back.
+one goes.  Only writers rename: where a driver is lost in between, readers take the old one where it stands, and the next
+writer puts it back.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .schemas import LEDGER, conform
+from . import landed
+from .schemas import LEDGER, TABLES, conform
 
 
 def scratch(spark: SparkSession) -> str:
@@ -50,37 +53,54 @@ class Store:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def exists(self, table: str) -> bool:
-        fs, p = self._fs(self.path(table))
-        old = self._fs(f"{self.path(table)}.old")[1]
-        if not fs.exists(p) and fs.exists(old):  # a swap was cut short
-            fs.rename(old, p)
+    def _there(self, path: str) -> bool:
+        fs, p = self._fs(path)
         return fs.exists(p)
 
+    def _rename(self, old: str, new: str) -> None:
+        fs, p = self._fs(old)
+        if not fs.rename(p, self._fs(new)[1]):
+            raise OSError(f"could not rename {old} to {new}")
+
+    def _delete(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
+    def _standing(self, table: str) -> str:
+        """Where the table's files are: aside while a swap is under way or was cut short."""
+        path = self.path(table)
+        return f"{path}.old" if not self._there(path) and self._there(f"{path}.old") else path
+
+    def exists(self, table: str) -> bool:
+        return self._there(self._standing(table))
+
     def read(self, table: str) -> DataFrame:
         """The table; a missing one is an error.  Partition values stay text."""
-        if not self.exists(table):
-            raise FileNotFoundError(self.path(table))
+        path = self._standing(table)
+        if not self._there(path):
+            raise FileNotFoundError(path)
         conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
         before = self.spark.conf.get(conf)
         self.spark.conf.set(conf, "false")
         try:
-            return self.spark.read.option("mergeSchema", "true").parquet(self.path(table))
+            return self.spark.read.option("mergeSchema", "true").parquet(path)
         finally:
             self.spark.conf.set(conf, before)
 
     def write(self, table: str, df: DataFrame, by: Sequence[str] = ()) -> None:
         """Replaces the whole table: staged, then swapped in by renaming; at no moment are both gone."""
-        staged = f"{self.path(table)}.staged-{uuid.uuid4().hex}"
+        path = self.path(table)
+        staged, old = f"{path}.staged-{uuid.uuid4().hex}", f"{path}.old"
         (df.write.partitionBy(*by) if by else df.write).parquet(staged)
-        fs, to = self._fs(self.path(table))
-        old = self._fs(f"{self.path(table)}.old")[1]
-        if self.exists(table):
-            fs.delete(old, True)
-            fs.rename(to, old)
+        if not self._there(path) and self._there(old):  # a swap was cut short
+            self._rename(old, path)
+        if self._there(path):
+            self._delete(old)
+            self._rename(path, old)
+        fs, to = self._fs(path)
         fs.mkdirs(to.getParent())
-        fs.rename(self._fs(staged)[1], to)
-        fs.delete(old, True)
+        self._rename(staged, path)
+        self._delete(old)
 
     def write_partitions(self, table: str, df: DataFrame, by: Sequence[str]) -> None:
         """Overwrites the partitions that ``df`` has rows for; others stay."""
@@ -88,8 +108,7 @@ class Store:
 
     def drop_partitions(self, table: str, values: Sequence[dict[str, str]]) -> None:
         for v in values:
-            fs, p = self._fs("/".join([self.path(table), *[f"{k}={x}" for k, x in v.items()]]))
-            fs.delete(p, True)
+            self._delete("/".join([self.path(table), *[f"{k}={x}" for k, x in v.items()]]))
 
     def upsert_partition(self, table: str, df: DataFrame, column: str, value: str) -> None:
         """One partition becomes the batch; an empty batch still deletes it."""
@@ -107,6 +126,25 @@ class Store:
         self.write_partitions(table, df, [column])
         return self.read(table).filter(F.col(column).between(start, end)).count()
 
+    def columns(self, table: str) -> set[str]:
+        """All columns that the footers of the stored files name, and the partition column."""
+        return set(self.read(table).columns)
+
+    def rebuild_range(self, table: str, build: Callable[[str | None, str | None], DataFrame], start: str, end: str, column: str = "trade_date") -> tuple[int, bool]:
+        """``build(start, end)`` replaces the stored range; where its columns are not those stored, ``build(None, None)`` replaces the whole table.
+
+        Returns the number of stored rows in the range, and whether all was rebuilt.
+        """
+        part = build(start, end)
+        whole = self.exists(table) and set(part.columns) != self.columns(table)
+        if whole:
+            self.write(table, build(None, None), [column])
+        elif self.exists(table):
+            return self.replace_range(table, part, start, end, column), False
+        else:
+            self.write(table, part, [column])
+        return self.read(table).filter(F.col(column).between(start, end)).count(), whole
+
     def upsert(self, table: str, batch: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> None:
         """Rows of the batch replace stored rows with their keys; an empty batch changes nothing.
 
@@ -125,8 +163,7 @@ class Store:
             staged = f"{self.path(table)}.staged-{uuid.uuid4().hex}"
             upserted(touched, batch, keys).write.parquet(staged)
             self.write_partitions(table, self.spark.read.parquet(staged), by)
-            fs, p = self._fs(staged)
-            fs.delete(p, True)
+            self._delete(staged)
 
     # --- ledger ---
 
@@ -146,31 +183,65 @@ class Store:
         there = self.spark.createDataFrame([(n.split("=", 1)[1],) for n in names if n.startswith("trade_date=")], "trade_date string")
         return self.ledger().filter((F.col("endpoint") == endpoint) & (F.col("status") == "success")).select("trade_date").join(there, "trade_date", "left_semi")
 
-    def load_history(self, landed: dict[str, DataFrame], dates: DataFrame, force: bool = False) -> DataFrame:
+    def load_history(self, frames: dict[str, DataFrame], dates: DataFrame, force: bool = False) -> DataFrame:
         """Loads each endpoint's open partitions from its landed rows (with trade_date), all dates of an endpoint in one job.
 
         A partition that has no landed rows is recorded as failed and stops no other; one whose ledger says success but
         whose folder is gone is loaded again.  Returns endpoint, rows, skipped, failed.
         """
         days = dates.select("trade_date").distinct()
-        due, total = None, None
-        for name, frame in landed.items():
-            done = self.loaded(name) if not force else days.limit(0)
-            own = days.join(done, "trade_date", "left_anti")
-            rows = frame.join(F.broadcast(own), "trade_date", "left_semi")
-            self.write_partitions(name, rows, ["trade_date"])
-            count = rows.groupBy("trade_date").agg(F.count("*").alias("row_count"))
-            lines = own.join(count, "trade_date", "left").select(F.lit(name).alias("endpoint"), "trade_date", F.col("row_count").isNull().alias("bad"), F.coalesce("row_count", F.lit(0)).alias("row_count"))
-            skipped = days.join(done, "trade_date", "left_semi").agg(F.count("*").alias("skipped")).select(F.lit(name).alias("endpoint"), "skipped")
-            due = lines if due is None else due.unionByName(lines)
-            total = skipped if total is None else total.unionByName(skipped)
-        staged = f"{self.root}/load-{uuid.uuid4().hex}"
-        sums = due.groupBy("endpoint").agg(F.sum("row_count").alias("rows"), F.count(F.when(F.col("bad"), 1)).alias("failed"))
-        total.join(sums, "endpoint", "left").select("endpoint", F.coalesce("rows", F.lit(0)).alias("rows"), "skipped", F.coalesce("failed", F.lit(0)).alias("failed")).write.parquet(staged)
-        path = F.concat(F.lit(f"{self.root}/"), "endpoint")
+        lines, skipped = [], []
+        for name, frame in frames.items():
+            own, done = self._due(name, days, force)
+            self.write_partitions(name, frame.join(F.broadcast(own), "trade_date", "left_semi"), ["trade_date"])
+            count = self.read(name).select("trade_date").join(F.broadcast(own), "trade_date", "left_semi").groupBy("trade_date").agg(F.count("*").alias("row_count"))
+            found = own.join(count, "trade_date", "left").select("trade_date", F.when(F.col("row_count").isNull(), "no landed rows").alias("error"), "row_count")
+            lines.append(found.select(F.lit(name).alias("endpoint"), "*"))
+            skipped.append(done.select(F.lit(name).alias("endpoint")))
+        return self._record_load(lines, skipped, list(frames))
+
+    def load_files(self, landing: str, endpoints: Sequence[str], dates: DataFrame, force: bool = False, kind: str = "csv") -> DataFrame:
+        """Loads open partitions from landed files: ``landing``/endpoint/day=yyyyMMdd/ holds the files of one.
+
+        A file that is cut short, unreadable, of the wrong columns or with values that are none of their types, or with
+        rows of another date, makes its own partition fail, with the reason in the ledger; nothing of that partition is
+        written, what was stored of it stays, and all other partitions load.  All files of an endpoint are read in one
+        job, once.  ``kind`` is csv (with a header, perhaps compressed) or parquet.  Returns endpoint, rows, skipped, failed.
+        """
+        days = dates.select("trade_date").distinct()
+        lines, skipped = [], []
+        for name in endpoints:
+            own, done = self._due(name, days, force)
+            files = landed.files(self.spark, f"{landing}/{name}", kind).join(F.broadcast(own), "trade_date", "left_semi")
+            rows = stored(landed.rows(self.spark, f"{landing}/{name}", TABLES[name], kind).join(F.broadcast(own), "trade_date", "left_semi"))  # parsed once, all columns
+            judged = stored(landed.judged(files, rows))
+            by_date = judged.groupBy("trade_date").agg(F.min_by("error", F.when(F.col("error").isNotNull(), F.col("path"))).alias("error"), F.sum("n_rows").alias("row_count"))
+            found = stored(own.join(by_date, "trade_date", "left").select("trade_date", F.coalesce("error", F.when(F.col("row_count").isNull(), "no landed file, or an empty one")).alias("error"), "row_count"))
+            good = found.filter("error is null").select("trade_date")
+            if not good.isEmpty():
+                self.write_partitions(name, rows.join(F.broadcast(good), "trade_date", "left_semi").select(*TABLES[name].fieldNames()), ["trade_date"])
+            lines.append(found.select(F.lit(name).alias("endpoint"), "*"))
+            skipped.append(done.select(F.lit(name).alias("endpoint")))
+        return self._record_load(lines, skipped, endpoints)
+
+    def _due(self, endpoint: str, days: DataFrame, force: bool) -> tuple[DataFrame, DataFrame]:
+        """(dates to load, dates to skip), written before the load changes what they follow from."""
+        done = days.join(self.loaded(endpoint), "trade_date", "left_semi") if not force else days.limit(0)
+        done = stored(done)
+        return stored(days.join(done, "trade_date", "left_anti")), done
+
+    def _record_load(self, lines: Sequence[DataFrame], skipped: Sequence[DataFrame], endpoints: Sequence[str]) -> DataFrame:
+        """Writes the ledger's lines (endpoint, trade_date, error, row_count) once; endpoint, rows, skipped, failed."""
         now = F.current_timestamp()
-        self.record(due.select("endpoint", "trade_date", F.when(F.col("bad"), "failed").otherwise("success").alias("status"), "row_count", path.alias("raw_path"), F.when(F.col("bad"), "no landed rows").alias("error_message"), now.alias("started_at"), now.alias("finished_at")))
-        return self.spark.read.parquet(staged)
+        path = F.concat(F.lit(f"{self.root}/"), "endpoint")
+        bad = F.col("error").isNotNull()
+        status = F.when(bad, "failed").otherwise("success").alias("status")
+        due = stored(reduce(DataFrame.unionByName, lines).withColumn("row_count", F.when(bad, 0).otherwise(F.coalesce("row_count", F.lit(0))).cast("long")))
+        self.record(due.select("endpoint", "trade_date", status, "row_count", path.alias("raw_path"), F.col("error").alias("error_message"), now.alias("started_at"), now.alias("finished_at")))
+        sums = due.groupBy("endpoint").agg(F.sum("row_count").alias("rows"), F.count(F.when(bad, 1)).alias("failed"))
+        over = reduce(DataFrame.unionByName, skipped).groupBy("endpoint").agg(F.count("*").alias("skipped"))
+        names = self.spark.createDataFrame([(e,) for e in endpoints], "endpoint string")
+        return names.join(sums, "endpoint", "left").join(over, "endpoint", "left").select("endpoint", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "skipped", "failed")])
 
     # --- evaluation results ---
 

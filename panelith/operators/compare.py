@@ -12,6 +12,7 @@ NOISE = ("random_normal", "random_uniform", "random_by_date_shuffle")
 #: Metrics compared; in the last two less is better.
 METRICS = ("rank_ic_mean", "top_quantile_return", "top_quantile_sharpe", "oos_rank_ic_mean", "max_drawdown", "mean_turnover")
 STRONGER, NOT_WORSE = 0.5, 0.3
+SAME = 1e-9  # values closer than this share of the candidate's are equal: sums over tasks differ in their last bits
 
 
 def _unit(seed: int, salt: int) -> Column:
@@ -52,13 +53,14 @@ def compare(candidate: DataFrame, baselines: DataFrame, metrics: Sequence[str] =
 
     ``candidate`` has one row (for each of ``keys``), ``baselines`` a row for each run with ``group``.  A drawdown is
     negative, so a smaller one is a larger value; ``compat`` keeps the older reading that took larger as worse.
+    Values that agree to nine digits are equal.
     """
     long_b = baselines.unpivot([*keys, "group"], list(metrics), "metric", "b").filter("b is not null")
     long_c = candidate.unpivot(list(keys) or [F.lit(1).alias("_one")], list(metrics), "metric", "c").filter("c is not null")
     less = ["mean_turnover", "max_drawdown"] if compat else ["mean_turnover"]
     sign = F.when(F.col("metric").isin(less), -1.0).otherwise(1.0)
     j = long_b.join(long_c.select(*keys, "metric", "c"), [*keys, "metric"])
-    return j.groupBy(*keys, "group", "metric").agg(F.max("c").alias("candidate"), F.median("b").alias("baseline_median"), F.avg((F.col("b") * sign <= F.col("c") * sign).cast("double")).alias("percentile"))
+    return j.groupBy(*keys, "group", "metric").agg(F.max("c").alias("candidate"), F.median("b").alias("baseline_median"), F.avg((F.col("b") * sign <= F.col("c") * sign + SAME * F.abs("c")).cast("double")).alias("percentile"))
 
 
 def comparison_flags(compared: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -12,6 +12,7 @@ from ..functions import factors
 from ..functions import stats as S
 from ..operators import compare, evaluate, news, panel, preprocess, quality, radar, sample
 from ..sources import adapters, schemas, store
+from . import batch_oracle as B
 from . import frames
 from . import oracle as O
 from .frames import FACTOR, LABEL, rounded
@@ -231,11 +232,6 @@ def _(spark, sf):
     return reduce(DataFrame.unionByName, [s.read(t).select(F.lit(t).alias("result"), "run_id", k.alias("key"), "value") for t, k in keys.items()])
 
 
-@query("a23_factor_library", P, "SELECT ts_code AS factor_id, trade_date AS evaluated_at, close FROM panel QUALIFY row_number() OVER (PARTITION BY ts_code ORDER BY trade_date DESC) = 1", "close")
-def _(spark, sf):
-    return store.library(frames.panel(spark, sf).select(F.col("ts_code").alias("factor_id"), F.col("trade_date").alias("evaluated_at"), "close"))
-
-
 @query("a24_wide_to_long", P, "UNPIVOT (SELECT trade_date, ts_code, pb, dv_ratio, turnover_rate FROM panel) ON pb, dv_ratio, turnover_rate INTO NAME factor_id VALUE factor_value", "factor_value")
 def _(spark, sf):
     return _values(spark, sf)
@@ -1067,7 +1063,7 @@ def evaluate_batch(rows: DataFrame, keys: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, keys, "left"), [cov, valid, dates, wide, top, turn, mono, years])
 
 
-@query("g34_evaluation_batch")
+@query("g34_evaluation_batch", B.factors({"registered": B.REGISTERED}) + "," + B.batch("long0", ["factor_id"]), "SELECT * FROM metrics", B.METRIC_DOUBLES)
 def _(spark, sf):
     return evaluate_batch(_batch(spark, sf), ["factor_id"])
 
@@ -1080,9 +1076,28 @@ def _(spark, sf):
     return evaluate.ic_stats(evaluate.rank_ic(d, FACTOR, LABEL)).select(F.col("mean").alias("mean_ic"), F.col("std").alias("std_ic"), "n_days")
 
 
-@query("g37_scorecard")
+_CARD = {
+    "mean_ic": ("g07_ic_stats", "mean", "> 0", "Weak"),
+    "ic_ir": ("g07_ic_stats", "ir", None, None),
+    "ic_win_rate": ("g07_ic_stats", "win_rate", "> 0.5", "Weak"),
+    "pct_abs_t_gt_2": ("g30_regression_summary", "pct_abs_t_gt_2", "> 0.3", "Weak"),
+    "mean_spread": ("g14_annualized_long_short", "mean_return", "> 0", "Weak"),
+    "cum_spread": ("g14_annualized_long_short", "cum_return", "> 0", "Weak"),
+    "ls_sharpe": ("g14_annualized_long_short", "sharpe", "> 0.5", "Review"),
+    "mean_turnover": ("g18_turnover_summary", "mean_turnover", None, None),
+}
+
+
+def _judged(metric: str) -> str:
+    """One line of the scorecard over the SQL of the query that its number comes from."""
+    name, column, good, bad = _CARD[metric]
+    verdict = f"CASE WHEN {column} {good} THEN 'Pass' ELSE '{bad}' END" if good else "'-'"
+    return f"SELECT '{metric}' AS metric, CAST({column} AS DOUBLE) AS value, {verdict} AS judgement FROM ({SQL[name]})"
+
+
+@query("g37_scorecard", "", " UNION ALL ".join(_judged(m) for m in _CARD), "value")
 def _(spark, sf):
-    u = frames.usable(spark, sf)
+    u = store.stored(frames.usable(spark, sf))
     ic = evaluate.ic_stats(evaluate.rank_ic(u, FACTOR, LABEL)).select(F.col("mean").alias("mean_ic"), F.col("ir").alias("ic_ir"), F.col("win_rate").alias("ic_win_rate"))
     ls = evaluate.annualized(evaluate.long_short(evaluate.wide(evaluate.quantile_daily(u, LABEL))), "spread", 1 + F.col("cum_spread")).select(F.col("mean_return").alias("mean_spread"), F.col("cum_return").alias("cum_spread"), F.col("sharpe").alias("ls_sharpe"))
     rg = evaluate.regression_summary(evaluate.regression_t(u, FACTOR, LABEL)).select("pct_abs_t_gt_2")
@@ -1096,22 +1111,39 @@ def _noise(spark, sf, repeats=3):
     return compare.noise_factors(rows, FACTOR, repeats)
 
 
-def _unit(salt: int) -> str:
-    return f"(CAST('0x' || substr(md5(concat_ws('|', '20260607', '{salt}', run_id, strftime(trade_date, '%Y-%m-%d'), ts_code)), 1, 13) AS BIGINT) + 0.5) / {1 << 52}.0"
+NOISE = BASE + "," + B.noise("rows0")
+
+
+@query(
+    "a23_factor_library",
+    B.factors({"registered": B.REGISTERED}) + "," + B.batch("long0", ["factor_id"]),
+    "SELECT factor_id, 'second' AS run_id, rank_ic_mean, mean_turnover, monotonicity, n_samples FROM metrics WHERE factor_id <> 'reversal_5d_v1' UNION ALL SELECT factor_id, 'first', rank_ic_mean - 1, mean_turnover, monotonicity, n_samples FROM metrics WHERE factor_id = 'reversal_5d_v1'",
+    "rank_ic_mean mean_turnover",
+)
+def _(spark, sf):
+    m = store.stored(evaluate_batch(_batch(spark, sf), ["factor_id"]).select("factor_id", "rank_ic_mean", "mean_turnover", "monotonicity", "n_samples"))
+    first = m.withColumn("rank_ic_mean", F.col("rank_ic_mean") - 1).withColumn("run_id", F.lit("first")).withColumn("evaluated_at", F.lit("2024-01-01 00:00:00"))
+    second = m.filter("factor_id <> 'reversal_5d_v1'").withColumn("run_id", F.lit("second")).withColumn("evaluated_at", F.lit("2024-02-01 00:00:00"))
+    return store.library(first.unionByName(second)).drop("evaluated_at")
 
 
-NOISE = BASE + f""",
-nf AS (SELECT trade_date, ts_code, f, CAST(unnest(range(3)) AS INTEGER) AS run_id FROM rows0 WHERE f IS NOT NULL),
-nn AS (SELECT 'random_normal' AS baseline_name, run_id, sqrt(-2 * ln({_unit(0)})) * cos(2 * pi() * ({_unit(100)})) AS f FROM nf
-    UNION ALL SELECT 'random_uniform', run_id, 2 * ({_unit(1)}) - 1 FROM nf UNION ALL SELECT 'random_by_date_shuffle', run_id, f FROM nf)"""
+@query(
+    "a17_years_back",
+    P,
+    "SELECT strftime(d - INTERVAL 3 YEAR, '%Y%m%d') AS start, strftime(d, '%Y%m%d') AS \"end\", (SELECT count(*) FROM panel WHERE day BETWEEN d - INTERVAL 3 YEAR AND d) AS n_rows FROM (SELECT max(day) AS d FROM panel)",
+)
+def _(spark, sf):
+    t = frames.panel_store(spark, sf)
+    start, end = store.years_back(t.read().agg(F.max("trade_date")).first()[0], 3)
+    return t.read(start, end).agg(F.lit(start).alias("start"), F.lit(end).alias("end"), F.count("*").alias("n_rows"))
 
 
-@query("i01_noise_factors", NOISE, "SELECT baseline_name, run_id, count(f) AS n, min(f) AS lo, max(f) AS hi FROM nn GROUP BY ALL", "lo hi")
+@query("i01_noise_factors", NOISE, "SELECT baseline_name, run_id, trade_date, ts_code, f FROM nn", "f")
 def _(spark, sf):
-    return _noise(spark, sf).groupBy("baseline_name", "run_id").agg(F.count(FACTOR).alias("n"), F.min(FACTOR).alias("lo"), F.max(FACTOR).alias("hi"))
+    return _noise(spark, sf).select("baseline_name", "run_id", "trade_date", "ts_code", FACTOR)
 
 
-@query("i02_noise_metrics")
+@query("i02_noise_metrics", NOISE + "," + B.batch("nn", ["baseline_name", "run_id"]), "SELECT baseline_name, run_id, rank_ic_mean, top_return AS top_quantile_return, sharpe AS top_quantile_sharpe, max_drawdown, mean_turnover, oos_rank_ic AS oos_rank_ic_mean FROM metrics", "rank_ic_mean top_quantile_return top_quantile_sharpe max_drawdown mean_turnover oos_rank_ic_mean")
 def _(spark, sf):
     m = evaluate_batch(_noise(spark, sf), ["baseline_name", "run_id"])
     return m.select("baseline_name", "run_id", "rank_ic_mean", F.col("top_return").alias("top_quantile_return"), F.col("sharpe").alias("top_quantile_sharpe"), "max_drawdown", "mean_turnover", F.col("oos_rank_ic").alias("oos_rank_ic_mean"))
@@ -1154,12 +1186,12 @@ def _compared(spark, sf, repeats=3):
     return candidate, compare.compare(candidate, named.filter("group = 'noise'").unionByName(simple), keys=["factor_id"])
 
 
-@query("i03_evaluated_comparison")
+@query("i03_evaluated_comparison", B.compared(), "SELECT * FROM compared", "candidate baseline_median percentile")
 def _(spark, sf):
     return _compared(spark, sf)[1]
 
 
-@query("i04_gate")
+@query("i04_gate", B.gate(), "SELECT * FROM gated")
 def _(spark, sf):
     candidate, compared = _compared(spark, sf)
     m = candidate.join(compare.comparison_flags(compared, ["factor_id"]), "factor_id", "left")
@@ -1278,6 +1310,18 @@ def _(spark, sf):
     return _relevant(spark, sf).select("doc_id", F.array_join("matched_keywords", ",").alias("matched"))
 
 
+@query(
+    "k03_many_keywords",
+    NEWS + ", kw AS (SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(regexp_split_to_array(coalesce(text, ''), '[\\x09-\\x0D\\x20]+')) AS w FROM benchmark) WHERE w <> '')",
+    "SELECT doc_id, count(*) AS n_keywords, min(w) AS least, max(w) AS greatest FROM hay JOIN kw ON contains(h, w) GROUP BY doc_id",
+)
+def _(spark, sf):
+    words = F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), "[\\x09-\\x0D\\x20]+"))
+    keywords = [r[0] for r in adapters.table(spark, sf, "benchmark").select(words.alias("w")).filter("w <> ''").distinct().collect()]  # the list of keywords
+    m = news.relevant(news.dedup(news.clean(_news(spark, sf)), "doc_id"), keywords)
+    return m.select("doc_id", F.size("matched_keywords").cast("long").alias("n_keywords"), F.array_min("matched_keywords").alias("least"), F.array_max("matched_keywords").alias("greatest"))
+
+
 @query("k04_categorize", NEWS, "SELECT doc_id, category, CAST(source_weight AS DOUBLE) AS source_weight FROM cat", "source_weight")
 def _(spark, sf):
     return news.categorize(_relevant(spark, sf), RULES, SOURCES).select("doc_id", "category", "source_weight")

@@ -13,7 +13,7 @@ from ..functions import stats as S
 from ..operators import compare, evaluate, news, panel, preprocess, quality, radar, sample
 from ..sources import adapters, schemas, store
 from . import batch_oracle as B
-from . import frames
+from . import frames, legacy
 from . import oracle as O
 from .frames import FACTOR, LABEL, rounded
 
@@ -1068,7 +1068,84 @@ def _(spark, sf):
     return evaluate_batch(_batch(spark, sf), ["factor_id"])
 
 
-@query("g35_legacy_evaluation", LEGACY + f""",
+def _melt(frame: str, key: str, source: str, metrics: str, where: str = "") -> str:
+    """SQL for one frame: its metrics are columns or ``name=expression``, parted by ``;``."""
+    pairs = [m.strip().split("=", 1) if "=" in m else (m.strip(), m.strip()) for m in metrics.split(";")]
+    names, values = ", ".join(f"'{n}'" for n, _ in pairs), ", ".join(f"CAST({v} AS DOUBLE)" for _, v in pairs)
+    return f"SELECT '{frame}' AS frame, CAST({key} AS VARCHAR) AS key, unnest([{names}]) AS metric, unnest([{values}]) AS value FROM {source} {where}"
+
+
+_LONG_H = ", ".join(f"{O.forward(h, False)} AS forward_{h}d" for h in range(1, 21))
+_RUN = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_OLD = (
+    f"""{P},
+leg AS (SELECT *, close * adj_factor AS adj_close FROM panel WHERE close IS NOT NULL AND total_mv > 0),
+lw AS (SELECT *, {_LONG_H}, row_number() OVER w AS listed_rows, adj_close / lag(adj_close, 5) OVER w - 1 AS mom FROM leg WINDOW w AS (PARTITION BY ts_code ORDER BY trade_date)),
+lu AS (SELECT *, NOT is_suspended AND listed_rows >= 6 AND mom IS NOT NULL AND forward_5d IS NOT NULL AS universe FROM lw),"""
+    + O.chain("mom", "lu")
+    + f""",
+z1 AS (SELECT *, CASE WHEN factor_zscore IS NOT NULL AND total_mv > 0 THEN factor_zscore END AS sy, CASE WHEN factor_zscore IS NOT NULL AND total_mv > 0 THEN ln(total_mv) END AS sx FROM f7),
+z2 AS (SELECT * EXCLUDE (trade_date), day AS trade_date, round(factor_neutral, 6) AS f, CASE WHEN count(sy) OVER w >= 5 THEN sy - (avg(sy) OVER w + coalesce(covar_pop(sy, sx) OVER w / nullif(var_pop(sx) OVER w, 0), 0) * (sx - avg(sx) OVER w)) END AS factor_size FROM z1 WINDOW w AS (PARTITION BY day)),
+z3 AS (SELECT *, CASE WHEN f IS NOT NULL THEN {O.bucket("row_number() OVER (PARTITION BY trade_date ORDER BY f NULLS LAST, ts_code)", "count(f) OVER (PARTITION BY trade_date)", 5)} END AS quantile FROM z2),
+u AS (SELECT * EXCLUDE (x, y), forward_5d AS y FROM z3 WHERE universe),
+stages AS ({" UNION ALL ".join(f"SELECT '{k}' AS version, {'factor_winsorized' if c == 'factor_raw' else c} AS x FROM u" for k, c in legacy.STAGES.items())}),
+dist AS (SELECT version, count(x) AS n, avg(x) AS mean, stddev_samp(x) AS std, skewness(x) AS skew, quantile_cont(x, 0.01) AS p01, quantile_cont(x, 0.99) AS p99 FROM stages WHERE x IS NOT NULL GROUP BY version),
+hz AS ({" UNION ALL ".join(f"SELECT trade_date, f, {h} AS horizon, forward_{h}d AS y FROM u WHERE f IS NOT NULL AND forward_{h}d IS NOT NULL" for h in range(1, 21))}),
+hic AS (SELECT horizon, trade_date, {O.corr("fr", "yr")} AS rank_ic, count(*) AS n_stocks FROM (SELECT horizon, trade_date, {O.avg_rank("f", "horizon, trade_date")} AS fr, {O.avg_rank("y", "horizon, trade_date")} AS yr FROM hz) GROUP BY horizon, trade_date HAVING count(*) >= 10),
+ric AS (SELECT trade_date, rank_ic, n_stocks FROM hic WHERE horizon = 5),
+decay AS (SELECT horizon, avg(rank_ic) AS mean_ic, stddev_pop(rank_ic) AS std_ic FROM hic GROUP BY horizon),
+{O.DAILY_Q.strip().replace("FROM u GROUP BY", "FROM u WHERE quantile IS NOT NULL GROUP BY")},
+qs AS ({QSUM}),
+ls0 AS (SELECT trade_date, q5 - q1 AS spread, row_number() OVER (ORDER BY trade_date) - 1 AS i FROM qw),
+ls AS (SELECT trade_date, spread, product(CASE WHEN i % 5 = 0 THEN 1 + coalesce(spread, 0) ELSE 1 END) OVER (ORDER BY trade_date {_RUN}) - 1 AS cum_spread FROM ls0),
+lsd AS (SELECT *, (1 + cum_spread) / max(1 + cum_spread) OVER (ORDER BY trade_date {_RUN}) - 1 AS dd FROM ls),
+g0 AS (SELECT trade_date, regr_slope(y, f) AS factor_return, {O.corr("f", "y")} AS r, count(*) AS n_stocks FROM u WHERE f IS NOT NULL GROUP BY trade_date HAVING count(*) >= 10),
+g1 AS (SELECT factor_return, r * sqrt((n_stocks - 2) / (1 - r * r)) AS t_value FROM g0),
+a0 AS (SELECT trade_date, ts_code, f, dense_rank() OVER (ORDER BY trade_date) AS d FROM u),
+a1 AS (SELECT a.trade_date, l.lag, a.f, b.f AS p FROM a0 a, (SELECT unnest(range(1, 6)) AS lag) l, a0 b WHERE b.ts_code = a.ts_code AND b.d = a.d - l.lag AND a.f IS NOT NULL AND b.f IS NOT NULL),
+a2 AS (SELECT trade_date, lag, {O.avg_rank("f", "trade_date, lag")} AS x, {O.avg_rank("p", "trade_date, lag")} AS z FROM a1),
+ac AS (SELECT lag, avg(c) AS mean_autocorr FROM (SELECT lag, trade_date, {O.corr("x", "z")} AS c FROM a2 GROUP BY trade_date, lag HAVING count(*) >= 10) GROUP BY lag),
+v0 AS (SELECT *, dense_rank() OVER (ORDER BY trade_date) AS d FROM z3 WHERE quantile IS NOT NULL AND trade_date IN (SELECT trade_date FROM u WHERE quantile IS NOT NULL)),
+v1 AS (SELECT *, coalesce(lag(quantile) OVER w = quantile AND lag(d) OVER w = d - 1, false) AS kept FROM v0 WINDOW w AS (PARTITION BY ts_code ORDER BY d)),
+turn AS (SELECT trade_date, quantile, 1 - sum(CASE WHEN kept THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) AS turnover FROM v1 WHERE d > 1 GROUP BY trade_date, quantile),
+yr AS (SELECT year(r.trade_date) AS year, count(*) AS n_days, avg(rank_ic) AS mean_ic, avg(CASE WHEN rank_ic > 0 THEN 1.0 ELSE 0.0 END) AS win_rate, avg(q5) AS mean_return_q5, product(coalesce(1 + q5, 1)) - 1 AS cum_return_q5 FROM ric r LEFT JOIN qw USING (trade_date) GROUP BY 1),"""
+    + _bt("0.001")
+    + """,
+geo AS (SELECT count(*) AS n_periods, avg(n_holdings) AS mean_holdings, arg_max(net_equity, trade_date) AS net_equity, stddev_samp(net_return) * sqrt(50.4) AS vol, min(drawdown) AS max_drawdown, avg(turnover) AS mean_turnover, avg(cost) AS mean_cost FROM bt),
+geo2 AS (SELECT *, CASE WHEN net_equity > 0 THEN pow(net_equity, 50.4 / n_periods) - 1 END AS annual_return FROM geo)"""
+)
+_FRAMES = " UNION ALL ".join(
+    (
+        _melt("sample", "''", "(SELECT count(DISTINCT ts_code) AS n_stocks, count(DISTINCT trade_date) AS n_dates, count(*) AS n_valid_rows FROM u)", "n_stocks; n_dates; n_valid_rows"),
+        _melt("distribution", "version", "dist", "count=n; mean; std; skew; p01; p99"),
+        _melt("ic", "trade_date", "ric", "rank_ic; n_stocks"),
+        _melt("ic_summary", "''", f"(SELECT avg(rank_ic) AS mean, stddev_pop(rank_ic) AS std, avg(rank_ic) / nullif(stddev_pop(rank_ic), 0) AS ir, {O.t_stat('rank_ic')} AS t_stat, avg(CASE WHEN rank_ic > 0 THEN 1.0 ELSE 0.0 END) AS win_rate, count(*) AS n_days FROM ric)", "mean; std; ir; t_stat; win_rate; n_days"),
+        _melt("ic_decay", "horizon", "decay", "mean_ic; std_ic; ic_ir=mean_ic / nullif(std_ic, 0)"),
+        _melt("half_life", "''", "(SELECT min(horizon) FILTER (abs(mean_ic) < (SELECT abs(mean_ic) / 2 FROM decay WHERE horizon = 1)) AS half_life FROM decay)", "half_life"),
+        _melt("monthly_ic", "k", "(SELECT strftime(trade_date, '%Y-%m') AS k, avg(rank_ic) AS mean_ic FROM ric GROUP BY 1)", "mean_ic"),
+        _melt("quantile_daily", "trade_date || ' ' || quantile", "qd", "avg_return"),
+        _melt("quantile_summary", "quantile", "qs", "mean_return; std_return; count; hit_rate"),
+        _melt("is_monotonic", "''", "(SELECT CASE WHEN min(d) >= 0 THEN 1 WHEN max(d) <= 0 THEN 0 END AS m FROM (SELECT mean_return - lag(mean_return) OVER (ORDER BY quantile) AS d FROM qs))", "is_monotonic=m"),
+        _melt("yearly_perf", "year", "yr", "n_days; mean_ic; win_rate; mean_return_q5; cum_return_q5"),
+        _melt("long_short", "trade_date", "ls", "spread; cum_spread"),
+        _melt("long_short_metrics", "''", "(SELECT avg(spread) * 252 AS ar, stddev_samp(spread) * sqrt(252.0) AS av, min(dd) AS md FROM lsd)", "sharpe=ar / av; calmar=CASE WHEN md < 0 THEN ar / abs(md) END; annual_return=ar; annual_vol=av; max_dd=md"),
+        _melt("regression_summary", "''", f"(SELECT count(*) AS n_periods, avg(factor_return) AS m, {O.t_stat('factor_return')} AS t, avg(abs(t_value)) AS a, avg(CASE WHEN abs(t_value) > 2 THEN 1.0 ELSE 0.0 END) AS p FROM g1)", "n_periods; mean_factor_return=m; return_t_stat=t; mean_abs_t=a; pct_abs_t_gt_2=p"),
+        _melt("autocorr", "lag", "ac", "mean_autocorr"),
+        _melt("turnover", "q", "(SELECT coalesce(CAST(quantile AS VARCHAR), '') AS q, avg(turnover) AS t FROM turn GROUP BY GROUPING SETS ((quantile), ()))", "avg_turnover=t"),
+        _melt("backtest", "trade_date", "bt", "n_holdings; gross_return; turnover; cost; net_return; net_equity; drawdown"),
+        _melt("backtest_summary", "''", "geo2", "n_periods; mean_holdings; net_equity; annual_return; annual_volatility=vol; sharpe=CASE WHEN vol > 0 THEN annual_return / vol END; calmar=CASE WHEN max_drawdown < 0 THEN annual_return / abs(max_drawdown) END; max_drawdown; mean_turnover; mean_cost"),
+    )
+)
+
+
+@query("g35_legacy_evaluation", _OLD, _FRAMES, "value")
+def _(spark, sf):
+    d = sample.forward_returns(sample.legacy_panel(frames.panel(spark, sf)), HORIZONS, tradable=None)
+    d = sample.legacy_universe(d.withColumn("mom", factors.momentum(5)), "mom", "forward_5d", 6)
+    return legacy.evaluation(d.withColumn("trade_date", F.to_date("trade_date", "yyyyMMdd")), "mom", HORIZONS)
+
+
+@query("g35_legacy_raw_ic", LEGACY + f""",
 lq0 AS (SELECT CAST(strptime(trade_date, '%Y%m%d') AS DATE) AS trade_date, ts_code, round(mom, 6) AS f, forward_5d AS y FROM lu WHERE universe),
 lric AS (SELECT trade_date, {O.corr('fr', 'yr')} AS rank_ic FROM (SELECT trade_date, {O.avg_rank('f', 'trade_date')} AS fr, {O.avg_rank('y', 'trade_date')} AS yr FROM lq0) GROUP BY trade_date HAVING count(*) >= 10)""", "SELECT avg(rank_ic) AS mean_ic, stddev_pop(rank_ic) AS std_ic, count(*) AS n_days FROM lric", "mean_ic std_ic")
 def _(spark, sf):

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import factors
-from ..operators import evaluate, preprocess, sample
-from ..sources import adapters, panel_table
+from ..operators import evaluate, order, preprocess, sample
+from ..sources import adapters, panel_table, store
 
 LABEL, FACTOR = "y", "f"
 #: So few rows of a date in one task that queries which pass it work on every date in several tasks.
@@ -42,8 +42,11 @@ def factor_rows(spark: SparkSession, sf_dir: str, least: int = 30) -> DataFrame:
 
 
 def usable(spark: SparkSession, sf_dir: str, least: int = 30) -> DataFrame:
-    rows, _ = evaluate.usable(factor_rows(spark, sf_dir, least), FACTOR, LABEL, least)
-    return evaluate.quantiles(rows, FACTOR)
+    """Usable rows with their buckets; the factor's rows are written once, and dates are measured once."""
+    full = store.stored(factor_rows(spark, sf_dir, least))
+    spread = order.spread_out(full, ["trade_date"], order.ONE_TASK, None)
+    rows, _ = evaluate.usable(full, FACTOR, LABEL, least, spread=spread)
+    return evaluate.quantiles(rows, FACTOR, spread=spread)
 
 
 def rounded(df: DataFrame, digits: int = 6, names: Sequence[str] | None = None) -> DataFrame:

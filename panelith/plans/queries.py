@@ -844,7 +844,12 @@ ac AS (SELECT CAST(lag AS INTEGER) AS lag, trade_date, {O.corr('x', 'z')} AS aut
 
 @query("g19_autocorrelation_decay", AUTO, "SELECT lag, avg(autocorr) AS mean_autocorr FROM ac GROUP BY lag", "mean_autocorr")
 def _(spark, sf):
-    return evaluate.autocorrelation_decay(evaluate.autocorrelation(frames.usable(spark, sf), FACTOR, most=frames.FEW))
+    return evaluate.autocorrelation_decay(evaluate.autocorrelation(frames.usable(spark, sf), FACTOR))
+
+
+@query("g19_autocorrelation_large_dates", AUTO, "SELECT * FROM ac", "autocorr")
+def _(spark, sf):
+    return evaluate.autocorrelation(frames.usable(spark, sf), FACTOR, most=frames.FEW)
 
 
 @query("g20_autocorrelation_lag1", AUTO, "SELECT * FROM ac WHERE lag = 1", "autocorr")

@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -72,6 +72,12 @@ def passed_through(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Ite
     return plain.mapInArrow(work, plain.schema).toDF(*df.columns)
 
 
+def plainly(docs: DataFrame, needed: Sequence[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` over ``docs`` with all columns but the ``needed`` ones renamed, so that none clashes with its own; then the columns as they were."""
+    names = [c if c in needed else f"further_{i}" for i, c in enumerate(docs.columns)]
+    return work(docs.toDF(*names)).select(names).toDF(*docs.columns)
+
+
 # --- word hashing ---------------------------------------------------------------------------------
 
 _IS_SPACE = np.zeros(256, bool)

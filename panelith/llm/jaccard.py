@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_bytes, durable, mix64, ship, small, word_hashes
+from .common import by_bytes, durable, mix64, plainly, ship, small, word_hashes
 from .graph import components
 
 SPARE, CERTAIN, EMPTY, LIST_COST, BLOCK_SETS, BLOCK_SHINGLES = 3, 36, 1 / 8, 4, 1024, 1 << 20
@@ -384,7 +384,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row of ``docs`` for each component, columns as they were."""
+    """One row of ``docs`` for each component, columns as they were, whatever their names."""
+    return plainly(docs, ("doc_id", "text"), lambda plain: _one_of_each(plain, k, percent))
+
+
+def _one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
     linked = _linked(docs, k, percent).filter("root is not null")
     best = linked.groupBy("root").agg(F.min(_first()).alias("best"))
     rows = linked.join(best, "root").groupBy("doc_id", "h").agg(F.max(_first() == F.col("best")).alias("first"), F.count("*").alias("times"))
@@ -396,4 +400,4 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         once = small(again, 500_000)
         twice = stay.join(once, same, "left_semi").dropDuplicates(["doc_id", "text"])
         stay = stay.join(once, same, "left_anti").unionByName(twice)
-    return stay.select([f"`{c}`" for c in docs.columns])
+    return stay.select(docs.columns)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _LOWER, by_bytes, durable, hash_spans, pieces, ship, utf8
+from .common import _LOWER, by_bytes, durable, hash_spans, passed_through, pieces, ship, utf8
 from .jaccard import shingle_sets
 
 # What a sign may stand for.
@@ -412,4 +412,4 @@ def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
             s = weights.signals(restorer.column(batch.column(at).fill_null("")))
             yield batch.filter(pa.array(beta[0] + s @ beta[1:] < 0))
 
-    return docs.mapInArrow(work, docs.schema)
+    return passed_through(docs, work)

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelith.llm import decontaminate, jaccard, mixing, tokens, toxicity
-from panelith.llm.common import durable, shared_dir, table
+from panelith.llm.common import durable, plainly, shared_dir, table
 from panelith.llm.queries import tokenizer_path
 
 
@@ -38,7 +38,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix takes them; its files are runs of one output shard each, in that shard's order."""
-    return mixing.mixed(docs).select(docs.columns)
+    return plainly(docs, ("doc_id", "source", "text"), mixing.mixed)
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ FEW = 16
 def panel_store(spark: SparkSession, sf_dir: str) -> panel_table.PanelTable:
     """The stored panel of a folder of tables."""
     sources = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "supplier", "nation", "region")]
-    return panel_table.built(spark, "supplier_months", sources, lambda: adapters.supplier_months(spark, sf_dir))
+    return panel_table.built(spark, "supplier_months", sources, lambda parts: adapters.supplier_months(spark, sf_dir, parts), dealt=True)
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,29 +25,41 @@ def month_index(date: str):
     return (F.year(date) - FIRST_YEAR) * 12 + F.month(date) - 1
 
 
-def supplier_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide panel: one row for each supplier (ts_code) and month (trade_date, text yyyyMMdd; day, a date)."""
-    li = table(spark, sf_dir, "lineitem").select("l_suppkey", F.trunc("l_shipdate", "MM").alias("day"), "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax")
-    li = li.withColumn("unit", F.col("l_extendedprice") / F.col("l_quantity"))
+def supplier_months(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """The wide panel: one row for each supplier (ts_code) and month (trade_date, text yyyyMMdd; day, a date).
+
+    Lines meet once, dealt by code over ``parts`` tasks (spark.sql.shuffle.partitions, if left out): few lines share a
+    code and month, so sums before the shuffle would only sort all lines without making them fewer.  Aggregates, prices
+    before and the join with suppliers stay in these tasks; volumes by month are a small table of their own.
+    """
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    code = lambda key: F.format_string("3%05d", key).alias("ts_code")
+    lines = table(spark, sf_dir, "lineitem")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    who = table(spark, sf_dir, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    li = lines.filter("l_suppkey is not null").select(code("l_suppkey"), "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", _cents("l_discount").alias("discount"), _cents("l_tax").alias("tax"))
+    li = li.repartition(parts, "ts_code").withColumn("day", F.trunc("l_shipdate", "MM")).withColumn("unit", F.col("l_extendedprice") / F.col("l_quantity"))
     order = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
-    g = li.groupBy("l_suppkey", "day").agg(
+    g = li.groupBy("ts_code", "day").agg(
         cut(F.min_by("unit", order), 4).alias("open"),
         cut(F.max("unit"), 4).alias("high"),
         cut(F.min("unit"), 4).alias("low"),
         cut(F.sum(_cents("l_extendedprice")) / 100.0 / F.sum(F.col("l_quantity").cast("long")), 4).alias("close"),
         F.sum(F.col("l_quantity").cast("long")).cast("double").alias("vol"),
-        (F.sum(_cents("l_extendedprice") * (100 - _cents("l_discount"))) / 10000.0).alias("amount"),
-        cut(1 + F.sum(_cents("l_tax")) / F.count("*"), 4).alias("pb"),
-        cut(F.sum(_cents("l_discount")) / F.count("*"), 4).alias("dv_ratio"),
+        (F.sum(_cents("l_extendedprice") * (100 - F.col("discount"))) / 10000.0).alias("amount"),
+        cut(1 + F.sum("tax") / F.count("*"), 4).alias("pb"),
+        cut(F.sum("discount") / F.count("*"), 4).alias("dv_ratio"),
         F.count("*").alias("n_rows"),
     )
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    who = table(spark, sf_dir, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    g = g.join(who.select("s_suppkey", "s_name", "s_acctbal", "n_name", "r_name", "r_regionkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    code, day = Window.partitionBy("l_suppkey").orderBy("day"), Window.partitionBy("day")
-    g = g.withColumn("pre_close", F.lag("close").over(code)).withColumn("first_day", F.min("day").over(Window.partitionBy("l_suppkey")))
+    side = who.select(code("s_suppkey"), F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_acctbal", "n_name", "r_name", "r_regionkey")
+    g = g.join(side.hint("merge"), "ts_code")  # only suppliers are dealt again, as lines lie by code
+    known = lines.join(F.broadcast(who.select("s_suppkey")), F.col("l_suppkey") == F.col("s_suppkey"))
+    volumes = known.groupBy(F.trunc("l_shipdate", "MM").alias("_day")).agg(F.sum(F.col("l_quantity").cast("long")).cast("double").alias("day_vol"))  # a row a month
+    g = g.join(F.broadcast(volumes), F.col("day").eqNullSafe(F.col("_day")), "left")
+    own = Window.partitionBy("ts_code")
+    g = g.withColumn("pre_close", F.lag("close").over(own.orderBy("day"))).withColumn("first_day", F.min("day").over(own))
     return g.select(
-        F.format_string("3%05d", "l_suppkey").alias("ts_code"),
+        "ts_code",
         F.date_format("day", "yyyyMMdd").alias("trade_date"),
         "day",
         "open",
@@ -68,7 +80,7 @@ def supplier_months(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("first_day", "yyyyMMdd").alias("list_date"),
         F.col("r_name").alias("sw_l1_name"),
         F.col("n_name").alias("sw_l2_name"),
-        cut(F.col("vol") / F.sum("vol").over(day) * 100, 4).alias("turnover_rate"),
+        cut(F.col("vol") / F.col("day_vol") * 100, 4).alias("turnover_rate"),
         "pb",
         "dv_ratio",
         F.col("l_suppkey").alias("key"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .store import Store, scratch
 
 YEAR = "panel_year"
-BUCKET_ROWS, SMALL_ROWS, MOST_BUCKETS = 2_000_000, 50_000, 8192  # source rows a bucket at most, and at least while tasks are idle
+BUCKET_ROWS, SMALL_ROWS, MOST_BUCKETS = 1_000_000, 50_000, 8192  # source rows a bucket at most, and at least while tasks are idle
 
 
 class PanelTable:
@@ -29,10 +29,11 @@ class PanelTable:
         fs, p = Store(self.spark, self.path)._fs(f"{self.path}/_SUCCESS")
         return self.spark.catalog.tableExists(self.name) and fs.exists(p)
 
-    def write(self, panel: DataFrame, buckets: int) -> DataFrame:
-        """Replaces the table; one file for each year and bucket."""
+    def write(self, panel: DataFrame, buckets: int, dealt: bool = False) -> DataFrame:
+        """Replaces the table; one file for each year and bucket.  ``dealt``: rows lie by code in ``buckets`` tasks already."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        rows = panel.withColumn(YEAR, F.substring("trade_date", 1, 4)).repartition(buckets, "ts_code")
+        rows = panel.withColumn(YEAR, F.substring("trade_date", 1, 4))
+        rows = rows if dealt else rows.repartition(buckets, "ts_code")
         rows.write.mode("overwrite").partitionBy(YEAR).bucketBy(buckets, "ts_code").sortBy("ts_code", "trade_date").option("path", self.path).saveAsTable(self.name)
         return self.read()
 
@@ -73,17 +74,18 @@ def fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
     return hashlib.sha256("\n".join(found).encode()).hexdigest()[:16]
 
 
-def built(spark: SparkSession, kind: str, sources: Sequence[str], build: Callable[[], DataFrame]) -> PanelTable:
+def built(spark: SparkSession, kind: str, sources: Sequence[str], build: Callable[..., DataFrame], dealt: bool = False) -> PanelTable:
     """The stored panel ``kind`` of the given source files: built by the first query that needs it, read by the others.
 
-    Where the source files or the shared folder change, it is built again.
+    Where the source files or the shared folder change, it is built again.  ``dealt``: ``build`` takes the number of
+    buckets and deals its rows over them itself.
     """
     name = f"{kind}_{fingerprint(spark, sources)}"
     known = spark.catalog.tableExists(name)
     path = f"{scratch(spark)}" if not known else spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first().data_type
     table = PanelTable(spark, name, path)
     if not table.exists():
-        panel = build()
         rows = spark.read.parquet(sources[0]).count()
-        table.write(panel, max(1, min(MOST_BUCKETS, max(-(-rows // BUCKET_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions"))))))
+        buckets = max(1, min(MOST_BUCKETS, max(-(-rows // BUCKET_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))))
+        table.write(build(buckets) if dealt else build(), buckets, dealt)
     return table

@@ -172,3 +172,12 @@ def test_panel_is_built_once(spark, tmp_path):
     assert len(calls) == 1 and first.name == again.name and again.read().count() == 3
     spark.range(1).selectExpr("'b' as ts_code", "'20200103' as trade_date", "id").write.mode("append").parquet(f"{tmp_path}/src.parquet")
     assert panel_table.built(spark, "once", [f"{tmp_path}/src.parquet"], build).read().count() == 4 and len(calls) == 2
+
+
+def test_lines_meet_once_where_the_panel_is_built(spark):
+    from panelith.sources import adapters
+
+    plan = adapters.supplier_months(spark, "/root/testdata/sf0.001", 3)._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len([line for line in wide if "REPARTITION_BY_NUM" in line]) == 1, plan
+    assert len(wide) == 3 and sum("(ts_code" in line for line in wide) == 2, plan  # besides the lines: suppliers, and volumes by month

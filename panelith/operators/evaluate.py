@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import TRADING_DAYS, bucket, compounded, correlation, kurtosis, ratio, skew, t_stat, upto
+from ..sources.store import stored
 from .order import ONE_TASK, grouped, mean_ranks, percentiles, places, spread_out, with_facts
 
 DATE = "trade_date"
@@ -42,13 +43,23 @@ def quantiles(df: DataFrame, factor: str, q: int = 5, keys: Keys = (), out: str
     return placed.withColumn(out, F.when(F.col(factor).isNotNull(), bucket(F.col("_place"), F.col("_count"), q))).drop("_place", "_count")
 
 
-def rank_ic(df: DataFrame, factor: str, label: str, keys: Keys = (), least: int = 10, most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
-    """Spearman correlation by date with mean ranks for ties."""
+def ranked(df: DataFrame, factor: str, label: str, keys: Keys = (), most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
+    """Rows with factor and label, and their mean ranks by date, rank_factor and rank_label."""
     by = [*keys, DATE]
-    ok = df.filter(F.col(factor).isNotNull() & F.col(label).isNotNull()).select(*by, F.col(factor).alias("_fx"), F.col(label).alias("_lx"))
+    ok = df.filter(F.col(factor).isNotNull() & F.col(label).isNotNull())
     spread = spread_out(ok, by, most, spread)
-    ranked = mean_ranks(mean_ranks(ok, "_fx", by, "_f", most, spread), "_lx", by, "_l", most, spread)
-    return ranked.groupBy(*by).agg(correlation("_f", "_l").alias("rank_ic"), F.count("*").alias("n_stocks")).filter(F.col("n_stocks") >= least)
+    return mean_ranks(mean_ranks(ok, factor, by, "rank_factor", most, spread), label, by, "rank_label", most, spread)
+
+
+def ic_of_ranks(rows: DataFrame, keys: Keys = (), least: int = 10) -> DataFrame:
+    """Spearman correlation by date from the columns of ``ranked``."""
+    return rows.groupBy(*keys, DATE).agg(correlation("rank_factor", "rank_label").alias("rank_ic"), F.count("*").alias("n_stocks")).filter(F.col("n_stocks") >= least)
+
+
+def rank_ic(df: DataFrame, factor: str, label: str, keys: Keys = (), least: int = 10, most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
+    """Spearman correlation by date with mean ranks for ties."""
+    rows = df.select(*keys, DATE, F.col(factor).alias("_fx"), F.col(label).alias("_lx"))
+    return ic_of_ranks(ranked(rows, "_fx", "_lx", keys, most, spread), keys, least)
 
 
 def pearson_ic(df: DataFrame, factor: str, label: str, keys: Keys = (), least: int = 10) -> DataFrame:
@@ -223,7 +234,7 @@ def top_backtest(df: DataFrame, label: str, top: int = 5, step: int = 5, keys: K
 def _dated(df: DataFrame, keys: Keys = ()) -> DataFrame:
     """``df`` with the index of its date (for each of ``keys``): dates are numbered apart and joined back, so rows never meet in one task."""
     dates = df.select(*keys, DATE).distinct().withColumn("_d", F.row_number().over(Window.partitionBy(*keys).orderBy(DATE)) - 1)
-    return df.join(dates if keys else F.broadcast(dates), [*keys, DATE])
+    return with_facts(df, stored(dates), [*keys, DATE]) if keys else df.join(F.broadcast(dates), [DATE])
 
 
 def top_summary(backtest: DataFrame, keys: Keys = ()) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import factors
 from ..functions import stats as S
-from ..operators import compare, evaluate, news, panel, preprocess, quality, radar, sample
+from ..operators import compare, evaluate, news, order, panel, preprocess, quality, radar, sample
 from ..sources import adapters, schemas, store
 from . import batch_oracle as B
 from . import frames, legacy
@@ -1042,27 +1042,26 @@ def _batch(spark, sf):
 def evaluate_batch(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The gate's metrics for each key: full sample, in and out of sample, from one long frame.
 
-    The frame, and its usable rows with periods and buckets, are written once; all metrics are then aggregates of these.
+    The frame, and its usable rows with buckets and ranks, are written once; dates are measured once.  A period is a set
+    of dates, so what belongs to a date is computed once and then counts in the whole and in its part.
     """
     rows = store.stored(rows)
-    ok = evaluate.usable(rows, FACTOR, LABEL, keys=keys)[0]
-    labelled = evaluate.split_periods(ok, keys=keys)
-    full = labelled.withColumn("period", F.explode(F.array(F.lit("full"), F.col("period"))))
-    u = store.stored(evaluate.quantiles(full, FACTOR, keys=[*keys, "period"]))
-    ok = u.filter("period = 'full'")
+    spread = order.spread_out(rows, [*keys, "trade_date"], order.ONE_TASK, None)
+    ok = evaluate.usable(rows.select(*keys, "trade_date", "ts_code", FACTOR, LABEL), FACTOR, LABEL, keys=keys, spread=spread)[0].drop("n_valid")
+    u = store.stored(evaluate.ranked(evaluate.quantiles(ok, FACTOR, keys=keys, spread=spread), FACTOR, LABEL, keys, spread=spread))
     by = [*keys, "period"]
-    ic = evaluate.rank_ic(u, FACTOR, LABEL, by)
-    qd = evaluate.quantile_daily(u, LABEL, by)
-    spread = evaluate.spread_stats(evaluate.wide(qd, keys=by), keys=by).select(*by, "spread_mean")
-    means = ic.groupBy(*by).agg(F.avg("rank_ic").alias("ic")).join(spread, by)
+    ic = store.stored(evaluate.ic_of_ranks(u, keys))
+    fd = store.stored(evaluate.quantile_daily(u, LABEL, keys))
+    parts = store.stored(evaluate.split_periods(ic.select(*keys, "trade_date"), keys=keys).withColumn("period", F.explode(F.array(F.lit("full"), F.col("period")))))
+    spreads = evaluate.spread_stats(evaluate.wide(fd, keys=keys).join(parts, [*keys, "trade_date"]), keys=by).select(*by, "spread_mean")
+    means = ic.join(parts, [*keys, "trade_date"]).groupBy(*by).agg(F.avg("rank_ic").alias("ic")).join(spreads, by)
     wide = means.groupBy(*keys).agg(*[F.max(F.when(F.col("period") == p, F.col(c))).alias(n) for p, c, n in (("full", "ic", "rank_ic_mean"), ("full", "spread_mean", "spread_mean"), ("in_sample", "ic", "is_rank_ic"), ("in_sample", "spread_mean", "is_spread"), ("out_of_sample", "ic", "oos_rank_ic"), ("out_of_sample", "spread_mean", "oos_spread"))])
-    f = u.filter("period = 'full'")
-    top = evaluate.top_summary(evaluate.top_backtest(f, LABEL, keys=keys), keys).select(*keys, F.col("mean_return").alias("top_return"), "sharpe", "max_drawdown")
-    turn = evaluate.turnover_summary(evaluate.turnover(f, keys), keys).select(*keys, "mean_turnover")
-    fd = qd.filter("period = 'full'").drop("period")
+    names = u.select(*keys, "trade_date", "ts_code", LABEL, "quantile")
+    top = evaluate.top_summary(store.stored(evaluate.top_backtest(names, LABEL, keys=keys)), keys).select(*keys, F.col("mean_return").alias("top_return"), "sharpe", "max_drawdown")
+    turn = evaluate.turnover_summary(evaluate.turnover(names.drop(LABEL), keys), keys).select(*keys, "mean_turnover")
     mono = evaluate.monotonicity(evaluate.quantile_summary(fd, keys), keys)
-    years = evaluate.concentration(evaluate.yearly(ic.filter("period = 'full'").drop("period"), fd, keys=keys), keys).select(*keys, F.col("has_single_year_concentration").alias("single_year"))
-    dates = ok.groupBy(*keys).agg(F.countDistinct("trade_date").alias("n_valid_dates"))
+    years = evaluate.concentration(evaluate.yearly(ic, fd, keys=keys), keys).select(*keys, F.col("has_single_year_concentration").alias("single_year"))
+    dates = ic.groupBy(*keys).agg(F.countDistinct("trade_date").alias("n_valid_dates"))
     cov = evaluate.coverage(rows, FACTOR, LABEL, keys).select(*keys, "coverage_pct", F.col("n_forward_return_samples").alias("n_samples"))
     valid = preprocess.validity(rows, FACTOR, keys)
     return reduce(lambda a, b: a.join(b, keys, "left"), [cov, valid, dates, wide, top, turn, mono, years])
@@ -1188,8 +1187,8 @@ def _(spark, sf):
     return compare.scorecard(reduce(lambda a, b: a.join(b, "_k"), one))
 
 
-def _noise(spark, sf, repeats=3):
-    rows = frames.factor_rows(spark, sf).filter(F.col(FACTOR).isNotNull())
+def _noise(spark, sf, repeats=3, names=("*",)):
+    rows = frames.factor_rows(spark, sf).filter(F.col(FACTOR).isNotNull()).select(*names)
     return compare.noise_factors(rows, FACTOR, repeats)
 
 
@@ -1227,7 +1226,7 @@ def _(spark, sf):
 
 @query("i02_noise_metrics", NOISE + "," + B.batch("nn", ["baseline_name", "run_id"]), "SELECT baseline_name, run_id, rank_ic_mean, top_return AS top_quantile_return, sharpe AS top_quantile_sharpe, max_drawdown, mean_turnover, oos_rank_ic AS oos_rank_ic_mean FROM metrics", "rank_ic_mean top_quantile_return top_quantile_sharpe max_drawdown mean_turnover oos_rank_ic_mean")
 def _(spark, sf):
-    m = evaluate_batch(_noise(spark, sf), ["baseline_name", "run_id"])
+    m = evaluate_batch(_noise(spark, sf, names=("trade_date", "ts_code", FACTOR, LABEL)), ["baseline_name", "run_id"])
     return m.select("baseline_name", "run_id", "rank_ic_mean", F.col("top_return").alias("top_quantile_return"), F.col("sharpe").alias("top_quantile_sharpe"), "max_drawdown", "mean_turnover", F.col("oos_rank_ic").alias("oos_rank_ic_mean"))
 
 
@@ -1253,8 +1252,7 @@ def _compared(spark, sf, repeats=3):
     technical = factors.compute(s, {k: f() for k, (f, _) in factors.TECHNICAL.items()}).withColumn("direction", signs[F.col("factor_id")]).withColumn("group", F.lit("simple_technical"))
     long = registered.unionByName(technical).join(own, ["trade_date", "ts_code"])
     p = preprocess.preprocess(long, "factor_value", ["group", "factor_id", "day"])
-    p = p.select("group", "factor_id", F.lit(0).alias("run_id"), F.col("day").alias("trade_date"), "ts_code", "total_mv", "sw_l1_name", F.col("factor_value").alias("factor_raw"), F.round(F.col("factor_processed") * F.col("direction"), 6).alias(FACTOR), LABEL)
-    p = store.stored(p)
+    p = store.stored(p.select("group", "factor_id", F.lit(0).alias("run_id"), F.col("day").alias("trade_date"), "ts_code", F.round(F.col("factor_processed") * F.col("direction"), 6).alias(FACTOR), LABEL))
     noise = None
     for k, name in enumerate(compare.NOISE):
         one = compare.noise_factors(p.filter("group = 'candidate'").filter(F.col(FACTOR).isNotNull()).drop("run_id"), FACTOR, repeats, names=[name], keys=["factor_id"])

@@ -140,3 +140,14 @@ def test_against_duckdb(spark, name):
             a, b = r[c], rows[1][key][c]
             number = isinstance(a, float) or isinstance(b, float)
             assert (a != a and b != b) or (a is None and b is None) or (a == pytest.approx(b, abs=2e-6) if number else c in keys or a == b), (key, c, a, b)
+
+
+def test_a_period_is_a_set_of_dates_and_no_more_rows(spark, monkeypatch):
+    from panelith.plans import queries
+
+    kept, real = [], queries.store.stored
+    monkeypatch.setattr(queries.store, "stored", lambda df: kept.append(real(df)) or kept[-1])
+    rows = spark.sql("SELECT 'k' AS k, date_add(date'2000-01-01', d) AS trade_date, format_string('%03d', c) AS ts_code, CAST(pmod(c * 7 + d, 40) AS DOUBLE) AS f, CAST(c AS DOUBLE) AS y FROM (SELECT explode(sequence(0, 3)) AS d) CROSS JOIN (SELECT explode(sequence(1, 40)) AS c)")
+    got = queries.evaluate_batch(rows, ["k"]).first()
+    assert got["n_valid_dates"] == 4 and got["n_samples"] == 160
+    assert max(f.count() for f in kept) == 160

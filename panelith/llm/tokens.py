@@ -13,7 +13,8 @@ times.  Pairs with a symbol that occurs less often than that cannot, and are pas
 
 Encoding: where the tokenizer's own file says that it drops white space and letter case and takes words one by one, a
 text's ids are those of its words in turn.  Of each run of rows (STEP_BYTES) the distinct words, told apart by 64-bit
-hashes, are encoded once, JOINED at a time, and their ids are copied to all places by numpy.  Any other tokenizer
+hashes, are encoded once, JOINED at a time, and their ids are copied to all places by numpy; a worker remembers up to
+MOST_WORDS words for its later runs of rows.  Any other tokenizer
 encodes whole texts.
 
 Defined cases: a null or empty text has just the end id; a null doc_id comes first and stays null; repeated doc_ids stay,
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import _LOWER, by_bytes, hash_spans, pieces, release, ship, small, utf8, word_bounds
 
 END_ID, BLOCK_IDS, STEP_BYTES, JOINED = 2, 1 << 20, 4 << 20, 512
+MOST_WORDS = 1 << 20  # chunks that a Python worker remembers, some 40 MB; a longer step is remembered whole
 FIRST_RULE, RULES, LEAST, PAIR_BITS = 1 << 17, 1024, 24, 19
 
 BLOCK_SCHEMA = "part int, seq int, first_doc_id long, null_ids int, n_ids long, doc_ids binary, lens binary, left binary, right binary, sizes binary, levels binary, codes binary, ends binary"
@@ -248,6 +250,29 @@ def _chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(starts), np.concatenate(ends), np.concatenate(hashes)
 
 
+class Known:
+    """The ids of the chunks that this Python worker has encoded so far, by hash: later steps and tasks take them from here."""
+
+    def __init__(self) -> None:
+        self.words, self.at, self.lens, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Where each of ``words`` stands, -1 for those not known."""
+        at = np.searchsorted(self.words, words)
+        at[at == len(self.words)] = 0
+        return np.where(self.words[at] == words, at, -1) if len(self.words) else np.full(len(words), -1)
+
+    def add(self, words: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> None:
+        order = np.argsort(words)
+        to = np.searchsorted(self.words, words[order])
+        at = (np.cumsum(lens) - lens + len(self.ids)).astype(np.int32)
+        self.words, self.at, self.lens = np.insert(self.words, to, words[order]), np.insert(self.at, to, at[order]), np.insert(self.lens, to, lens[order].astype(np.int32))
+        self.ids = np.concatenate([self.ids, ids])
+
+
+_KNOWN: dict[str, Known] = {}
+
+
 def encode_column(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids, ids of each text) of a string column, without end ids; each distinct chunk is encoded once.
 
@@ -260,24 +285,27 @@ def encode_column(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = utf8(column)
     start, end, h = _chunks(data, offsets)
     coded = pa.array(h).dictionary_encode()
-    which = coded.indices.to_numpy()
-    first = np.empty(len(coded.dictionary), np.int64)
+    which, words = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    first = np.empty(len(words), np.int64)
     first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
     del h, coded
+    known = _KNOWN.setdefault(path, Known())
+    fresh = np.flatnonzero(known.places(words) < 0)
+    if len(known.words) + len(fresh) > MOST_WORDS:  # begin anew: the same ids, encoded again
+        known = _KNOWN[path] = Known()
+        fresh = np.arange(len(words))
+    first = first[fresh]
     raw = data.tobytes()
     some = [raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
     del raw, first
     single = np.fromiter((w.isalpha() for w in some), bool, len(some))
-    flat, lens, at = [], np.zeros(len(some), np.int32), np.zeros(len(some), np.int32)
-    base = 0
     for one in (True, False):
         k = np.flatnonzero(single == one)
-        ids, n = _encode_joined(model, ends, [some[i] for i in k.tolist()], one)
-        flat.append(ids)
-        lens[k], at[k] = n, np.cumsum(n) - n + base
-        base += len(ids)
+        known.add(words[fresh[k]], *_encode_joined(model, ends, [some[i] for i in k.tolist()], one))
     del some
-    flat, n = np.concatenate(flat), lens[which]
+    own = known.places(words)
+    flat, at, lens = known.ids, known.at[own], known.lens[own]
+    n = lens[which]
     stop = np.cumsum(n, dtype=np.int32)
     place = np.repeat(at[which] - (stop - n), n)
     place += np.arange(len(place), dtype=np.int32)

@@ -298,3 +298,19 @@ def test_token_files(spark, odd_docs, no_docs, tmp_path):
         assert (r.doc_id, r.ids_crc32) == (d, zlib.crc32(np.array([*model.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()))
     tokens.write_tokens(no_docs, f"file://{tmp_path}/e", path)
     assert tokens.document_digests(spark, f"file://{tmp_path}/e").count() == 0
+
+
+def test_a_worker_encodes_a_word_once_whatever_its_steps(monkeypatch):
+    import public_tokenizers
+
+    path, seen, real = public_tokenizers.path("word_bpe_49k.json"), [], tokens._encode_joined
+    monkeypatch.setattr(tokens, "_KNOWN", {})
+    monkeypatch.setattr(tokens, "_encode_joined", lambda model, ends, chunks, one: seen.extend(chunks) or real(model, ends, chunks, one))
+    model = tokens.tokenizer(path)[0]
+    for text in ["lorem ipsum, dolor", "ipsum Lorem dolor sit ñandú.", "sit amet lorem"]:
+        ids, _ = tokens.encode_column(pa.array([text]), path)
+        assert ids.tolist() == model.encode(text, add_special_tokens=False).ids
+    assert sorted(w.lower() for w in seen) == sorted({w.lower() for w in seen})
+    monkeypatch.setattr(tokens, "MOST_WORDS", 3)  # begins anew, with the same ids
+    assert tokens.encode_column(pa.array(["lorem ipsum dolor sit amet"]), path)[0].tolist() == model.encode("lorem ipsum dolor sit amet", add_special_tokens=False).ids
+    assert len(tokens._KNOWN[path].words) == 5

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import _LOWER, by_bytes, durable, hash_spans, mix64, pieces, shared_dir, ship, utf8, word_bounds
+from .common import _LOWER, by_bytes, durable, hash_spans, mix64, pieces, release, shared_dir, ship, utf8, word_bounds
 
 FAN, DEPTH, LEAF_WORDS = 16, 4, 2048
 SHAPES = (FAN - 1) * FAN  # first two classes; a first class of 0 is the end token's own
@@ -288,7 +288,7 @@ def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray:
         shared = spark.sparkContext.broadcast(weights)
 
         def work(batches: Iterator[pa.RecordBatch], r=r, shared=shared) -> Iterator[pa.RecordBatch]:
-            own, squares, used = shared.value.copy(), np.zeros(model.shape, np.float32), np.zeros(model.shape[:2], np.int64)
+            own, squares, used = shared.value.copy(), np.zeros(model.shape, np.float32), np.zeros(model.shape[:2], np.int32)
             for batch in batches:
                 for row in _read(batch):
                     leaf, code, place, _ = _tokens_of(row, model, True)
@@ -296,11 +296,17 @@ def learn(rows: DataFrame, model: Model, rounds: int = ROUNDS) -> np.ndarray:
                         if k % rounds == r:
                             b = min(a + BATCH, len(leaf))
                             update(own, squares, used, model, histories(code, place, a, b), leaf[a:b])
-            change, used = (own - shared.value).reshape(every, FAN), used.ravel()
-            for k in range(slices):
+                    del leaf, code, place  # before the next chunk's
+            del squares
+            moved, start, used = own.reshape(every, FAN), shared.value.reshape(every, FAN), used.ravel()
+            for k in range(slices):  # no second table of all changes
                 at = np.flatnonzero(used[cut[k] : cut[k + 1]]) + cut[k]
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype("<i4"), used[at].astype("<f4"), change[at].astype("<f2")))], names=names)
+                    change = (moved[at] - start[at]).astype("<f2")
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype("<i4"), used[at].astype("<f4"), change))], names=names)
+                    del change
+            del own, moved, used
+            release()
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -383,6 +389,8 @@ def score(docs: DataFrame) -> DataFrame:
                     [pa.array(row["doc_ids"], mask=row["nulls"] > 0), pa.array(row["held"] > 0), pa.array(row["lens"].astype(np.int64)), pa.array(sums_of((count > 0).astype(np.int64)[row["ids"]])), pa.array(np.full(n, model.n, np.int64)), pa.array(sums_of(base[row["ids"]])), pa.array(sums_of(logs))],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
+                del leaf, code, place, inside, logs, count, base  # before the next chunk's
+        release()
 
     scored = durable(rows.select("doc_ids", "nulls", "held", "lens", "ids", "words", "shapes", "totals").mapInArrow(work, SCORED), "lm-scores")
     for name in own:

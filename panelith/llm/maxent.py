@@ -187,13 +187,14 @@ def _rows(history: np.ndarray, node: np.ndarray, rows: int) -> np.ndarray:
     return ((h * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(32)) * np.uint64(rows) >> np.uint64(32)).view(np.int64)
 
 
-def _log_softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
-    z = weights[rows[0]]
+def _logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Logits (child, token), less the largest of each token.  One row a child: sums over children then run along memory."""
+    z = weights.take(rows[0], 0)
     for k in range(1, len(rows)):
-        z += weights[rows[k]]
-    z += bias[node]
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
+        z += weights.take(rows[k], 0)
+    z += bias.take(node, 0)
+    z = np.ascontiguousarray(z.T)
+    z -= z.max(0)
     return z
 
 
@@ -213,8 +214,9 @@ def update(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, model: Mo
     for d, _, rows, node, y in _levels(history, leaf, model):
         if not len(y):
             continue
-        p = np.exp(_log_softmax(weights[d], model.bias[d], rows, node))
-        p[np.arange(len(y)), y] -= 1
+        p = np.exp(_logits(weights[d], model.bias[d], rows, node))
+        p /= p.sum(0)
+        p[y, np.arange(len(y))] -= 1
         flat = rows.ravel()
         times = np.bincount(flat, minlength=weights.shape[1])
         touched = np.flatnonzero(times)
@@ -222,8 +224,8 @@ def update(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, model: Mo
         of[touched] = np.arange(len(touched))
         flat = of[flat]
         g = np.empty((FAN, len(touched)), np.float32)
-        for own, total in zip(np.tile(p.T.astype(np.float64), len(rows)), g, strict=True):
-            total[:] = np.bincount(flat, own, len(touched))
+        for own, total in zip(p, g, strict=True):  # a child at a time stays in the cache
+            total[:] = np.bincount(flat, np.tile(own.astype(np.float64), len(rows)), len(touched))
         g = np.ascontiguousarray(g.T)
         used[d, touched] += times[touched]
         s = squares[d, touched] + g * g
@@ -235,7 +237,8 @@ def log_shares(weights: np.ndarray, model: Model, history: np.ndarray, leaf: np.
     """log10 P(leaf | history) of each token."""
     out = np.zeros(len(leaf))
     for d, some, rows, node, y in _levels(history, leaf, model):
-        out[some] += _log_softmax(weights[d], model.bias[d], rows, node)[np.arange(len(y)), y]
+        z = _logits(weights[d], model.bias[d], rows, node)
+        out[some] += z[y, np.arange(len(y))] - np.log(np.exp(z).sum(0))
     return out / np.log(10)
 
 

@@ -483,6 +483,33 @@ def test_class_softmax_is_a_distribution(leaf_words, depth):
         assert (10 ** maxent.log_shares(weights, m, np.repeat(h[:, None], len(every), 1), every)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_log_shares_along_memory():
+    """The same values as a softmax token by token, in at most 3/4 of its processor time (half of it when written)."""
+    rng = np.random.default_rng(3)
+    _, _, _, m = _tree_model(rng, 200, 0.1)
+    m.rows, n = 25_000, 32_768
+    weights = rng.normal(0, 0.3, m.shape).astype(np.float32)
+    history = rng.integers(0, 2**63, (4, n), dtype=np.uint64)
+    leaf = rng.integers(maxent.FAN ** (m.depth - 1), maxent.FAN**m.depth, n)
+
+    def plain():
+        out = np.zeros(n)
+        for d, some, rows, node, y in maxent._levels(history, leaf, m):
+            z = sum(weights[d][rows[k]] for k in range(1, 4)) + weights[d][rows[0]] + m.bias[d][node]
+            z -= z.max(1, keepdims=True)
+            z -= np.log(np.exp(z).sum(1, keepdims=True))
+            out[some] += z[np.arange(len(y)), y]
+        return out / np.log(10)
+
+    def seconds(f):
+        began = time.process_time()
+        f()
+        return time.process_time() - began
+
+    assert maxent.log_shares(weights, m, history, leaf) == pytest.approx(plain(), abs=1e-5)
+    assert min(seconds(lambda: maxent.log_shares(weights, m, history, leaf)) for _ in range(7)) < 0.75 * min(seconds(plain) for _ in range(7))
+
+
 def test_update_and_score_match_a_plain_version():
     rng = np.random.default_rng(1)
     words, shapes, totals, m = _tree_model(rng, 60, 0.1)

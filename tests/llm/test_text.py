@@ -320,6 +320,23 @@ def test_components_with_a_hot_centre(spark, monkeypatch):
     assert got == {a: root(a) for a in up}
 
 
+def test_star_steps_of_small_tables_shuffle_thrice(spark, monkeypatch):
+    """Both forms give the same components; a step over few edges has three shuffles and no broadcast."""
+    rng = random.Random(11)
+    edges = [(rng.randint(-300, 300), rng.randint(-300, 300)) for _ in range(260)] + [(1000, k) for k in range(2000, 2040)] + [(k, k + 1) for k in range(5000, 5030)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    steps = []
+    durable = graph.durable
+    monkeypatch.setattr(graph, "durable", lambda x, name: steps.append(x._jdf.queryExecution().sparkPlan().toString()) or durable(x, name))
+    by_window = {tuple(r) for r in graph.components(df).collect()}
+    assert len(steps) > 1
+    for plan in steps[1:]:
+        assert "Join" not in plan and plan.count("Window [") == 2 and plan.count("HashAggregate") == 2, plan
+    monkeypatch.setattr(graph, "FEW_EDGES", -1)
+    monkeypatch.setattr(graph, "HOT", 8)
+    assert by_window == {tuple(r) for r in graph.components(df).collect()}
+
+
 def test_null_ids_link_and_one_row_stays(spark):
     text = " ".join(f"w{i}" for i in range(200))
     rows = [(None, text), (None, text + " end"), (None, text + " end"), (7, " ".join(f"v{i}" for i in range(60))), (None, " ".join(f"v{i}" for i in range(61)))]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import TRADING_DAYS, bucket, compounded, correlation, kurtosis, ratio, skew, t_stat, upto
 from ..sources.store import stored
-from .order import ONE_TASK, grouped, mean_ranks, percentiles, places, spread_out, with_facts
+from .order import ONE_TASK, dealt, grouped, mean_ranks, percentiles, places, spread_out, with_facts
 
 DATE = "trade_date"
 Keys = Sequence[str]
@@ -294,11 +294,14 @@ def half_life(decay: DataFrame, index: str, x: str, strict: bool, keys: Keys = (
 
 
 def ic_decay(df: DataFrame, factor: str, horizons: Sequence[int], keys: Keys = (), most: int = ONE_TASK, spread: bool | None = None) -> DataFrame:
-    """By horizon: mean, population deviation and IR of the rank IC."""
-    spread = spread_out(df, [*keys, DATE], most, spread)
+    """By horizon: mean, population deviation and IR of the rank IC.  Rows are dealt once, over tasks in proportion to their number."""
+    size = df.groupBy(*keys, DATE).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    spread = (size.most or 0) > most if spread is None else spread
     names = {f"forward_{h}d": h for h in horizons}
     long = df.select(*keys, DATE, "ts_code", factor, *names).unpivot([*keys, DATE, "ts_code", factor], list(names), "_h", "_label")
-    long = long.withColumn("horizon", F.regexp_extract("_h", r"(\d+)", 1).cast("int"))
+    long = long.select(*keys, F.regexp_extract("_h", r"(\d+)", 1).cast("int").alias("horizon"), DATE, factor, "_label")
+    long = long.filter(F.col(factor).isNotNull() & F.col("_label").isNotNull())
+    long = long if spread else dealt(long, [*keys, "horizon", DATE], len(names) * (size.rows or 0))
     ic = rank_ic(long, factor, "_label", [*keys, "horizon"], most=most, spread=spread)
     return ic.groupBy(*keys, "horizon").agg(F.avg("rank_ic").alias("mean_ic"), F.stddev_pop("rank_ic").alias("std_ic"), ratio(F.avg("rank_ic"), F.nullif(F.stddev_pop("rank_ic"), F.lit(0.0))).alias("ic_ir"))
 

@@ -22,6 +22,7 @@ from ..sources.store import stored
 
 PARTITION_BITS = 33  # of monotonically_increasing_id: below them the row within a partition
 ONE_TASK = 1_000_000  # rows of a group that one task may order
+TASK_ROWS, MOST_TASKS = 250_000, 8192  # rows that ``dealt`` gives a task on the average
 BROADCAST_ROWS = 200_000
 SALTS, SPLITTERS = 32, 1024
 
@@ -31,6 +32,11 @@ def largest(df: DataFrame, by: Sequence[str]) -> int:
     return df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
 
 
+def dealt(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame:
+    """``df`` dealt by group over as many tasks as ``rows`` rows need; left to the planner, a task would get what a setting says."""
+    return df.repartition(max(1, min(MOST_TASKS, -(-rows // TASK_ROWS))), *by)
+
+
 def spread_out(df: DataFrame, by: Sequence[str], most: int, spread: bool | None) -> bool:
     """Whether groups go over several tasks: as told, or measured."""
     return largest(df, by) > most if spread is None else spread

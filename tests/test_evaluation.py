@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from panelith.operators import compare, evaluate, news, radar
+from panelith.operators import compare, evaluate, news, order, radar
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +35,20 @@ def test_rebalanced_compounding(spark):
     assert got == pytest.approx([0.1] * 5 + [0.21])
 
 
+def test_ic_decay_deals_rows_in_proportion(spark, monkeypatch):
+    """Twice the rows are dealt over twice the tasks, once, with the values that other numbers of tasks give."""
+    monkeypatch.setattr(order, "TASK_ROWS", 100)
+    for n, tasks in ((50, 4), (100, 8)):  # 4 dates, 2 horizons
+        rows = [(f"2024010{d}", f"c{i}", float(i * 7 % 11), float(i * (d + 2) % 13), float(i * 5 % 17)) for d in range(4) for i in range(n)]
+        d = evaluate.ic_decay(spark.createDataFrame(rows, "trade_date string, ts_code string, f double, forward_1d double, forward_2d double"), "f", (1, 2))
+        plan = d._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("RepartitionByExpression") + plan.count("REPARTITION_BY_NUM") == 1 and f", {tasks})" in plan, plan
+        got = {r.horizon: r.mean_ic for r in d.collect()}
+        with monkeypatch.context() as m:
+            m.setattr(order, "TASK_ROWS", 1 << 20)
+            assert {r.horizon: r.mean_ic for r in evaluate.ic_decay(d.sparkSession.createDataFrame(rows, "trade_date string, ts_code string, f double, forward_1d double, forward_2d double"), "f", (1, 2), spread=True).collect()} == pytest.approx(got)
+
+
 def test_ic_decay_and_half_life(spark):
     rows = [(d, f"{i:02d}", float(i), float(i), float(-i)) for d in (1, 2) for i in range(12)]
     df = spark.createDataFrame(rows, "trade_date int, ts_code string, f double, forward_1d double, forward_2d double")

@@ -7,9 +7,11 @@ Equal sets are one set from the start.  The rest follows their size:
 * Heavy sets, and light ones near the border, are brought together by parts: linked sets differ in at most H shingles, so
   of H + 1 + SPARE parts (shingles dealt by hash) some part that is not empty is the same in both.  H follows from the
   size class.  Large sets use fewer and larger parts, of which so many are given out that a linked pair shares none of
-  them with a chance under e^-CERTAIN, less than that of a hash collision.  Sets that share a part form families (connected components of sets and parts; parts are joined as stars,
-  never as pairs).  Each family is joined in tasks of bounded blocks: the inverted lists of all its shingles are scanned
-  for exact intersection sizes, and only a spanning forest of the links leaves a task.
+  them with a chance under e^-CERTAIN, less than that of a hash collision.  Parts of few sets are counted by pair, and a
+  pair goes on that shares as many as a linked pair of its sizes must (``least_shared``); parts of more than FEW_SETS sets
+  are joined as stars, never as pairs.  Connected components of both are families.  Each family is joined in tasks of
+  bounded blocks: the inverted lists of all its shingles are scanned for exact intersection sizes, and only a spanning
+  forest of the links leaves a task.
 
   Shingles that very many documents share (a bounded list) stay out of the parts that hold others too, so that a common
   passage does not tie unlike documents together.  The list steers cost alone: ``part_keys`` says why no link hangs on
@@ -42,6 +44,7 @@ from .common import by_bytes, durable, mix64, plainly, ship, small, word_hashes
 from .graph import components
 
 SPARE, CERTAIN, EMPTY, LIST_COST, BLOCK_SETS, BLOCK_SHINGLES = 3, 36, 1 / 8, 4, 1024, 1 << 20
+FEW_SETS, UNLIKELY, EMPTY_ANEW = 32, 31, 1 / 4  # rows of a part that is counted by pair; e^-UNLIKELY is the chance to miss a pair
 POPULAR, POPULAR_LOCAL = 1 << 17, 3
 _SLOT = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -143,6 +146,10 @@ def part_keys(sets: list[np.ndarray], percent: int, bounds: np.ndarray, popular:
     more than SPARE parts alike, so a set with at most SPARE such parts can do without them; and of a set with R other
     shingles at least R - H are in both, which leave an untouched part without any with chance EMPTY at most if there are
     log(1 / EMPTY) to a part.  Either rule can be left to one side alone: what holds for one set holds for the pair.
+
+    A set with too few deals its shingles ``dealings`` times instead, each time anew, and gives what parts hold, popular
+    shingles only if need be; a part without any shingle would tie all sets that miss it.  Joins of sets so small that
+    parts often hold none give out all, as only the pigeonhole principle makes sure there.
     """
     most = most_differing(bounds, percent)
     all_parts, all_given = part_plan(most)
@@ -154,32 +161,89 @@ def part_keys(sets: list[np.ndarray], percent: int, bounds: np.ndarray, popular:
         rare = popular[np.minimum(np.searchsorted(popular, values), len(popular) - 1)] != values
     n_rare = np.bincount(whose[rare], minlength=len(sets))
     values = mix64(values * np.uint64(0xC2B2AE3D27D4EB4F))
-    low, high = (values & np.uint64(0xFFFFFFFF)).astype(float), (values >> np.uint64(32)).astype(float)
     keys, owners = [], []
+    times = dealings(bounds, percent)
     for step in (0, 1):
-        parts, given = all_parts[kind + step], all_given[kind + step]
-        base = np.cumsum(given) - given
-        total = int(given.sum())
-        part = (values % parts[whose].astype(np.uint64)).astype(np.int64)
-        out = part < given[whose]
-        content = []
-        for some in (out & rare, out):
-            place = (base[whose[some]] + part[some]) if some.any() else np.zeros(0, np.int64)
-            count = np.bincount(place, minlength=total)
-            a, b = (np.bincount(place, x[some], total).astype(np.uint64) for x in (low, high))
-            content.append((count, a + (b << np.uint64(32)) + count.astype(np.uint64)))
-        (count, content_rare), (_, content_all) = content
-        owner = np.repeat(np.arange(len(sets)), given)
-        number = np.arange(total) - np.repeat(base, given)
-        empty = np.bincount(owner[count == 0], minlength=len(sets))
-        enough = np.where(parts == given, empty <= SPARE, n_rare - most[kind + step] >= -np.log(EMPTY) * parts)
-        give = (count > 0) | ~enough[owner]
-        salt = ((np.repeat(kind + step, given).astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        keys.append(mix64(mix64(np.where(count > 0, content_rare, content_all)) ^ salt)[give])
-        owners.append(owner[give])
+        join = kind + step
+        parts, given, again = all_parts[join], all_given[join], times[join]
+        anew, bare = np.ones(len(sets), bool), n_rare - most[join] < -np.log(EMPTY_ANEW) * parts
+        for deal in range(max(1, int(again.max(initial=0)))):
+            if deal:
+                anew = ~enough & (again > deal)
+                if not anew.any():
+                    break
+            mine = anew[whose]
+            some_values, some_whose, some_rare = (values, whose, rare) if not deal else (mix64(values[mine] + np.uint64(deal)), whose[mine], rare[mine])
+            low, high = (some_values & np.uint64(0xFFFFFFFF)).astype(float), (some_values >> np.uint64(32)).astype(float)
+            given_now = np.where(anew, given, 0)
+            base = np.cumsum(given_now) - given_now
+            total = int(given_now.sum())
+            part = (some_values % parts[some_whose].astype(np.uint64)).astype(np.int64)
+            out = part < given_now[some_whose]
+            content = []
+            for some in (out & some_rare, out):
+                place = (base[some_whose[some]] + part[some]) if some.any() else np.zeros(0, np.int64)
+                count = np.bincount(place, minlength=total)
+                a, b = (np.bincount(place, x[some], total).astype(np.uint64) for x in (low, high))
+                content.append((count, a + (b << np.uint64(32)) + count.astype(np.uint64)))
+            (count, content_rare), (count_all, content_all) = content
+            owner = np.repeat(np.arange(len(sets)), given_now)
+            number = np.arange(total) - np.repeat(base, given_now)
+            if not deal:
+                empty = np.bincount(owner[count == 0], minlength=len(sets))
+                enough = np.where(parts == given, empty <= SPARE, n_rare - most[join] >= -np.log(EMPTY) * parts)
+            give = (count > 0) | (~enough & ((again == 0) | bare))[owner] & ((count_all > 0) | (again == 0)[owner])
+            salt = ((np.repeat(join, given_now).astype(np.uint64) << np.uint64(40)) + (np.uint64(deal) << np.uint64(32)) + number.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            keys.append(mix64(mix64(np.where(count > 0, content_rare, content_all)) ^ salt)[give])
+            owners.append(owner[give])
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def _untouched(parts: np.ndarray, differing: np.ndarray, empty: float) -> np.ndarray:
+    """The least chance of a part to be left alone by ``differing`` shingles and to hold another, as it does with chance 1 - ``empty``."""
+    return (1 - 1 / parts) ** differing * (1 - empty)
+
+
+def dealings(bounds: np.ndarray, percent: int) -> np.ndarray:
+    """How often a set whose parts are not enough deals its shingles, by join, that no part alike has a chance under e^-UNLIKELY; 0 where sets are too small."""
+    most = most_differing(bounds, percent)
+    parts, given = part_plan(most)
+    least = np.concatenate([[0], bounds[:-2]])  # the smallest set of a join
+    times = np.ceil(UNLIKELY / (-np.log1p(-_untouched(parts, most, EMPTY_ANEW)) * given)).astype(np.int64)
+    return np.where(least - most >= -np.log(EMPTY_ANEW) * parts, times, 0)
+
+
+def least_shared(n: np.ndarray, m: np.ndarray, percent: int, bounds: np.ndarray) -> np.ndarray:
+    """How many keys of ``part_keys`` linked sets of sizes n and m share at least; where such sizes cannot link, more than there are.
+
+    The sets differ in d shingles at most, which follows from n and m.  Where all parts are given out, all but d are alike,
+    of which SPARE may be held back.  Otherwise each stays untouched and is given with some chance, and that ``a`` or fewer
+    do has (by Chernoff's bound, as one part touched makes the others less likely to be) a chance under e^-UNLIKELY.
+    Sets of one class meet in two joins.
+    """
+    all_parts, all_given = part_plan(most_differing(bounds, percent))
+    times = dealings(bounds, percent)
+    d = (n + m) * (100 - percent) // (100 + percent)
+    kinds = [np.searchsorted(bounds, x, "right") - 1 for x in (n, m)]
+    high = np.maximum(*kinds)
+
+    def likely(given: np.ndarray, p: np.ndarray) -> np.ndarray:
+        sure = np.ones(len(given), np.int64)
+        for a in range(1, 64):
+            share = np.minimum(a / given, p)
+            sure += given * (share * np.log(share / p) + (1 - share) * np.log((1 - share) / (1 - p))) >= UNLIKELY
+        return sure
+
+    def in_join(join: np.ndarray) -> np.ndarray:
+        parts, given = all_parts[join], all_given[join]
+        once = np.where(parts == given, np.maximum(1, parts - d - SPARE), likely(given, _untouched(parts, d, EMPTY)))
+        anew = likely(given * np.maximum(1, times[join]), _untouched(parts, d, EMPTY_ANEW))
+        return np.where(times[join] > 0, np.minimum(once, anew), once)
+
+    least = in_join(high) + np.where(kinds[0] == kinds[1], in_join(high + 1), 0)
+    return np.where(100 * np.minimum(n, m) >= percent * np.maximum(n, m), least, np.iinfo(np.int64).max)
+
+
 def _subset_keys(s: np.ndarray, percent: int, below: int) -> tuple[list[int], list[int]]:
     """(keys, partner sizes) of the fixed-size subsets of a light set, for partners of sizes under ``below``."""
     n, keys, sizes = len(s), [], []
@@ -302,17 +366,29 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     heavy_sid.append(sid)
             if heavy:
                 key, owner = part_keys(heavy, percent, bounds, common.value)
-                none = np.zeros(len(key), np.int32)
-                yield _table(names, key.view(np.int64), np.asarray(heavy_sid, np.int64)[owner], none, none)
+                size = np.fromiter(map(len, heavy), np.int32, len(heavy))
+                yield _table(names, key.view(np.int64), np.asarray(heavy_sid, np.int64)[owner], size[owner], np.zeros(len(key), np.int32))
             if keys:
                 yield _table(names, mix64(np.asarray(keys, np.uint64)).view(np.int64), np.asarray(owners, np.int64), np.asarray(sizes, np.int32), np.asarray(asked, np.int32))
 
     rows = texts.mapInArrow(post, "key long, sid long, n int, m int")
     group = Window.partitionBy("key")
-    near = rows.select("*", F.min("sid").over(group).alias("low"), F.max("sid").over(group).alias("high"), F.min("n").over(group).alias("n0"), F.max("n").over(group).alias("n1"))
-    near = near.filter("low < high and sid <> low and (m = 0 or n = m or n0 < n1)").select(F.col("sid").alias("a"), F.col("low").alias("b"), (F.col("m") > 0).alias("light"))
-    near = durable(near.distinct(), "jaccard-near")
-    families = durable(components(near.filter("not light").select("a", "b")), "jaccard-families")
+    near = rows.select("*", F.min("sid").over(group).alias("low"), F.max("sid").over(group).alias("high"), F.min("n").over(group).alias("n0"), F.max("n").over(group).alias("n1"), F.count("*").over(group).alias("rows"))
+    near = near.filter("low < high and (m = 0 or sid <> low and (n = m or n0 < n1))").select("key", "sid", "n", "low", (F.col("m") > 0).alias("light"), (F.col("rows") > FEW_SETS).alias("many"))
+    near = durable(near, "jaccard-near")
+    star = near.filter("sid <> low").select(F.col("sid").alias("a"), F.col("low").alias("b"), "light", "many").distinct()
+    groups = near.filter("not light and not many").groupBy("key").agg(F.sort_array(F.collect_set(F.struct("sid", "n"))).alias("s"))
+    pair = "explode(flatten(transform(s, (x, i) -> transform(slice(s, i + 2, size(s)), y -> struct(x.sid AS a, y.sid AS b, x.n AS n, y.n AS m))))) AS pair"
+    pairs = groups.select(F.expr(pair)).select("pair.*").groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared"))
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m, shared = (batch.column(c).to_numpy() for c in range(5))
+            keep = shared >= least_shared(n.astype(np.int64), m.astype(np.int64), percent, bounds)
+            yield _table(["a", "b"], a[keep], b[keep])
+
+    ties = star.filter("many and not light").select("a", "b").unionByName(pairs.mapInArrow(alike, "a long, b long"))
+    families = durable(components(ties), "jaccard-families")
 
     members = distinct.join(families.withColumnRenamed("node", "sid"), "sid").select(F.col("row.doc_id").alias("d"), F.col("row.h").alias("e"), "sid", "n", F.col("root").alias("family"))
     members = durable(members, "jaccard-members")
@@ -366,7 +442,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
         if len(held) > 1:
             yield links()
 
-    links = full.mapInArrow(verify, "a long, b long").unionByName(near.filter("light").select("a", "b"))
+    links = full.mapInArrow(verify, "a long, b long").unionByName(star.filter("light").select("a", "b"))
     roots = components(links).withColumnRenamed("node", "sid")
     return sets.join(roots, "sid", "left").select("doc_id", "h", "n", F.when(F.col("n") > 0, F.coalesce("root", "sid")).alias("root"))
 

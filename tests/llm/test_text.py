@@ -291,6 +291,40 @@ def test_linked_sets_share_a_part_whatever_is_popular(percent):
                     assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist()), (n, m, share)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_as_many_parts_as_counted_on(percent):
+    rng = np.random.default_rng(percent + 1)
+    bounds = jaccard.size_bounds(percent)
+    for n in (8, 20, 37, 46, 60, 90, 117, 150, 207, 230, 250, 288, 300, 361, 420, 700, 1700):
+        for m in (n, 95 * n // 100, -(-percent * n // 100)):
+            common_ = jaccard.least_common(n, m, percent)
+            if common_ > m:
+                continue
+            least = jaccard.least_shared(np.array([n]), np.array([m]), percent, bounds)[0]
+            for share in (0, 0.3, 0.6, 0.9, 1.0):
+                pool = np.unique(rng.integers(1, 2**63, 3 * n, dtype=np.uint64))
+                rng.shuffle(pool)
+                one = np.sort(pool[:n])
+                two = np.sort(np.concatenate([pool[:common_], pool[n : n + m - common_]]))
+                for popular in (pool[: int(share * common_)], np.concatenate([pool[: int(share * common_)], pool[n : n + m - common_]])):
+                    key, owner = jaccard.part_keys([one, two], percent, bounds, np.sort(popular))
+                    assert len(set(key[owner == 0].tolist()) & set(key[owner == 1].tolist())) >= least, (n, m, share)
+
+
+def test_unlike_documents_form_no_family(spark, monkeypatch):
+    """Neighbours in a chain share half of their words, and most have some popular passages; none links with any other."""
+    rng = random.Random(21)
+    prose = lambda n: [f"{rng.randrange(10**9):x}" for _ in range(n)]
+    passages, refrain = [prose(90) for _ in range(201)], [prose(20) for _ in range(3)]
+    rows = [(i, " ".join(passages[i] + passages[i + 1] + [w for r in refrain[: i % 4] for w in r])) for i in range(200)]
+    kept = {}
+    before = jaccard.durable
+    monkeypatch.setattr(jaccard, "durable", lambda df, name="step", by=None: kept.setdefault(name, before(df, name, by)))
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    assert all(r.component_id == r.doc_id for r in got) and len(got) == 200
+    assert kept["jaccard-members"].count() < 20  # all 200 in one family, each compared with each, if any part alike ties
+
+
 def test_popular_shingles_cost_no_link(spark):
     rng = random.Random(8)
     prose = lambda n: [f"{rng.randrange(10**9):x}" for _ in range(n)]

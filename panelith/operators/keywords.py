@@ -31,20 +31,24 @@ def by_automaton(text: Column, words: Sequence[str]) -> Column:
         for i, w in enumerate(listed):
             (same.setdefault(w, []) if w else always).append(i)
         for w, places in same.items():
-            machine.add_word(w, places)
+            machine.add_word(w, places[0])
+        more = {places[0]: places[1:] for places in same.values() if len(places) > 1}  # words that stand in the list again
         if same:
             machine.make_automaton()
         for texts in batches:
-            found = []
+            flat, ends = [], [0]
             for t in texts.to_pylist():
-                hit = set(always) if t is not None else set()
-                if t and same:
-                    for _, places in machine.iter(t):
-                        hit.update(places)
-                found.append(sorted(hit))
-            yield pa.array(found, pa.list_(pa.int32()))
-
-    return F.arrow_udf(search, "array<int>")(text)
+                hit = {place for _, place in machine.iter(t)} if t and same else set()
+                for place in more.keys() & hit:
+                    hit.update(more[place])
+                if t is not None:
+                    hit.update(always)
+                flat += sorted(hit)
+                ends.append(len(flat))
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+    # Called nondeterministic, so that a filter on what it finds stays behind it; else the planner searches all texts once more for the filter.
+    return F.arrow_udf(search, "array<int>").asNondeterministic()(text)
 
 
 def found(text: Column, words: Sequence[str], few: int = FEW) -> Column:

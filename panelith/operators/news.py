@@ -44,8 +44,9 @@ def _named(places: str, words: Sequence[str]) -> Column:
 def relevant(items: DataFrame, keywords: Sequence[str], few: int = FEW) -> DataFrame:
     """Rows with a keyword in title, content or tags, and which; no keywords let all rows pass with none matched."""
     words = [k.strip().lower() for k in keywords if k.strip()]
-    out = items.withColumn("_text", haystack()).withColumn("_at", found(F.col("_text"), words, few)).withColumn("matched_keywords", _named("_at", words)).drop("_text", "_at")
-    return out.filter(F.size("matched_keywords") > 0) if words else out
+    out = items.withColumn("_text", haystack()).withColumn("_at", found(F.col("_text"), words, few))
+    out = out.filter(F.size("_at") > 0) if words else out
+    return out.withColumn("matched_keywords", _named("_at", words)).drop("_text", "_at")
 
 
 def categorize(items: DataFrame, rules: Mapping[str, Sequence[str]], source_weights: Mapping[str, float], few: int = FEW) -> DataFrame:

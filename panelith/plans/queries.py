@@ -1356,7 +1356,7 @@ SOURCES = {"src1": 1.1, "src2": 1.2}
 
 def _news(spark, sf):
     d = adapters.table(spark, sf, "documents")
-    title = F.split(F.coalesce("text", F.lit("")), "\n", 2)[0]
+    title = F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)
     return d.select("doc_id", title.alias("title"), F.col("text").alias("content"), "source", F.array("lang").alias("tags"))
 
 

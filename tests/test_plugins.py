@@ -71,3 +71,11 @@ def test_automaton_equals_instr(spark):
         out = news.categorize(news.relevant(raw, ["chip", "rates", "boom", " "], few), rules, {"cctv": 1.2}, few)
         assert {x.id: (x.matched_keywords, x.category, x.source_weight) for x in out.collect()} == {1: (["chip", "boom"], "tech", 1.0), 2: (["rates"], "macro", 1.2)}
         assert news.relevant(raw, [], few).count() == 3 and news.categorize(raw, {}, {}, few).select("category").distinct().first()[0] == "other"
+
+
+def test_texts_are_searched_once_for_filter_and_words(spark):
+    words = [f"w{i}" for i in range(40)] + ["w7"]  # more than instr takes, one twice
+    raw = spark.createDataFrame([(1, "a w7", None, "x", None), (2, "none", None, "x", None)], "id int, title string, content string, source string, tags array<string>")
+    out = news.relevant(raw, words)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r.id, r.matched_keywords) for r in out.collect()] == [(1, ["w7", "w7"])]

@@ -103,8 +103,11 @@ class Store:
         self._delete(old)
 
     def write_partitions(self, table: str, df: DataFrame, by: Sequence[str]) -> None:
-        """Overwrites the partitions that ``df`` has rows for; others stay."""
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(self.path(table))
+        """Overwrites the partitions that ``df`` has rows for; others stay.
+
+        Rows of a partition meet first, so that it gets one file and not one of each task; a large one goes over several tasks.
+        """
+        df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(self.path(table))
 
     def drop_partitions(self, table: str, values: Sequence[dict[str, str]]) -> None:
         for v in values:

@@ -173,3 +173,13 @@ def test_buckets_match_quantile_cuts(spark, q):
         df = spark.range(1, n + 1).select(F.col("id"), stats.bucket(F.col("id"), F.lit(n), q).alias("b"))
         want = pd.qcut(pd.Series(range(1, n + 1)), q, labels=False) + 1
         assert [r.b for r in df.orderBy("id").collect()] == want.tolist()
+
+
+def test_partitions_get_one_file_and_not_one_of_each_task(spark, tmp_path):
+    s = store.Store(spark, str(tmp_path))
+    rows = spark.range(400).select((F.col("id") % 5).cast("string").alias("trade_date"), F.col("id").alias("x")).repartition(8)
+    s.write_partitions("t", rows, ["trade_date"])
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 5
+    s.write_partitions("t", rows.filter("trade_date = '3'").withColumn("x", -F.col("x")), ["trade_date"])  # others stay
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 5
+    assert s.read("t").groupBy("trade_date").agg(F.count("*"), F.sum("x")).orderBy("trade_date").collect() == [(str(k), 80, sum(range(k, 400, 5)) * (-1 if k == 3 else 1)) for k in range(5)]

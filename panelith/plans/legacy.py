@@ -21,13 +21,14 @@ STAGES = {"raw": "factor_raw", "z-score": "factor_zscore", "size-neutral": "fact
 DATE, MAIN, COST = "trade_date", 5, 0.001
 
 
-def prepared(rows: DataFrame, source: str, by: Sequence[str] = (DATE,)) -> DataFrame:
+def prepared(rows: DataFrame, source: str, by: Sequence[str] = (DATE,), spread: bool | None = None) -> DataFrame:
     """Stages of the factor and its bucket by date over all rows; here the raw stage is the winsorized one, and nothing is standardized again."""
-    p = preprocess.winsorize_mad(rows, source, "factor_raw", by)
-    p = preprocess.zscore(p, "factor_raw", "factor_zscore", by)
-    p = preprocess.neutralize_size(p, "factor_zscore", "factor_size", by)
-    p = preprocess.neutralize_industry_size(p, "factor_zscore", "_f", by)
-    return evaluate.quantiles(p.withColumn("f", F.round("_f", 6)).drop("_f"), "f")
+    spread = order.spread_out(rows, by, order.ONE_TASK, spread)
+    p = preprocess.winsorize_mad(rows, source, "factor_raw", by, spread=spread)
+    p = preprocess.zscore(p, "factor_raw", "factor_zscore", by, spread=spread)
+    p = preprocess.neutralize_size(p, "factor_zscore", "factor_size", by, spread=spread)
+    p = preprocess.neutralize_industry_size(p, "factor_zscore", "_f", by, spread=spread)
+    return evaluate.quantiles(p.withColumn("f", F.round("_f", 6)).drop("_f"), "f", spread=spread)
 
 
 def melted(df: DataFrame, frame: str, key: Column, metrics: dict[str, Column | str]) -> DataFrame:
@@ -41,9 +42,12 @@ def same(names: str) -> dict[str, str]:
 
 def evaluation(rows: DataFrame, source: str, horizons: Sequence[int], cost: float = COST) -> DataFrame:
     """All frames of factor ``source``: ``rows`` has trade_date, ts_code, size, industry, forward returns and ``universe``."""
-    p = stored(prepared(rows, source))
     label = f"forward_{MAIN}d"
+    returns = dict.fromkeys([label, *[f"forward_{h}d" for h in horizons]])
+    p = stored(prepared(rows.select(*dict.fromkeys([DATE, "ts_code", source, "total_mv", "sw_l1_name", "universe", *returns])), source))  # what is not used moves nowhere
     u = p.filter("universe")
+    size = u.groupBy(DATE).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    spread = (size.most or 0) > order.ONE_TASK
     none, out = F.lit(""), []
 
     out.append(melted(u.agg(F.countDistinct("ts_code").alias("n_stocks"), F.countDistinct(DATE).alias("n_dates"), F.count("*").alias("n_valid_rows")), "sample", none, same("n_stocks n_dates n_valid_rows")))
@@ -52,8 +56,9 @@ def evaluation(rows: DataFrame, source: str, horizons: Sequence[int], cost: floa
     moments = order.with_facts(moments, order.percentiles(stages, "x", {"p01": 0.01, "p99": 0.99}, ["version"]), ["version"])
     out.append(melted(moments, "distribution", F.col("version"), same("count mean std skew p01 p99")))
 
-    long = u.select(DATE, "f", F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"forward_{h}d").alias("y")) for h in horizons])).alias("h")).select(DATE, "f", "h.*")
-    ic = stored(evaluate.rank_ic(long, "f", "y", ["horizon"]))
+    long = u.select(DATE, "f", F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"forward_{h}d").alias("y")) for h in horizons])).alias("h")).select(DATE, "f", "h.*").filter("f is not null and y is not null")
+    long = long if spread else order.dealt(long, ["horizon", DATE], len(horizons) * (size.rows or 0))  # else a few tasks would get all horizons
+    ic = stored(evaluate.rank_ic(long, "f", "y", ["horizon"], spread=spread))
     own = ic.filter(F.col("horizon") == MAIN).drop("horizon")
     out.append(melted(own, "ic", F.col(DATE), same("rank_ic n_stocks")))
     out.append(melted(evaluate.ic_stats(own), "ic_summary", none, same("mean std ir t_stat win_rate n_days")))
@@ -83,7 +88,7 @@ def evaluation(rows: DataFrame, source: str, horizons: Sequence[int], cost: floa
     out.append(melted(evaluate.long_short_legacy(ls), "long_short_metrics", none, same("sharpe calmar annual_return annual_vol max_dd")))
 
     out.append(melted(evaluate.regression_summary(evaluate.regression_t(u, "f", label)), "regression_summary", none, same("n_periods mean_factor_return return_t_stat mean_abs_t pct_abs_t_gt_2")))
-    auto = evaluate.autocorrelation_decay(evaluate.autocorrelation(u.select(DATE, "ts_code", "f"), "f"))
+    auto = evaluate.autocorrelation_decay(evaluate.autocorrelation(u.select(DATE, "ts_code", "f"), "f", spread=spread))
     out.append(melted(auto, "autocorr", F.col("lag"), same("mean_autocorr")))
     whole = p.join(order_dates(u), DATE, "left_semi")  # buckets of all rows, on the universe's dates
     turn = evaluate.turnover(whole).groupingSets([["quantile"], []], "quantile").agg(F.grouping_id().alias("level"), F.avg("turnover").alias("avg_turnover"))

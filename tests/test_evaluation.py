@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelith.operators import compare, evaluate, news, order, radar
+from panelith.plans import legacy
 
 
 @pytest.fixture(scope="module")
@@ -165,3 +166,18 @@ def test_a_period_is_a_set_of_dates_and_no_more_rows(spark, monkeypatch):
     got = queries.evaluate_batch(rows, ["k"]).first()
     assert got["n_valid_dates"] == 4 and got["n_samples"] == 160
     assert max(f.count() for f in kept) == 160
+
+
+def test_older_evaluation_deals_its_horizons_over_many_tasks(spark, monkeypatch):
+    rows = spark.range(4000).select(
+        F.expr("date_add(date'2024-01-01', cast(id % 20 as int))").alias("trade_date"), F.expr("cast(id div 20 as string)").alias("ts_code"), F.expr("cast(hash(id) % 1000 as double)").alias("mom"),
+        F.expr("100.0D + id % 97").alias("total_mv"), F.expr("concat('i', id % 3)").alias("sw_l1_name"), F.lit(True).alias("universe"), F.lit("x").alias("unused"), *[F.expr(f"hash(id, {h}) % 100 / 1000.0D").alias(f"forward_{h}d") for h in (1, 5)],
+    )
+    dealt, ranked, measured, kept = [], evaluate.rank_ic, order.largest, []
+    monkeypatch.setattr(order, "TASK_ROWS", 1000)
+    monkeypatch.setattr(legacy.evaluate, "rank_ic", lambda df, *a, **k: (dealt.append(df.rdd.getNumPartitions()), ranked(df, *a, **k))[1])
+    monkeypatch.setattr(order, "largest", lambda df, by: (kept.append(df.columns), measured(df, by))[1])
+    out = legacy.evaluation(rows, "mom", (1, 5))
+    assert dealt == [8]  # 2 horizons of 4,000 rows
+    assert [c for c in kept if "trade_date" in c and "unused" in c] == [] and sum("mom" in c for c in kept) == 1  # dates are measured once
+    assert out.filter("frame = 'ic'").select("key").distinct().count() == 20

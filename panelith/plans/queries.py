@@ -219,10 +219,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     s = store.Store(spark, store.scratch(spark))
-    u = frames.usable(spark, sf)
-    ic, tag = evaluate.rank_ic(u, FACTOR, LABEL), [F.lit("m5").alias("factor_id"), F.lit("first").alias("run_id")]
+    u = store.stored(frames.usable(spark, sf).select("trade_date", "ts_code", FACTOR, LABEL, "quantile"))  # many results use it
+    ic, tag = store.stored(evaluate.rank_ic(u, FACTOR, LABEL)), [F.lit("m5").alias("factor_id"), F.lit("first").alias("run_id")]
     metrics = ic.agg(F.avg("rank_ic").alias("rank_ic_mean"), F.count("*").cast("double").alias("n_dates")).select(*tag, "*").unpivot(["factor_id", "run_id"], ["rank_ic_mean", "n_dates"], "metric", "value")
-    buckets = _qd(spark, sf).groupBy("quantile").agg(F.avg("avg_return").alias("value")).select(*tag, "quantile", "value")
+    buckets = evaluate.quantile_daily(u, LABEL).groupBy("quantile").agg(F.avg("avg_return").alias("value")).select(*tag, "quantile", "value")
     years = ic.groupBy(F.year("trade_date").cast("string").alias("period")).agg(F.avg("rank_ic").alias("value")).select(*tag, "period", F.lit("rank_ic_mean").alias("metric"), "value")
     runs = u.agg(F.count("*").cast("double").alias("value")).select(*tag, "value")
     s.write_evaluation({"evaluation_runs": runs, "evaluation_metrics": metrics, "evaluation_quantiles": buckets, "evaluation_period_metrics": years})

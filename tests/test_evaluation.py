@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelith.operators import compare, evaluate, news, order, radar
-from panelith.plans import legacy
+from panelith.plans import frames, legacy, queries
 
 
 @pytest.fixture(scope="module")
@@ -181,3 +181,10 @@ def test_older_evaluation_deals_its_horizons_over_many_tasks(spark, monkeypatch)
     assert dealt == [8]  # 2 horizons of 4,000 rows
     assert [c for c in kept if "trade_date" in c and "unused" in c] == [] and sum("mom" in c for c in kept) == 1  # dates are measured once
     assert out.filter("frame = 'ic'").select("key").distinct().count() == 20
+
+
+def test_stored_results_prepare_the_rows_once(spark, monkeypatch):
+    made, usable = [], frames.usable
+    monkeypatch.setattr(frames, "usable", lambda *a: (made.append(1), usable(*a))[1])
+    assert queries.QUERIES["a22_result_store"](spark, "/root/testdata/sf0.01").count() > 0
+    assert len(made) == 1

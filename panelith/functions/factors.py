@@ -96,6 +96,11 @@ def validate(registry: Iterable[FactorSpec], known_fields: Sequence[str]) -> Non
             raise ValueError(f"{spec.factor_id}: unknown fields {sorted(missing)}")
 
 
+def registered(registry: Sequence[FactorSpec] = REGISTRY) -> dict[str, Column]:
+    """The column of each registered factor."""
+    return {s.factor_id: BUILTIN[s.implementation.removeprefix("builtin:")](**s.params) for s in registry}
+
+
 def compute(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """All factors in one pass over one sort by code, long: trade_date, ts_code, factor_id, factor_value."""
     wide = df.withColumn("ret_1", returns()).select("trade_date", "ts_code", *[c.alias(k) for k, c in columns.items()])
@@ -106,7 +111,7 @@ def run_registry(df: DataFrame, registry: Sequence[FactorSpec] = REGISTRY) -> Da
     """Every registered factor as one long result, with the sign of its direction."""
     validate(registry, df.columns)
     signs = F.create_map(*[F.lit(x) for s in registry for x in (s.factor_id, DIRECTIONS[s.direction])])
-    long = compute(df, {s.factor_id: BUILTIN[s.implementation.removeprefix("builtin:")](**s.params) for s in registry})
+    long = compute(df, registered(registry))
     return long.withColumn("direction", signs[F.col("factor_id")])
 
 

@@ -231,6 +231,12 @@ def top_backtest(df: DataFrame, label: str, top: int = 5, step: int = 5, keys: K
     return g.withColumn("drawdown", ratio(F.col("net_equity"), F.max("net_equity").over(w)) - 1).drop("_r")
 
 
+def top_returns(daily: DataFrame, top: int = 5, step: int = 5, keys: Keys = ()) -> DataFrame:
+    """``top_backtest`` without cost, from the mean labels of buckets by date: net_return and net_equity at every step-th date that has top names."""
+    s = daily.filter(F.col("quantile") == top).withColumn("_d", F.row_number().over(Window.partitionBy(*keys).orderBy(DATE)) - 1).filter(F.col("_d") % step == 0)
+    return s.select(*keys, DATE, F.col("avg_return").alias("net_return")).withColumn("net_equity", compounded(1 + F.col("net_return"), upto(keys, DATE)))
+
+
 def _dated(df: DataFrame, keys: Keys = ()) -> DataFrame:
     """``df`` with the index of its date (for each of ``keys``): dates are numbered apart and joined back, so rows never meet in one task."""
     dates = df.select(*keys, DATE).distinct().withColumn("_d", F.row_number().over(Window.partitionBy(*keys).orderBy(DATE)) - 1)

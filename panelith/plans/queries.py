@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import factors
 from ..functions import stats as S
-from ..operators import compare, evaluate, news, order, panel, preprocess, quality, radar, sample
+from ..operators import by_date, compare, evaluate, news, order, panel, preprocess, quality, radar, sample
 from ..sources import adapters, schemas, store
 from . import batch_oracle as B
 from . import frames, legacy
@@ -1052,19 +1052,24 @@ def evaluate_batch(rows: DataFrame, keys: list[str]) -> DataFrame:
     by = [*keys, "period"]
     ic = store.stored(evaluate.ic_of_ranks(u, keys))
     fd = store.stored(evaluate.quantile_daily(u, LABEL, keys))
+    turn = evaluate.turnover(u.select(*keys, "trade_date", "ts_code", "quantile"), keys)
+    cov = evaluate.coverage(rows, FACTOR, LABEL, keys).select(*keys, "coverage_pct", F.col("n_forward_return_samples").alias("n_samples"))
+    return _metrics(cov.join(preprocess.validity(rows, FACTOR, keys), keys, "left"), ic, fd, turn, keys)
+
+
+def _metrics(facts: DataFrame, ic: DataFrame, fd: DataFrame, turn: DataFrame, keys: list[str]) -> DataFrame:
+    """The gate's metrics from series by date: rank ICs, mean labels and turnover of buckets; ``facts`` has a row for each key."""
+    by = [*keys, "period"]
     parts = store.stored(evaluate.split_periods(ic.select(*keys, "trade_date"), keys=keys).withColumn("period", F.explode(F.array(F.lit("full"), F.col("period")))))
     spreads = evaluate.spread_stats(evaluate.wide(fd, keys=keys).join(parts, [*keys, "trade_date"]), keys=by).select(*by, "spread_mean")
     means = ic.join(parts, [*keys, "trade_date"]).groupBy(*by).agg(F.avg("rank_ic").alias("ic")).join(spreads, by)
     wide = means.groupBy(*keys).agg(*[F.max(F.when(F.col("period") == p, F.col(c))).alias(n) for p, c, n in (("full", "ic", "rank_ic_mean"), ("full", "spread_mean", "spread_mean"), ("in_sample", "ic", "is_rank_ic"), ("in_sample", "spread_mean", "is_spread"), ("out_of_sample", "ic", "oos_rank_ic"), ("out_of_sample", "spread_mean", "oos_spread"))])
-    names = u.select(*keys, "trade_date", "ts_code", LABEL, "quantile")
-    top = evaluate.top_summary(store.stored(evaluate.top_backtest(names, LABEL, keys=keys)), keys).select(*keys, F.col("mean_return").alias("top_return"), "sharpe", "max_drawdown")
-    turn = evaluate.turnover_summary(evaluate.turnover(names.drop(LABEL), keys), keys).select(*keys, "mean_turnover")
+    top = evaluate.annualized(store.stored(evaluate.top_returns(fd, keys=keys)), "net_return", F.col("net_equity"), keys).select(*keys, F.col("mean_return").alias("top_return"), "sharpe", "max_drawdown")
+    turned = evaluate.turnover_summary(turn, keys).select(*keys, "mean_turnover")
     mono = evaluate.monotonicity(evaluate.quantile_summary(fd, keys), keys)
     years = evaluate.concentration(evaluate.yearly(ic, fd, keys=keys), keys).select(*keys, F.col("has_single_year_concentration").alias("single_year"))
     dates = ic.groupBy(*keys).agg(F.countDistinct("trade_date").alias("n_valid_dates"))
-    cov = evaluate.coverage(rows, FACTOR, LABEL, keys).select(*keys, "coverage_pct", F.col("n_forward_return_samples").alias("n_samples"))
-    valid = preprocess.validity(rows, FACTOR, keys)
-    return reduce(lambda a, b: a.join(b, keys, "left"), [cov, valid, dates, wide, top, turn, mono, years])
+    return reduce(lambda a, b: a.join(b, keys, "left"), [facts, dates, wide, top, turned, mono, years])
 
 
 @query("g34_evaluation_batch", B.factors({"registered": B.REGISTERED}) + "," + B.batch("long0", ["factor_id"]), "SELECT * FROM metrics", B.METRIC_DOUBLES)
@@ -1243,9 +1248,8 @@ def _(spark, sf):
     return compare.compare(c, b, ["rank_ic_mean", "max_drawdown", "mean_turnover"])
 
 
-def _compared(spark, sf, repeats=3):
-    """(metrics of the registered factors, their comparison with noise runs of their own and the technical baselines), from one batch."""
-    s = frames.research_sample(spark, sf)
+def _metrics_of_long(s: DataFrame, repeats: int) -> DataFrame:
+    """The metrics of ``_compared`` from one long frame, for dates of any size."""
     own = s.select("trade_date", "ts_code", "day", "total_mv", "sw_l1_name", F.col("forward_5d").alias(LABEL))
     registered = factors.run_registry(s).withColumn("group", F.lit("candidate"))
     signs = F.create_map(*[F.lit(x) for k, (_, d) in factors.TECHNICAL.items() for x in (k, factors.DIRECTIONS[d])])
@@ -1258,7 +1262,32 @@ def _compared(spark, sf, repeats=3):
         one = compare.noise_factors(p.filter("group = 'candidate'").filter(F.col(FACTOR).isNotNull()).drop("run_id"), FACTOR, repeats, names=[name], keys=["factor_id"])
         one = one.withColumn("group", F.lit("noise")).withColumn("run_id", F.col("run_id") + 100 * k).drop("baseline_name")
         noise = one if noise is None else noise.unionByName(one)
-    m = store.stored(evaluate_batch(p.unionByName(noise), ["group", "factor_id", "run_id"]))
+    return evaluate_batch(p.unionByName(noise), ["group", "factor_id", "run_id"])
+
+
+def _metrics_of_dates(s: DataFrame, repeats: int, rows: int) -> DataFrame:
+    """The metrics of ``_compared`` for samples whose dates fit a task each, a column for each factor."""
+    factors.validate(factors.REGISTRY, s.columns)
+    own = {("candidate", x.factor_id): factors.DIRECTIONS[x.direction] for x in factors.REGISTRY} | {("simple_technical", k): factors.DIRECTIONS[d] for k, (_, d) in factors.TECHNICAL.items()}
+    made = [*factors.registered().values(), *[f() for f, _ in factors.TECHNICAL.values()]]
+    names = [{"group": g, "factor_id": k, "run_id": 0} for g, k in own]
+    signals = [by_date.Signal(f"v{i}", sign) for i, sign in enumerate(own.values())]
+    for i, x in enumerate(factors.REGISTRY):
+        for k, name in enumerate(compare.NOISE):
+            names += [{"group": "noise", "factor_id": x.factor_id, "run_id": run + 100 * k} for run in range(repeats)]
+            signals += [by_date.Signal(f"v{i}", signals[i].sign, name, run) for run in range(repeats)]
+    wide = s.withColumn("ret_1", factors.returns()).select("day", "ts_code", "total_mv", "sw_l1_name", F.col("forward_5d").alias(LABEL), *[c.alias(f"v{i}") for i, c in enumerate(made)])
+    facts = store.stored(by_date.date_facts(wide, signals, LABEL, rows))
+    ic, fd = (store.stored(x) for x in by_date.series(facts))
+    turn = by_date.turnover(fd, by_date.kept_names(facts, len(signals), rows))
+    return by_date.frame_of(names, _metrics(by_date.coverage(facts), ic, fd.drop("n"), turn, ["k"]))
+
+
+def _compared(spark, sf, repeats=3):
+    """(metrics of the registered factors, their comparison with noise runs of their own and the technical baselines), from one batch."""
+    s = frames.research_sample(spark, sf)
+    size = frames.panel(spark, sf).groupBy("trade_date").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    m = store.stored(_metrics_of_long(s, repeats) if (size.most or 0) > order.ONE_TASK else _metrics_of_dates(s, repeats, size.rows or 0))
     named = m.select("*", F.col("top_return").alias("top_quantile_return"), F.col("sharpe").alias("top_quantile_sharpe"), F.col("oos_rank_ic").alias("oos_rank_ic_mean"))
     of = [x.factor_id for x in factors.REGISTRY]
     simple = named.filter("group = 'simple_technical'").withColumn("factor_id", F.explode(F.array(*[F.lit(x) for x in of])))

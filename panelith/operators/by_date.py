@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.digest import md5_heads
 from .compare import NOISE
 from .order import dealt
 from .preprocess import MAD_SCALE, TINY
@@ -79,14 +79,34 @@ def processed(x: np.ndarray, mv: np.ndarray, industry: np.ndarray, sign: int) ->
     return np.copysign(np.floor(np.abs(z) * 1e6 + 0.5) / 1e6, z) + 0.0
 
 
-def unit(codes: Sequence[bytes], day: str, run: int, salt: int, seed: int) -> np.ndarray:
+@dataclass(frozen=True)
+class Codes:
+    """The codes of a date by length: where they stand, and a row of bytes for each."""
+
+    n: int
+    sized: Sequence[tuple[np.ndarray, np.ndarray]]
+
+    @staticmethod
+    def of(names: pa.ChunkedArray) -> Codes:
+        held = names.combine_chunks()
+        if not len(held):
+            return Codes(0, [])
+        _, offsets, data = held.buffers()
+        start = np.frombuffer(offsets, np.int32)[held.offset :][: len(held) + 1].astype(int)
+        flat, size, start = np.frombuffer(data or b"", np.uint8), np.diff(start), start[:-1]
+        at = [(k, np.flatnonzero(size == k)) for k in np.unique(size)]
+        return Codes(len(size), [(w, flat[start[w][:, None] + np.arange(k)]) for k, w in at])
+
+
+def unit(codes: Codes, day: str, run: int, salt: int, seed: int) -> np.ndarray:
     """``compare._unit`` of a run for the codes of a date."""
-    head = f"{seed}|{salt}|{run}|{day}|".encode()
-    found = b"".join([md5(head + c, usedforsecurity=False).digest() for c in codes])
-    return ((np.frombuffer(found, ">u8")[::2] >> np.uint64(12)).astype(float) + 0.5) / float(1 << 52)
+    out = np.empty(codes.n)
+    for at, texts in codes.sized:
+        out[at] = (md5_heads(f"{seed}|{salt}|{run}|{day}|".encode(), texts) >> np.uint64(12)).astype(float)
+    return (out + 0.5) / float(1 << 52)
 
 
-def drawn(name: str, codes: Sequence[bytes], day: str, run: int, seed: int) -> np.ndarray:
+def drawn(name: str, codes: Codes, day: str, run: int, seed: int) -> np.ndarray:
     """Noise of a run for the codes of a date; of a shuffle, the numbers that order its values."""
     k = NOISE.index(name)
     if name == "random_normal":
@@ -126,26 +146,26 @@ class _Usable:
 
 def facts_of(table: pa.Table, signals: Sequence[Signal], label: str, least: int, q: int, seed: int) -> pa.Table:
     """``FACTS`` of one date."""
-    table = table.take(pc.sort_indices(table, [("ts_code", "ascending")]))
-    day, names = table["day"][0].as_py(), table["ts_code"]
-    number = lambda c: table[c].to_numpy().astype(float)
+    order = pc.sort_indices(table, [("ts_code", "ascending")])
+    day, names = table["day"][0].as_py(), table["ts_code"].take(order)
+    number = lambda c: table[c].take(order).to_numpy().astype(float, copy=False)
     y, mv = number(label), number("total_mv")
-    industry = pc.fill_null(table["sw_l1_name"].combine_chunks().dictionary_encode().indices, -1).to_numpy()
-    values = {}
-    for s in signals:
-        if s.column not in values:
-            values[s.column] = processed(number(s.column), mv, industry, s.sign)
-    noisy = {s.column for s in signals if s.noise}
+    industry = pc.fill_null(table["sw_l1_name"].combine_chunks().dictionary_encode().indices.take(order), -1).to_numpy()
+
+    def made(x: tuple[str, int]) -> tuple[np.ndarray, _Usable]:
+        f = processed(number(x[0]), mv, industry, x[1])
+        return f, _Usable(f, y, q)
+
+    noisy = {x: made(x) for x in dict.fromkeys((s.column, s.sign) for s in signals if s.noise)}  # the others are made when they are looked at
     wanted = np.zeros(len(y), bool)
-    for c in noisy:
-        wanted |= ~np.isnan(values[c])
-    codes = [c.encode() for c in names.filter(pa.array(wanted)).to_pylist()]
-    usable = {c: _Usable(f, y, q) for c, f in values.items()}
+    for f, _ in noisy.values():
+        wanted |= ~np.isnan(f)
+    codes = Codes.of(names.filter(pa.array(wanted)))
     buckets = np.zeros((len(y), len(signals)), np.uint8)
     found, draws = [], (None, None)
     for k in sorted(range(len(signals)), key=lambda k: (signals[k].noise or "", signals[k].run)):
         s = signals[k]
-        f = values[s.column]
+        f, u = noisy[x] if (x := (s.column, s.sign)) in noisy else made(x)
         has = ~np.isnan(f)
         if s.noise:
             if draws[0] != (s.noise, s.run):
@@ -157,7 +177,7 @@ def facts_of(table: pa.Table, signals: Sequence[Signal], label: str, least: int,
                 f[has] = f[has][np.argsort(draws[1][has], kind="stable")]
             else:
                 f = np.where(has, draws[1], np.nan)
-        n, u, own = np.count_nonzero(has), usable[s.column], f[has]
+        n, own = np.count_nonzero(has), f[has]
         row = {"trade_date": day, "k": k, "n_rows": n if s.noise else len(y), "n_ok": len(u.at), "n_values": n, "low": own.min() if n else None, "high": own.max() if n else None}
         if len(u.at) >= max(least, q):
             v = f[u.at]

@@ -90,15 +90,24 @@ def forward_returns(df: DataFrame, horizons: Sequence[int], tradable: str | None
     return df.withColumns(out)
 
 
-def build_sample(panel: DataFrame, config: SampleConfig = SampleConfig()) -> tuple[DataFrame, DataFrame]:
-    """(sample, skipped dates): masks and labels; dates with too few tradable rows are left out whole."""
+def build_sample(panel: DataFrame, config: SampleConfig = SampleConfig(), apart: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(sample, skipped dates): masks and labels; dates with too few tradable rows are left out whole.
+
+    ``apart``: tradable rows are counted apart, a row a date, and the counts broadcast, so that rows stay where they lie by code.
+    """
     df = flags(panel)
     if config.start:
         df = df.filter(F.col("trade_date") >= config.start)
     if config.end:
         df = df.filter(F.col("trade_date") <= config.end)
-    df = forward_returns(masked(df, config), config.horizons)
-    df = df.withColumn("tradable_count", F.sum(F.when(F.col("is_tradable"), 1).otherwise(0)).over(Window.partitionBy("trade_date")))
+    df = masked(df, config)
+    tradable = F.sum(F.when(F.col("is_tradable"), 1).otherwise(0))
+    if apart:
+        counts = df.groupBy(F.col("trade_date").alias("_date")).agg(tradable.alias("tradable_count"))
+        df = forward_returns(df, config.horizons)
+        df = df.join(F.broadcast(counts), F.col("trade_date").eqNullSafe(F.col("_date"))).drop("_date")
+    else:
+        df = forward_returns(df, config.horizons).withColumn("tradable_count", tradable.over(Window.partitionBy("trade_date")))
     thin = F.col("tradable_count") < config.min_cross_section
     return df.filter(~thin), df.filter(thin).select("trade_date").distinct()
 

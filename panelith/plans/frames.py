@@ -26,8 +26,8 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel_store(spark, sf_dir).read()
 
 
-def research_sample(spark: SparkSession, sf_dir: str, least: int = 30) -> DataFrame:
-    return sample.build_sample(panel(spark, sf_dir), sample.SampleConfig(min_cross_section=least))[0]
+def research_sample(spark: SparkSession, sf_dir: str, least: int = 30, apart: bool = False) -> DataFrame:
+    return sample.build_sample(panel(spark, sf_dir), sample.SampleConfig(min_cross_section=least), apart)[0]
 
 
 def processed(spark: SparkSession, sf_dir: str, neutralize: str = "industry_size", least: int = 30) -> DataFrame:

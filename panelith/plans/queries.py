@@ -1268,15 +1268,17 @@ def _metrics_of_long(s: DataFrame, repeats: int) -> DataFrame:
 def _metrics_of_dates(s: DataFrame, repeats: int, rows: int) -> DataFrame:
     """The metrics of ``_compared`` for samples whose dates fit a task each, a column for each factor."""
     factors.validate(factors.REGISTRY, s.columns)
-    own = {("candidate", x.factor_id): factors.DIRECTIONS[x.direction] for x in factors.REGISTRY} | {("simple_technical", k): factors.DIRECTIONS[d] for k, (_, d) in factors.TECHNICAL.items()}
-    made = [*factors.registered().values(), *[f() for f, _ in factors.TECHNICAL.values()]]
-    names = [{"group": g, "factor_id": k, "run_id": 0} for g, k in own]
-    signals = [by_date.Signal(f"v{i}", sign) for i, sign in enumerate(own.values())]
-    for i, x in enumerate(factors.REGISTRY):
-        for k, name in enumerate(compare.NOISE):
-            names += [{"group": "noise", "factor_id": x.factor_id, "run_id": run + 100 * k} for run in range(repeats)]
-            signals += [by_date.Signal(f"v{i}", signals[i].sign, name, run) for run in range(repeats)]
-    wide = s.withColumn("ret_1", factors.returns()).select("day", "ts_code", "total_mv", "sw_l1_name", F.col("forward_5d").alias(LABEL), *[c.alias(f"v{i}") for i, c in enumerate(made)])
+    own = {("candidate", x.factor_id): (c, x.direction) for x, c in zip(factors.REGISTRY, factors.registered().values(), strict=True)}
+    own |= {("simple_technical", k): (f(), d) for k, (f, d) in factors.TECHNICAL.items()}
+    made = {str(c): c for c, _ in own.values()}  # what is both registered and technical is computed once
+    at = {x: f"v{i}" for i, x in enumerate(made)}
+    signals = {(g, k, 0): by_date.Signal(at[str(c)], factors.DIRECTIONS[d]) for (g, k), (c, d) in own.items()}
+    for x in factors.REGISTRY:
+        of = signals["candidate", x.factor_id, 0]
+        signals |= {("noise", x.factor_id, run + 100 * k): by_date.Signal(of.column, of.sign, name, run) for k, name in enumerate(compare.NOISE) for run in range(repeats)}
+    names = [dict(zip(("group", "factor_id", "run_id"), x, strict=True)) for x in signals]
+    signals = list(signals.values())
+    wide = s.withColumn("ret_1", factors.returns()).select("day", "ts_code", "total_mv", "sw_l1_name", F.col("forward_5d").alias(LABEL), *[c.alias(at[x]) for x, c in made.items()])
     facts = store.stored(by_date.date_facts(wide, signals, LABEL, rows))
     ic, fd = (store.stored(x) for x in by_date.series(facts))
     turn = by_date.turnover(fd, by_date.kept_names(facts, len(signals), rows))
@@ -1285,7 +1287,7 @@ def _metrics_of_dates(s: DataFrame, repeats: int, rows: int) -> DataFrame:
 
 def _compared(spark, sf, repeats=3):
     """(metrics of the registered factors, their comparison with noise runs of their own and the technical baselines), from one batch."""
-    s = frames.research_sample(spark, sf)
+    s = frames.research_sample(spark, sf, apart=True)
     size = frames.panel(spark, sf).groupBy("trade_date").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
     m = store.stored(_metrics_of_long(s, repeats) if (size.most or 0) > order.ONE_TASK else _metrics_of_dates(s, repeats, size.rows or 0))
     named = m.select("*", F.col("top_return").alias("top_quantile_return"), F.col("sharpe").alias("top_quantile_sharpe"), F.col("oos_rank_ic").alias("oos_rank_ic_mean"))
